@@ -13,6 +13,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, functions as F
 from pyspark.sql.functions import pandas_udf
+from pyspark.sql.types import DoubleType
 
 
 def _betainc(a: float, b: float, x: float) -> float:
@@ -86,32 +87,32 @@ def fisher_two_sided(a: int, b: int, c: int, d: int) -> float:
     return float(min(1.0, probs[probs <= observed * (1 + 1e-7)].sum()))
 
 
-@pandas_udf("double")
+@pandas_udf(DoubleType())
 def _norm_two_sided(z: pd.Series) -> pd.Series:
     return z.map(lambda v: math.erfc(abs(v) / math.sqrt(2.0)), na_action="ignore").astype("float64")
 
 
-@pandas_udf("double")
+@pandas_udf(DoubleType())
 def _norm_upper(z: pd.Series) -> pd.Series:
     return z.map(lambda v: 0.5 * math.erfc(v / math.sqrt(2.0)), na_action="ignore").astype("float64")
 
 
-@pandas_udf("double")
+@pandas_udf(DoubleType())
 def _t_p(t: pd.Series, df: pd.Series) -> pd.Series:
     return pd.Series([t_two_sided(float(x), float(d)) for x, d in zip(t, df)], dtype="float64")
 
 
-@pandas_udf("double")
+@pandas_udf(DoubleType())
 def _t_q(p: pd.Series, df: pd.Series) -> pd.Series:
     return pd.Series([t_quantile(float(x), float(d)) for x, d in zip(p, df)], dtype="float64")
 
 
-@pandas_udf("double")
+@pandas_udf(DoubleType())
 def _f_p(f: pd.Series, d1: pd.Series, d2: pd.Series) -> pd.Series:
     return pd.Series([f_upper(float(x), float(a), float(b)) for x, a, b in zip(f, d1, d2)], dtype="float64")
 
 
-@pandas_udf("double")
+@pandas_udf(DoubleType())
 def _fisher_p(a: pd.Series, b: pd.Series, c: pd.Series, d: pd.Series) -> pd.Series:
     return pd.Series(
         [fisher_two_sided(int(w), int(x), int(y), int(z)) for w, x, y, z in zip(a, b, c, d)], dtype="float64"

@@ -14,16 +14,29 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql.functions import pandas_udf
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from agorakit.functions import fixed, half_up
 from agorakit.functions.scalar import hash_mod
 
-_DRAWN = (
-    "prob_treatment_better double, control_mean double, treatment_mean double, lift_mean double, "
-    "control_ci_low double, control_ci_high double, treatment_ci_low double, treatment_ci_high double, "
-    "lift_ci_low double, lift_ci_high double, expected_loss_control double, expected_loss_treatment double, "
-    "below_rope double, inside_rope double, above_rope double"
-)
+_DRAWN = [
+    "prob_treatment_better",
+    "control_mean",
+    "treatment_mean",
+    "lift_mean",
+    "control_ci_low",
+    "control_ci_high",
+    "treatment_ci_low",
+    "treatment_ci_high",
+    "lift_ci_low",
+    "lift_ci_high",
+    "expected_loss_control",
+    "expected_loss_treatment",
+    "below_rope",
+    "inside_rope",
+    "above_rope",
+]
+_DRAWN_TYPE = StructType([StructField(name, DoubleType()) for name in _DRAWN])
 
 
 def _summary(c: np.ndarray, t: np.ndarray, rope: tuple[float, float]) -> tuple:
@@ -47,30 +60,26 @@ def _rng(seed: int, key: str) -> np.random.Generator:
     return np.random.default_rng([seed, zlib.crc32(key.encode())])
 
 
-def _names() -> list[str]:
-    return [field.split()[0] for field in _DRAWN.split(", ")]
-
-
 def beta_draws(draws: int, seed: int, rope: tuple[float, float]):
-    @pandas_udf(_DRAWN)
+    @pandas_udf(_DRAWN_TYPE)
     def run(key: pd.Series, ac: pd.Series, bc: pd.Series, at: pd.Series, bt: pd.Series) -> pd.DataFrame:
         rows = []
         for k, a, b, c, d in zip(key, ac, bc, at, bt):
             rng = _rng(seed, k)
             rows.append(_summary(rng.beta(a, b, draws), rng.beta(c, d, draws), rope))
-        return pd.DataFrame(rows, columns=_names())
+        return pd.DataFrame(rows, columns=_DRAWN)
 
     return run
 
 
 def normal_draws(draws: int, seed: int, rope: tuple[float, float]):
-    @pandas_udf(_DRAWN)
+    @pandas_udf(_DRAWN_TYPE)
     def run(key: pd.Series, mc: pd.Series, sc: pd.Series, mt: pd.Series, st: pd.Series) -> pd.DataFrame:
         rows = []
         for k, a, b, c, d in zip(key, mc, sc, mt, st):
             rng = _rng(seed, k)
             rows.append(_summary(rng.normal(a, b, draws), rng.normal(c, d, draws), rope))
-        return pd.DataFrame(rows, columns=_names())
+        return pd.DataFrame(rows, columns=_DRAWN)
 
     return run
 
