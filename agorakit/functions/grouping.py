@@ -79,45 +79,41 @@ def with_neighbour(
     )
 
 
-def balanced_chunks(counts: DataFrame, keys: Sequence[str], value: str, parts: int = 256) -> DataFrame:
-    """Add ``_part``: which of about ``parts`` equally large value ranges of its key a row is in.
+def balanced_chunks(counts: DataFrame, keys: Sequence[str], value: str, weight: str, parts: int = 256) -> DataFrame:
+    """Add ``_part``, which of about ``parts`` equally large value ranges of its key a row is in, and the key's total.
 
     The borders are approximate quantiles of the distinct values (a mergeable
     sketch, one small array per key); where they fall does not affect results.
     """
     points = [i / parts for i in range(1, parts)]
-    borders = counts.groupBy(*keys).agg(F.approx_percentile(value, points, 2000).alias("_borders"))
+    borders = counts.groupBy(*keys).agg(
+        F.approx_percentile(value, points, 2000).alias("_borders"), F.sum(weight).alias("_total")
+    )
     return counts.join(borders, list(keys)).select(
-        *counts.columns, F.size(F.filter("_borders", lambda b: b <= F.col(value))).alias("_part")
+        *counts.columns, "_total", F.size(F.filter("_borders", lambda b: b <= F.col(value))).alias("_part")
     )
 
 
 def ranked_counts(df: DataFrame, keys: Sequence[str], value: str, measures: dict[str, Column], total: str) -> DataFrame:
-    """Distinct values per key with their counts and the number of rows before each (``<total>_before``).
+    """Distinct values per key with their counts, the rows before each (``<total>_before``) and in all (``_total``).
 
     Raw rows are never sorted: they are counted per distinct value first, and the
     running count goes through balanced value ranges, so neither a hot value nor
     a key with most of the rows ends up in one task.
     """
     counts = df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(*[m.alias(n) for n, m in measures.items()])
-    parted = balanced_chunks(counts, keys, value)
-    running = chunked_running_sum(parted, keys, value, [total], F.col("_part"))
-    return running.drop("_part")
+    parted = balanced_chunks(counts, keys, value, total)
+    return chunked_running_sum(parted, keys, value, [total], F.col("_part")).drop("_part")
 
 
 def exact_median(df: DataFrame, keys: Sequence[str], value: str, name: str) -> DataFrame:
     """Exact median per key (mean of the two middle values for an even count)."""
     ranked = ranked_counts(df, keys, value, {"_n": F.count(F.lit(1))}, "_n")
-    size = ranked.groupBy(*keys).agg(F.sum("_n").alias("_size"))
     first = F.col("_n_before")
     last = first + F.col("_n") - 1
 
     def at(rank: Column) -> Column:
         return F.max(F.when((first <= rank) & (rank <= last), F.col(value)))
 
-    low, high = F.floor((F.col("_size") - 1) / 2), F.floor(F.col("_size") / 2)
-    return (
-        ranked.join(size, list(keys))
-        .groupBy(*keys)
-        .agg(((at(low) + at(high)) / F.lit(2.0)).alias(name))
-    )
+    low, high = F.floor((F.col("_total") - 1) / 2), F.floor(F.col("_total") / 2)
+    return ranked.groupBy(*keys).agg(((at(low) + at(high)) / F.lit(2.0)).alias(name))

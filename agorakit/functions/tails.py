@@ -8,14 +8,20 @@ incomplete beta function (Abramowitz & Stegun 26.5.8).
 from __future__ import annotations
 
 import math
+import sys
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, functions as F
 from pyspark.sql.functions import pandas_udf
 from pyspark.sql.types import DoubleType
 
 
+# The functions travel to the executors with the query; nothing has to be installed there.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+
 def _betainc(a: float, b: float, x: float) -> float:
     """Regularised incomplete beta by Lentz's continued fraction."""
     if x <= 0.0:

@@ -7,11 +7,13 @@ seed fixed by the row's key, so a re-run task draws the same numbers.
 
 from __future__ import annotations
 
+import sys
 import zlib
 from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql.functions import pandas_udf
 from pyspark.sql.types import DoubleType, StructField, StructType
@@ -19,6 +21,9 @@ from pyspark.sql.types import DoubleType, StructField, StructType
 from agorakit.functions import fixed, half_up
 from agorakit.functions.scalar import hash_mod
 
+# The draw functions travel to the executors with the query; nothing has to be installed there.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 _DRAWN = [
     "prob_treatment_better",
     "control_mean",

@@ -85,75 +85,66 @@ def first_scores(reviews: DataFrame) -> DataFrame:
     )
 
 
-def _item_measures(items: DataFrame, key: str) -> DataFrame:
-    """Totals per key with distinct orders, through a (key, order) pre-aggregate."""
+def _per_order(items: DataFrame, key: str) -> DataFrame:
+    """Totals per (key, order): the distinct orders of a key, and small enough to join orders' facts to."""
     return (
         items.where(F.col(key).isNotNull())
         .groupBy(key, "order_id")
         .agg(
-            F.sum("quantity").alias("units"),
+            F.count(F.lit(1)).alias("units"),
             F.sum("price").alias("revenue"),
             F.sum("freight_value").alias("freight"),
         )
     )
 
 
-def fct_product_performance(
-    fct_items: DataFrame, reviews: DataFrame, stg_items: DataFrame, products: DataFrame
-) -> DataFrame:
-    """Units, revenue, orders and reviews per product.
+def fct_product_performance(items: DataFrame, reviews: DataFrame, products: DataFrame) -> DataFrame:
+    """Units, revenue, orders and reviews per product of the dimension.
 
-    Item rows are reduced to (product, order) once; orders bring their score to
-    those pairs, so no review table meets the raw items.
+    Item rows are reduced to (product, order) once and give every measure. The
+    dimension (and with it the surrogate key) meets one row per product, so a
+    product with a large share of the items is no hot join key, and nothing is
+    hashed per item.
     """
     sold = (
-        _item_measures(fct_items, "product_key")
-        .groupBy("product_key")
+        _per_order(items, "product_id")
+        .join(first_scores(reviews), "order_id", "left")
+        .groupBy("product_id")
         .agg(
             F.sum("units").alias("units_sold"),
             money_sum(F.col("revenue")).alias("total_revenue"),
             money_sum(F.col("freight")).alias("total_freight"),
             F.count("order_id").alias("order_count"),
+            F.count("review_score").alias("num_reviews"),
+            F.avg("review_score").alias("score"),
         )
     )
-    reviewed = (
-        stg_items.select("order_id", "product_id")
-        .distinct()
-        .join(first_scores(reviews), "order_id")
-        .groupBy("product_id")
-        .agg(F.count("review_score").alias("num_reviews"), F.avg("review_score").alias("avg_review_score"))
-    )
     named = products.select(
         "product_id", "product_key", "product_category_name_english", "product_category_group"
     ).distinct()
-    reviews_count = F.coalesce("num_reviews", F.lit(0))
-    return (
-        sold.join(named, "product_key", "left")
-        .join(reviewed, "product_id", "left")
-        .select(
-            "product_key",
-            "product_category_name_english",
-            "product_category_group",
-            "units_sold",
-            half_up(F.col("total_revenue"), 2).alias("total_revenue"),
-            "total_freight",
-            half_up(F.col("total_revenue") / F.col("units_sold"), 2).alias("avg_price"),
-            "order_count",
-            reviews_count.alias("num_reviews"),
-            half_up(F.coalesce("avg_review_score", F.lit(0.0)), 2).alias("avg_review_score"),
-            half_up(reviews_count / F.greatest("units_sold", F.lit(1)) * F.lit(100), 2).alias("review_rate"),
-        )
+    return sold.join(named, "product_id").select(
+        "product_key",
+        "product_category_name_english",
+        "product_category_group",
+        "units_sold",
+        half_up(F.col("total_revenue"), 2).alias("total_revenue"),
+        "total_freight",
+        half_up(F.col("total_revenue") / F.col("units_sold"), 2).alias("avg_price"),
+        "order_count",
+        "num_reviews",
+        half_up(F.coalesce("score", F.lit(0.0)), 2).alias("avg_review_score"),
+        half_up(F.col("num_reviews") / F.col("units_sold") * F.lit(100), 2).alias("review_rate"),
     )
 
 
-def fct_seller_performance(fct_items: DataFrame, orders: DataFrame, reviews: DataFrame, sellers: DataFrame) -> DataFrame:
-    """Orders, revenue, delivery and reviews per seller, from one (seller, order) pre-aggregate."""
-    pairs = _item_measures(fct_items, "seller_key")
-    delivery = orders.select("order_id", "delivery_time_days", "is_late")
+def fct_seller_performance(items: DataFrame, orders: DataFrame, reviews: DataFrame, sellers: DataFrame) -> DataFrame:
+    """Orders, revenue, delivery and reviews per seller of the dimension, from one (seller, order) reduction."""
+    facts = orders.select("order_id", "delivery_time_days", "is_late")
     measured = (
-        pairs.join(delivery, "order_id", "left")
+        _per_order(items, "seller_id")
+        .join(facts, "order_id", "left")
         .join(first_scores(reviews), "order_id", "left")
-        .groupBy("seller_key")
+        .groupBy("seller_id")
         .agg(
             F.count("order_id").alias("total_orders_fulfilled"),
             money_sum(F.col("revenue")).alias("total_revenue"),
@@ -167,9 +158,9 @@ def fct_seller_performance(fct_items: DataFrame, orders: DataFrame, reviews: Dat
         )
     )
     attributes = sellers.select(
-        "seller_key", "seller_city", "seller_state", "seller_region", "seller_tier"
+        "seller_id", "seller_key", "seller_city", "seller_state", "seller_region", "seller_tier"
     ).distinct()
-    return measured.join(attributes, "seller_key", "left").select(
+    return measured.join(attributes, "seller_id").select(
         "seller_key",
         "seller_city",
         "seller_state",

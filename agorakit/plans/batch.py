@@ -340,7 +340,7 @@ register(
 )
 register(
     "dim_sellers_by_item",
-    lambda m: dims.dim_sellers_by_item(m.stg_items, m.stg_orders, m.scores),
+    lambda m: dims.dim_sellers_by_item(m.stg_items, m.stg_orders, m.scores_only),
     sql(
         f"SELECT {key('sell_', 'seller_id')} AS seller_key, seller_id, n AS total_orders_fulfilled, "
         "revenue AS total_revenue, coalesce(score, 0) AS avg_review_score, coalesce(d, 0) AS avg_delivery_time_days, "
@@ -431,7 +431,7 @@ register(
 )
 register(
     "fct_product_performance",
-    lambda m: marts.fct_product_performance(m.fct_items, m.scores, m.stg_items, m.dim_products),
+    lambda m: marts.fct_product_performance(m.stg_items, m.scores_only, m.dim_products),
     sql(
         "SELECT i.product_key, product_category_name_english, "
         f"{case('product_category_name_english', fixed.CATEGORY_GROUP, repr('other'))} AS product_category_group, "
@@ -449,7 +449,7 @@ register(
 )
 register(
     "fct_seller_performance",
-    lambda m: marts.fct_seller_performance(m.fct_items, m.stg_orders, m.scores, m.dim_sellers),
+    lambda m: marts.fct_seller_performance(m.stg_items, m.stg_orders, m.scores_only, m.dim_sellers),
     sql(
         "SELECT x.seller_key, seller_city, seller_state, "
         f"{case('seller_state', fixed.STATE_REGION, repr('Other'))} AS seller_region, "
@@ -534,7 +534,7 @@ _DAILY_STREAM = (
 register("daily_from_windows", lambda m: marts.daily_from_windows(m.metrics), sql(_DAILY_STREAM))
 register(
     "order_rates",
-    lambda m: marts.order_rates(m.stg_items, m.stg_orders, m.scores),
+    lambda m: marts.order_rates(m.stg_items, m.raw_orders, m.scores_only),
     sql(
         f"SELECT (SELECT {r('avg(n)')} FROM (SELECT count(*) AS n FROM raw_items GROUP BY order_id)) AS items_per_order, "
         f"count(*) AS total_reviews, {r('count(*) / (SELECT count(*) FROM orders) * 100', 1)} AS review_rate, "

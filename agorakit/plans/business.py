@@ -82,7 +82,7 @@ register(
 _NAMED = "SELECT product_id, product_category_name_english AS category FROM stg_products"
 register(
     "top_categories",
-    lambda m: business.top_products(m.raw_items, m.stg_products, m.scores, 4),
+    lambda m: business.top_products(m.raw_items, m.stg_products, m.scores_only, 4),
     sql(
         "SELECT category, units_sold, revenue, avg_price, coalesce(score, 0) AS review_score, "
         "CAST(row_number() OVER (ORDER BY revenue DESC, category) AS INTEGER) AS rank, "
@@ -183,7 +183,7 @@ register(
 )
 register(
     "rating_distribution",
-    lambda m: business.rating_distribution(m.scores),
+    lambda m: business.rating_distribution(m.scores_only),
     sql("SELECT review_score, count(*) AS reviews FROM raw_reviews GROUP BY 1"),
 )
 register(

@@ -49,7 +49,7 @@ _DESCRIBED = ", ".join(
 
 
 def _described(m):
-    d = stats.descriptives(m.frame)
+    d = stats.descriptives(m.frame_table)
     return d.withColumns({f"revenue_std_{v}": half_up(F.col(f"revenue_std_{v}"), 2) for v, _ in _SIDES})
 
 
@@ -147,7 +147,7 @@ for _name, _value, _where in (
 ):
     register(
         _name,
-        lambda m, v=_value, w=_where: stats.mann_whitney(m.frame.where(w), v).select(
+        lambda m, v=_value, w=_where: stats.mann_whitney(m.frame_table.where(w), v).select(
             "experiment_id", "n_c", "n_t", "u_statistic", half_up(F.col("z_two"), 6).alias("z_two")
         ),
         sql(_RANKED.format(z=_Z_TWO, value=f"{_value}::DOUBLE", where=_where)),
@@ -185,7 +185,7 @@ register(
 )
 register(
     "test_assumptions",
-    lambda m: stats.assumptions(m.frame).select(
+    lambda m: stats.assumptions(m.frame_table).select(
         "experiment_id", "n_control", "n_treatment", half_up(F.col("levene_statistic"), 6).alias("levene_statistic")
     ),
     sql(
@@ -205,7 +205,7 @@ register(
 )
 register(
     "selected_tests",
-    lambda m: stats.select_test(_rates(m), m.catalog, stats.assumptions(m.frame)).select("experiment_id", "test_selected"),
+    lambda m: stats.select_test(stats.descriptives(m.frame_table, medians=False), m.catalog, stats.assumptions(m.frame_table)).select("experiment_id", "test_selected"),
     sql(
         "SELECT experiment_id, CASE WHEN test_type = 't_test' THEN 'mann_whitney' WHEN least(n_control, n_treatment) < 30 "
         "THEN 'fisher' ELSE 'z_test' END AS test_selected FROM stats JOIN catalog USING (experiment_id)"
@@ -260,7 +260,7 @@ register(
 )
 register(
     "multi_metric_values",
-    lambda m: stats.metric_tests(m.frame).where(F.col("metric").isin("conversion_rate", "revenue_per_user")).select(
+    lambda m: stats.metric_tests(m.frame_table).where(F.col("metric").isin("conversion_rate", "revenue_per_user")).select(
         "experiment_id", "metric", "role", "control", "treatment", "absolute_diff", "relative_diff_pct"
     ),
     sql(
@@ -270,11 +270,11 @@ register(
         f"'secondary', mean_c, mean_t FROM (SELECT experiment_id, {_MOMENTS} FROM frame GROUP BY 1))"
     ),
 )
-register("hierarchical_metrics", lambda m: stats.hierarchical(stats.metric_tests(m.frame)))
+register("hierarchical_metrics", lambda m: stats.hierarchical(stats.metric_tests(m.frame_table)))
 register(
-    "hierarchical_decisions", lambda m: stats.hierarchical_decision(stats.hierarchical(stats.metric_tests(m.frame)))
+    "hierarchical_decisions", lambda m: stats.hierarchical_decision(stats.hierarchical(stats.metric_tests(m.frame_table)))
 )
-register("experiment_report", lambda m: stats.experiment_report(m.frame, m.catalog))
+register("experiment_report", lambda m: stats.experiment_report(m.frame_table, m.catalog))
 register(
     "business_impact",
     lambda m: stats.impact(stats.ci_rate(_rates(m), True).withColumn("test_type", F.lit("chi_square"))).select(

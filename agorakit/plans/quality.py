@@ -22,7 +22,7 @@ def _all_checks(m):
         "stg_payments": m.stg_payments,
         "stg_customers": m.raw_customers,
         "stg_products": m.stg_products,
-        "stg_reviews": m.scores,
+        "stg_reviews": m.scores_only,
         "stg_order_items": m.stg_items,
         "fct_order_items": m.fct_items,
         "realtime_orders": m.rt,
@@ -227,7 +227,7 @@ def _stats(m):
         {
             "clicks": (m.clicks, "event_timestamp"),
             "realtime_orders": (m.rt, "created_at"),
-            "fct_orders": (m.raw_orders, "order_purchase_timestamp"),
+            "fct_orders": (adapters.raw_orders(m.spark, m.sf_dir, False), "order_purchase_timestamp"),
         },
         NOW,
     )
@@ -328,7 +328,7 @@ register(
 
 def _growth(m):
     before = quality.table_stats(
-        {"clicks": (m.clicks.where(F.col("event_timestamp") < "2024-01-20"), "event_timestamp"), "fct_orders": (m.raw_orders, "order_purchase_timestamp")},
+        {"clicks": (m.clicks.where(F.col("event_timestamp") < "2024-01-20"), "event_timestamp"), "fct_orders": (adapters.raw_orders(m.spark, m.sf_dir, False), "order_purchase_timestamp")},
         NOW,
     )
     return quality.growth(_stats(m), before)
@@ -348,10 +348,12 @@ register(
 
 def _anomalies(m):
     """Anomalies of the daily mart, its quiet days counted as busy here by scaling the order counts."""
-    scaled = m.daily.withColumn("total_orders", F.col("total_orders") * 20).withColumn(
+    scaled = m.daily_table.withColumn("total_orders", F.col("total_orders") * 20).withColumn(
         "orders_canceled", F.col("orders_canceled") * 20
     )
-    return quality.anomaly_scan(scaled, m.scores, m.raw_orders, _stats(m))
+    return quality.anomaly_scan(
+        scaled, m.scores_only, adapters.raw_orders(m.spark, m.sf_dir, False), _stats(m)
+    )
 
 
 _MONTH = "(ORDER BY date ROWS BETWEEN 30 PRECEDING AND 1 PRECEDING)"

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from agorakit.functions import fixed
 from agorakit.operators import assignment, dims, experiments, facts, marts, staging
+from agorakit.session import materialize
 from agorakit.sources import adapters, tables
 from agorakit.streaming import messages, operators as streams
 
@@ -86,7 +87,12 @@ class Model:
     @cached_property
     def scores(self) -> DataFrame:
         """Reviews without their texts."""
-        return staging.stg_reviews(self._raw(adapters.raw_reviews, False), self.stg_orders)
+        return staging.stg_reviews(self.scores_only, self.stg_orders)
+
+    @cached_property
+    def scores_only(self) -> DataFrame:
+        """Reviews without texts and without the days since delivery, which need the orders."""
+        return self._raw(adapters.raw_reviews, False)
 
     @cached_property
     def stg_customers(self) -> DataFrame:
@@ -121,7 +127,7 @@ class Model:
 
     @cached_property
     def dim_sellers(self) -> DataFrame:
-        return dims.dim_sellers(self.stg_sellers, self.stg_items, self.stg_orders, self.scores)
+        return dims.dim_sellers(self.stg_sellers, self.stg_items, self.stg_orders, self.scores_only)
 
     # facts and marts
     @cached_property
@@ -133,7 +139,15 @@ class Model:
             self.customer_keys,
             self.seller_keys,
             self.dim_dates,
-            self.dim_geography,
+            self.geography_keys,
+        )
+
+    @cached_property
+    def geography_keys(self) -> DataFrame:
+        """Zips with their keys; the key needs no positions."""
+        zips = self.raw_geolocation.select(F.trim("geolocation_zip_code_prefix").alias("geolocation_zip_code_prefix"))
+        return zips.distinct().select(
+            "*", dims.surrogate_key("geo_", F.col("geolocation_zip_code_prefix")).alias("geography_key")
         )
 
     @cached_property
@@ -162,6 +176,11 @@ class Model:
     def daily(self) -> DataFrame:
         return marts.fct_daily_metrics(self.fct_orders)
 
+    @cached_property
+    def daily_table(self) -> DataFrame:
+        """The daily mart as a written table, for questions that read it more than once."""
+        return materialize(self.daily, "daily")
+
     @cached_property
     def wide(self) -> DataFrame:
         """Wide order rows of the reporting mart."""
@@ -236,6 +255,12 @@ class Model:
             self.assignments,
             self._raw(adapters.raw_orders, False),
             self.raw_items,
-            self._raw(adapters.raw_reviews, False),
+            self.scores_only,
             converted,
         )
+
+    @cached_property
+    def frame_table(self) -> DataFrame:
+        """The analysis frame as a written table, for statistics that need several passes."""
+        columns = ["experiment_id", "customer_id", "customer_state", "variant", "converted"]
+        return materialize(self.frame.select(*columns, "order_total", "item_count", "review_score"), "frame")
