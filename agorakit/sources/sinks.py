@@ -91,10 +91,16 @@ def upsert(path: str, batch: DataFrame, keys: Sequence[str], order: Sequence[str
     newest = first_per(batch, keys, [*order, *[c for c in batch.columns if c not in keys and c not in order]], False)
     version = _current_version(spark, path)
     if version is None:
-        merged, following = newest, 0
-    else:
-        merged, following = merge_latest(spark.read.parquet(f"{path}/v={version}"), newest, keys), version + 1
-    merged.write.mode("overwrite").parquet(f"{path}/v={following}")
+        newest.write.mode("overwrite").parquet(f"{path}/v=0")
+        return
+    following = version + 1
+    # The merge reads the batch twice; it is kept so the source is read once.
+    newest.persist()
+    try:
+        merged = merge_latest(spark.read.parquet(f"{path}/v={version}"), newest, keys)
+        merged.write.mode("overwrite").parquet(f"{path}/v={following}")
+    finally:
+        newest.unpersist()
     # The version before stays for readers already on it.
     _drop_versions_below(spark, path, following - 1)
 
