@@ -19,41 +19,26 @@ from agorakit.functions import (
     status_category,
     text_key,
 )
+from agorakit.functions.grouping import exact_median
 
 
 def stg_geolocation(raw: DataFrame) -> DataFrame:
     """Median position and first city/state per zip.
 
-    Positions are counted before the median, so a zip with very many rows is
-    already reduced to its distinct positions when its group comes together.
+    The medians are exact and safe for a zip holding a large share of the rows
+    (see :func:`exact_median`).
     """
-    zip_code = F.trim(F.col("geolocation_zip_code_prefix").cast("string"))
-    named = raw.withColumn("geolocation_zip_code_prefix", zip_code)
-
-    def median(column: str) -> DataFrame:
-        counts = (
-            named.where(F.col(column).isNotNull())
-            .groupBy("geolocation_zip_code_prefix", column)
-            .agg(F.count(F.lit(1)).alias("n"))
-        )
-        return counts.groupBy("geolocation_zip_code_prefix").agg(
-            F.percentile(F.col(column), F.lit(0.5), F.col("n")).alias(column)
-        )
-
-    places = named.groupBy("geolocation_zip_code_prefix").agg(
-        F.min(F.struct("geolocation_city", "geolocation_state")).alias("p")
-    )
-    return (
-        places.join(median("geolocation_lat"), "geolocation_zip_code_prefix", "left")
-        .join(median("geolocation_lng"), "geolocation_zip_code_prefix", "left")
-        .select(
-            "geolocation_zip_code_prefix",
-            "geolocation_lat",
-            "geolocation_lng",
-            F.col("p.geolocation_city").alias("geolocation_city"),
-            F.col("p.geolocation_state").alias("geolocation_state"),
-        )
-        .where(F.col("geolocation_zip_code_prefix").isNotNull())
+    key = "geolocation_zip_code_prefix"
+    named = raw.where(F.col(key).isNotNull()).withColumn(key, F.trim(F.col(key).cast("string")))
+    places = named.groupBy(key).agg(F.min(F.struct("geolocation_city", "geolocation_state")).alias("p"))
+    for column in ("geolocation_lat", "geolocation_lng"):
+        places = places.join(exact_median(named, [key], column, column), key, "left")
+    return places.select(
+        key,
+        "geolocation_lat",
+        "geolocation_lng",
+        F.col("p.geolocation_city").alias("geolocation_city"),
+        F.col("p.geolocation_state").alias("geolocation_state"),
     )
 
 

@@ -13,7 +13,19 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from agorakit.functions import fixed, half_up, money_sum
 from agorakit.functions.grouping import exact_median, ranked_counts
-from agorakit.functions.tails import norm_cdf, p_chi_square_1, p_f, p_fisher, p_t, p_two_sided, p_upper, q_t
+from agorakit.functions.tails import (
+    MW_EXACT_PRODUCT,
+    MW_EXACT_SAMPLE,
+    norm_cdf,
+    p_chi_square_1,
+    p_f,
+    p_fisher,
+    p_mann_whitney,
+    p_t,
+    p_two_sided,
+    p_upper,
+    q_t,
+)
 
 ALPHA = 0.05
 ARMS = (("control", "c"), ("treatment", "t"))
@@ -133,6 +145,8 @@ def welch(frame: DataFrame, column: str, confidence: float = 0.95) -> DataFrame:
 def mann_whitney(frame: DataFrame, column: str, min_values: int = 0) -> DataFrame:
     """Mann-Whitney U of the control arm with ties and continuity correction.
 
+    Small samples without ties get the exact distribution of U.
+
     Ranks come from a histogram: values are counted per arm, and the rank of a
     value is the number of rows before it plus half its own. Below ``min_values``
     in an arm the statistic is null and p is 1.
@@ -182,15 +196,28 @@ def mann_whitney(frame: DataFrame, column: str, min_values: int = 0) -> DataFram
         F.when(enough, F.try_divide(F.greatest(u, n_c * n_t - u) - mean - half, spread)).alias("z_two"),
         F.when(enough, F.try_divide(u - mean - half, spread)).alias("z_greater"),
         F.when(enough, F.try_divide(n_c * n_t - u - mean - half, spread)).alias("z_less"),
-    )
-    def tail(z: str, factor: float) -> Column:
-        return F.coalesce(F.least(F.lit(1.0), F.lit(factor) * p_upper(F.col(z))), F.lit(1.0))
+        (
+            enough
+            & (F.col("ties") == 0)
+            & (F.least("n_c", "n_t").between(1, MW_EXACT_SAMPLE))
+            & (F.col("n_c") * F.col("n_t") <= MW_EXACT_PRODUCT)
+        ).alias("exact"),
+    )
+    pairs = F.col("n_c") * F.col("n_t")
+    other = pairs - F.col("u_statistic")
+
+    def tail(z: str, factor: float, at: Column) -> Column:
+        # rows that need no exact table ask for an empty one
+        m, n = (F.when(F.col("exact"), F.col(c)).otherwise(0) for c in ("n_c", "n_t"))
+        ways = p_mann_whitney(F.when(F.col("exact"), at).otherwise(0.0), m, n)
+        p = F.when(F.col("exact"), ways).otherwise(p_upper(F.col(z)))
+        return F.coalesce(F.least(F.lit(1.0), F.lit(factor) * p), F.lit(1.0))
 
     return out.select(
-        "*",
-        tail("z_two", 2.0).alias("mw_p_value"),
-        tail("z_greater", 1.0).alias("mw_p_greater"),
-        tail("z_less", 1.0).alias("mw_p_less"),
+        *[c for c in out.columns if c != "exact"],
+        tail("z_two", 2.0, F.greatest("u_statistic", other)).alias("mw_p_value"),
+        tail("z_greater", 1.0, F.col("u_statistic")).alias("mw_p_greater"),
+        tail("z_less", 1.0, other).alias("mw_p_less"),
     )
 
 

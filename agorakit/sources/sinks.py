@@ -14,12 +14,12 @@ from agorakit.functions.grouping import first_per
 def write_mart(df: DataFrame, path: str, partition: str | None = None, cluster: Sequence[str] = ()) -> None:
     """Overwrite a mart, or only the partitions present in ``df``.
 
-    ``cluster`` sorts inside each file so parquet min/max skipping works on
-    those columns. A large partition is spread over several files: rows are
-    ranged over (partition, cluster), not hashed onto the partition value alone.
+    Rows of a partition come together for writing, but the rebalance lets AQE
+    split a large partition over several files and merge small ones. ``cluster``
+    sorts inside each file, so parquet min/max skipping works on those columns.
     """
     if partition:
-        df = df.repartitionByRange(partition, *cluster)
+        df = df.hint("rebalance", partition)
     if cluster or partition:
         df = df.sortWithinPartitions(*([partition] if partition else []), *cluster)
     writer = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")

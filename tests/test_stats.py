@@ -112,6 +112,26 @@ def test_mann_whitney_with_an_empty_arm(spark):
     assert r.u_statistic is None and r.mw_p_value == 1.0
 
 
+def test_mann_whitney_of_small_samples_is_exact(spark):
+    import itertools
+
+    c, t = [1.5, 3.0, 9.0, 10.0, 12.0], [2.0, 4.0, 5.0, 6.0, 7.0, 8.0, 11.0]
+    both = sorted(c + t)
+
+    def u_of(values):
+        return sum(v > w for v in values for w in both if w not in values)
+
+    seen = u_of(c)
+    all_u = [u_of(pick) for pick in itertools.combinations(both, len(c))]
+    top = max(seen, len(c) * len(t) - seen)
+    rows = [("e", "control", v) for v in c] + [("e", "treatment", v) for v in t]
+    r = stats.mann_whitney(spark.createDataFrame(rows, "experiment_id string, variant string, x double"), "x", 5).collect()[0]
+    assert r.u_statistic == seen
+    assert math.isclose(r.mw_p_value, min(1.0, 2 * sum(u >= top for u in all_u) / len(all_u)))
+    assert math.isclose(r.mw_p_greater, sum(u >= seen for u in all_u) / len(all_u))
+    assert math.isclose(r.mw_p_less, sum(u <= seen for u in all_u) / len(all_u))
+
+
 def test_welch_levene_and_descriptives(frame):
     df, data = frame
     d = {r.experiment_id: r for r in stats.descriptives(df).collect()}
