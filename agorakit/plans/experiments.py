@@ -136,8 +136,8 @@ _RANKED = (
     "count(*) FILTER (variant = 'treatment') AS t, count(*) AS n FROM frame WHERE {where} GROUP BY 1, 2)) GROUP BY 1))"
 )
 _Z_TWO = r(
-    "(greatest(u_statistic, n_c * n_t - u_statistic) - n_c * n_t / 2 - 0.5) / sqrt(n_c::DOUBLE * n_t / 12 * "
-    "(n_c + n_t + 1 - ties / ((n_c + n_t)::DOUBLE * (n_c + n_t - 1))))",
+    "(greatest(u_statistic, n_c * n_t - u_statistic) - n_c * n_t / 2 - 0.5) / nullif(sqrt(n_c::DOUBLE * n_t / 12 * "
+    "(n_c + n_t + 1 - ties / nullif((n_c + n_t)::DOUBLE * (n_c + n_t - 1), 0))), 0)",
     6,
 )
 for _name, _value, _where in (
