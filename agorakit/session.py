@@ -2,6 +2,12 @@
 
 from __future__ import annotations
 
+import atexit
+import functools
+import shutil
+import tempfile
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
 # Settings a running session accepts; everything else is left to the cluster.
@@ -42,18 +48,26 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, memory: s
 def shared_dir(spark: SparkSession, name: str) -> str:
     """A folder for written intermediate tables that every executor can reach.
 
-    The cluster names it in ``spark.checkpoint.dir``; only where that is unset
-    (tests) is a temporary folder used.
+    The cluster names it in ``spark.checkpoint.dir``. Only a session whose driver
+    and executors are one process may leave that unset: it gets a temporary
+    folder, which goes when the process ends.
     """
-    import tempfile
-    import uuid
-
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        base = tempfile.mkdtemp(prefix="agorakit-")
+        master = spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        base = _own_folder()
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+@functools.cache
+def _own_folder() -> str:
+    path = tempfile.mkdtemp(prefix="agorakit-")
+    atexit.register(shutil.rmtree, path, ignore_errors=True)
+    return path
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write a frame that several passes read as a table in the shared folder, and read it back.
 
