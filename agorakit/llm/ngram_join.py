@@ -26,7 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from agorakit.llm import arrays
 from agorakit.llm.components import components
@@ -53,11 +53,13 @@ def _class_key(x: np.ndarray) -> bytes:
 
 
 def scan_sets(docs: DataFrame, size: int) -> DataFrame:
-    """(doc_id, k, n) of every row and one array of shingle counts per cell and task.
+    """(doc_id, k, n, point) of every row and one array of shingle counts per cell and task.
 
     ``k`` is a 128-bit key of the shingle set, null for the empty set.
     """
-    schema = pa.schema([("doc_id", pa.int64()), ("k", pa.binary()), ("n", pa.int64()), ("counts", pa.binary())])
+    schema = pa.schema(
+        [("doc_id", pa.int64()), ("k", pa.binary()), ("n", pa.int64()), ("point", pa.binary()), ("counts", pa.binary())]
+    )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cells = np.zeros(1 << SKETCH_BITS, np.uint32)
@@ -72,16 +74,14 @@ def scan_sets(docs: DataFrame, size: int) -> DataFrame:
                 column(part, "doc_id"),
                 pa.array(keys, pa.binary()),
                 pa.array([len(x) for x in sets], pa.int64()),
+                pa.array([point(x).tobytes() if len(x) else None for x in sets], pa.binary()),
                 pa.nulls(part.num_rows, pa.binary()),
             ]
             yield pa.RecordBatch.from_arrays(columns, schema=schema)
-        small = np.minimum(cells, 65535).astype(np.uint16)
-        yield pa.RecordBatch.from_arrays(
-            [pa.nulls(1, pa.int64()), pa.nulls(1, pa.binary()), pa.nulls(1, pa.int64()), binary([arrays.packed(small.astype(np.uint64))])],
-            schema=schema,
-        )
+        empty = [pa.nulls(1, schema.field(i).type) for i in range(4)]
+        yield pa.RecordBatch.from_arrays([*empty, binary([arrays.packed(cells.astype(np.uint64))])], schema=schema)
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, k binary, n long, counts binary")
+    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, k binary, n long, point binary, counts binary")
 
 
 def crowding(counts: np.ndarray | None) -> np.ndarray:
@@ -92,6 +92,11 @@ def crowding(counts: np.ndarray | None) -> np.ndarray:
     return np.clip(np.floor(np.log2(np.maximum(counts, 1) / (2 * mean))) + 1, 0, 60).astype(np.uint8)
 
 
+def first_64(k: str) -> Column:
+    """The class number of a class key: its first 64 bits, big-endian."""
+    return F.conv(F.hex(F.substring(k, 1, 8)), 16, -10).cast("long")
+
+
 # --- blocks -------------------------------------------------------------------------------------------------------
 
 
@@ -119,7 +124,7 @@ def route(docs: DataFrame, size: int, num: int, den: int, order: np.ndarray) ->
                 if by.any():
                     x = x[np.argsort(by, kind="stable")]
                 tokens.append(x[:take])
-                owners.append(np.full(take, np.frombuffer(key[:8], np.int64)[0]))
+                owners.append(np.full(take, int.from_bytes(key[:8], "big", signed=True)))
             if tokens:
                 yield from batches_of(schema, [_signed(np.concatenate(tokens)), pa.array(np.concatenate(owners))])
 
@@ -239,68 +244,66 @@ def memberships(members: DataFrame) -> DataFrame:
     return members.mapInArrow(run, "block long, cls long, centre boolean")
 
 
-# --- points and sets of the classes in blocks ---------------------------------------------------------------------
+# --- points and sets of classes ------------------------------------------------------------------------------------
+
+
+def point(x: np.ndarray) -> np.ndarray:
+    """Group counts; the number of groups is the power of two in (n/8, n/4], at least 16. 255 stands for 255 or more."""
+    groups = max(16, 1 << max(int(len(x) // 4).bit_length() - 1, 0))
+    return np.minimum(np.bincount((x & np.uint64(groups - 1)).astype(np.int64), minlength=groups), 255).astype(np.uint8)
+
+
+def _places(keys: list[bytes], bits: int) -> list[np.ndarray]:
+    c = np.array([int.from_bytes(k[:8], "little") for k in keys], np.uint64)
+    mask = np.uint64((1 << bits) - 1)
+    return [((c >> np.uint64(s)) & mask).astype(np.int64) for s in (0, 17, 34)]
 
 
-def bloom(classes: DataFrame, count: int) -> np.ndarray:
-    """Bit array of class numbers, 16 bits for each up to 64 MB; past that it only lets more through."""
+def bloom(keys: DataFrame, count: int) -> np.ndarray:
+    """Bit array of class keys, 16 bits for each up to 64 MB; past that it only lets more through."""
     bits = int(np.clip(np.ceil(np.log2(max(count, 1) * 16)), 13, MAX_BLOOM_BITS))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = np.zeros(1 << (bits - 3), np.uint8)
         for batch in batches:
-            c = batch.column(0).to_numpy().view(np.uint64)
-            for place in _places(c, bits):
+            for place in _places(batch.column(0).to_pylist(), bits):
                 np.bitwise_or.at(own, place >> 3, np.left_shift(1, place & 7).astype(np.uint8))
         yield pa.RecordBatch.from_arrays([binary([arrays.packed(own)])], schema=arrays.ARROW)
 
-    filled = arrays.added(classes.select("cls").mapInArrow(run, arrays.SCHEMA), np.uint8, union=True)
+    filled = arrays.added(keys.mapInArrow(run, arrays.SCHEMA), np.uint8, union=True)
     return filled if filled is not None else np.zeros(1 << (bits - 3), np.uint8)
 
 
-def _places(c: np.ndarray, bits: int) -> list[np.ndarray]:
-    mask = np.uint64((1 << bits) - 1)
-    return [((c >> np.uint64(s)) & mask).astype(np.int64) for s in (0, 17, 34)]
-
-
-def point(x: np.ndarray) -> np.ndarray:
-    """Group counts; the number of groups is the power of two in (n/8, n/4], at least 16. 255 stands for 255 or more."""
-    groups = max(16, 1 << max(int(len(x) // 4).bit_length() - 1, 0))
-    return np.minimum(np.bincount((x & np.uint64(groups - 1)).astype(np.int64), minlength=groups), 255).astype(np.uint8)
-
-
-def class_table(docs: DataFrame, size: int, bits: np.ndarray) -> DataFrame:
-    """(cls, k, n, point, shingles) of the classes that are in some block."""
-    shared = docs.sparkSession.sparkContext.broadcast(bits)
-    schema = pa.schema([("cls", pa.int64()), ("k", pa.binary()), ("n", pa.int64()), ("point", pa.binary()), ("shingles", pa.binary())])
+def sets_of(docs: DataFrame, size: int, pairs: DataFrame) -> DataFrame:
+    """(k, shingles) of the classes in ``pairs``, from the texts; a Bloom filter spares the others the shuffle."""
+    wanted = materialize(pairs.select(F.explode(F.array("a", "b")).alias("k")).distinct(), "wanted")
+    shared = docs.sparkSession.sparkContext.broadcast(bloom(wanted, wanted.count()))
+    schema = pa.schema([("k", pa.binary()), ("shingles", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = shared.value
-        width = int(len(own)).bit_length() + 2
+        bits = int(len(own)).bit_length() + 2
         seen: set[bytes] = set()
         for part in slices(batches):
-            rows = []
             sets = [x for x in shingle_sets(column(part, "text"), size) if len(x)]
             keys = [_class_key(x) for x in sets]
             if not sets:
                 continue
-            cls = np.array([np.frombuffer(k[:8], np.int64)[0] for k in keys])
-            inside = np.ones(len(cls), bool)
-            for place in _places(cls.view(np.uint64), width):
+            inside = np.ones(len(keys), bool)
+            for place in _places(keys, bits):
                 inside &= ((own[place >> 3] >> (place & 7).astype(np.uint8)) & 1).astype(bool)
+            rows = []
             for i in np.flatnonzero(inside):
                 if keys[i] not in seen:
                     if len(seen) < 1_000_000:
                         seen.add(keys[i])
-                    rows.append((cls[i], keys[i], len(sets[i]), point(sets[i]).tobytes(), sets[i].tobytes()))
+                    rows.append((keys[i], sets[i].tobytes()))
             if rows:
-                c, k, n, p, s = zip(*rows)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, pa.int64()), binary(list(k)), pa.array(n, pa.int64()), binary(list(p)), binary(list(s))], schema=schema
-                )
+                k, x = zip(*rows)
+                yield pa.RecordBatch.from_arrays([binary(list(k)), binary(list(x))], schema=schema)
 
-    found = docs.select("text").mapInArrow(run, "cls long, k binary, n long, point binary, shingles binary")
-    return materialize(found.dropDuplicates(["k"]), "classes")
+    found = docs.select("text").mapInArrow(run, "k binary, shingles binary")
+    return materialize(found.dropDuplicates(["k"]), "shingles")
 
 
 # --- the R-tree ---------------------------------------------------------------------------------------------------
@@ -435,7 +438,7 @@ def surviving_pairs(members: DataFrame, num: int, den: int, star: bool) -> DataF
     return dealt.mapInArrow(run, "a binary, b binary").distinct()
 
 
-def verified(pairs: DataFrame, classes: DataFrame, num: int, den: int) -> DataFrame:
+def verified(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
     """Pairs whose exact sets reach the threshold."""
     schema = pa.schema([("a", pa.binary()), ("b", pa.binary())])
 
@@ -453,8 +456,8 @@ def verified(pairs: DataFrame, classes: DataFrame, num: int, den: int) -> DataFr
                     keep.append(i)
             yield pa.RecordBatch.from_arrays([binary([a[i] for i in keep]), binary([b[i] for i in keep])], schema=schema)
 
-    own = classes.select(F.col("k").alias("a"), F.col("shingles").alias("x"))
-    other = classes.select(F.col("k").alias("b"), F.col("shingles").alias("y"))
+    own = sets.select(F.col("k").alias("a"), F.col("shingles").alias("x"))
+    other = sets.select(F.col("k").alias("b"), F.col("shingles").alias("y"))
     return pairs.join(own, "a").join(other, "b").select("a", "b", "x", "y").mapInArrow(run, "a binary, b binary")
 
 
@@ -475,21 +478,20 @@ def jaccard_components(docs: DataFrame, num: int = 75, den: int = 100, size: int
     scanned = materialize(scan_sets(docs, size), "sets")
     order = crowding(arrays.added(scanned, np.uint64))
     sets = scanned.where("counts is null").select("doc_id", "k", "n")
+    points = scanned.where("k is not null").select("k", "n", "point").dropDuplicates(["k"])
+    points = materialize(points.withColumn("cls", first_64("k")), "points")
     whole, chunks = blocks(route(docs, size, num, den, order))
     members = materialize(memberships(whole), "members")
-    inside = members.select("cls").distinct()
-    classes = class_table(docs, size, bloom(inside, inside.count()))
-    points = classes.select("cls", "k", "n", "point")
 
     unlabelled = members.join(points, "cls").withColumn("label", F.lit(None).cast("binary"))
     first = materialize(surviving_pairs(unlabelled, num, den, True), "pairs")
-    links = materialize(verified(first, classes, num, den), "links")
+    links = materialize(verified(first, sets_of(docs, size, first), num, den), "links")
     label = components(links)
     named = points.join(label.withColumnRenamed("node", "k"), "k", "left")
-    cross = memberships(chunk_pairs(chunks))
-    every = members.unionByName(cross)
+    every = members.unionByName(memberships(chunk_pairs(chunks)))
     second = surviving_pairs(every.join(named, "cls"), num, den, False)
-    more = verified(second.join(first, ["a", "b"], "left_anti"), classes, num, den)
+    second = materialize(second.join(first, ["a", "b"], "left_anti"), "pairs")
+    more = verified(second, sets_of(docs, size, second), num, den)
     label = components(links.unionByName(more))
 
     least = sets.where("k is not null").groupBy("k").agg(F.min("doc_id").alias("least"))
