@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from agorakit.llm.decontaminate import contamination
 from agorakit.llm.ngram_join import jaccard_components
 from agorakit.session import apply_runtime_conf
 
@@ -20,5 +21,9 @@ def op6_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op6_ngram_jaccard_join,)}
+def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op5_benchmark_decontamination, op6_ngram_jaccard_join)}
 SQL: dict[str, str] = {}
