@@ -7,7 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from agorakit.llm.decontaminate import contamination
+from agorakit.llm.fingerprint import fingerprints
+from agorakit.llm.fixity import AUDIT_SQL, replica_audit
+from agorakit.llm.licences import licence_scan, licence_sql
 from agorakit.llm.ngram_join import jaccard_components
+from agorakit.llm.placement import documents_placed
 from agorakit.session import apply_runtime_conf
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -25,5 +29,31 @@ def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op5_benchmark_decontamination, op6_ngram_jaccard_join)}
-SQL: dict[str, str] = {}
+def op1_warc_fixity_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return replica_audit(table(spark, sf_dir, "pages"))
+
+
+def op7_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints(table(spark, sf_dir, "documents"))
+
+
+def op8_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licence_scan(table(spark, sf_dir, "documents"))
+
+
+def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return documents_placed(table(spark, sf_dir, "documents"))
+
+
+QUERIES: dict[str, Query] = {
+    f.__name__: f
+    for f in (
+        op1_warc_fixity_audit,
+        op5_benchmark_decontamination,
+        op6_ngram_jaccard_join,
+        op7_document_fingerprints,
+        op8_licence_scan,
+        op10_sharding,
+    )
+}
+SQL: dict[str, str] = {"op1_warc_fixity_audit": AUDIT_SQL, "op8_licence_scan": licence_sql()}
