@@ -6,7 +6,7 @@ cross documents (counts, joins, orders) is Spark's work, not done here.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -34,6 +34,16 @@ def slices(batches: Iterator[pa.RecordBatch], text: str = "text", limit: int = S
             first, base = last, int(ends[last - 1])
 
 
+def once(key: str, make: Callable[[], object]) -> object:
+    """A value made once per Python worker and kept for its later tasks (tables that depend on no data)."""
+    import sys
+
+    kept = sys.__dict__.setdefault("_agorakit_once", {})
+    if key not in kept:
+        kept[key] = make()
+    return kept[key]
+
+
 def column(batch: pa.RecordBatch, name: str) -> pa.Array:
     return batch.column(batch.schema.get_field_index(name))
 
