@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from agorakit.session import materialize
+from agorakit.session import discard, materialize
 
 
 def components(links: DataFrame, a: str = "a", b: str = "b", max_rounds: int = 60) -> DataFrame:
@@ -38,7 +38,9 @@ def components(links: DataFrame, a: str = "a", b: str = "b", max_rounds: int = 6
             .where("u != v")
             .distinct()
         )
-        edges = materialize(small, "edges")
+        settled = materialize(small, "edges")
+        discard(edges)
+        edges = settled
         after = print_of(edges)
         if after == before:
             break

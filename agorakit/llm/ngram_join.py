@@ -31,10 +31,11 @@ from pyspark.sql import Column, DataFrame, functions as F
 from agorakit.llm import arrays
 from agorakit.llm.components import components
 from agorakit.llm.kernels import batches_of, binary, column, shingle_sets, slices
-from agorakit.session import materialize
+from agorakit.session import discard, materialize
 
-SKETCH_BITS = 20  # cells of the count sketch; an order of shingles, not a filter
+SKETCH_BITS = 21  # cells of the count sketch; an order of shingles, not a filter
 BLOCK = 256  # members of a block or chunk
+SMALL = 16  # blocks up to this size are joined with themselves at once
 LEAF = 8  # members of an R-tree leaf, children of a node
 MAX_BLOOM_BITS = 29  # 64 MB
 
@@ -85,11 +86,13 @@ def scan_sets(docs: DataFrame, size: int) -> DataFrame:
 
 
 def crowding(counts: np.ndarray | None) -> np.ndarray:
-    """Class of each cell: 0 up to twice the mean count, then one more for every doubling."""
+    """Class of each cell: 0 up to three deviations above the mean count, then one more for every doubling of the excess."""
     if counts is None:
         counts = np.zeros(1 << SKETCH_BITS, np.uint64)
-    mean = max(counts.mean(), 1e-9)
-    return np.clip(np.floor(np.log2(np.maximum(counts, 1) / (2 * mean))) + 1, 0, 60).astype(np.uint8)
+    mean = counts.mean()
+    margin = 3 * np.sqrt(mean) + 1
+    excess = counts.astype(np.float64) - mean
+    return np.where(excess > margin, np.floor(np.log2(np.maximum(excess, margin) / margin)) + 1, 0).astype(np.uint8)
 
 
 def first_64(k: str) -> Column:
@@ -218,8 +221,8 @@ def chunk_pairs(chunks: DataFrame) -> DataFrame:
 
 
 def memberships(members: DataFrame) -> DataFrame:
-    """(block, cls, centre) rows of blocks."""
-    schema = pa.schema([("block", pa.int64()), ("cls", pa.int64()), ("centre", pa.bool_())])
+    """(block, cls, centre, small) rows of blocks; ``small`` says that the block has up to SMALL members."""
+    schema = pa.schema([("block", pa.int64()), ("cls", pa.int64()), ("centre", pa.bool_()), ("small", pa.bool_())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
@@ -228,20 +231,15 @@ def memberships(members: DataFrame) -> DataFrame:
             parts = batch.column(0).to_pylist()
             if not parts:
                 continue
-            owned, block = [], []
-            for p in parts:
-                x = np.frombuffer(p, np.int64)
-                centre = np.zeros(len(x), bool)
-                centre[0] = True
-                x, at = np.unique(x, return_index=True)
-                owned.append((x, centre[at]))
-                block.append(np.full(len(x), xxhash.xxh64_intdigest(p), np.uint64))
-            yield from batches_of(
-                schema,
-                [_signed(np.concatenate(block)), pa.array(np.concatenate([o[0] for o in owned])), pa.array(np.concatenate([o[1] for o in owned]))],
-            )
+            sizes = [len(p) // 8 for p in parts]
+            cls = np.frombuffer(b"".join(parts), np.int64)
+            centre = np.zeros(len(cls), bool)
+            centre[np.cumsum(sizes) - sizes] = True
+            block = np.repeat(np.array([xxhash.xxh64_intdigest(p) for p in parts], np.uint64), sizes)
+            small = np.repeat(np.array(sizes) <= SMALL, sizes)
+            yield from batches_of(schema, [_signed(block), pa.array(cls), pa.array(centre), pa.array(small)])
 
-    return members.mapInArrow(run, "block long, cls long, centre boolean")
+    return members.mapInArrow(run, "block long, cls long, centre boolean, small boolean")
 
 
 # --- points and sets of classes ------------------------------------------------------------------------------------
@@ -276,8 +274,8 @@ def bloom(keys: DataFrame, count: int) -> np.ndarray:
 
 def sets_of(docs: DataFrame, size: int, pairs: DataFrame) -> DataFrame:
     """(k, shingles) of the classes in ``pairs``, from the texts; a Bloom filter spares the others the shuffle."""
-    wanted = materialize(pairs.select(F.explode(F.array("a", "b")).alias("k")).distinct(), "wanted")
-    shared = docs.sparkSession.sparkContext.broadcast(bloom(wanted, wanted.count()))
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("k"))
+    shared = docs.sparkSession.sparkContext.broadcast(bloom(wanted, 2 * pairs.count()))
     schema = pa.schema([("k", pa.binary()), ("shingles", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -391,50 +389,52 @@ class Tree:
 def surviving_pairs(members: DataFrame, num: int, den: int, star: bool) -> DataFrame:
     """Distinct pairs (a, b) of class keys that the trees of all blocks let through.
 
-    ``members`` has block, centre, k, n, point and label (null: its own). With ``star`` only pairs
-    with the centre are asked for.
+    ``members`` has block, centre, small, k, n, point and label (null: its own). With ``star``, blocks that are not
+    small are only asked for partners of their centre. A class that is in a block twice counts once.
     """
     schema = pa.schema([("a", pa.binary()), ("b", pa.binary())])
 
-    def join(keys: list[bytes], sizes: list[int], points: list[bytes], labels: list[bytes | None], centres: list[bool]):
-        if len(keys) < 2:
+    def join(block: list[tuple]) -> list[tuple[bytes, bytes]]:
+        block = list({row[0]: row for row in sorted(block, key=lambda row: row[4])}.values())
+        if len(block) < 2:
             return []
+        keys, sizes, points, labels, centres, small = zip(*block)
         named = [lab if lab is not None else key for lab, key in zip(labels, keys)]
-        if not star and len(set(named)) < 2:
+        if len(set(named)) < 2:
             return []
         codes = {x: i for i, x in enumerate(sorted(set(named)))}
-        label = np.array([codes[x] for x in named], np.int64)
-        size = np.array(sizes, np.int64)
+        label, size = np.array([codes[x] for x in named], np.int64), np.array(sizes, np.int64)
         at = np.lexsort((size, label))
-        box = _folded([np.frombuffer(p, np.uint8) for p in points])
-        tree = Tree(box[at], size[at], np.arange(len(at)) if star else label[at])
-        if star:
+        found = Tree(_folded([np.frombuffer(points[i], np.uint8) for i in at]), size[at], label[at])
+        if star and not small[0]:
             i = int(np.flatnonzero(np.array(centres)[at])[0]) if any(centres) else 0
-            return [(keys[at[i]], keys[at[j]]) for j in tree.partners(i, num, den)]
-        x, y = tree.pairs(num, den)
+            return [(keys[at[i]], keys[at[j]]) for j in found.partners(i, num, den)]
+        x, y = found.pairs(num, den)
         return [(keys[at[i]], keys[at[j]]) for i, j in zip(x, y)]
 
+    def batch_of(pairs: list[tuple[bytes, bytes]]) -> pa.RecordBatch:
+        pairs = list({(min(p), max(p)) for p in pairs})
+        return pa.RecordBatch.from_arrays([binary([p[0] for p in pairs]), binary([p[1] for p in pairs])], schema=schema)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        open_block, held = None, ([], [], [], [], [])
+        open_block, held = None, []
         for batch in batches:
             ids = batch.column(0).to_numpy()
-            rest = [batch.column(k).to_pylist() for k in range(1, 6)]
+            rows = list(zip(*[batch.column(k).to_pylist() for k in range(1, 7)]))
             edges = np.flatnonzero(np.r_[True, ids[1:] != ids[:-1]]) if len(ids) else []
             out: list[tuple[bytes, bytes]] = []
             for start, end in zip(edges, [*edges[1:], len(ids)]):
                 if ids[start] != open_block:
-                    out += join(*held)
-                    open_block, held = ids[start], ([], [], [], [], [])
-                for own, values in zip(held, rest):
-                    own.extend(values[start:end])
+                    out += join(held)
+                    open_block, held = ids[start], []
+                held += rows[start:end]
             if out:
-                pairs = {(min(p), max(p)) for p in out}
-                yield pa.RecordBatch.from_arrays([binary([p[0] for p in pairs]), binary([p[1] for p in pairs])], schema=schema)
-        pairs = {(min(p), max(p)) for p in join(*held)}
-        if pairs:
-            yield pa.RecordBatch.from_arrays([binary([p[0] for p in pairs]), binary([p[1] for p in pairs])], schema=schema)
+                yield batch_of(out)
+        out = join(held)
+        if out:
+            yield batch_of(out)
 
-    dealt = members.select("block", "k", "n", "point", "label", "centre").repartition("block").sortWithinPartitions("block", "k")
+    dealt = members.select("block", "k", "n", "point", "label", "centre", "small").repartition("block").sortWithinPartitions("block")
     return dealt.mapInArrow(run, "a binary, b binary").distinct()
 
 
@@ -485,14 +485,17 @@ def jaccard_components(docs: DataFrame, num: int = 75, den: int = 100, size: int
 
     unlabelled = members.join(points, "cls").withColumn("label", F.lit(None).cast("binary"))
     first = materialize(surviving_pairs(unlabelled, num, den, True), "pairs")
-    links = materialize(verified(first, sets_of(docs, size, first), num, den), "links")
+    bodies = sets_of(docs, size, first)
+    links = materialize(verified(first, bodies, num, den), "links")
+    discard(bodies)
     label = components(links)
     named = points.join(label.withColumnRenamed("node", "k"), "k", "left")
-    every = members.unionByName(memberships(chunk_pairs(chunks)))
-    second = surviving_pairs(every.join(named, "cls"), num, den, False)
+    rest = members.where("not small").unionByName(memberships(chunk_pairs(chunks)))
+    second = surviving_pairs(rest.join(named, "cls"), num, den, False)
     second = materialize(second.join(first, ["a", "b"], "left_anti"), "pairs")
-    more = verified(second, sets_of(docs, size, second), num, den)
-    label = components(links.unionByName(more))
+    bodies = sets_of(docs, size, second)
+    label = components(links.unionByName(verified(second, bodies, num, den)))
+    discard(bodies, members, points, first, second, links)
 
     least = sets.where("k is not null").groupBy("k").agg(F.min("doc_id").alias("least"))
     joined = least.join(label.withColumnRenamed("node", "k"), "k", "left").withColumn("label", F.coalesce("label", "k"))
