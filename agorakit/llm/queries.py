@@ -9,9 +9,13 @@ from pyspark.sql import DataFrame, SparkSession
 from agorakit.llm.decontaminate import contamination
 from agorakit.llm.fingerprint import fingerprints
 from agorakit.llm.fixity import AUDIT_SQL, replica_audit
+from agorakit.llm.language import languages
 from agorakit.llm.licences import licence_scan, licence_sql
+from agorakit.llm.mincut import main_text
 from agorakit.llm.ngram_join import jaccard_components
+from agorakit.llm.packing import pack
 from agorakit.llm.placement import documents_placed
+from agorakit.llm.quality import quality_scores
 from agorakit.session import apply_runtime_conf
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -25,6 +29,26 @@ def op6_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents"))
 
 
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return languages(table(spark, sf_dir, "documents"))
+
+
+def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return main_text(table(spark, sf_dir, "pages"))
+
+
+def vocabulary(name: str = "byte_bpe_50k.json") -> str:
+    """Text of a public vocabulary file, read where the driver runs; the tasks get it broadcast."""
+    import public_tokenizers
+
+    with open(public_tokenizers.path(name), encoding="utf-8") as file:
+        return file.read()
+
+
+def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(table(spark, sf_dir, "documents"), vocabulary(), with_ids=False)
+
+
 def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -41,6 +65,10 @@ def op8_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licence_scan(table(spark, sf_dir, "documents"))
 
 
+def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return documents_placed(table(spark, sf_dir, "documents"))
 
@@ -49,10 +77,14 @@ QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         op1_warc_fixity_audit,
+        op2_language_id,
+        op3_html_extraction,
+        op4_packing,
         op5_benchmark_decontamination,
         op6_ngram_jaccard_join,
         op7_document_fingerprints,
         op8_licence_scan,
+        op9_quality_classifier,
         op10_sharding,
     )
 }
