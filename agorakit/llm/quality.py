@@ -175,7 +175,7 @@ def learn(stats: DataFrame, labels: DataFrame, usable: Column) -> dict | None:
     positives, labelled, every = (x or 0 for x in count)
     if not positives:
         return None
-    limit = lambda n: F.lit(int(min(1.0, SAMPLE / max(n, 1)) * (2**63 - 1)))
+    limit = lambda n: F.lit(min(int(SAMPLE / max(n, SAMPLE) * 2.0**63), 2**63 - 1))
     h = F.shiftrightunsigned("h", 1)
     part = lambda kind, mask, n: rows.where(mask & (h <= limit(n))).orderBy("h").limit(2 * SAMPLE).select(F.lit(kind).alias("kind"), "stats", "quality", "h")
     picked = (
