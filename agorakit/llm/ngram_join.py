@@ -8,16 +8,17 @@ those whose bound is below what the threshold needs, and checks the exact sets o
 survives.
 
 Distribution. A tree over all documents has no selective region (hashed counts of
-unrelated documents look alike at the upper levels), so documents are first dealt to blocks: two
+unrelated documents look alike at the upper levels), so documents are first dealt to groups: two
 sets that reach the threshold must share one of the first ``n - ceil(t n) + 1`` shingles in
-any common order of shingles. Each block (the sets with one such
-shingle) gets its own tree. The order puts shingles from crowded cells of a count sketch
-last, so boilerplate seldom makes a block; it only affects cost, never the result. Blocks over ``BLOCK``
-members are cut into chunks, and pairs of chunks are dealt out as blocks of their own.
-
-Links only have to connect components, so there are two passes: the first asks every
-tree for partners of one member, the second joins each tree with itself but skips pairs
-already connected. Equal sets are one class throughout and never paired.
+any common order of shingles. All sets that share such a shingle go to the group of the smallest class among
+them, once, however many shingles say so, and within a group to bands of like size. Each band of a group gets
+its own tree. The order puts shingles from crowded cells of a count sketch
+last, so boilerplate seldom makes a group; it only affects cost, never the result. Bands over ``CHUNK``
+members are cut into chunks.
+
+Links only have to connect components, so there are two passes: the first asks the trees of larger groups for
+partners of the group's smallest class only, the second compares what is not connected with it with all of
+the group, and skips pairs already connected. Equal sets are one class throughout and never paired.
 """
 
 from __future__ import annotations
@@ -34,8 +35,8 @@ from agorakit.llm.kernels import batches_of, binary, column, shingle_sets, slice
 from agorakit.session import discard, materialize
 
 SKETCH_BITS = 21  # cells of the count sketch; an order of shingles, not a filter
-BLOCK = 256  # members of a block or chunk
-SMALL = 16  # blocks up to this size are joined with themselves at once
+CHUNK = 1024  # members of a group that one tree holds
+SMALL = 8  # groups up to this size are joined with themselves at once
 LEAF = 8  # members of an R-tree leaf, children of a node
 MAX_BLOOM_BITS = 29  # 64 MB
 
@@ -134,120 +135,69 @@ def route(docs: DataFrame, size: int, num: int, den: int, order: np.ndarray) ->
     return docs.select("text").mapInArrow(run, "token long, cls long")
 
 
-def blocks(routed: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Blocks ``members`` (bytes of class numbers, the first is the centre) and the chunks of large ones.
+def mates(routed: DataFrame) -> DataFrame:
+    """(centre, cls, size): every class that shares a leading shingle with a smaller one, the centre, and the centres themselves.
 
-    Rows arrive sorted by token, so a task holds one run and never more than a
-    chunk of it. Equal blocks of several tokens are one block.
+    Rows arrive sorted by token and class, so the first of a run is its centre; a task holds no run. Any two
+    classes of a run are in its centre's group. ``size`` is the number of rows of the group.
     """
-    schema = pa.schema([("token", pa.int64()), ("chunk", pa.int64()), ("members", pa.binary())])
-
-    def batch_of(out: list[tuple]) -> pa.RecordBatch:
-        token, chunk, members = zip(*out)
-        columns = [pa.array(token, pa.int64()), pa.array(chunk, pa.int64()), binary(list(members))]
-        return pa.RecordBatch.from_arrays(columns, schema=schema)
+    schema = pa.schema([("centre", pa.int64()), ("cls", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        token, held, chunk, centre, last = None, np.zeros(0, np.int64), 0, None, None
-
-        def flush(final: bool) -> list[tuple[int, int, bytes]]:
-            """Whole chunks of the open run; with ``final`` its rest as well."""
-            nonlocal held, chunk, centre
-            out = []
-            while len(held) > BLOCK or (final and len(held)):
-                part, held = held[:BLOCK], held[BLOCK:]
-                centre = part[0] if centre is None else centre
-                alone = chunk == 0 and final and not len(held)
-                if alone and len(part) < 2:
-                    break
-                members = part if part[0] == centre else np.r_[centre, part]
-                out.append((None if alone else token, None if alone else chunk, members.tobytes()))
-                chunk += 1
-            return out
-
+        token = centre = None
         for batch in batches:
-            t = batch.column(0).to_numpy()
-            c = batch.column(1).to_numpy()
+            t, c = batch.column(0).to_numpy(), batch.column(1).to_numpy()
             if not len(t):
                 continue
-            fresh = np.r_[True, (t[1:] != t[:-1]) | (c[1:] != c[:-1])]
-            if token is not None and t[0] == token and last is not None and c[0] == last:
-                fresh[0] = False
-            token_end, last = t[-1], c[-1]
-            t, c = t[fresh], c[fresh]
-            out: list[tuple] = []
-            if len(t):
-                edges = np.flatnonzero(np.r_[True, t[1:] != t[:-1]])
-                counts = np.diff(np.r_[edges, len(t)])
-                if token is not None and t[0] == token:
-                    held = np.r_[held, c[: counts[0]]]
-                    out += flush(False)
-                    edges, counts = edges[1:], counts[1:]
-                if len(edges):
-                    out += flush(True)
-                    token, held, chunk, centre = t[edges[-1]], c[edges[-1] :], 0, None
-                    edges, counts = edges[:-1], counts[:-1]
-                    small = (counts > 1) & (counts <= BLOCK)
-                    out += [(None, None, c[a : a + m].tobytes()) for a, m in zip(edges[small], counts[small])]
-                    for a, m in zip(edges[counts > BLOCK], counts[counts > BLOCK]):
-                        kept = (token, held, chunk, centre)
-                        token, held, chunk, centre = t[a], c[a : a + m], 0, None
-                        out += flush(True)
-                        token, held, chunk, centre = kept
-                    out += flush(False)
-            token = token_end
-            if out:
-                yield batch_of(out)
-        out = flush(True)
-        if out:
-            yield batch_of(out)
-
-    found = materialize(
-        routed.repartition("token").sortWithinPartitions("token", "cls").mapInArrow(run, "token long, chunk long, members binary"),
-        "blocks",
-    )
-    return found.select("members").distinct(), found.where("chunk is not null")
-
-
-def chunk_pairs(chunks: DataFrame) -> DataFrame:
-    """Every two chunks of one token as a block of their own."""
-    last = chunks.groupBy("token").agg(F.max("chunk").alias("last"))
-    left = (
-        chunks.join(last, "token")
-        .where("chunk < last")
-        .select("token", F.explode(F.sequence(F.col("chunk") + 1, "last")).alias("chunk"), F.col("members").alias("near"))
-    )
-    return left.join(chunks, ["token", "chunk"]).select(F.concat("near", "members").alias("members")).distinct()
-
-
-def memberships(members: DataFrame) -> DataFrame:
-    """(block, cls, centre, small) rows of blocks; ``small`` says that the block has up to SMALL members."""
-    schema = pa.schema([("block", pa.int64()), ("cls", pa.int64()), ("centre", pa.bool_()), ("small", pa.bool_())])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import xxhash
-
-        for batch in batches:
-            parts = batch.column(0).to_pylist()
-            if not parts:
-                continue
-            sizes = [len(p) // 8 for p in parts]
-            cls = np.frombuffer(b"".join(parts), np.int64)
-            centre = np.zeros(len(cls), bool)
-            centre[np.cumsum(sizes) - sizes] = True
-            block = np.repeat(np.array([xxhash.xxh64_intdigest(p) for p in parts], np.uint64), sizes)
-            small = np.repeat(np.array(sizes) <= SMALL, sizes)
-            yield from batches_of(schema, [_signed(block), pa.array(cls), pa.array(centre), pa.array(small)])
-
-    return members.mapInArrow(run, "block long, cls long, centre boolean, small boolean")
+            first = np.r_[token is None or t[0] != token, t[1:] != t[:-1]]
+            at = np.maximum.accumulate(np.where(first, np.arange(len(t)), -1))
+            own = np.where(at >= 0, c[at], centre if centre is not None else 0)
+            token, centre = t[-1], own[-1]
+            keep = own != c
+            if keep.any():
+                pairs = np.unique(np.stack([own[keep], c[keep]], axis=1), axis=0)
+                yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], schema=schema)
+
+    found = routed.repartition("token").sortWithinPartitions("token", "cls").mapInArrow(run, "centre long, cls long").distinct()
+    found = materialize(found, "mates")
+    alone = found.select("centre", F.col("centre").alias("cls")).distinct()
+    size = found.groupBy("centre").agg((F.count("*") + 1).alias("size"))
+    return found.unionByName(alone).join(size, "centre")
+
+
+def dealt(members: DataFrame, num: int, den: int, first: bool) -> DataFrame:
+    """``members`` (centre, cls, size, k, n, point, label, own) as rows of blocks: block, is_centre, small added.
+
+    A block is a band of a group: sets whose sizes allow the threshold are in the same or the next band, and every member is
+    in its own and the next. Groups over CHUNK are cut: in the first pass the centre goes to all chunks, in the
+    second all members whose label is not the centre's (``own``: it is) do, cut into chunks themselves.
+    """
+    band = F.floor(F.log(F.col("n")) / F.lit(float(np.log(den / num * 1.0001)))).cast("long")
+    rows = members.withColumn("is_centre", F.col("centre") == F.col("cls")).withColumn("small", F.col("size") <= SMALL)
+    chunks = F.ceil(F.col("size") / F.lit(CHUNK)).cast("int")
+    place = F.pmod(F.xxhash64("cls"), chunks).cast("int")
+    every = F.sequence(F.lit(0), chunks - 1)
+    if first:
+        cells = F.when(F.col("is_centre"), every).otherwise(F.array(place))
+        rows = rows.withColumn("i", F.lit(0)).withColumn("j", F.explode(cells))
+    else:
+        odd = rows.where(~F.col("own")).groupBy("centre").agg(F.count("*").alias("odd"))
+        rows = rows.join(odd, "centre")
+        parts = F.ceil(F.col("odd") / F.lit(CHUNK)).cast("int")
+        slot = F.pmod(F.xxhash64("cls", F.lit(1)), parts).cast("int")
+        as_member = rows.withColumn("i", F.explode(F.sequence(F.lit(0), parts - 1))).withColumn("j", place)
+        as_odd = rows.where(~F.col("own") & (chunks * parts > 1)).withColumn("i", slot).withColumn("j", F.explode(every))
+        rows = as_member.unionByName(as_odd)
+    rows = rows.withColumn("band", F.explode(F.array(band, band + 1)))
+    return rows.withColumn("block", F.xxhash64("centre", "band", "i", "j"))
 
 
 # --- points and sets of classes ------------------------------------------------------------------------------------
 
 
 def point(x: np.ndarray) -> np.ndarray:
-    """Group counts; the number of groups is the power of two in (n/8, n/4], at least 16. 255 stands for 255 or more."""
-    groups = max(16, 1 << max(int(len(x) // 4).bit_length() - 1, 0))
+    """Group counts; the number of groups is the power of two in (n/4, n/2], at least 16. 255 stands for 255 or more."""
+    groups = max(16, 1 << max(int(len(x) // 2).bit_length() - 1, 0))
     return np.minimum(np.bincount((x & np.uint64(groups - 1)).astype(np.int64), minlength=groups), 255).astype(np.uint8)
 
 
@@ -389,8 +339,8 @@ class Tree:
 def surviving_pairs(members: DataFrame, num: int, den: int, star: bool) -> DataFrame:
     """Distinct pairs (a, b) of class keys that the trees of all blocks let through.
 
-    ``members`` has block, centre, small, k, n, point and label (null: its own). With ``star``, blocks that are not
-    small are only asked for partners of their centre. A class that is in a block twice counts once.
+    ``members`` are rows of blocks (see ``dealt``); a null label stands for the class itself. With ``star``, blocks of groups
+    that are not small are only asked for partners of their centre. A class that is in a block twice counts once.
     """
     schema = pa.schema([("a", pa.binary()), ("b", pa.binary())])
 
@@ -407,7 +357,9 @@ def surviving_pairs(members: DataFrame, num: int, den: int, star: bool) -> DataF
         at = np.lexsort((size, label))
         found = Tree(_folded([np.frombuffer(points[i], np.uint8) for i in at]), size[at], label[at])
         if star and not small[0]:
-            i = int(np.flatnonzero(np.array(centres)[at])[0]) if any(centres) else 0
+            if not any(centres):  # the centre is in no band of these
+                return []
+            i = int(np.flatnonzero(np.array(centres)[at])[0])
             return [(keys[at[i]], keys[at[j]]) for j in found.partners(i, num, den)]
         x, y = found.pairs(num, den)
         return [(keys[at[i]], keys[at[j]]) for i, j in zip(x, y)]
@@ -434,8 +386,9 @@ def surviving_pairs(members: DataFrame, num: int, den: int, star: bool) -> DataF
         if out:
             yield batch_of(out)
 
-    dealt = members.select("block", "k", "n", "point", "label", "centre", "small").repartition("block").sortWithinPartitions("block")
-    return dealt.mapInArrow(run, "a binary, b binary").distinct()
+    rows = members.select("block", "k", "n", "point", "label", "is_centre", "small")
+    rows = rows.repartition("block").sortWithinPartitions("block")
+    return rows.mapInArrow(run, "a binary, b binary").distinct()
 
 
 def verified(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
@@ -480,18 +433,18 @@ def jaccard_components(docs: DataFrame, num: int = 75, den: int = 100, size: int
     sets = scanned.where("counts is null").select("doc_id", "k", "n")
     points = scanned.where("k is not null").select("k", "n", "point").dropDuplicates(["k"])
     points = materialize(points.withColumn("cls", first_64("k")), "points")
-    whole, chunks = blocks(route(docs, size, num, den, order))
-    members = materialize(memberships(whole), "members")
+    members = materialize(mates(route(docs, size, num, den, order)), "members")
 
     unlabelled = members.join(points, "cls").withColumn("label", F.lit(None).cast("binary"))
-    first = materialize(surviving_pairs(unlabelled, num, den, True), "pairs")
+    first = materialize(surviving_pairs(dealt(unlabelled, num, den, True), num, den, True), "pairs")
     bodies = sets_of(docs, size, first)
     links = materialize(verified(first, bodies, num, den), "links")
     discard(bodies)
     label = components(links)
-    named = points.join(label.withColumnRenamed("node", "k"), "k", "left")
-    rest = members.where("not small").unionByName(memberships(chunk_pairs(chunks)))
-    second = surviving_pairs(rest.join(named, "cls"), num, den, False)
+    named = points.join(label.withColumnRenamed("node", "k"), "k", "left").withColumn("label", F.coalesce("label", "k"))
+    heads = named.select(F.col("cls").alias("centre"), F.col("label").alias("head")).dropDuplicates(["centre"])
+    rest = members.where(F.col("size") > SMALL).join(named, "cls").join(heads, "centre").withColumn("own", F.col("label") == F.col("head"))
+    second = surviving_pairs(dealt(rest, num, den, False), num, den, False)
     second = materialize(second.join(first, ["a", "b"], "left_anti"), "pairs")
     bodies = sets_of(docs, size, second)
     label = components(links.unionByName(verified(second, bodies, num, den)))

@@ -58,11 +58,12 @@ def test_components_match_all_pairs(frame, texts):
 
 
 def test_large_blocks_are_cut_and_joined(frame, texts, monkeypatch):
-    monkeypatch.setattr(J, "BLOCK", 4)
+    monkeypatch.setattr(J, "CHUNK", 4)
     monkeypatch.setattr(J, "SMALL", 2)
     rng = random.Random(7)
     base = texts(1, 80)
-    rows = [(i, edited(base, rng, 0.01 * (i % 4))) for i in range(40)]
+    rows = [(i, edited(base, rng, 0.015 * (i % 4))) for i in range(40)]
+    assert len(set(got(J.jaccard_components(frame(rows))))) == 40
     assert got(J.jaccard_components(frame(rows))) == brute(rows)
 
 
