@@ -36,26 +36,54 @@ STATE_NAMES = {
     "TO": "Tocantins",
 }
 
-# Region -> state codes.
-REGION_STATES = {
-    "Center-West": ["DF", "GO", "MS", "MT"],
-    "North": ["AC", "AM", "AP", "PA", "RO", "RR", "TO"],
-    "Northeast": ["AL", "BA", "CE", "MA", "PB", "PE", "PI", "RN", "SE"],
-    "South": ["PR", "RS", "SC"],
-    "Southeast": ["ES", "MG", "RJ", "SP"],
+# State code -> region.
+STATE_REGION = {
+    "AC": "North",
+    "AL": "Northeast",
+    "AM": "North",
+    "AP": "North",
+    "BA": "Northeast",
+    "CE": "Northeast",
+    "DF": "Center-West",
+    "ES": "Southeast",
+    "GO": "Center-West",
+    "MA": "Northeast",
+    "MG": "Southeast",
+    "MS": "Center-West",
+    "MT": "Center-West",
+    "PA": "North",
+    "PB": "Northeast",
+    "PE": "Northeast",
+    "PI": "Northeast",
+    "PR": "South",
+    "RJ": "Southeast",
+    "RN": "Northeast",
+    "RO": "North",
+    "RR": "North",
+    "RS": "South",
+    "SC": "South",
+    "SE": "Northeast",
+    "SP": "Southeast",
+    "TO": "North",
 }
-STATE_REGION = {state: region for region, states in REGION_STATES.items() for state in states}
 
-# Category group -> English category names.
-GROUP_CATEGORIES = {
-    "auto": ["auto"],
-    "electronics": ["computers_accessories", "telephony"],
-    "food": ["food_drink"],
-    "home": ["bed_bath_table", "furniture_decor", "housewares"],
-    "lifestyle": ["baby", "health_beauty", "perfumery", "sports_leisure", "toys", "watches_gifts"],
-    "office": ["stationery"],
+# English category name -> category group.
+CATEGORY_GROUP = {
+    "auto": "auto",
+    "baby": "lifestyle",
+    "bed_bath_table": "home",
+    "computers_accessories": "electronics",
+    "food_drink": "food",
+    "furniture_decor": "home",
+    "health_beauty": "lifestyle",
+    "housewares": "home",
+    "perfumery": "lifestyle",
+    "sports_leisure": "lifestyle",
+    "stationery": "office",
+    "telephony": "electronics",
+    "toys": "lifestyle",
+    "watches_gifts": "lifestyle",
 }
-CATEGORY_GROUP = {cat: group for group, cats in GROUP_CATEGORIES.items() for cat in cats}
 
 # Category names of the product document -> English.
 DOCUMENT_CATEGORY = {
@@ -160,3 +188,6 @@ EXPERIMENT_IDS = [e[0] for e in EXPERIMENTS]
 
 # Priors of the sensitivity table.
 PRIORS = [(1.0, 1.0), (0.5, 0.5), (10.0, 90.0), (100.0, 900.0)]
+
+# Reason of a dead letter whose batch failed after all retries.
+DLQ_RETRIES = "processing_failed_after_retries"

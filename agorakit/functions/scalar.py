@@ -25,13 +25,22 @@ def half_up(value: Column, digits: int = 2) -> Column:
     )
 
 
+def money_units(value: Column, digits: int = 4) -> Column:
+    """An amount as a whole number of its smallest unit, in a type whose sums are exact for any number of rows."""
+    return F.floor(value.cast("double") * F.lit(float(10**digits)) + F.lit(0.5)).cast("decimal(19,0)")
+
+
+def from_units(units: Column, digits: int = 4) -> Column:
+    return units.cast("double") / F.lit(float(10**digits))
+
+
 def money_sum(value: Column, digits: int = 4) -> Column:
-    """Sum of amounts, snapped to ``digits`` decimals.
+    """Sum of amounts of at most ``digits`` decimals.
 
-    Addition order differs between runs (and between retries of a lost task);
-    amounts have few decimals, so snapping removes the noise it leaves.
+    Addition order differs between runs (and between retries of a lost task). Whole
+    units add up exactly, so the order leaves no trace at any size.
     """
-    return half_up(F.sum(value), digits)
+    return from_units(F.sum(money_units(value, digits)), digits)
 
 
 def money_avg(value: Column, digits: int = 4) -> Column:

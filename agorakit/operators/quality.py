@@ -392,16 +392,15 @@ def health_check(latest: DataFrame) -> DataFrame:
     )
 
 
-def lag_history(health: DataFrame, groups: Sequence[str], hours: int = 24) -> DataFrame:
-    """Lag of the last hours, one column per consumer group."""
+def lag_history(health: DataFrame, hours: int = 24) -> DataFrame:
+    """Lag of the last hours: one row for each measurement and consumer group, whatever groups there are."""
     named = health.where(F.col("consumer_group").isNotNull())
     newest = named.agg(F.max("measured_at")).scalar()
     recent = named.where(F.col("measured_at") >= newest - F.expr(f"INTERVAL {int(hours)} HOURS"))
     return (
-        recent.groupBy(F.col("measured_at").alias("timestamp"))
-        .pivot("consumer_group", list(groups))
-        .agg(F.max("total_lag"))
-        .orderBy("timestamp")
+        recent.groupBy(F.col("measured_at").alias("timestamp"), "consumer_group")
+        .agg(F.max("total_lag").alias("total_lag"))
+        .orderBy("timestamp", "consumer_group")
     )
 
 
@@ -525,14 +524,16 @@ def growth(current: DataFrame, previous: DataFrame) -> DataFrame:
     )
 
 
-def anomaly_scan(daily: DataFrame, reviews: DataFrame, orders: DataFrame, stats: DataFrame | None = None) -> DataFrame:
-    """Findings about the latest day: GMV, cancellations, delivery times, reviews and stale tables.
+def anomaly_scan(
+    daily: DataFrame, reviews: DataFrame, orders: DataFrame, stats: DataFrame | None = None, min_orders: int = 10
+) -> DataFrame:
+    """Findings about the latest day with more than ``min_orders`` orders: GMV, cancellations, delivery times, reviews and stale tables.
 
     Windows run over one row per calendar day. ``stats`` (from ``table_stats``)
     adds freshness findings with limits of 24 h, critical above twice that.
     """
     month = Window.orderBy("date").rowsBetween(-30, -1)
-    busy = daily.where(F.col("total_orders") > 10)
+    busy = daily.where(F.col("total_orders") > min_orders)
     last = F.col("_age") == 1
     age = F.row_number().over(Window.orderBy(F.col("date").desc()))
 

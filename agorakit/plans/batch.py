@@ -400,12 +400,6 @@ register(
 register("fct_daily_metrics", lambda m: m.daily, sql("SELECT * FROM daily"))
 
 
-def _filled(m):
-    """Days of the calendar, where only days with a canceled order have figures."""
-    canceled = m.daily.where(F.col("orders_canceled") > 0)
-    return marts.fill_days(canceled, m.dim_dates)
-
-
 _DAILY_COLUMNS = {
     "total_orders": "0",
     "total_gmv": "0",
@@ -422,11 +416,11 @@ _DAILY_COLUMNS = {
 }
 register(
     "daily_metrics_filled",
-    _filled,
+    lambda m: marts.fill_days(m.daily, m.dim_dates),
     sql(
         "SELECT dates.date, "
         + ", ".join(f"coalesce({c}, {z}) AS {c}" for c, z in _DAILY_COLUMNS.items())
-        + " FROM dates LEFT JOIN (SELECT * FROM daily WHERE orders_canceled > 0) x ON x.date = dates.date"
+        + " FROM dates LEFT JOIN daily x ON x.date = dates.date"
     ),
 )
 register(

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from agorakit.functions import fixed, half_up
 from agorakit.operators import assignment, bayes, experiments, stats
-from agorakit.plans.oracle import hash_mod, msum, pct, r, sql
+from agorakit.plans.oracle import hash_mod, msum, p_fisher, p_norm, p_student, pct, r, sql
 from agorakit.plans.registry import register
 
 register(
@@ -60,13 +60,22 @@ def _rates(m):
     return stats.descriptives(m.frame, medians=False)
 
 
+_Z_OF = (
+    "SELECT *, (conversions_control / n_control - conversions_treatment / n_treatment) / nullif(sqrt(p * (1 - p) * "
+    "(1.0::DOUBLE / n_control + 1.0::DOUBLE / n_treatment)), 0) AS z FROM (SELECT *, (conversions_control + "
+    "conversions_treatment) / (n_control + n_treatment) AS p FROM {rows})"
+)
 register(
     "z_test",
-    lambda m: stats.z_test(_rates(m)).select("experiment_id", half_up(F.col("z_statistic"), 9).alias("z_statistic")),
+    lambda m: stats.z_test(_rates(m)).select(
+        "experiment_id",
+        half_up(F.col("z_statistic"), 9).alias("z_statistic"),
+        *[half_up(F.col(c), 6).alias(c) for c in ("z_p_value", "z_p_greater", "z_p_less")],
+    ),
     sql(
-        f"SELECT experiment_id, {r('(cr_c - cr_t) / sqrt(p * (1 - p) * (1.0::DOUBLE / n_control + 1.0::DOUBLE / n_treatment))', 9)} "
-        "AS z_statistic FROM (SELECT *, (conversions_control + conversions_treatment) / (n_control + n_treatment) AS p "
-        "FROM stats)"
+        f"SELECT experiment_id, {r('z', 9)} AS z_statistic, {r('p', 6)} AS z_p_value, {r('CASE WHEN z >= 0 THEN p / 2 ELSE 1 - p / 2 END', 6)} "
+        f"AS z_p_greater, {r('CASE WHEN z >= 0 THEN 1 - p / 2 ELSE p / 2 END', 6)} AS z_p_less FROM "
+        f"(SELECT experiment_id, z, {p_norm('z')} AS p FROM ({_Z_OF.format(rows='stats')}))"
     ),
 )
 _CELLS = (
@@ -79,8 +88,16 @@ _CHI2 = (
 )
 register(
     "chi_square",
-    lambda m: stats.chi_square(_rates(m)).select("experiment_id", half_up(F.col("chi2_statistic"), 9).alias("chi2_statistic")),
-    sql(f"SELECT experiment_id, {r(_CHI2, 9)} AS chi2_statistic FROM cells", cells=_CELLS),
+    lambda m: stats.chi_square(_rates(m)).select(
+        "experiment_id",
+        half_up(F.col("chi2_statistic"), 9).alias("chi2_statistic"),
+        half_up(F.col("chi2_p_value"), 6).alias("chi2_p_value"),
+    ),
+    sql(
+        f"SELECT experiment_id, {r('s', 9)} AS chi2_statistic, {r(p_norm('sqrt(s)'), 6)} AS chi2_p_value FROM "
+        f"(SELECT experiment_id, {_CHI2} AS s FROM cells)",
+        cells=_CELLS,
+    ),
 )
 
 
@@ -88,14 +105,19 @@ def _fisher(m):
     """Exact test by state, where arms are small."""
     return stats.fisher(stats.descriptives(
         m.frame.withColumn("experiment_id", F.concat_ws("|", "experiment_id", "customer_state")), medians=False
-    )).select("experiment_id", half_up(F.col("odds_ratio"), 9).alias("odds_ratio"))
+    )).select(
+        "experiment_id",
+        half_up(F.col("odds_ratio"), 9).alias("odds_ratio"),
+        half_up(F.col("fisher_p_value"), 6).alias("fisher_p_value"),
+    )
 
 
 register(
     "fisher_odds_by_state",
     _fisher,
     sql(
-        f"SELECT experiment_id, {r('(a * d) / nullif(b * c, 0)', 9)} AS odds_ratio FROM (SELECT e AS experiment_id, "
+        f"SELECT experiment_id, {r('(a * d) / nullif(b * c, 0)', 9)} AS odds_ratio, {r(p_fisher('a', 'b', 'c', 'd'), 6)} "
+        "AS fisher_p_value FROM (SELECT e AS experiment_id, "
         "(count(*) FILTER (variant = 'control' AND converted))::DOUBLE AS a, "
         "(count(*) FILTER (variant = 'control' AND NOT converted))::DOUBLE AS b, "
         "(count(*) FILTER (variant = 'treatment' AND converted))::DOUBLE AS c, "
@@ -119,12 +141,14 @@ register(
         "diff",
         half_up(F.col("t_statistic"), 6).alias("t_statistic"),
         half_up(F.col("df"), 3).alias("df"),
+        half_up(F.col("t_p_value"), 6).alias("t_p_value"),
     ),
     sql(
         "SELECT experiment_id, n_c, n_t, mean_c, mean_t, mean_t - mean_c AS diff, "
-        f"{r('(mean_c - mean_t) / sqrt(v_c + v_t)', 6)} AS t_statistic, "
-        f"{r('(v_c + v_t) * (v_c + v_t) / (v_c * v_c / (n_c - 1) + v_t * v_t / (n_t - 1))', 3)} AS df FROM "
-        f"(SELECT *, var_c / n_c AS v_c, var_t / n_t AS v_t FROM (SELECT experiment_id, {_MOMENTS} FROM frame GROUP BY 1))"
+        f"{r('t', 6)} AS t_statistic, {r('f', 3)} AS df, {r(p_student('t', 'f'), 6)} AS t_p_value FROM (SELECT *, "
+        "(mean_c - mean_t) / sqrt(v_c + v_t) AS t, "
+        "(v_c + v_t) * (v_c + v_t) / (v_c * v_c / (n_c - 1) + v_t * v_t / (n_t - 1)) AS f FROM "
+        f"(SELECT *, var_c / n_c AS v_c, var_t / n_t AS v_t FROM (SELECT experiment_id, {_MOMENTS} FROM frame GROUP BY 1)))"
     ),
 )
 _RANKED = (
@@ -227,14 +251,27 @@ register(
 
 
 def _segment_p(m):
-    """A p-value-like score per experiment and state: the share of converters in the larger arm, for corrections."""
+    """The z-test's p-value of every experiment and state with both arms and a rate between 0 and 1."""
     counts = m.frame.groupBy("experiment_id", "customer_state").agg(
-        F.count(F.lit(1)).alias("n"), F.count_if("converted").alias("x")
+        *[F.count_if(F.col("variant") == v).alias(f"n_{v}") for v in fixed.VARIANTS],
+        *[F.count_if((F.col("variant") == v) & F.col("converted")).alias(f"conversions_{v}") for v in fixed.VARIANTS],
     )
-    return counts.select("experiment_id", "customer_state", (F.col("x") / F.col("n") / F.lit(40.0)).alias("p_value"))
+    tested = stats.z_test(counts).where(F.col("z_p_value").isNotNull())
+    return tested.select("experiment_id", "customer_state", half_up(F.col("z_p_value"), 6).alias("p_value"))
 
 
-_P = "SELECT experiment_id, customer_state, count(*) FILTER (converted) / count(*) / 40.0::DOUBLE AS p FROM frame GROUP BY 1, 2"
+_BY_STATE = (
+    "SELECT experiment_id, customer_state, "
+    + ", ".join(
+        f"count(*) FILTER (variant = '{v}') AS n_{v}, count(*) FILTER (variant = '{v}' AND converted) AS conversions_{v}"
+        for v in fixed.VARIANTS
+    )
+    + " FROM frame GROUP BY 1, 2"
+)
+_P = (
+    f"SELECT experiment_id, customer_state, {r(p_norm('z'), 6)} AS p FROM "
+    f"({_Z_OF.format(rows=f'(SELECT * FROM ({_BY_STATE}) WHERE n_control > 0 AND n_treatment > 0)')}) WHERE z IS NOT NULL"
+)
 _ORDERED = (
     "SELECT *, count(*) OVER (PARTITION BY experiment_id) AS m, row_number() OVER (PARTITION BY experiment_id "
     "ORDER BY p, customer_state) AS i FROM pv"
@@ -290,31 +327,31 @@ register(
 )
 
 
-def _simple_summary(m):
-    """Significance by the z statistic and the decision it allows, without a tail probability."""
-    s = stats.ci_rate(stats.z_test(_rates(m)))
-    hit = F.abs("z_statistic") > fixed.Z_95
+def _summary(m):
+    """p-value and significance of the z-test, and the decision with the planned sample as adequacy."""
+    s = stats.ci_rate(stats.z_test(_rates(m))).join(m.catalog.select("experiment_id", "sample_per_variant"), "experiment_id")
+    p = half_up(F.col("z_p_value"), 6)
+    hit = F.coalesce(p < 0.05, F.lit(False))
+    adequate = F.least("n_control", "n_treatment") >= F.col("sample_per_variant")
     return s.select(
         "experiment_id",
-        F.lit(0.5).alias("p_value"),
+        p.alias("p_value"),
         F.when(hit, "Yes").otherwise("No").alias("significant"),
-        stats.decide(hit, F.col("relative_lift_pct"), F.col("absolute_lift") > 0, F.col("n_control") >= 5000).alias(
-            "recommendation"
-        ),
+        stats.decide(hit, F.col("relative_lift_pct"), F.col("absolute_lift") > 0, adequate).alias("recommendation"),
         half_up(F.col("absolute_lift") * F.lit(100_000.0), 2).alias("revenue_impact_monthly"),
     )
 
 
 _SUMMARY = (
-    "SELECT experiment_id, 0.5::DOUBLE AS p_value, CASE WHEN hit THEN 'Yes' ELSE 'No' END AS significant, "
+    "SELECT experiment_id, p_value, CASE WHEN hit THEN 'Yes' ELSE 'No' END AS significant, "
     "CASE WHEN hit AND lift > 0 AND abs(lift_pct) >= 10 THEN 'LAUNCH' WHEN hit AND lift > 0 THEN 'ITERATE' "
-    "WHEN NOT hit AND n_control < 5000 THEN 'INCONCLUSIVE' ELSE 'ABANDON' END AS recommendation, "
-    f"{r('lift * 100000.0::DOUBLE')} AS revenue_impact_monthly FROM (SELECT *, cr_t - cr_c AS lift, "
-    "(cr_t - cr_c) / cr_c * 100 AS lift_pct, abs((cr_c - cr_t) / sqrt(p * (1 - p) * (1.0::DOUBLE / n_control + "
-    f"1.0::DOUBLE / n_treatment))) > {fixed.Z_95} AS hit FROM (SELECT *, (conversions_control + conversions_treatment) / "
-    "(n_control + n_treatment) AS p FROM stats))"
+    "WHEN NOT hit AND least(n_control, n_treatment) < sample_per_variant THEN 'INCONCLUSIVE' ELSE 'ABANDON' END "
+    f"AS recommendation, {r('lift * 100000.0::DOUBLE')} AS revenue_impact_monthly FROM (SELECT *, cr_t - cr_c AS lift, "
+    "(cr_t - cr_c) / cr_c * 100 AS lift_pct, coalesce(p_value < 0.05, false) AS hit FROM (SELECT * EXCLUDE (p), "
+    f"{r(p_norm('z'), 6)} AS p_value FROM ({_Z_OF.format(rows='stats')})) JOIN (SELECT experiment_id, sample_per_variant "
+    "FROM catalog) USING (experiment_id))"
 )
-register("experiment_decisions", _simple_summary, sql(_SUMMARY))
+register("experiment_decisions", _summary, sql(_SUMMARY))
 
 
 def _exported(m):
@@ -355,7 +392,7 @@ _COMPARED = (
 _CTX = {"exported": _EXPORT, "summary": _SUMMARY}
 register(
     "experiment_comparison",
-    lambda m: experiments.comparison(_exported(m), _simple_summary(m)),
+    lambda m: experiments.comparison(_exported(m), _summary(m)),
     sql(_COMPARED, **_CTX),
 )
 _LIST = (
@@ -374,7 +411,7 @@ _LIST = (
 
 
 def _compared(m):
-    return experiments.comparison(_exported(m), _simple_summary(m))
+    return experiments.comparison(_exported(m), _summary(m))
 
 
 register("experiment_list", lambda m: experiments.experiment_list(_compared(m)), sql(_LIST, **_CTX, compared=_COMPARED))
@@ -394,7 +431,7 @@ register(
 )
 register(
     "portfolio_summary",
-    lambda m: experiments.portfolio_summary(_simple_summary(m), m.results),
+    lambda m: experiments.portfolio_summary(_summary(m), m.results),
     sql(
         "SELECT count(*) AS total_experiments, count(*) FILTER (significant = 'Yes') AS significant, "
         "count(*) FILTER (recommendation = 'LAUNCH') AS launch_ready, "
@@ -406,7 +443,7 @@ register(
 )
 register(
     "executive_summary",
-    lambda m: experiments.executive_summary(_simple_summary(m)),
+    lambda m: experiments.executive_summary(_summary(m)),
     sql(
         f"SELECT *, {r('total_revenue_impact_monthly * 12')} AS total_revenue_impact_annual FROM (SELECT count(*) "
         "AS total_experiments, count(*) FILTER (significant = 'Yes') AS statistically_significant, "
@@ -492,36 +529,38 @@ register(
         + " FROM frame GROUP BY 1, 2)"
     ),
 )
+_SRM_STAT = "(n_control - n_treatment)::DOUBLE * (n_control - n_treatment) / (n_control + n_treatment)"
+_SRM = f"{r('s', 9)} AS srm_statistic, {r(p_norm('sqrt(s)'), 6)} AS srm_p_value, {p_norm('sqrt(s)')} < 0.01 AS mismatch"
 register(
     "sample_ratio_mismatch",
     lambda m: stats.srm(experiments.arm_counts(m.assignments)).select(
-        "experiment_id", "n_control", "n_treatment", half_up(F.col("srm_statistic"), 9).alias("srm_statistic")
+        "experiment_id", "n_control", "n_treatment", half_up(F.col("srm_statistic"), 9).alias("srm_statistic"),
+        half_up(F.col("srm_p_value"), 6).alias("srm_p_value"), "mismatch",
     ),
     sql(
-        "SELECT experiment_id, n_control, n_treatment, "
-        + r("(n_control - n_treatment)::DOUBLE * (n_control - n_treatment) / (n_control + n_treatment)", 9)
-        + " AS srm_statistic FROM stats"
+        f"SELECT experiment_id, n_control, n_treatment, {_SRM} FROM (SELECT *, {_SRM_STAT} AS s FROM stats)"
     ),
 )
 register(
     "sample_ratio_by_state",
     lambda m: stats.srm(experiments.arm_counts(m.assignments, ["customer_state"])).select(
-        "experiment_id", "customer_state", "n_control", "n_treatment", half_up(F.col("srm_statistic"), 9).alias("srm_statistic")
+        "experiment_id", "customer_state", "n_control", "n_treatment", half_up(F.col("srm_statistic"), 9).alias("srm_statistic"),
+        half_up(F.col("srm_p_value"), 6).alias("srm_p_value"), "mismatch",
     ),
     sql(
-        "SELECT *, "
-        + r("(n_control - n_treatment)::DOUBLE * (n_control - n_treatment) / (n_control + n_treatment)", 9)
-        + " AS srm_statistic FROM (SELECT experiment_id, customer_state, count(*) FILTER (variant = 'control') "
-        "AS n_control, count(*) FILTER (variant = 'treatment') AS n_treatment FROM assignments GROUP BY 1, 2)"
+        f"SELECT * EXCLUDE (s), {_SRM} FROM (SELECT *, {_SRM_STAT} AS s FROM (SELECT experiment_id, customer_state, count(*) FILTER (variant = 'control') "
+        "AS n_control, count(*) FILTER (variant = 'treatment') AS n_treatment FROM assignments GROUP BY 1, 2))"
     ),
 )
 register(
     "experiment_independence",
     lambda m: stats.independence(experiments.arm_pairs(m.assignments, fixed.EXPERIMENT_IDS)).select(
-        "experiment_a", "experiment_b", "n00", "n01", "n10", "n11", half_up(F.col("chi2_statistic"), 9).alias("chi2_statistic")
+        "experiment_a", "experiment_b", "n00", "n01", "n10", "n11", half_up(F.col("chi2_statistic"), 9).alias("chi2_statistic"),
+        half_up(F.col("chi2_p_value"), 6).alias("chi2_p_value"), "independent",
     ),
     sql(
-        f"SELECT * EXCLUDE (a, b, c, d), {r(_CHI2, 9)} AS chi2_statistic FROM (SELECT *, n00::DOUBLE AS a, n01::DOUBLE "
+        f"SELECT * EXCLUDE (a, b, c, d, s), {r('s', 9)} AS chi2_statistic, {r(p_norm('sqrt(s)'), 6)} AS chi2_p_value, "
+        f"{p_norm('sqrt(s)')} > 0.05 AS independent FROM (SELECT *, {_CHI2} AS s FROM (SELECT *, n00::DOUBLE AS a, n01::DOUBLE "
         "AS b, n10::DOUBLE AS c, n11::DOUBLE AS d FROM (SELECT x.experiment_id AS experiment_a, y.experiment_id "
         "AS experiment_b, "
         + ", ".join(
@@ -530,7 +569,7 @@ register(
             for j in (0, 1)
         )
         + " FROM assignments x JOIN assignments y ON x.customer_id = y.customer_id AND x.experiment_id < y.experiment_id "
-        "GROUP BY 1, 2))"
+        "GROUP BY 1, 2)))"
     ),
 )
 

@@ -22,6 +22,35 @@ def msum(expr: str, digits: int = 4) -> str:
     return r(f"sum({expr})", digits)
 
 
+def p_norm(z: str) -> str:
+    """P(|N(0,1)| > |z|) by the positive series of the error function; absolute error below 1e-13."""
+    x = f"greatest(abs({z}) / sqrt(2.0::DOUBLE), 1e-150::DOUBLE)"
+    term = "exp(2 * n * ln(2.0::DOUBLE) + (2 * n + 1) * ln(x) + lgamma(n + 1) - lgamma(2 * n + 2))"
+    series = f"list_sum(list_transform(range(0, 250), lambda n: {term.replace('ln(x)', f'ln({x})')}))"
+    return (
+        f"(CASE WHEN ({z}) IS NULL THEN NULL WHEN abs({z}) > 8 THEN 0.0::DOUBLE ELSE greatest(0.0::DOUBLE, 1 - 2 / sqrt(pi()) * "
+        f"exp(-{x} * {x}) * {series}) END)"
+    )
+
+
+def p_student(t: str, df: str) -> str:
+    """Two-sided tail of Student's t by the positive series of the incomplete beta function."""
+    y = f"greatest(({t}) * ({t}) / (({df}) + ({t}) * ({t})), 1e-300::DOUBLE)"
+    b = f"(({df}) / 2)"
+    front = f"exp(0.5 * ln({y}) + {b} * ln(1 - {y}) + lgamma(0.5::DOUBLE + {b}) - lgamma(0.5::DOUBLE) - lgamma({b})) / 0.5"
+    term = f"exp(n * ln({y}) + lgamma(0.5::DOUBLE + {b} + n) - lgamma(0.5::DOUBLE + {b}) + lgamma(1.5::DOUBLE) - lgamma(1.5::DOUBLE + n))"
+    return f"greatest(0.0::DOUBLE, 1 - {front} * list_sum(list_transform(range(0, 400), lambda n: {term})))"
+
+
+def p_fisher(a: str, b: str, c: str, d: str) -> str:
+    """Two-sided exact test of a 2x2 table of whole numbers: all tables not likelier than the observed."""
+    choose = lambda n, k: f"(lgamma({n} + 1) - lgamma({k} + 1) - lgamma({n} - ({k}) + 1))"
+    pmf = lambda k: f"exp({choose(f'({a} + {b})', k)} + {choose(f'({c} + {d})', f'({a} + {c} - ({k}))')} - {choose(f'({a} + {b} + {c} + {d})', f'({a} + {c})')})"
+    low, high = f"greatest(0, {a} + {c} - ({c} + {d}))", f"least({a} + {b}, {a} + {c})"
+    all_p = f"list_transform(range(({low})::BIGINT, ({high})::BIGINT + 1), lambda k: {pmf('k')})"
+    return f"least(1.0::DOUBLE, list_sum(list_filter({all_p}, lambda q: q <= {pmf(a)} * (1 + 1e-7::DOUBLE))))"
+
+
 def mavg(expr: str, digits: int = 4) -> str:
     return f"({msum(expr, digits)} / nullif(count({expr}), 0))"
 

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping, Sequence
 from datetime import datetime
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 from agorakit.functions.grouping import first_per
 
@@ -40,10 +41,13 @@ def expire(df: DataFrame, column: str, days: int, now: datetime | str) -> DataFr
     return df.where(F.col(column) >= F.lit(now).cast("timestamp") - F.make_dt_interval(days=F.lit(days)))
 
 
-def _current_version(spark: SparkSession, path: str) -> int | None:
-    """Newest complete version below ``path`` (a version is complete once ``_SUCCESS`` exists)."""
+BUCKETS = 64
+
+
+def _manifest(spark: SparkSession, path: str) -> tuple[int, dict] | None:
+    """Number and content of the newest complete manifest (complete once ``_SUCCESS`` exists)."""
     hadoop = spark._jvm.org.apache.hadoop.fs
-    root = hadoop.Path(path)
+    root = hadoop.Path(f"{path}/manifest")
     fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
     if not fs.exists(root):
         return None
@@ -52,64 +56,96 @@ def _current_version(spark: SparkSession, path: str) -> int | None:
         for s in fs.listStatus(root)
         if s.getPath().getName().startswith("v=") and fs.exists(hadoop.Path(s.getPath(), "_SUCCESS"))
     ]
-    return max(found) if found else None
+    if not found:
+        return None
+    return max(found), json.loads(spark.read.text(f"{path}/manifest/v={max(found)}").first()[0])
 
 
 def read_upserted(spark: SparkSession, path: str) -> DataFrame:
     """Current content of a table kept by :func:`upsert`."""
-    version = _current_version(spark, path)
-    if version is None:
+    found = _manifest(spark, path)
+    if found is None:
         raise FileNotFoundError(path)
-    return spark.read.parquet(f"{path}/v={version}")
+    schema = StructType.fromJson(found[1]["schema"])
+    folders = [f"{path}/data/v={v}/_bucket={b}" for b, v in sorted(found[1]["buckets"].items())]
+    return spark.read.schema(schema).parquet(*folders) if folders else spark.createDataFrame([], schema)
 
 
-def _drop_versions_below(spark: SparkSession, path: str, version: int) -> None:
+def _drop_unused(spark: SparkSession, path: str, kept: Sequence[dict]) -> None:
+    """Delete bucket folders that neither of the ``kept`` manifests names."""
     hadoop = spark._jvm.org.apache.hadoop.fs
-    root = hadoop.Path(path)
+    root = hadoop.Path(f"{path}/data")
     fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    used = {f"v={v}/_bucket={b}" for m in kept for b, v in m["buckets"].items()}
+    oldest = min(m["version"] for m in kept)
     for s in fs.listStatus(root):
-        name = s.getPath().getName()
-        if name.startswith("v=") and int(name[2:]) < version:
-            fs.delete(s.getPath(), True)
-
-
-def merge_latest(target: DataFrame, batch: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows of ``batch`` replace rows of ``target`` with the same key."""
-    kept = target.join(batch.select(*keys).distinct(), list(keys), "left_anti")
-    return kept.unionByName(batch.select(*target.columns))
-
-
-def upsert(path: str, batch: DataFrame, keys: Sequence[str], order: Sequence[str], batch_id: int | None = None) -> None:
-    """Idempotent upsert into a parquet table.
-
-    The batch is reduced to its newest row per key, merged with the current
-    version and written as the next version; readers see a version only when
-    complete, so a lost executor or a re-delivered batch leaves no trace. The
-    version after a re-delivery has the same content.
+        version = s.getPath().getName()
+        if not version.startswith("v=") or int(version[2:]) > oldest:
+            continue
+        buckets = [x.getPath() for x in fs.listStatus(s.getPath()) if x.getPath().getName().startswith("_bucket=")]
+        unused = [x for x in buckets if f"{version}/{x.getName()}" not in used]
+        for x in [s.getPath()] if len(unused) == len(buckets) else unused:
+            fs.delete(x, True)
+
+
+def upsert(
+    path: str,
+    batch: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str],
+    batch_id: int | None = None,
+    source: str | None = None,
+    buckets: int = BUCKETS,
+) -> None:
+    """Upsert into a parquet table; the row with the highest ``order`` of each key stays, stored or new.
+
+    The table is cut into buckets by a hash of the key, and only buckets that the batch has keys of are read
+    and written again. A manifest names the version of every bucket; readers see a version only when its
+    manifest is complete, so a lost executor leaves no trace. The merge gives the same table for
+    any cut of the input into batches and for a re-delivery; a re-delivered ``batch_id`` of a named ``source``
+    is skipped. ``buckets`` counts for the first batch only.
     """
     spark = batch.sparkSession
-    newest = first_per(batch, keys, [*order, *[c for c in batch.columns if c not in keys and c not in order]], False)
-    version = _current_version(spark, path)
-    if version is None:
-        newest.write.mode("overwrite").parquet(f"{path}/v=0")
+    found = _manifest(spark, path)
+    version, old = found if found else (-1, {"version": -1, "buckets": {}, "delivered": {}, "n": buckets})
+    if source is not None and batch_id is not None and old["delivered"].get(source, -1) >= batch_id:
         return
-    following = version + 1
-    # The merge reads the batch twice; it is kept so the source is read once.
+    rank = [*order, *[c for c in batch.columns if c not in keys and c not in order]]
+    newest = first_per(batch, keys, rank, False)
+    bucket = F.pmod(F.xxhash64(*keys), F.lit(old["n"])).cast("int").alias("_bucket")
+    # the batch is read for its buckets and for the merge; it is kept so that the source is read once
     newest.persist()
     try:
-        merged = merge_latest(spark.read.parquet(f"{path}/v={version}"), newest, keys)
-        merged.write.mode("overwrite").parquet(f"{path}/v={following}")
+        touched = {str(r[0]) for r in newest.select(bucket).distinct().collect()}
+        folders = [f"{path}/data/v={v}/_bucket={b}" for b, v in old["buckets"].items() if b in touched]
+        merged = newest
+        if folders:
+            stored = spark.read.schema(newest.schema).parquet(*folders)
+            merged = first_per(stored.unionByName(newest), keys, rank, False)
+        if touched:
+            dealt = merged.select("*", bucket).hint("rebalance", "_bucket")
+            dealt.write.mode("overwrite").partitionBy("_bucket").parquet(f"{path}/data/v={version + 1}")
     finally:
         newest.unpersist()
-    # The version before stays for readers already on it.
-    _drop_versions_below(spark, path, following - 1)
-
-
-def upsert_sink(path: str, keys: Sequence[str], order: Sequence[str]):
-    """``foreachBatch`` function that upserts every micro-batch."""
+    new = {
+        "version": version + 1,
+        "n": old["n"],
+        "schema": json.loads(newest.schema.json()),
+        "buckets": old["buckets"] | dict.fromkeys(touched, version + 1),
+        "delivered": old["delivered"] | ({source: batch_id} if source is not None and batch_id is not None else {}),
+    }
+    text = spark.createDataFrame([(json.dumps(new),)], "value string").coalesce(1)
+    text.write.mode("overwrite").text(f"{path}/manifest/v={version + 1}")
+    # the version before stays for readers already on it
+    if version >= 0:
+        _drop_unused(spark, path, [old, new])
+
+
+def upsert_sink(path: str, keys: Sequence[str], order: Sequence[str], source: str | None = None):
+    """``foreachBatch`` function that upserts every micro-batch. ``source`` names the query's checkpoint, if re-delivered batches are to be skipped."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        upsert(path, batch, keys, order, batch_id)
+        upsert(path, batch, keys, order, batch_id, source)
 
     return write
 
@@ -140,11 +176,3 @@ def write_results(df: DataFrame, path: str) -> None:
 
 def export_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("header", True).csv(path)
-
-
-def table_exists(spark: SparkSession, path: str) -> bool:
-    try:
-        spark.read.parquet(path).schema
-        return True
-    except AnalysisException:
-        return False

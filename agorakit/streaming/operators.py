@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from agorakit.functions import fixed, half_up
+from agorakit.functions import fixed, from_units, half_up, money_sum, money_units
 
 
 def enrich_orders(orders: DataFrame, customers: DataFrame, now: Column | None = None) -> tuple[DataFrame, DataFrame]:
@@ -53,38 +53,30 @@ def enrich_orders(orders: DataFrame, customers: DataFrame, now: Column | None =
     return operational, analytic
 
 
-def window_metrics(
-    events: DataFrame,
-    size: str = fixed.WINDOW_SIZE,
-    grace: str = fixed.WINDOW_GRACE,
-    order_types: Sequence[str] = ("order_placed",),
+def window_partials(
+    events: DataFrame, size: str = fixed.WINDOW_SIZE, order_types: Sequence[str] = ("order_placed",)
 ) -> DataFrame:
-    """Tumbling-window metrics in long form: one row per window and metric.
-
-    The first aggregate is per (window, session), the second per window: distinct
-    sessions are exact, no session set is held in state, and a busy window is
-    spread over its sessions. On a stream run it in append mode (a window is
-    emitted once the watermark passes its end); rows later than ``grace`` are
-    dropped.
-    """
-    timed = events.where(F.col("event_timestamp").isNotNull())
-    if events.isStreaming:
-        timed = timed.withWatermark("event_timestamp", grace)
+    """Sums per (window, session); they can be added up over any cut of the events."""
     is_order = F.col("event_type").isin(list(order_types))
     # only clicks name sessions
     session = F.when(~F.coalesce(is_order, F.lit(False)), F.nullif(F.col("session_id"), F.lit("")))
-    per_session = (
-        timed.withColumn("_session", session)
+    return (
+        events.where(F.col("event_timestamp").isNotNull())
+        .withColumn("_session", session)
         .groupBy(F.window("event_timestamp", size).alias("window"), "_session")
         .agg(
             F.count_if(is_order).alias("orders"),
-            F.sum(F.when(is_order, F.coalesce("order_total", F.lit(0.0)))).alias("gmv"),
+            F.sum(F.when(is_order, money_units(F.coalesce("order_total", F.lit(0.0))))).alias("gmv"),
             F.count(F.lit(1)).alias("rows"),
         )
     )
-    totals = per_session.groupBy(F.window("window", size).alias("w")).agg(
+
+
+def window_totals(partials: DataFrame, size: str = fixed.WINDOW_SIZE) -> DataFrame:
+    """Metrics of each window in long form, from sums that have one row for each window and session."""
+    totals = partials.groupBy(F.window("window", size).alias("w")).agg(
         F.sum("orders").alias("orders"),
-        half_up(F.coalesce(F.sum("gmv"), F.lit(0.0)), 2).alias("gmv"),
+        half_up(F.coalesce(from_units(F.sum("gmv")), F.lit(0.0)), 2).alias("gmv"),
         F.count("_session").alias("sessions"),
         (F.sum("rows") - F.sum("orders")).alias("clicks"),
     )
@@ -105,6 +97,33 @@ def window_metrics(
     ).select("window_start", "window_end", "m.metric_name", "m.metric_value")
 
 
+def window_metrics(
+    events: DataFrame,
+    grace: str | None = None,
+    size: str = fixed.WINDOW_SIZE,
+    order_types: Sequence[str] = ("order_placed",),
+) -> DataFrame:
+    """Tumbling-window metrics in long form: one row per window and metric.
+
+    The first aggregate is per (window, session), the second per window: distinct
+    sessions are exact, no session set is held in state, and a busy window is
+    spread over its sessions. On a live stream run it in append mode (a window is
+    emitted once the watermark passes its end); rows later than ``grace``, which a stream must give, are
+    dropped and counted in the query's progress. To replay stored files, which come in no order of time, use
+    ``window_partials`` for each batch and ``combined_partials`` with ``window_totals`` on reading: nothing is late then.
+    """
+    if events.isStreaming:
+        if grace is None:
+            raise ValueError("a stream needs a grace period")
+        events = events.withWatermark("event_timestamp", grace)
+    return window_totals(window_partials(events, size, order_types), size)
+
+
+def combined_partials(partials: DataFrame) -> DataFrame:
+    """Partial sums of several batches added up to one row for each window and session."""
+    return partials.groupBy("window", "_session").agg(*[F.sum(c).alias(c) for c in ("orders", "gmv", "rows")])
+
+
 def experiment_counters(events: DataFrame) -> DataFrame:
     """Running impressions, clicks, conversions and revenue per experiment and variant.
 
@@ -117,7 +136,7 @@ def experiment_counters(events: DataFrame) -> DataFrame:
         F.count_if(kind.isin(fixed.IMPRESSION_EVENTS)).alias("impressions"),
         F.count_if(kind.isin(fixed.CLICK_EVENTS)).alias("clicks"),
         F.count_if(converted).alias("conversions"),
-        half_up(F.coalesce(F.sum(F.when(converted, F.col("order_total"))), F.lit(0.0)), 2).alias("revenue"),
+        half_up(F.coalesce(money_sum(F.when(converted, F.col("order_total"))), F.lit(0.0)), 2).alias("revenue"),
     )
     rate = half_up(F.try_divide("conversions", "impressions") * F.lit(100), 4)
     return counts.withColumn("conversion_rate", F.coalesce(rate, F.lit(0.0)))
@@ -194,9 +213,9 @@ def delivery_alerts(events: DataFrame) -> DataFrame:
 def delivery_alerts_stream(events: DataFrame, max_days: int = 60, delay: str = "1 day") -> DataFrame:
     """The same on a stream, as a stream-stream join within a time bound.
 
-    A shipped event is kept until ``max_days`` have passed, so an order that is
-    never delivered does not stay in state for good. A delivery that arrives
-    before its shipping event waits for it within ``delay``.
+    A shipped event is kept until ``max_days`` have passed. An order not delivered by then, delivered later
+    or never, leaves the state with a critical alert that has no delivery time, created when the bound ran out. A
+    delivery that arrives before its shipping event waits for it within ``delay``.
     """
     has_seller = "seller_id" in events.columns
 
@@ -205,9 +224,18 @@ def delivery_alerts_stream(events: DataFrame, max_days: int = 60, delay: str = "
         extra = [F.col("seller_id").alias("_seller")] if has_seller and kind == "shipped" else []
         return rows.select(F.col("order_id").alias(f"{prefix}_id"), F.col("event_timestamp").alias(f"{prefix}_at"), *extra)
 
-    late = F.expr(
-        f"s_id = d_id AND d_at > s_at + INTERVAL {fixed.SLA_DAYS} DAYS AND d_at <= s_at + INTERVAL {int(max_days)} DAYS"
+    bound = F.expr(f"s_id = d_id AND d_at > s_at AND d_at <= s_at + INTERVAL {int(max_days)} DAYS")
+    joined = side("shipped", "s").join(side("delivered", "d"), bound, "left_outer").where(
+        F.expr(f"d_at IS NULL OR d_at > s_at + INTERVAL {fixed.SLA_DAYS} DAYS")
     )
-    joined = side("shipped", "s").join(side("delivered", "d"), late)
     seller = F.col("_seller") if has_seller else F.lit(None).cast("string")
-    return joined.withColumnRenamed("s_id", "order_id").select(*_alert_columns(F.col("s_at"), F.col("d_at"), seller))
+    rows = joined.withColumnRenamed("s_id", "order_id").select(*_alert_columns(F.col("s_at"), F.col("d_at"), seller))
+    open_since = F.col("shipped_at") + F.make_dt_interval(days=F.lit(max_days))
+    missing = F.col("delivered_at").isNull()
+    return rows.withColumns(
+        {
+            "is_late": F.coalesce("is_late", F.lit(True)),
+            "alert_severity": F.when(missing, "critical").otherwise(F.col("alert_severity")),
+            "created_at": F.coalesce("created_at", open_since),
+        }
+    )

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import logging
 import time
 from collections import deque
 from collections.abc import Callable, Sequence
@@ -9,8 +10,11 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
+from agorakit.functions import fixed
 from agorakit.sources.sinks import upsert_sink
 
+log = logging.getLogger(__name__)
+
 PROGRESS_SCHEMA = (
     "query string, batch_id long, total_processed long, throughput_per_sec double, avg_latency_ms double, "
     "total_failed long, dlq_sent long, error_rate_per_1k double, measured_at string"
@@ -31,18 +35,22 @@ def with_retries(
     """
 
     def run(batch: DataFrame, batch_id: int) -> None:
+        message = ""
         for attempt in range(attempts):
             try:
                 process(batch, batch_id)
                 return
-            except Exception:
+            except Exception as error:
+                log.warning("%s: batch %d, attempt %d of %d: %s", consumer, batch_id, attempt + 1, attempts, error)
+                message = str(error)
                 if attempt < attempts - 1:
                     pause(float(2**attempt))
         original = F.col("_raw") if "_raw" in batch.columns else F.to_json(F.struct(*batch.columns))
         dead_letters(
             batch.select(
                 original.alias("original_message"),
-                F.lit("processing_failed_after_retries").alias("error_reason"),
+                F.lit(fixed.DLQ_RETRIES).alias("error_reason"),
+                F.lit(message[:2000]).alias("error_message"),
                 F.lit(consumer).alias("consumer"),
                 F.current_timestamp().alias("timestamp"),
             ),
@@ -52,15 +60,27 @@ def with_retries(
     return run
 
 
-def append_sink(path: str) -> Callable[[DataFrame, int], None]:
-    """``foreachBatch`` function writing each batch to its own folder, so a re-delivery overwrites itself."""
+def append_sink(
+    path: str, prepare: Callable[[DataFrame], DataFrame] = lambda batch: batch
+) -> Callable[[DataFrame, int], None]:
+    """``foreachBatch`` function writing what ``prepare`` makes of each batch to its own folder, so a re-delivery overwrites itself."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        prepare(batch).write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
 
     return write
 
 
+def start_partials(stream: DataFrame, path: str, checkpoint: str, prepare: Callable[[DataFrame], DataFrame]) -> StreamingQuery:
+    """Start a stateless query that writes each batch's partial aggregate; the reader adds them up. No row is ever late."""
+    return (
+        stream.writeStream.foreachBatch(append_sink(path, prepare))
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+
+
 def start_upsert(
     stream: DataFrame, path: str, checkpoint: str, keys: Sequence[str], order: Sequence[str], mode: str = "update"
 ) -> StreamingQuery:

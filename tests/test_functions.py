@@ -152,3 +152,11 @@ def test_first_per_orders_ties_by_all_columns(spark):
     df = spark.createDataFrame([("a", 1, "y"), ("a", 1, "x"), ("b", 2, "z")], "k string, t int, v string")
     assert sorted(tuple(r) for r in first_per(df, ["k"], ["t", "v"]).collect()) == [("a", 1, "x"), ("b", 2, "z")]
     assert sorted(tuple(r) for r in first_per(df, ["k"], ["t", "v"], False).collect()) == [("a", 1, "y"), ("b", 2, "z")]
+
+
+def test_money_sums_have_the_same_bits_in_any_order(spark):
+    from agorakit.functions import money_sum
+
+    rows = spark.range(200_000).select((F.pmod(F.xxhash64("id"), F.lit(10**11)) / F.lit(10**4)).alias("x"), F.rand(5).alias("r"))
+    found = {rows.repartition(n, "r").agg(money_sum(F.col("x") * 1.0)).first()[0] for n in (1, 3, 7, 32)}
+    assert len(found) == 1 and found.pop() > 9e11

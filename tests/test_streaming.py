@@ -60,7 +60,7 @@ def test_streamed_windows_match_the_batch_and_drop_late_rows(spark, tmp_path):
     land(src, "b.json", [event("product_view", "00:20:00", "s9")])  # moves the watermark to 00:19
     land(src, "c.json", [event("product_view", "00:04:00", "late"), event("product_view", "00:19:30", "s8")])
     land(src, "d.json", [event("product_view", "01:00:00", "s9")])
-    metrics = streams.window_metrics(stream_of(spark, src))
+    metrics = streams.window_metrics(stream_of(spark, src), fixed.WINDOW_GRACE)
     runtime.start_append(metrics, str(tmp_path / "out"), str(tmp_path / "cp")).awaitTermination()
     got = windows(spark.read.schema(metrics.schema).parquet(str(tmp_path / "out")))
     kept = [e for e in FIRST] + [event("product_view", "00:20:00", "s9"), event("product_view", "00:19:30", "s8")]
@@ -183,6 +183,48 @@ def test_upsert_is_idempotent(spark, tmp_path):
     assert sorted(map(tuple, sinks.read_upserted(spark, path).collect())) == [("a", 2, "new"), ("b", 2, "y"), ("c", 1, "z")]
 
 
+def test_upsert_keeps_the_newest_row_whatever_the_batches(spark, tmp_path):
+    path = str(tmp_path / "t")
+    rows = [(f"k{i % 17}", (i * 7919) % 101, f"v{i}") for i in range(200)]
+    schema = "k string, t int, v string"
+    for n in range(0, 200, 25):
+        sinks.upsert(path, spark.createDataFrame(rows[n : n + 25], schema), ["k"], ["t"], n // 25, "src", buckets=5)
+    want = sorted(max((r for r in rows if r[0] == f"k{k}"), key=lambda r: r[1:]) for k in range(17))
+    assert sorted(map(tuple, sinks.read_upserted(spark, path).collect())) == want
+    # a batch that was delivered before is skipped, another source's is not
+    late = spark.createDataFrame([("k0", 1000, "again")], schema)
+    sinks.upsert(path, late, ["k"], ["t"], 3, "src")
+    assert sorted(map(tuple, sinks.read_upserted(spark, path).collect())) == want
+    sinks.upsert(path, late, ["k"], ["t"], 3, "other")
+    assert ("k0", 1000, "again") in set(map(tuple, sinks.read_upserted(spark, path).collect()))
+    # one key touches one bucket; the others stay where they were
+    assert len([d for d in (tmp_path / "t" / "data" / "v=8").iterdir() if d.is_dir()]) == 1
+
+
+def test_stream_results_do_not_depend_on_the_files(spark, tmp_path, small):
+    from agorakit.plans import realtime
+    from agorakit.plans.tables import Model
+
+    events = spark.read.parquet(f"{small}/events.parquet")
+    events.repartition(350, F.rand(3)).write.parquet(str(tmp_path / "events.parquet"))
+    many, one = Model(spark, str(tmp_path)), Model(spark, small)
+    for run in (realtime._run_latest_orders, realtime._run_windows, realtime._run_counters):
+        assert sorted(map(repr, run(many).collect())) == sorted(map(repr, run(one).collect())), run.__name__
+
+
+def test_orders_never_delivered_leave_the_stream_with_an_alert(spark, tmp_path):
+    src = tmp_path / "in"
+    shipped = {"event_type": "shipped", "timestamp": "2024-01-01T00:00:00Z"}
+    land(src, "a.json", [{**event("shipped", "00:00:00", None), **shipped, "order_id": "lost"}])
+    later = {**event("delivered", "00:00:00", None), "timestamp": "2024-06-01T00:00:00Z", "order_id": "other"}
+    land(src, "b.json", [later, {**later, "event_type": "shipped"}])
+    land(src, "c.json", [{**later, "order_id": "more"}, {**later, "event_type": "shipped", "order_id": "more"}])
+    out = streams.delivery_alerts_stream(stream_of(spark, src))
+    runtime.start_append(out, str(tmp_path / "out"), str(tmp_path / "cp")).awaitTermination()
+    found = spark.read.schema(out.schema).parquet(str(tmp_path / "out")).collect()
+    assert [(r.order_id, r.delivered_at, r.is_late, r.alert_severity) for r in found] == [("lost", None, True, "critical")]
+
+
 def test_restart_from_the_checkpoint_reads_only_new_files(spark, tmp_path):
     src, path, cp = tmp_path / "in", str(tmp_path / "t"), str(tmp_path / "cp")
 
@@ -212,6 +254,7 @@ def test_retries_then_dead_letters(spark):
     run(batch, 7)
     assert seen == [7, 7, 7] and pauses == [1.0, 2.0]
     assert {r.error_reason for r in dead} == {"processing_failed_after_retries"} and len(dead) == 2
+    assert {r.error_message for r in dead} == {"down"}
     flaky = iter([RuntimeError("once"), None])
 
     def sometimes(df, batch_id):
