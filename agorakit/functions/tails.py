@@ -22,22 +22,26 @@ from pyspark.sql.types import DoubleType
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
-def _betainc(a: float, b: float, x: float) -> float:
-    """Regularised incomplete beta by Lentz's continued fraction."""
+def _betainc(a: float, b: float, x: float, y: float | None = None) -> float:
+    """Regularised incomplete beta by Lentz's continued fraction; ``y`` is 1 - x, given where x is close to 1.
+
+    The fraction needs about as many steps as the square root of the larger parameter.
+    """
+    y = 1.0 - x if y is None else y
     if x <= 0.0:
         return 0.0
-    if x >= 1.0:
+    if y <= 0.0:
         return 1.0
     if x > (a + 1.0) / (a + b + 2.0):
-        return 1.0 - _betainc(b, a, 1.0 - x)
-    front = math.exp(
-        math.lgamma(a + b) - math.lgamma(a) - math.lgamma(b) + a * math.log(x) + b * math.log1p(-x)
-    ) / a
+        return 1.0 - _betainc(b, a, y, x)
+    log_x = math.log(x) if x < 0.5 else math.log1p(-y)
+    log_y = math.log(y) if y < 0.5 else math.log1p(-x)
+    front = math.exp(math.lgamma(a + b) - math.lgamma(a) - math.lgamma(b) + a * log_x + b * log_y) / a
     tiny = 1e-300
     c, d = 1.0, 1.0 - (a + b) * x / (a + 1.0)
     d = 1.0 / (d if abs(d) > tiny else tiny)
     frac = d
-    for m in range(1, 500):
+    for m in range(1, 500 + int(10 * math.sqrt(max(a, b)))):
         for num in (
             m * (b - m) * x / ((a + 2 * m - 1) * (a + 2 * m)),
             -(a + m) * (a + b + m) * x / ((a + 2 * m) * (a + 2 * m + 1)),
@@ -55,7 +59,10 @@ def _betainc(a: float, b: float, x: float) -> float:
 def t_two_sided(t: float, df: float) -> float:
     if math.isnan(t) or math.isnan(df) or df <= 0:
         return float("nan")
-    return _betainc(df / 2.0, 0.5, df / (df + t * t))
+    if df > 1e8:  # the normal tail is within 1e-8 there, and the gamma functions lose more digits
+        return math.erfc(abs(t) / math.sqrt(2.0))
+    total = df + t * t
+    return _betainc(df / 2.0, 0.5, df / total, t * t / total)
 
 
 def f_upper(f: float, d1: float, d2: float) -> float:
@@ -63,7 +70,8 @@ def f_upper(f: float, d1: float, d2: float) -> float:
         return float("nan")
     if f <= 0:
         return 1.0
-    return _betainc(d2 / 2.0, d1 / 2.0, d2 / (d2 + d1 * f))
+    total = d2 + d1 * f
+    return _betainc(d2 / 2.0, d1 / 2.0, d2 / total, d1 * f / total)
 
 
 def t_quantile(p: float, df: float) -> float:
@@ -80,9 +88,21 @@ def t_quantile(p: float, df: float) -> float:
 
 
 def fisher_two_sided(a: int, b: int, c: int, d: int) -> float:
-    """Sum of the hypergeometric probabilities not above the observed one."""
+    """Sum of the hypergeometric probabilities not above the observed one.
+
+    Only tables within 40 standard deviations of the likeliest count (what lies beyond is below the
+    smallest double), so the work grows with the square root of the table.
+    """
     row, col, n = a + b, a + c, a + b + c + d
+    if n == 0:
+        return 1.0
     lo, hi = max(0, col - (n - row)), min(row, col)
+    mode = min(max((row + 1) * (col + 1) // (n + 2), lo), hi)
+    spread = math.sqrt(row / n * (n - row) * col / n * (n - col) / max(n - 1, 1))
+    reach = int(40 * spread) + 60
+    lo, hi = max(lo, mode - reach), min(hi, mode + reach)
+    if not lo <= a <= hi:
+        return 0.0
     ks = np.arange(lo, hi + 1, dtype=float)
     # log pmf by its ratio recurrence, so the support is one vector operation
     steps = np.log((row - ks[:-1]) * (col - ks[:-1])) - np.log((ks[:-1] + 1) * (n - row - col + ks[:-1] + 1))

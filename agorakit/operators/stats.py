@@ -404,11 +404,6 @@ def achieved_power(stats: DataFrame, catalog: DataFrame) -> DataFrame:
     )
 
 
-def api_sample_size(rate: Column, mde: float = 0.02) -> Column:
-    z = fixed.API_Z_ALPHA + fixed.API_Z_BETA
-    return F.floor(F.lit(2.0 * z * z) * rate * (F.lit(1.0) - rate) / F.lit(max(mde * mde, 1e-8))).cast("long")
-
-
 def correct(pvals: DataFrame, family: Sequence[str], method: str, p: str = "p_value", alpha: float = ALPHA) -> DataFrame:
     """Corrected p-values within each family (a family is one experiment's metrics, or all experiments).
 

@@ -19,9 +19,9 @@ def _all_checks(m):
     frames = {
         "stg_orders": m.stg_orders,
         "stg_payments": m.stg_payments,
-        "stg_customers": m.raw_customers,
+        "stg_customers": m.stg_customers,
         "stg_products": m.stg_products,
-        "stg_reviews": m.scores_only,
+        "stg_reviews": m.stg_reviews,
         "stg_order_items": m.stg_items,
         "fct_order_items": m.fct_items,
         "realtime_orders": m.rt,

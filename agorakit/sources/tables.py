@@ -17,8 +17,9 @@ def read_table(spark: SparkSession, name: str, base: str, fmt: str = "csv", fall
         path = f"{root.rstrip('/')}/{name}.{fmt}"
         if fmt == "csv":
             # Text columns that hold numbers or times are typed by staging, so bad
-            # values become nulls there instead of failing the scan.
-            return spark.read.schema(schema).csv(path, header=True, multiLine=True, escape='"')
+            # values become nulls there instead of failing the scan. Only reviews hold line breaks;
+            # the other tables can be read by many tasks.
+            return spark.read.schema(schema).csv(path, header=True, multiLine=name == "order_reviews", escape='"')
         return spark.read.format(fmt).load(path)
 
     if fallback is None:

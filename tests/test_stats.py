@@ -258,3 +258,20 @@ def test_srm_and_independence(spark):
     df = spark.createDataFrame(people, "customer_id string, experiment_id string, variant string")
     pairs = {(r.experiment_a, r.experiment_b): r.independent for r in stats.independence(experiments.arm_pairs(df, ["a", "b", "c"])).collect()}
     assert pairs == {("a", "b"): True, ("a", "c"): False, ("b", "c"): True}
+
+
+def test_tails_of_large_samples():
+    import time
+
+    from agorakit.functions.tails import fisher_two_sided, t_two_sided
+
+    start = time.perf_counter()
+    n, x = 10**10, 10**9
+    p = fisher_two_sided(x, n - x, x + 60_000, n - x - 60_000)
+    assert time.perf_counter() - start < 1
+    rate = (2 * x + 60_000) / (2 * n)
+    z = 60_000 / n / math.sqrt(rate * (1 - rate) * 2 / n)
+    assert p == pytest.approx(math.erfc(z / math.sqrt(2)), rel=1e-2)
+    assert fisher_two_sided(3, 1, 1, 3) == pytest.approx(0.4857142857)
+    assert fisher_two_sided(10**9, 0, 0, 10**9) == 0.0 and fisher_two_sided(0, 0, 0, 0) == 1.0
+    assert t_two_sided(2.0, 1e12) == pytest.approx(math.erfc(2 / math.sqrt(2)), rel=1e-6)
