@@ -166,14 +166,15 @@ def mates(routed: DataFrame) -> DataFrame:
 
 
 def dealt(members: DataFrame, num: int, den: int, first: bool) -> DataFrame:
-    """``members`` (centre, cls, size, k, n, point, label, own) as rows of blocks: block, is_centre, small added.
+    """``members`` (centre, cls, size, k, n, point, label, own) as rows of blocks: block, is_centre, small, late added.
 
     A block is a band of a group: sets whose sizes allow the threshold are in the same or the next band, and every member is
     in its own and the next. Groups over CHUNK are cut: in the first pass the centre goes to all chunks, in the
     second all members whose label is not the centre's (``own``: it is) do, cut into chunks themselves.
     """
     band = F.floor(F.log(F.col("n")) / F.lit(float(np.log(den / num * 1.0001)))).cast("long")
-    rows = members.withColumn("is_centre", F.col("centre") == F.col("cls")).withColumn("small", F.col("size") <= SMALL)
+    rows = members.withColumn("is_centre", F.col("centre") == F.col("cls") if first else F.lit(False))
+    rows = rows.withColumn("small", F.col("size") <= SMALL)
     chunks = F.ceil(F.col("size") / F.lit(CHUNK)).cast("int")
     place = F.pmod(F.xxhash64("cls"), chunks).cast("int")
     every = F.sequence(F.lit(0), chunks - 1)
@@ -188,8 +189,8 @@ def dealt(members: DataFrame, num: int, den: int, first: bool) -> DataFrame:
         as_member = rows.withColumn("i", F.explode(F.sequence(F.lit(0), parts - 1))).withColumn("j", place)
         as_odd = rows.where(~F.col("own") & (chunks * parts > 1)).withColumn("i", slot).withColumn("j", F.explode(every))
         rows = as_member.unionByName(as_odd)
-    rows = rows.withColumn("band", F.explode(F.array(band, band + 1)))
-    return rows.withColumn("block", F.xxhash64("centre", "band", "i", "j"))
+    rows = rows.withColumn("late", F.explode(F.array(F.lit(False), F.lit(True))))
+    return rows.withColumn("block", F.xxhash64("centre", band + F.col("late").cast("long"), "i", "j"))
 
 
 # --- points and sets of classes ------------------------------------------------------------------------------------
@@ -348,7 +349,8 @@ def surviving_pairs(members: DataFrame, num: int, den: int, star: bool) -> DataF
         block = list({row[0]: row for row in sorted(block, key=lambda row: row[4])}.values())
         if len(block) < 2:
             return []
-        keys, sizes, points, labels, centres, small = zip(*block)
+        keys, sizes, points, labels, centres, small, late = zip(*block)
+        late = np.array(late)
         named = [lab if lab is not None else key for lab, key in zip(labels, keys)]
         if len(set(named)) < 2:
             return []
@@ -360,9 +362,12 @@ def surviving_pairs(members: DataFrame, num: int, den: int, star: bool) -> DataF
             if not any(centres):  # the centre is in no band of these
                 return []
             i = int(np.flatnonzero(np.array(centres)[at])[0])
-            return [(keys[at[i]], keys[at[j]]) for j in found.partners(i, num, den)]
-        x, y = found.pairs(num, den)
-        return [(keys[at[i]], keys[at[j]]) for i, j in zip(x, y)]
+            y = found.partners(i, num, den)
+            x = np.full(len(y), i)
+        else:
+            x, y = found.pairs(num, den)
+        x, y = at[x], at[y]
+        return [(keys[i], keys[j]) for i, j, old in zip(x, y, late[x] & late[y]) if not old]
 
     def batch_of(pairs: list[tuple[bytes, bytes]]) -> pa.RecordBatch:
         pairs = list({(min(p), max(p)) for p in pairs})
@@ -372,7 +377,7 @@ def surviving_pairs(members: DataFrame, num: int, den: int, star: bool) -> DataF
         open_block, held = None, []
         for batch in batches:
             ids = batch.column(0).to_numpy()
-            rows = list(zip(*[batch.column(k).to_pylist() for k in range(1, 7)]))
+            rows = list(zip(*[batch.column(k).to_pylist() for k in range(1, 8)]))
             edges = np.flatnonzero(np.r_[True, ids[1:] != ids[:-1]]) if len(ids) else []
             out: list[tuple[bytes, bytes]] = []
             for start, end in zip(edges, [*edges[1:], len(ids)]):
@@ -386,7 +391,7 @@ def surviving_pairs(members: DataFrame, num: int, den: int, star: bool) -> DataF
         if out:
             yield batch_of(out)
 
-    rows = members.select("block", "k", "n", "point", "label", "is_centre", "small")
+    rows = members.select("block", "k", "n", "point", "label", "is_centre", "small", "late")
     rows = rows.repartition("block").sortWithinPartitions("block")
     return rows.mapInArrow(run, "a binary, b binary").distinct()
 
@@ -443,12 +448,16 @@ def jaccard_components(docs: DataFrame, num: int = 75, den: int = 100, size: int
     label = components(links)
     named = points.join(label.withColumnRenamed("node", "k"), "k", "left").withColumn("label", F.coalesce("label", "k"))
     heads = named.select(F.col("cls").alias("centre"), F.col("label").alias("head")).dropDuplicates(["centre"])
-    rest = members.where(F.col("size") > SMALL).join(named, "cls").join(heads, "centre").withColumn("own", F.col("label") == F.col("head"))
+    # groups whose centres are connected by now are one group
+    merged = members.where(F.col("size") > SMALL).join(heads, "centre").select(F.col("head").alias("centre"), "cls").distinct()
+    merged = materialize(merged, "merged")
+    rest = merged.join(merged.groupBy("centre").agg(F.count("*").alias("size")), "centre").join(named, "cls")
+    rest = rest.withColumn("own", F.col("label") == F.col("centre"))
     second = surviving_pairs(dealt(rest, num, den, False), num, den, False)
     second = materialize(second.join(first, ["a", "b"], "left_anti"), "pairs")
     bodies = sets_of(docs, size, second)
     label = components(links.unionByName(verified(second, bodies, num, den)))
-    discard(bodies, members, points, first, second, links)
+    discard(bodies, members, merged, points, first, second, links)
 
     least = sets.where("k is not null").groupBy("k").agg(F.min("doc_id").alias("least"))
     joined = least.join(label.withColumnRenamed("node", "k"), "k", "left").withColumn("label", F.coalesce("label", "k"))
