@@ -120,7 +120,11 @@ def suffix_order(text: np.ndarray, width: int) -> np.ndarray:
 
 
 class FMIndex:
-    """FM-index of documents given as runs of word codes (1 and up; 0 ends a document)."""
+    """FM-index of documents given as runs of word codes (2 and up; 1 ends a document, one 0 ends the text).
+
+    The end must be a code of its own: the walk back from one document to the one before passes
+    its 1, and only codes whose suffixes are all in the order of what follows them can be walked through.
+    """
 
     def __init__(self, text: np.ndarray, n_codes: int):
         self.width = max(1, int(n_codes).bit_length())
@@ -190,10 +194,12 @@ def _scan(part: pa.RecordBatch, phrases: Phrases) -> list[pa.Array]:
     n_docs = len(words.first) - 1
     counts = np.diff(words.first)
     starts = words.first[:-1] + np.arange(n_docs)
-    text = np.zeros(len(words.codes) + n_docs, np.int64)
+    text = np.ones(len(words.codes) + n_docs + 1, np.int64)
+    text[-1] = 0
     inside = np.ones(len(text), bool)
     inside[starts + counts] = False
-    text[inside] = words.codes.astype(np.int64) + 1
+    inside[-1] = False
+    text[inside] = words.codes.astype(np.int64) + 2
     spans: list[list[dict[str, int]]] = [[] for _ in range(n_docs)]
     items: list[list[str]] = [[] for _ in range(n_docs)]
     if "spans" in part.schema.names:
@@ -201,12 +207,12 @@ def _scan(part: pa.RecordBatch, phrases: Phrases) -> list[pa.Array]:
         spans = column(part, "spans").take(pa.array(at)).to_pylist()
         items = column(part, "items").take(pa.array(at)).to_pylist()
     vocabulary = pa.array(words.vocabulary, pa.large_binary())
-    here = pc.fill_null(pc.add(pc.index_in(phrases.vocabulary, vocabulary).cast(pa.int64()), 1), -1).to_numpy(zero_copy_only=False)
+    here = pc.fill_null(pc.add(pc.index_in(phrases.vocabulary, vocabulary).cast(pa.int64()), 2), -1).to_numpy(zero_copy_only=False)
     if len(phrases.lengths) and len(words.codes):
         asked = np.where(phrases.codes >= 0, here[phrases.codes], -1)
         possible = np.flatnonzero(((asked > 0) | (phrases.codes < 0)).all(axis=1))
         if len(possible):
-            index = FMIndex(text, len(words.vocabulary))
+            index = FMIndex(text, len(words.vocabulary) + 1)
             low, high = index.search(asked[possible], phrases.lengths[possible])
             found = np.flatnonzero(high > low)
             times = (high - low)[found]

@@ -83,16 +83,23 @@ def test_clean_keeps_columns_and_clean_rows(spark, frame, case):
 
 def test_suffixes_and_index():
     rng = np.random.default_rng(1)
-    for _ in range(30):
-        text = np.r_[rng.integers(1, 5, rng.integers(1, 120)), 0].astype(np.int64)
+    for _ in range(60):
+        # words are 2 and up, 1 ends a document, 0 the text
+        text = np.r_[rng.integers(1, 6, rng.integers(1, 120)), 1].astype(np.int64)
         if rng.random() < 0.5:
-            text = np.r_[text, text[:-1], 0]
+            text = np.r_[text, text]
+        text = np.r_[text, 0]
         order = D.suffix_order(text, 3)
-        # the end of the array comes before any code
         assert order.tolist() == sorted(range(len(text)), key=lambda i: text[i:].tolist())
-        index = D.FMIndex(text, 4)
-        phrase = text[: min(3, len(text) - 1)]
-        if (phrase > 0).all():
-            low, high = index.search(phrase[None, :], np.array([len(phrase)]))
+        index = D.FMIndex(text, 5)
+        for at in range(0, len(text) - 4, 7):
+            phrase = text[at : at + 3]
+            low, high = index.search(phrase[None, :], np.array([3]))
             found = sorted(index.locate(np.arange(low[0], high[0])).tolist())
-            assert found == [i for i in range(len(text)) if text[i : i + len(phrase)].tolist() == phrase.tolist()]
+            assert found == [i for i in range(len(text)) if text[i : i + 3].tolist() == phrase.tolist()]
+
+
+def test_passages_at_the_start_of_documents(spark, frame, texts):
+    items = [(i, texts(500 + i, 20)) for i in range(6)]
+    docs = [(i, items[i % 6][1] + " " + texts(i, 5 + i)) for i in range(40)] + [(50 + i, texts(90 + i, 9)) for i in range(20)]
+    assert run(spark, frame, docs, items) == brute(docs, items)
