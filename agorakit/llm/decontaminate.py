@@ -17,11 +17,11 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from agorakit.llm.kernels import alnum_words, column, slices
+from agorakit.llm.kernels import alnum_words, column, slices, with_text
 from agorakit.session import materialize
 
 WINDOW = 13
-SHARD_BYTES = 6 << 20
+SHARD_BYTES = 3 << 20
 SAMPLE = 4  # every fourth text place keeps its suffix position
 BLOCK_WORDS = 1 << 20  # benchmark words sent to the tasks at a time
 FOUND = T.StructType(
@@ -278,7 +278,9 @@ def scan(
     bounded; with several blocks each pass is written to the shared folder and the next adds to it.
     """
     struct = F.struct(*[F.col(f"`{c}`") for c in keep]).alias("_row")
-    frame = docs.select(struct, F.col("text").cast("string").alias("_text"))
+    # a text that is carried anyway is not sent twice
+    inside = "text" in keep
+    frame = docs.select(struct) if inside else docs.select(struct, F.col("text").cast("string").alias("_text"))
     context = docs.sparkSession.sparkContext
     blocks = _blocks(benchmark, block_words)
     block, after = next(blocks, []), next(blocks, None)
@@ -287,8 +289,8 @@ def scan(
         last = after is None
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared, last=last) -> Iterator[pa.RecordBatch]:
-            for part in slices(batches, "_text", SHARD_BYTES):
-                carried = ["_row"] if last else ["_row", "_text"]
+            for part in slices(with_text(batches), "_text", SHARD_BYTES):
+                carried = ["_row"] if last or inside else ["_row", "_text"]
                 columns = [column(part, c) for c in carried] + _scan(part, shared.value)
                 yield pa.RecordBatch.from_arrays(columns, names=[*carried, "n_words", "spans", "items"])
 

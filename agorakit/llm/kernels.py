@@ -44,6 +44,15 @@ def once(key: str, make: Callable[[], object]) -> object:
     return kept[key]
 
 
+def with_text(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches with a column ``_text``: where it is missing, it is the field ``text`` of ``_row``, not a copy."""
+    for batch in batches:
+        if "_text" not in batch.schema.names:
+            text = pc.struct_field(column(batch, "_row"), "text").cast(pa.string())
+            batch = pa.RecordBatch.from_arrays([*batch.columns, text], names=[*batch.schema.names, "_text"])
+        yield batch
+
+
 def column(batch: pa.RecordBatch, name: str) -> pa.Array:
     return batch.column(batch.schema.get_field_index(name))
 

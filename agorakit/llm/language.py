@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from agorakit.llm import arrays
-from agorakit.llm.kernels import column, once, slices, utf8
+from agorakit.llm.kernels import column, once, slices, utf8, with_text
 from agorakit.llm.tokens import LETTER, _classes
 from agorakit.session import materialize
 
@@ -194,11 +194,12 @@ def identify(docs: DataFrame, model: dict | None, keep: list[str]) -> DataFrame:
     Whole texts are read. A null text, or one without letters, is ``und`` with score 0; so is every text if there is no model.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    frame = docs.select(F.struct(*[F.col(f"`{c}`") for c in keep]).alias("_row"), F.col("text").cast("string").alias("_text"))
+    struct = F.struct(*[F.col(f"`{c}`") for c in keep]).alias("_row")
+    frame = docs.select(struct) if "text" in keep else docs.select(struct, F.col("text").cast("string").alias("_text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = shared.value
-        for part in slices(batches, "_text"):
+        for part in slices(with_text(batches), "_text"):
             found, lettered = grams(column(part, "_text"))
             langs, scores = [UNKNOWN] * part.num_rows, np.zeros(part.num_rows)
             for i in np.flatnonzero(lettered) if own else []:

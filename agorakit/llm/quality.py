@@ -15,7 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from agorakit.llm.kernels import Words, column, lower_ascii, slices, utf8
+from agorakit.llm.kernels import Words, column, lower_ascii, slices, utf8, with_text
 from agorakit.llm.language import held_out
 from agorakit.session import materialize
 
@@ -209,10 +209,11 @@ def learn(stats: DataFrame, labels: DataFrame, usable: Column) -> dict | None:
 
 def _stats(docs: DataFrame, keep: list[str]) -> DataFrame:
     """``_row`` (struct of ``keep``) and the packed statistics of the text."""
-    frame = docs.select(F.struct(*[F.col(f"`{c}`") for c in keep]).alias("_row"), F.col("text").cast("string").alias("_text"))
+    struct = F.struct(*[F.col(f"`{c}`") for c in keep]).alias("_row")
+    frame = docs.select(struct) if "text" in keep else docs.select(struct, F.col("text").cast("string").alias("_text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches, "_text"):
+        for part in slices(with_text(batches), "_text"):
             x = features(column(part, "_text")).astype(np.float32)
             yield pa.RecordBatch.from_arrays([column(part, "_row"), pa.array([r.tobytes() for r in x], pa.binary())], names=["_row", "stats"])
 

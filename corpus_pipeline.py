@@ -22,13 +22,23 @@ from agorakit.session import apply_runtime_conf, materialize
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+#: Rows of a batch that Python workers get at a time; whole documents pass through them in several stages.
+BATCH_ROWS = 1000
+
+
+def small_batches(spark: SparkSession) -> None:
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+
+
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without letters, or whose language the model cannot tell, go."""
+    small_batches(spark)
     return recognised(docs)
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier scores below its threshold go."""
+    small_batches(spark)
     return good(docs, table(spark, sf_dir, "labels"))
 
 
@@ -39,11 +49,13 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents of which a twentieth or more lies in benchmark passages go."""
+    small_batches(spark)
     return clean(docs, table(spark, sf_dir, "benchmark"))
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of all documents in sequences of 1024 ids, ids included."""
+    small_batches(spark)
     return pack(docs, vocabulary())
 
 
