@@ -32,6 +32,8 @@ def slices(batches: Iterator[pa.RecordBatch], text: str = "text", limit: int = S
             last = max(first + 1, int(np.searchsorted(ends, base + limit, side="right")))
             yield batch.slice(first, last - first)
             first, base = last, int(ends[last - 1])
+    # workers live on for later stages: what this one freed goes back to the system
+    pa.default_memory_pool().release_unused()
 
 
 def once(key: str, make: Callable[[], object]) -> object:
