@@ -86,8 +86,12 @@ def vector(found: np.ndarray, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return at, value / max(float(np.sqrt(value @ value)), 1e-12)
 
 
-def fit(rows: list[tuple[str, np.ndarray, np.ndarray]], seed: int = 1) -> dict:
-    """Weights (buckets x languages), bias, languages and temperature from (language, buckets, values) rows.
+def fit(rows: list[tuple[str, np.ndarray, np.ndarray]], rates: dict[str, float] | None = None, seed: int = 1) -> dict:
+    """Weights (buckets x languages), bias, languages, prior and temperature from (language, buckets, values) rows.
+
+    ``rates`` has the rate at which each language's rows were sampled; without it the rows are all. The prior takes the
+    log of the rate from a language's scores, after the temperature, so that a language sampled at a low rate
+    is not taken for a rare one; the temperature weighs rows by one over the rate.
 
     Every fifth row is kept for the temperature. Follow-the-regularised-leader keeps a
     weight at zero while the sum of its gradients stays below ``L1``.
@@ -120,14 +124,16 @@ def fit(rows: list[tuple[str, np.ndarray, np.ndarray]], seed: int = 1) -> dict:
 
     scores = np.array([value @ w[at] + 0.1 * w[BUCKETS] for _, at, value in check])
     truth = np.array([code[name] for name, _, _ in check])
+    each = np.array([1 / rates[name] if rates else 1.0 for name in names])
+    prior = np.log(each)
 
     def loss(t: float) -> float:
-        s = scores / t
+        s = scores / t + prior
         top = s.max(axis=1, keepdims=True)
-        return float(np.mean(np.log(np.exp(s - top).sum(axis=1)) + top[:, 0] - s[np.arange(len(s)), truth]))
+        return float(np.average(np.log(np.exp(s - top).sum(axis=1)) + top[:, 0] - s[np.arange(len(s)), truth], weights=each[truth]))
 
     grid = [2.0 ** (k / 4) for k in range(-16, 17)]
-    return {"names": names, "weights": w, "temperature": min(grid, key=loss) if len(check) else 1.0}
+    return {"names": names, "weights": w, "prior": prior, "temperature": min(grid, key=loss) if len(check) else 1.0}
 
 
 def learn(docs: DataFrame, usable: Column, sample: int = SAMPLE) -> dict | None:
@@ -179,7 +185,7 @@ def learn(docs: DataFrame, usable: Column, sample: int = SAMPLE) -> dict | None:
                 value = np.log1p(np.frombuffer(times, np.uint32)) * idf[where]
                 rows.append((lang, where, value / max(float(np.sqrt(value @ value)), 1e-12)))
         if rows:
-            yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(fit(rows))], pa.binary())], names=["model"])
+            yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(fit(rows, limits))], pa.binary())], names=["model"])
 
     # equal rows have equal hashes; the bound holds even where a language has more rows under its limit
     bound = 2 * sample * len(counts)
@@ -204,7 +210,7 @@ def identify(docs: DataFrame, model: dict | None, keep: list[str]) -> DataFrame:
             langs, scores = [UNKNOWN] * part.num_rows, np.zeros(part.num_rows)
             for i in np.flatnonzero(lettered) if own else []:
                 at, value = vector(found[i], own["idf"])
-                s = (value @ own["weights"][at] + 0.1 * own["weights"][BUCKETS]) / own["temperature"]
+                s = (value @ own["weights"][at] + 0.1 * own["weights"][BUCKETS]) / own["temperature"] + own["prior"]
                 best = int(np.argmax(s))
                 langs[i], scores[i] = own["names"][best], 1 / float(np.exp(s - s[best]).sum())
             yield pa.RecordBatch.from_arrays([column(part, "_row"), pa.array(langs, pa.string()), pa.array(scores)], names=["_row", "lang_pred", "score"])

@@ -19,7 +19,7 @@ from agorakit.llm.kernels import Words, column, lower_ascii, slices, utf8, with_
 from agorakit.llm.language import held_out
 from agorakit.session import materialize
 
-SAMPLE = 20_000  # positives, and unlabelled rows, that the fit sees at most; about so many labelled rows for the scaling
+SAMPLE = 20_000  # positives, negatives and unlabelled rows, each, that the fit and the scaling see at most, about
 STEPS = 600
 BATCH = 1024
 HIDDEN = 16
@@ -145,15 +145,24 @@ def fit(positive: np.ndarray, unlabelled: np.ndarray, prior: float, seed: int =
     return net
 
 
-def scaled(score: np.ndarray, label: np.ndarray) -> tuple[float, float]:
-    """Slope and offset of a logistic fit of labels to scores (Newton steps, with a small penalty)."""
+def scaled(score: np.ndarray, label: np.ndarray, weight: np.ndarray) -> tuple[float, float]:
+    """Slope and offset of a weighted logistic fit of labels to scores (Newton steps, with a small penalty)."""
     x = np.stack([score, np.ones(len(score))], axis=1)
     w = np.array([1.0, 0.0])
+
+    def loss(w: np.ndarray) -> float:
+        s = x @ w
+        return float(weight @ (np.logaddexp(0, s) - label * s)) + 5e-4 * float((w - [1.0, 0.0]) @ (w - [1.0, 0.0]))
+
     for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        h = (x * (p * (1 - p))[:, None]).T @ x + 1e-3 * np.eye(2)
-        step = np.linalg.solve(h, x.T @ (p - label) + 1e-3 * (w - [1.0, 0.0]))
-        w = w - np.clip(step, -2, 2)
+        h = (x * (weight * p * (1 - p))[:, None]).T @ x + 1e-3 * np.eye(2)
+        step = np.linalg.solve(h, x.T @ (weight * (p - label)) + 1e-3 * (w - [1.0, 0.0]))
+        # a step that overshoots is halved
+        size = next((k for k in 0.5 ** np.arange(30) if loss(w - k * step) < loss(w)), 0.0)
+        w = w - size * step
+        if not size:
+            break
     return float(max(w[0], 1e-3)), float(w[1])
 
 
@@ -166,7 +175,8 @@ def learn(stats: DataFrame, labels: DataFrame, usable: Column) -> dict | None:
     """The model from ``stats`` (doc_id, h, stats) and ``labels`` (doc_id, quality), rows with ``usable`` only.
 
     Several labels of one doc_id count as their mean, 1 from one half up. Labels of null ids are ignored.
-    None if there is no positive row.
+    Positives and negatives are sampled at rates of their own; in the scaling a row stands for as many rows as
+    come to each sampled row of its label. None if there is no positive row.
     """
     own = labels.where(F.col("doc_id").isNotNull() & F.col("quality").isNotNull()).groupBy("doc_id")
     own = own.agg((F.avg("quality") >= 0.5).cast("int").alias("quality"))
@@ -181,8 +191,7 @@ def learn(stats: DataFrame, labels: DataFrame, usable: Column) -> dict | None:
     picked = (
         part("p", F.col("quality") == 1, positives)
         .unionByName(part("u", F.lit(True), every))
-        .unionByName(part("l", F.col("quality").isNotNull(), labelled))
-        .unionByName(part("l", F.col("quality") == 0, labelled - positives))
+        .unionByName(part("n", F.col("quality") == 0, labelled - positives))
     )
     prior = min(max(positives / labelled, 0.02), 0.98)
 
@@ -197,10 +206,9 @@ def learn(stats: DataFrame, labels: DataFrame, usable: Column) -> dict | None:
             return
         x, y, kinds = np.array(x, np.float64), np.array(y), np.array(kinds)
         net = fit(x[kinds == "p"], x[kinds == "u"], prior)
-        # the labelled rows came twice if they are negative: each once here
-        lab = np.flatnonzero(kinds == "l")
-        keep = lab[np.r_[True, (np.diff(x[lab], axis=0) != 0).any(axis=1)]]
-        net["scale"] = scaled(_forward(net, x[keep])[1], y[keep])
+        given = kinds != "u"
+        weight = np.where(kinds == "p", positives / (kinds == "p").sum(), (labelled - positives) / max((kinds == "n").sum(), 1))
+        net["scale"] = scaled(_forward(net, x[given])[1], y[given], weight[given])
         yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(net)], pa.binary())], names=["model"])
 
     found = picked.repartition(1).sortWithinPartitions("kind", "h", "stats", "quality").drop("h").mapInArrow(train, "model binary").first()

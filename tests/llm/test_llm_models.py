@@ -122,3 +122,55 @@ def test_features_of_odd_texts():
     x = Q.features(pa.array([None, "", " ", "a", "ÉÉ\n\n" * 50, "x" * 200_000]))
     assert x.shape == (6, Q.N_FEATURES) and np.isfinite(x).all() and not x[:2].any()
     assert np.allclose(Q.features(pa.array(["zz!", "a b, a"]))[1], Q.features(pa.array(["a b, a"]))[0])
+
+
+def blurred(n, share, rng):
+    """Rows of statistics whose classes overlap, and their labels, with ``share`` of positives."""
+    label = (rng.random(n) < share).astype(int)
+    x = rng.standard_normal((n, Q.N_FEATURES)) * 0.5
+    x[:, 0] += label
+    return x.astype(np.float32), label
+
+
+def test_quality_scores_do_not_depend_on_the_sample_size(spark, monkeypatch):
+    rng = np.random.default_rng(3)
+    x, label = blurred(10_000, 0.86, rng)
+    rows = [(i, int(h), x[i].tobytes()) for i, h in enumerate(rng.integers(-(1 << 63), 1 << 63, len(x)))]
+    stats = spark.createDataFrame(rows, "doc_id long, h long, stats binary")
+    labels = spark.createDataFrame([(i, int(q)) for i, q in enumerate(label)], "doc_id long, quality int")
+
+    def scores():
+        return Q.probability(Q.learn(stats, labels, Q.F.lit(True)), x.astype(np.float64))
+
+    whole = scores()
+    monkeypatch.setattr(Q, "SAMPLE", 3000)
+    part = scores()
+    # the scaling makes the mean score the share of positives
+    assert abs(whole.mean() - label.mean()) < 0.01
+    assert abs(part.mean() - label.mean()) < 0.03
+    assert ((part >= Q.THRESHOLD) == (whole >= Q.THRESHOLD)).mean() > 0.95
+
+
+def test_language_scores_do_not_depend_on_the_sample_size():
+    rng = random.Random(6)
+    rows = []
+    for _ in range(3000):
+        # single letters shared by both languages: the text tells little, so the share of the language decides
+        lang = "aa" if rng.random() < 0.9 else "bb"
+        found, _ = L.grams(pa.array([" ".join(rng.choice("abcd" if lang == "aa" else "bcde") for _ in range(3))]))
+        rows.append((lang, *L.vector(found[0], np.ones(L.BUCKETS))))
+    rare = [r for r in rows if r[0] == "bb"]
+    common = [r for r in rows if r[0] == "aa"]
+    taken = common[: len(rare)] + rare
+    rng.shuffle(taken)
+
+    def mean_score(model):
+        total = 0.0
+        for _, at, value in rows:
+            s = (value @ model["weights"][at] + 0.1 * model["weights"][L.BUCKETS]) / model["temperature"] + model["prior"]
+            p = np.exp(s - s.max())
+            total += p[model["names"].index("aa")] / p.sum()
+        return total / len(rows)
+
+    assert abs(mean_score(L.fit(rows)) - 0.9) < 0.03
+    assert abs(mean_score(L.fit(taken, {"aa": len(rare) / len(common), "bb": 1.0})) - 0.9) < 0.05
