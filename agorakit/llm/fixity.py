@@ -1,8 +1,9 @@
 """Fixity audit of archived records with Merkle trees.
 
 A replica is a table of records: archive, slot (the record's place in its archive's order), offset and length in
-bytes, and digest. Leaves hash the records of a slot; a node above hashes the ordered
-hashes of up to ``FANOUT`` children and covers their slots and their offset range. Two replicas are compared
+bytes, and digest. Leaves hash the records of a slot, with its number and size; a node above hashes its number and the
+numbers, sizes and hashes of up to ``FANOUT`` children in order, and covers their slots and their offset range. Offsets in a hash
+are relative (sizes in order), so that a lost record does not make all later ones differ. Two replicas are compared
 from the roots down: only children of nodes that differ are looked at.
 """
 
@@ -43,8 +44,8 @@ def records(pages: DataFrame, per_archive: int = ARCHIVE) -> DataFrame:
 def tree(found: DataFrame, fanout: int = FANOUT) -> DataFrame:
     """(archive, level, node, hash, n, low, high) of all nodes; level 0 are slots, the highest level has the roots.
 
-    Records that share a slot, equal ones too, are one leaf made of their number, the sum of their hashes and the
-    smallest and largest digest, so no group is gathered. ``low``/``high`` is the range of offsets that a
+    Records that share a slot, equal ones too, are one leaf made of the slot, their number and size, the sum of their
+    hashes and the smallest and largest digest, so no group is gathered. ``low``/``high`` is the range of offsets that a
     node covers. Each level is one aggregate of at most ``fanout`` children a node.
     """
     leaf = found.groupBy("archive", F.col("slot").alias("node")).agg(
@@ -53,7 +54,9 @@ def tree(found: DataFrame, fanout: int = FANOUT) -> DataFrame:
         F.sha2(
             F.concat_ws(
                 ",",
+                F.col("slot").cast("string"),
                 F.count("*").cast("string"),
+                F.sum("length").cast("string"),
                 F.sum(F.xxhash64("digest").cast("decimal(38,0)")).cast("string"),
                 F.min("digest"),
                 F.max("digest"),
@@ -67,16 +70,18 @@ def tree(found: DataFrame, fanout: int = FANOUT) -> DataFrame:
     level = leaf.select("archive", F.lit(0).alias("level"), "node", "hash", "n", low.alias("low"), (low + F.col("size")).alias("high"))
     level = materialize(level, "leaves")
     top = level.agg(F.max("node")).first()[0] or 0
+    child = lambda c: F.concat_ws(":", c["node"].cast("string"), c["size"].cast("string"), c["hash"])
     out, depth = level, 0
     while fanout**depth <= top:
         depth += 1
+        children = F.array_sort(F.collect_list(F.struct("node", (F.col("high") - F.col("low")).alias("size"), "hash")))
         level = (
-            level.groupBy("archive", F.floor(F.col("node") / F.lit(fanout)).alias("node"))
+            level.withColumn("up", F.floor(F.col("node") / F.lit(fanout))).groupBy("archive", "up")
             .agg(
-                F.sha2(F.array_join(F.array_sort(F.collect_list(F.struct("node", "hash"))).getField("hash"), ""), 256).alias("hash"),
+                F.sha2(F.concat_ws(",", F.col("up").cast("string"), F.array_join(F.transform(children, child), ",")), 256).alias("hash"),
                 F.sum("n").alias("n"), F.min("low").alias("low"), F.max("high").alias("high"),
             )
-            .select("archive", F.lit(depth).alias("level"), "node", "hash", "n", "low", "high")
+            .select("archive", F.lit(depth).alias("level"), F.col("up").alias("node"), "hash", "n", "low", "high")
         )
         out = out.unionByName(level)
     return materialize(out, "tree")

@@ -174,6 +174,20 @@ def test_audit_finds_what_differs(spark):
     assert X.audit(mine, mine).count() == 0
 
 
+def test_records_moved_by_a_slot_are_found(spark):
+    schema = "archive long, slot long, length long, digest string"
+    mine = X.tree(spark.createDataFrame([(0, s, 10, f"d{k}") for k, s in enumerate((0, 1, 2))], schema))
+    other = X.tree(spark.createDataFrame([(0, s, 10, f"d{k}") for k, s in enumerate((0, 1, 3))], schema))
+    assert not X.roots(mine, other).first().intact
+    assert {(r.slot, r.status) for r in X.audit(mine, other).collect()} == {(2, "missing"), (3, "extra")}
+    # a node of its own moved whole: slots 16.. to 32..
+    mine = X.tree(spark.createDataFrame([(0, s, 10, f"d{k}") for k, s in enumerate((0, 16, 300))], schema))
+    other = X.tree(spark.createDataFrame([(0, s, 10, f"d{k}") for k, s in enumerate((0, 32, 300))], schema))
+    assert {(r.slot, r.status) for r in X.audit(mine, other).collect()} == {(16, "missing"), (32, "extra")}
+    # and equal replicas stay intact
+    assert X.roots(mine, mine).first().intact and X.audit(mine, mine).count() == 0
+
+
 def test_offsets_are_those_of_the_written_archive(spark):
     rows = [(i, f"u{i}", "é" * i) for i in (3, 1, 2)]
     text = {i: f"WARC/1.1\r\nWARC-Type: response\r\nWARC-Target-URI: u{i}\r\nContent-Length: {2 * i}\r\n\r\n{'é' * i}\r\n\r\n".encode() for i, _, _ in rows}
