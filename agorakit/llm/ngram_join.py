@@ -55,12 +55,12 @@ def _class_key(x: np.ndarray) -> bytes:
 
 
 def scan_sets(docs: DataFrame, size: int) -> DataFrame:
-    """(doc_id, k, n, point) of every row and one array of shingle counts per cell and task.
+    """(doc_id, text_hash, k, n, point) of every row and one array of shingle counts per cell and task.
 
-    ``k`` is a 128-bit key of the shingle set, null for the empty set.
+    ``text_hash`` tells rows of one doc_id apart. ``k`` is a 128-bit key of the shingle set, null for the empty set.
     """
     schema = pa.schema(
-        [("doc_id", pa.int64()), ("k", pa.binary()), ("n", pa.int64()), ("point", pa.binary()), ("counts", pa.binary())]
+        [("doc_id", pa.int64()), ("text_hash", pa.int64()), ("k", pa.binary()), ("n", pa.int64()), ("point", pa.binary()), ("counts", pa.binary())]
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -74,16 +74,18 @@ def scan_sets(docs: DataFrame, size: int) -> DataFrame:
             keys = [_class_key(x) if len(x) else None for x in sets]
             columns = [
                 column(part, "doc_id"),
+                column(part, "text_hash"),
                 pa.array(keys, pa.binary()),
                 pa.array([len(x) for x in sets], pa.int64()),
                 pa.array([point(x).tobytes() if len(x) else None for x in sets], pa.binary()),
                 pa.nulls(part.num_rows, pa.binary()),
             ]
             yield pa.RecordBatch.from_arrays(columns, schema=schema)
-        empty = [pa.nulls(1, schema.field(i).type) for i in range(4)]
+        empty = [pa.nulls(1, schema.field(i).type) for i in range(5)]
         yield pa.RecordBatch.from_arrays([*empty, binary([arrays.packed(cells.astype(np.uint64))])], schema=schema)
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, k binary, n long, point binary, counts binary")
+    hashed = docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash"))
+    return hashed.mapInArrow(run, "doc_id long, text_hash long, k binary, n long, point binary, counts binary")
 
 
 def crowding(counts: np.ndarray | None) -> np.ndarray:
@@ -423,19 +425,20 @@ def verified(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame
 
 
 def jaccard_components(docs: DataFrame, num: int = 75, den: int = 100, size: int = 5) -> DataFrame:
-    """One row per row of ``docs``: doc_id, n_shingles, component_id.
+    """One row per row of ``docs``: doc_id, n_shingles, component_id, and for ``keep_one`` text_hash and label.
 
     Two documents link when ``den * |A and B| >= num * |A or B|`` for their sets of distinct
     ``size``-word shingles. ``component_id`` is the smallest doc_id reachable by links, itself included.
     A text with fewer words is one shingle; null, empty and blank texts have no shingle and
     link with nothing, not even each other. Repeated rows each get a row; rows that repeat a doc_id with
     other text are documents of their own. A null doc_id links like any other, but is never the smallest
-    unless its component has no other id. Other columns are ignored. No rows give no rows.
+    unless its component has no other id. ``label`` names the component whatever its ids; it is null where a text
+    has no shingle. Other columns are ignored. No rows give no rows.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     scanned = materialize(scan_sets(docs, size), "sets")
     order = crowding(arrays.added(scanned, np.uint64))
-    sets = scanned.where("counts is null").select("doc_id", "k", "n")
+    sets = scanned.where("counts is null").select("doc_id", "text_hash", "k", "n")
     points = scanned.where("k is not null").select("k", "n", "point").dropDuplicates(["k"])
     points = materialize(points.withColumn("cls", first_64("k")), "points")
     members = materialize(mates(route(docs, size, num, den, order)), "members")
@@ -462,23 +465,29 @@ def jaccard_components(docs: DataFrame, num: int = 75, den: int = 100, size: int
     least = sets.where("k is not null").groupBy("k").agg(F.min("doc_id").alias("least"))
     joined = least.join(label.withColumnRenamed("node", "k"), "k", "left").withColumn("label", F.coalesce("label", "k"))
     ids = joined.groupBy("label").agg(F.min("least").alias("component_id"))
-    by_class = joined.select("k", "label").join(ids, "label").select("k", "component_id")
+    by_class = joined.select("k", "label").join(ids, "label").select("k", "label", "component_id")
     return sets.join(by_class, "k", "left").select(
-        "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id")
+        "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"), "text_hash", "label"
     )
 
 
 def keep_one(docs: DataFrame, groups: DataFrame) -> DataFrame:
-    """Rows of ``docs`` with one document of each group: the one whose doc_id names it.
+    """Rows of ``docs`` with one row of each group: that of the smallest doc_id, then of the smallest text.
 
-    ``groups`` has doc_id and component_id. Rows that repeat a kept doc_id are reduced to one (the
-    smallest text). Rows without a doc_id stay.
+    ``groups`` is what ``jaccard_components`` returns for ``docs``. A null doc_id comes after all others: of a group
+    without ids one row stays too. Texts without a shingle are no group: of rows with one doc_id and the same such text one
+    stays, and all that have no doc_id.
     """
-    firsts = groups.where("doc_id = component_id").select("doc_id").distinct()
-    kept = docs.join(firsts, "doc_id", "left_semi")
-    rest = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "doc_id"])
-    repeated = groups.groupBy("doc_id").count().where("count > 1 and doc_id is not null").select("doc_id")
-    single = kept.join(repeated, "doc_id", "left_anti")
-    once = kept.join(repeated, "doc_id", "left_semi").groupBy("doc_id").agg(F.min(rest).alias("_row"))
-    once = once.select("doc_id", *[F.col(f"_row.`{c}`").alias(c) for c in docs.columns if c != "doc_id"])
-    return single.select(*docs.columns).unionByName(once.select(*docs.columns)).unionByName(docs.where("doc_id is null"))
+    # texts without a shingle: doc_id and text are the group
+    alone = F.sha2(F.concat_ws(" ", "doc_id", "text_hash"), 256).cast("binary")
+    least = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id")) & (F.col("label").isNotNull() | F.col("doc_id").isNotNull()))
+    least = least.select(F.coalesce("label", alone).alias("_group"), F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"))
+    count = least.groupBy("_group").agg(F.count("*").alias("_n"), F.min("_id").alias("_id"), F.min("_hash").alias("_hash"))
+    several = least.join(count.where("_n > 1").select("_group"), "_group").distinct()
+    key = F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & (F.xxhash64(F.col("text").cast("string")) == F.col("_hash"))
+    single = docs.join(count.where("_n = 1"), key, "left_semi")
+    row = F.struct("text", *[F.col(f"`{c}`") for c in docs.columns if c != "text"])
+    once = docs.join(several, key).groupBy("_group").agg(F.min(row).alias("_row")).select(*[F.col(f"_row.`{c}`").alias(c) for c in docs.columns])
+    unnamed = groups.where("doc_id is null and label is null").select(F.col("text_hash").alias("_hash")).distinct()
+    rest = docs.where("doc_id is null").join(unnamed, F.xxhash64(F.col("text").cast("string")) == F.col("_hash"), "left_semi")
+    return single.unionByName(once).unionByName(rest)

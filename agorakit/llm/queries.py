@@ -26,7 +26,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def op6_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard_components(table(spark, sf_dir, "documents"))
+    return jaccard_components(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
 
 
 def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -85,6 +85,23 @@ def test_keep_one(frame, texts):
     assert sorted((r.doc_id is None, r.doc_id) for r in kept.collect()) == [(False, 2), (False, 7), (False, 8), (False, 9), (True, None)]
 
 
+def test_keep_one_with_repeated_and_null_ids(frame, texts):
+    one, two, three, four = (texts(k, 50) for k in range(1, 5))
+    # 5 has two texts: one is a copy of 3's, the other of 9's; three copies have no id, and a group has ids beside a null
+    rows = [(5, one), (3, one), (5, two), (9, two), (None, three), (None, three), (None, three), (None, four), (6, four)]
+    rows += [(None, None), (None, ""), (8, None), (8, None), (8, "")]
+    docs = frame(rows)
+    kept = sorted(((r.doc_id, r.text) for r in J.keep_one(docs, J.jaccard_components(docs)).collect()), key=str)
+    want = [(3, one), (5, two), (None, three), (6, four), (None, None), (None, ""), (8, None), (8, "")]
+    assert kept == sorted(want, key=str)
+
+
+def test_keep_one_takes_the_smallest_text_of_an_id(frame, texts):
+    base = texts(1, 200)
+    docs = frame([(2, base + " b"), (2, base + " a"), (4, base)])
+    assert [(r.doc_id, r.text) for r in J.keep_one(docs, J.jaccard_components(docs)).collect()] == [(2, base + " a")]
+
+
 def test_tree_bound_keeps_every_pair():
     import numpy as np
 
