@@ -195,7 +195,7 @@ def learn(docs: DataFrame, usable: Column, sample: int = SAMPLE) -> dict | None:
 
 
 def identify(docs: DataFrame, model: dict | None, keep: list[str]) -> DataFrame:
-    """One row per row of ``docs``: ``_row`` (struct of the columns ``keep``), lang_pred, score.
+    """One row per row of ``docs``: ``_row`` (struct of the columns ``keep``), lang_pred, score, lettered.
 
     Whole texts are read. A null text, or one without letters, is ``und`` with score 0; so is every text if there is no model.
     """
@@ -213,9 +213,9 @@ def identify(docs: DataFrame, model: dict | None, keep: list[str]) -> DataFrame:
                 s = (value @ own["weights"][at] + 0.1 * own["weights"][BUCKETS]) / own["temperature"] + own["prior"]
                 best = int(np.argmax(s))
                 langs[i], scores[i] = own["names"][best], 1 / float(np.exp(s - s[best]).sum())
-            yield pa.RecordBatch.from_arrays([column(part, "_row"), pa.array(langs, pa.string()), pa.array(scores)], names=["_row", "lang_pred", "score"])
+            yield pa.RecordBatch.from_arrays([column(part, "_row"), pa.array(langs, pa.string()), pa.array(scores), pa.array(lettered)], names=["_row", "lang_pred", "score", "lettered"])
 
-    fields = [frame.schema["_row"], T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())]
+    fields = [frame.schema["_row"], T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()), T.StructField("lettered", T.BooleanType())]
     return frame.mapInArrow(run, T.StructType(fields))
 
 
@@ -232,8 +232,13 @@ def languages(docs: DataFrame) -> DataFrame:
 
 
 def recognised(docs: DataFrame, least: float = 0.3) -> DataFrame:
-    """Rows of ``docs`` whose language is recognised: not ``und``, and with a score of at least ``least``."""
+    """Rows of ``docs`` whose language is recognised: not ``und``, and with a score of at least ``least``.
+
+    If no language can be learned from, all texts with a letter are kept.
+    """
     named = docs.select("doc_id", F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
-    found = identify(docs, learn(named, ~held_out(F.col("doc_id"), 4, 2)), docs.columns)
-    kept = found.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least))
+    model = learn(named, ~held_out(F.col("doc_id"), 4, 2))
+    kept = identify(docs, model, docs.columns).where(F.col("lettered"))
+    if model:
+        kept = kept.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least))
     return kept.select(*[F.col(f"_row.`{c}`").alias(c) for c in docs.columns])

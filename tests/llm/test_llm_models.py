@@ -57,6 +57,15 @@ def test_no_labels_and_no_rows(spark):
     assert L.languages(docs_of(spark, [])).count() == 0
 
 
+def test_language_stage_without_a_model_keeps_lettered_rows(spark):
+    from corpus_pipeline import language_stage
+
+    held = next(i for i in range(100) if zlib.crc32(str(i).encode()) % 4 == 2)
+    for lang, i in ((None, 1), ("aa", held)):
+        docs = docs_of(spark, [(i, "abc def", lang), (200, None, None), (201, "", None), (202, "12 !!", None), (None, "é", None)])
+        assert {r.text for r in language_stage(spark, docs, "").collect()} == {"abc def", "é"}
+
+
 def test_grams_stay_inside_their_text():
     alone, _ = L.grams(pa.array(["Ab c"]))
     together, lettered = L.grams(pa.array(["xyz", "Ab c", None, "!!", "q"]))
