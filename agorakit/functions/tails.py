@@ -113,20 +113,45 @@ def fisher_two_sided(a: int, b: int, c: int, d: int) -> float:
     return float(min(1.0, probs[probs <= observed * (1 + 1e-7)].sum()))
 
 
+def _partition_steps(m: int) -> tuple[int, list[int]]:
+    """A period L, and N with ``sum N_j q^j / (1 - q^L)^(m+1)`` = 1 / ((1 - q) (1 - q) (1 - q^2) ... (1 - q^m))."""
+    period = math.lcm(*range(1, m + 1))
+    steps = np.ones(1, dtype=object)
+    for part in (1, *range(1, m + 1)):
+        # times (1 - q^period) / (1 - q^part), which is a polynomial
+        longer = np.zeros(len(steps) + period, dtype=object)
+        longer[: len(steps)] = steps
+        longer[period:] -= steps
+        for start in range(part):
+            longer[start::part] = np.cumsum(longer[start::part])
+        steps = longer[: len(steps) + period - part]
+    return period, steps.tolist()
+
+
+def _ways_up_to(u: int, m: int, n: int) -> int:
+    """Number of orders of m and n values with U <= u; the work grows with m only."""
+    period, steps = _partition_steps(m)
+    # numerator of the Gaussian binomial: product over i of 1 - q^(n+i)
+    signs = {0: 1}
+    for i in range(1, m + 1):
+        for at, sign in list(signs.items()):
+            if at + n + i <= u:
+                signs[at + n + i] = signs.get(at + n + i, 0) - sign
+    total = 0
+    for at, sign in signs.items():
+        left = u - at
+        for j in range(left % period, min(left, len(steps) - 1) + 1, period):
+            total += sign * steps[j] * math.comb((left - j) // period + m, m)
+    return total
+
+
 def mann_whitney_upper(u: float, m: int, n: int) -> float:
-    """P(U >= u) without ties, from the number of ways to reach each value of U."""
+    """P(U >= u) without ties, from the number of ways to reach each value of U; exact for any n, meant for a small m."""
     if m <= 0 or n <= 0:
         return 1.0
-    top = m * n
-    ways = np.zeros(top + 1, dtype=object)
-    ways[0] = 1
-    # product over i of (1 - q^(n+i)) / (1 - q^i), coefficient by coefficient
-    for i in range(1, m + 1):
-        if n + i <= top:
-            ways[n + i :] = ways[n + i :] - ways[: top + 1 - n - i]
-        for start in range(min(i, top + 1)):
-            ways[start::i] = np.cumsum(ways[start::i])
-    return float(ways[max(0, math.ceil(u)) :].sum() / ways.sum())
+    # U and m * n - U have the same distribution
+    below = m * n - max(0, math.ceil(u))
+    return _ways_up_to(below, m, n) / math.comb(m + n, m) if below >= 0 else 0.0
 
 
 @pandas_udf(DoubleType())
@@ -167,10 +192,9 @@ def _mw_p(u: pd.Series, m: pd.Series, n: pd.Series) -> pd.Series:
     return pd.Series([mann_whitney_upper(float(x), int(a), int(b)) for x, a, b in zip(u, small, large)], dtype="float64")
 
 
-# Samples up to this size, without ties, get the exact distribution of U (as long as
-# the table of ways stays small); all others its normal approximation.
+# Where the smaller sample is up to this size and there are no ties, the distribution of U is exact, whatever
+# the size of the larger; all others get its normal approximation.
 MW_EXACT_SAMPLE = 8
-MW_EXACT_PRODUCT = 20_000
 
 
 def p_mann_whitney(u: Column, m: Column, n: Column) -> Column:

@@ -14,7 +14,6 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from agorakit.functions import fixed, half_up, money_sum
 from agorakit.functions.grouping import exact_median, ranked_counts
 from agorakit.functions.tails import (
-    MW_EXACT_PRODUCT,
     MW_EXACT_SAMPLE,
     norm_cdf,
     p_chi_square_1,
@@ -145,7 +144,7 @@ def welch(frame: DataFrame, column: str, confidence: float = 0.95) -> DataFrame:
 def mann_whitney(frame: DataFrame, column: str, min_values: int = 0) -> DataFrame:
     """Mann-Whitney U of the control arm with ties and continuity correction.
 
-    Small samples without ties get the exact distribution of U.
+    Where the smaller arm has at most 8 values and there are no ties, the distribution of U is exact.
 
     Ranks come from a histogram: values are counted per arm, and the rank of a
     value is the number of rows before it plus half its own. Below ``min_values``
@@ -200,7 +199,6 @@ def mann_whitney(frame: DataFrame, column: str, min_values: int = 0) -> DataFram
             enough
             & (F.col("ties") == 0)
             & (F.least("n_c", "n_t").between(1, MW_EXACT_SAMPLE))
-            & (F.col("n_c") * F.col("n_t") <= MW_EXACT_PRODUCT)
         ).alias("exact"),
     )
     pairs = F.col("n_c") * F.col("n_t")

@@ -132,6 +132,31 @@ def test_mann_whitney_of_small_samples_is_exact(spark):
     assert math.isclose(r.mw_p_less, sum(u <= seen for u in all_u) / len(all_u))
 
 
+def test_mann_whitney_is_exact_whatever_the_larger_arm(spark):
+    from agorakit.functions.tails import mann_whitney_upper
+
+    def ways(m, n):
+        # ways[u] by adding the arms' values in order: the largest is of the small arm (and beats n) or of the large one
+        table = {(0, j): [1] for j in range(n + 1)}
+        for i in range(1, m + 1):
+            table[i, 0] = [1]
+            for j in range(1, n + 1):
+                a, b = [0] * j + table[i - 1, j], table[i, j - 1]
+                long = max(len(a), len(b))
+                table[i, j] = [x + y for x, y in zip(a + [0] * (long - len(a)), b + [0] * (long - len(b)))]
+        return table[m, n]
+
+    for m, n in ((1, 5), (2, 9), (5, 7), (8, 8), (8, 40)):
+        count = ways(m, n)
+        for u in range(m * n + 2):
+            assert mann_whitney_upper(u, m, n) == sum(count[u:]) / sum(count)
+    # all of the small arm above 100,000 others: one way of all
+    assert mann_whitney_upper(8 * 100_000, 8, 100_000) == 1 / math.comb(100_008, 8)
+    rows = [("e", "treatment", float(v)) for v in range(2501)] + [("e", "control", 3000.0 + v) for v in range(8)]
+    r = stats.mann_whitney(spark.createDataFrame(rows, "experiment_id string, variant string, x double"), "x", 5).collect()[0]
+    assert math.isclose(r.mw_p_value, 2 / math.comb(2509, 8), rel_tol=1e-9)
+
+
 def test_welch_levene_and_descriptives(frame):
     df, data = frame
     d = {r.experiment_id: r for r in stats.descriptives(df).collect()}
