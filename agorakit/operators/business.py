@@ -282,12 +282,15 @@ def category_trends(items: DataFrame, orders: DataFrame, products: DataFrame, to
 
 
 def category_trends_wide(trends: DataFrame, categories: Sequence[str]) -> DataFrame:
-    """One column per category, zero where a week has none."""
+    """One column per category, zero where a week has none; categories of ``trends`` not among those given follow by name."""
+    names = list(categories)
+    others = trends.where(F.col("category").isNotNull() & ~F.col("category").isin(names)).select("category").distinct()
+    names += sorted(r.category for r in others.collect())
     return (
         trends.groupBy("week")
-        .pivot("category", list(categories))
+        .pivot("category", names)
         .agg(F.first("revenue"))
-        .fillna(0.0, subset=list(categories))
+        .fillna(0.0, subset=[f"`{c}`" for c in names])
         .orderBy("week")
     )
 

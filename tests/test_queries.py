@@ -38,6 +38,13 @@ def test_funnel_groups_never_exceed_the_first_stage(spark):
         assert counts == sorted(counts, reverse=True)
 
 
+def test_wide_trends_keep_categories_that_are_not_listed(spark):
+    rows = [("2024-01-07", "books", 3.0), ("2024-01-07", "new.kind", 5.0), ("2024-01-14", "books", 4.0)]
+    wide = business.category_trends_wide(spark.createDataFrame(rows, "week string, category string, revenue double"), ["books", "toys"])
+    assert wide.columns == ["week", "books", "toys", "new.kind"]
+    assert [tuple(r) for r in wide.collect()] == [("2024-01-07", 3.0, 0.0, 5.0), ("2024-01-14", 4.0, 0.0, 0.0)]
+
+
 def test_time_to_convert_buckets(spark):
     rows = []
     for s, m in (("a", 0), ("b", 4.99), ("c", 5), ("d", 59.5), ("e", 60)):
