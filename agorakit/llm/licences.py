@@ -3,6 +3,10 @@
 A text is cut into sentences; each is normalised (A-Z lower-cased, everything but a-z and 0-9 one space) and
 looked up among known licence sentences, which have identifiers. The sequence of identifiers of a document is
 then matched against rules: ordered lists of identifiers that name a licence.
+
+The table knows AGPL-3.0, Apache-2.0, BSD (2 and 3 clauses not told apart), CC-BY-4.0, CC-BY-NC-4.0, CC-BY-SA-4.0,
+GPL-2.0, GPL-3.0, GPL-3.0-or-later, MIT, MPL-2.0, Unlicense and all-rights-reserved. A document under another licence (LGPL,
+GPL-2.0-or-later, ISC, Zlib, EPL, CC BY 3.0, ...) comes back as having none.
 """
 
 from __future__ import annotations

@@ -156,6 +156,15 @@ def test_licences(frame):
     assert R.licence_scan(frame([])).count() == 0
 
 
+def test_documented_licences_are_those_of_the_rules():
+    import pathlib
+
+    readme = (pathlib.Path(__file__).parents[2] / "README.md").read_text()
+    for name, _ in R.RULES:
+        assert name in R.__doc__ and name in readme[readme.index("**Licence scan**") :]
+    assert f"{len(R.SENTENCES)} sentences and {len(R.RULES)} rules" in readme
+
+
 # --- fixity ---
 
 
