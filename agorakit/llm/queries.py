@@ -4,17 +4,20 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from agorakit.llm.decontaminate import contamination
 from agorakit.llm.fingerprint import fingerprints
 from agorakit.llm.fixity import AUDIT_SQL, replica_audit
-from agorakit.llm.language import languages
+from agorakit.llm.hard_negatives import hard_negatives
+from agorakit.llm.language import held_out, languages
 from agorakit.llm.licences import licence_scan, licence_sql
 from agorakit.llm.mincut import main_text
 from agorakit.llm.ngram_join import jaccard_components
 from agorakit.llm.packing import pack
+from agorakit.llm.phrases import collocations
 from agorakit.llm.placement import documents_placed
+from agorakit.llm.ppm import code_length
 from agorakit.llm.quality import quality_scores
 from agorakit.session import apply_runtime_conf
 
@@ -73,6 +76,20 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return documents_placed(table(spark, sf_dir, "documents"))
 
 
+def op11_phrase_collocation_mining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(table(spark, sf_dir, "documents"))
+
+
+def op12_hard_negative_mining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives(vectors.withColumn("label", label), F.col("vec_id") % 50 == 0)
+
+
+def op13_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return code_length(table(spark, sf_dir, "documents"), held_out(F.col("doc_id"), 5, 1))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -86,6 +103,9 @@ QUERIES: dict[str, Query] = {
         op8_licence_scan,
         op9_quality_classifier,
         op10_sharding,
+        op11_phrase_collocation_mining,
+        op12_hard_negative_mining,
+        op13_lm_scoring,
     )
 }
 SQL: dict[str, str] = {"op1_warc_fixity_audit": AUDIT_SQL, "op8_licence_scan": licence_sql()}
