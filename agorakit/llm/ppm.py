@@ -2,8 +2,8 @@
 
 The model is a byte-context trie: for every context of up to ``ORDER`` bytes, how often each byte followed it in the
 learning texts. A byte is coded in its longest known context; if it never followed there, an escape is paid (method
-C: a context seen T times with D different followers gives the escape D / (T + D)) and the next shorter context is
-asked, with the bytes of the longer one excluded from its counts. Below the empty context, the bytes that never occurred share
+D: a context seen T times with D different followers gives the escape D / 2T and a follower seen c times (2c - 1) / 2T) and
+the next shorter context is asked, with the bytes of the longer one excluded from its counts. Below the empty context, the bytes that never occurred share
 what is left. Text is lower-cased (A-Z) and ends with an end symbol, so the code lengths of a text add up to the log
 probability of exactly this text.
 
@@ -28,7 +28,7 @@ from agorakit.llm import arrays
 from agorakit.llm.kernels import lower_ascii, mix, slices, space_words, utf8
 from agorakit.session import discard, materialize
 
-ORDER = 5  # bytes of context; grams of ORDER + 1 bytes fill 48 of 64 bits
+ORDER = 6  # bytes of context; grams of ORDER + 1 bytes fill 56 of 64 bits
 SLICE = 8 << 20  # bytes of text whose grams are made distinct together
 BLOCK = 1 << 20  # places of a text handled at a time
 CHUNK = 1 << 20  # bytes of text handled at a time, at least one document
@@ -170,9 +170,9 @@ def code_lengths(keys: np.ndarray, counts: np.ndarray, first: np.ndarray) -> np.
             total[came], distinct[came] = levels[k + 1].rest[up[came]], levels[k + 1].left[up[came]]
         pair = find(level.pair, (ctx[here] << np.uint64(8)) | (keys[rows] & np.uint64(255)))
         hit = pair >= 0
-        out[rows[hit]] += np.log10(level.count[pair[hit]] / (total[hit] + distinct[hit]))
+        out[rows[hit]] += np.log10((2 * level.count[pair[hit]] - 1) / (2 * total[hit]))
         miss = ~hit & (distinct > 0)  # where all followers are excluded, the escape is certain
-        out[rows[miss]] += np.log10(distinct[miss] / (total[miss] + distinct[miss]))
+        out[rows[miss]] += np.log10(distinct[miss] / (2 * total[miss]))
         above[rows] = node
         todo = np.setdiff1d(todo, rows[hit], assume_unique=True)
     out[todo] -= math.log10(max(256 - int((zero > 0).sum()), 1))

@@ -38,9 +38,9 @@ def brute(rows, fold=1, folds=5, order=ppm.ORDER):
             out_of = set()
             for k in range(order, -1, -1):
                 c = {s: x for s, x in follow.get(tuple(symbols[at - k : at]), {}).items() if s not in out_of}
-                whole = sum(c.values()) + len(c)
+                whole = 2 * sum(c.values())
                 if symbols[at] in c:
-                    score += math.log10(c[symbols[at]] / whole)
+                    score += math.log10((2 * c[symbols[at]] - 1) / whole)
                     break
                 if c:
                     score += math.log10(len(c) / whole)
@@ -93,7 +93,7 @@ def test_probabilities_of_all_symbols_add_up_to_one():
     text = rng.integers(97, 101, 400).astype(np.uint8)
     buffer, _ = ppm.laid_out(text, np.array([0, 150, 400]))
     keys = np.concatenate([k for _, k in ppm.gram_blocks(buffer)])
-    first = np.bincount(((keys >> np.uint64(40) << np.uint64(8)) | (keys & np.uint64(255))).astype(int), minlength=65536).reshape(256, 256)
+    first = np.bincount(((keys >> np.uint64(8 * ppm.ORDER) << np.uint64(8)) | (keys & np.uint64(255))).astype(int), minlength=65536).reshape(256, 256)
     for context in (keys[10], keys[-1], np.uint64(0x414243444500)):
         every = (context >> np.uint64(8) << np.uint64(8)) | np.arange(256, dtype=np.uint64)
         both, counts = ppm.counted(np.r_[keys, every], np.r_[np.ones(len(keys), np.int64), np.zeros(256, np.int64)])
