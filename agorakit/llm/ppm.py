@@ -18,6 +18,7 @@ Only the counts of the first two levels (256 x 256 numbers, whatever the data) a
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -25,18 +26,19 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
 from agorakit.llm import arrays
-from agorakit.llm.kernels import lower_ascii, mix, slices, space_words, utf8
-from agorakit.session import discard, materialize
+from agorakit.llm.kernels import lower_ascii, mix, slices, utf8
+from agorakit.session import materialize
 
-ORDER = 6  # bytes of context; grams of ORDER + 1 bytes fill 56 of 64 bits
-SLICE = 8 << 20  # bytes of text whose grams are made distinct together
+ORDER = 5  # bytes of context; grams of ORDER + 1 bytes fill 48 of 64 bits, 16 are left for a document's number
+SLICE = 16 << 20  # bytes of text whose grams are made distinct together
 BLOCK = 1 << 20  # places of a text handled at a time
-CHUNK = 1 << 20  # bytes of text handled at a time, at least one document
+CHUNK = 2 << 20  # bytes of text handled at a time, at least one document
+DOCS = 1 << 16  # documents handled at a time
 END, PAD = 0xFF, 0xFE  # neither occurs in UTF-8
 
 _GATHERED = "slice int, part int, keys binary, counts binary, words array<binary>, n array<bigint>, first binary"
-_SCORED = "slice int, keys binary, lengths binary, words array<binary>, n array<bigint>, part int"
-_DOCS = "doc_id long, held_out boolean, n_tokens long, n_known long, logs double, score double"
+_SCORED = "slice int, keys binary, lengths binary, words array<binary>, n array<bigint>, distinct long"
+_DOCS = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
 
 
 # --- grams --------------------------------------------------------------------------------------------------------
@@ -57,13 +59,14 @@ def laid_out(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
 
 def gram_blocks(buffer: np.ndarray):
     """(places, keys) of at most BLOCK places each; a key holds the context, last byte first, and the byte itself."""
-    for a in range(0, len(buffer), BLOCK):
+    for a in range(ORDER, len(buffer), BLOCK):
         b = min(a + BLOCK, len(buffer))
-        at = np.flatnonzero(buffer[a:b] != PAD) + a
-        keys = buffer[at].astype(np.uint64)
+        wide = buffer[a - ORDER : b].astype(np.uint64)
+        keys = wide[ORDER:].copy()
         for j in range(1, ORDER + 1):
-            keys |= buffer[at - j].astype(np.uint64) << np.uint64(8 * (ORDER + 1 - j))
-        yield at, keys
+            keys |= wide[ORDER - j : len(wide) - j] << np.uint64(8 * (ORDER + 1 - j))
+        real = np.flatnonzero(buffer[a:b] != PAD)
+        yield real + a, keys[real]
 
 
 def counted(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -179,125 +182,186 @@ def code_lengths(keys: np.ndarray, counts: np.ndarray, first: np.ndarray) -> np.
     return out
 
 
+# --- words --------------------------------------------------------------------------------------------------------
+
+
+def word_array(data: np.ndarray, offsets: np.ndarray) -> tuple[pa.Array, np.ndarray]:
+    """Words ``[^\\x20\\x09-\\x0D]+`` of lower-cased texts and the number of the first word of each text."""
+    inside = ~((data == 32) | ((data >= 9) & (data <= 13)))
+    begin = inside.copy()
+    begin[1:] &= ~inside[:-1]
+    edge = offsets[:-1][offsets[:-1] < len(data)]
+    begin[edge] = inside[edge]
+    starts = np.flatnonzero(begin)
+    # a word ends before a blank, the next word of an adjoining text, or the end
+    last = inside.copy()
+    last[:-1] &= ~inside[1:] | begin[1:]
+    ends = np.zeros(len(starts) + 1, np.int64)
+    np.cumsum(np.flatnonzero(last) + 1 - starts, out=ends[1:])
+    words = pa.Array.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(ends), pa.py_buffer(data[inside])])
+    return words, np.searchsorted(starts, offsets)
+
+
+def word_parts(words: pa.Array, parts: int) -> np.ndarray:
+    """The part that counts a word, from a hash of its bytes."""
+    offsets = np.frombuffer(words.buffers()[1], np.int64)[words.offset : words.offset + len(words) + 1]
+    data = np.frombuffer(words.buffers()[2], np.uint8)[offsets[0] : offsets[-1]].astype(np.uint64)
+    place = (np.arange(len(data)) - np.repeat(offsets[:-1] - offsets[0], np.diff(offsets))).astype(np.uint64)
+    each = mix((data + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15) + place)
+    return (mix(np.add.reduceat(each, offsets[:-1] - offsets[0])) % np.uint64(parts)).astype(np.int64) if len(words) else np.zeros(0, np.int64)
+
+
+def cut(values: pa.Array, ends: np.ndarray) -> pa.Array:
+    """A list column: element i holds ``values[ends[i]:ends[i + 1]]``."""
+    return pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), values)
+
+
 # --- jobs ---------------------------------------------------------------------------------------------------------
 
 
-def _rows(table: pa.Table):
-    """Chunks of about CHUNK bytes of text: (batch, bytes, offsets), lower-cased."""
-    for part in slices(iter(table.combine_chunks().to_batches()), limit=CHUNK):
-        data, offsets = utf8(part.column("text"))
-        yield part, lower_ascii(data), offsets
+def _bundled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of one slice in a batch as one compressed message, which halves what is shuffled."""
+    packing = pa.ipc.IpcWriteOptions(compression="zstd")
+    for batch in batches:
+        home = batch.column(3).to_numpy()
+        order = np.argsort(home, kind="stable")
+        edge = np.flatnonzero(np.r_[True, home[order][1:] != home[order][:-1]]) if len(order) else np.zeros(0, np.int64)
+        rows = batch.select([0, 1, 2])
+        for a, b in zip(edge, [*edge[1:], len(order)]):
+            own = rows.take(pa.array(order[a:b]))
+            sink = pa.BufferOutputStream()
+            with pa.ipc.new_stream(sink, own.schema, options=packing) as writer:
+                writer.write_batch(own)
+            yield pa.RecordBatch.from_arrays([pa.array([int(home[order[a]])], pa.int32()), pa.array([sink.getvalue().to_pybytes()], pa.binary())], names=["slice", "docs"])
+
+
+def _chunks(table: pa.Table) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
+    """(batch, lower-cased bytes, offsets) of about CHUNK bytes of text and at most DOCS documents each."""
+    for blob in table["docs"]:
+        with pa.ipc.open_stream(blob.as_py()) as reader:
+            for part in slices(iter(reader), limit=CHUNK):
+                for k in range(0, part.num_rows, DOCS):
+                    some = part.slice(k, DOCS)
+                    data, offsets = utf8(some.column("text"))
+                    yield some, lower_ascii(data), offsets
 
 
 def _gather(parts: int):
-    """One slice's distinct grams and words, by part of the trie, and its counts of the first two levels."""
+    """One slice's distinct grams and words for every part of the trie, and its counts of the first two levels."""
 
     def run(table: pa.Table) -> pa.Table:
-        import xxhash
-
+        own = table["slice"][0].as_py()
         grams, first, found = Grams(), np.zeros((256, 256), np.int64), []
-        for part, _, _ in _rows(table):
-            learn = ~part.column("held_out").to_numpy(zero_copy_only=False)
-            for own, mask in ((True, learn), (False, ~learn)):
-                if not mask.any():
-                    continue
-                some = part.filter(pa.array(mask))
-                data, offsets = utf8(some.column("text"))
-                for _, keys in gram_blocks(laid_out(lower_ascii(data), offsets)[0]):
-                    grams.add(keys, own)
-                    if own:
-                        at = (keys >> np.uint64(8 * ORDER) << np.uint64(8) | keys & np.uint64(255)).astype(np.int64)
-                        first += np.bincount(at, minlength=65536).reshape(256, 256)
-                words = space_words(some.column("text"))
-                n = np.bincount(words.codes, minlength=len(words.vocabulary)) if len(words.codes) else np.zeros(0, np.int64)
-                found.append(pa.table({"word": pa.array(words.vocabulary, pa.binary()), "n": pa.array(n * own, pa.int64())}))
+        for batch, data, offsets in _chunks(table):
+            learn = ~batch.column("held_out").to_numpy(zero_copy_only=False)
+            buffer, begin = laid_out(data, offsets)
+            for at, keys in gram_blocks(buffer):
+                mine = learn[np.searchsorted(begin, at, side="right") - 1]
+                grams.add(keys[mine], True)
+                grams.add(keys[~mine], False)
+                pair = (keys[mine] >> np.uint64(8 * ORDER) << np.uint64(8) | keys[mine] & np.uint64(255)).astype(np.int64)
+                first += np.bincount(pair, minlength=65536).reshape(256, 256)
+            words, at = word_array(data, offsets)
+            coded = words.dictionary_encode()
+            times = np.bincount(coded.indices.to_numpy(), np.repeat(learn, np.diff(at)), minlength=len(coded.dictionary))
+            found.append(pa.table({"word": coded.dictionary, "n": pa.array(times.astype(np.int64))}))
         grams.merge()
-        words = pa.concat_tables(found).group_by("word").aggregate([("n", "sum")]) if found else pa.table({"word": pa.array([], pa.binary()), "n_sum": pa.array([], pa.int64())})
-        spelled = words["word"].to_pylist()
-        side = np.fromiter((xxhash.xxh64_intdigest(w) % parts for w in spelled), np.int64, len(spelled))
-        number = words["n_sum"].to_numpy()
+        words = pa.concat_tables(found).group_by("word", use_threads=False).aggregate([("n", "sum")]).combine_chunks()
+        spelled, number = words["word"].combine_chunks(), words["n_sum"].to_numpy()
+        side = word_parts(spelled, parts)
+        turn = np.argsort(side, kind="stable")
+        word_ends = np.searchsorted(side[turn], np.arange(parts + 1))
         home = part_of(grams.keys, parts)
-        order, turn = np.argsort(home, kind="stable"), np.argsort(side, kind="stable")
-        cut, cut_w = np.searchsorted(home[order], np.arange(parts + 1)), np.searchsorted(side[turn], np.arange(parts + 1))
-        out = []
-        own = table["slice"][0].as_py()
-        for p in range(parts):
-            a, w = order[cut[p] : cut[p + 1]], turn[cut_w[p] : cut_w[p + 1]]
-            if len(a) or len(w):
-                out.append((own, p, deltas(grams.keys[a]), arrays.packed(grams.counts[a]), [spelled[i] for i in w], number[w], None))
-        out.append((own, -1, None, None, None, None, arrays.packed(first)))
-        return _table(out, [pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.list_(pa.binary()), pa.list_(pa.int64()), pa.binary()], _GATHERED)
+        order = np.argsort(home, kind="stable")
+        ends = np.searchsorted(home[order], np.arange(parts + 1))
+        each = [order[a:b] for a, b in zip(ends, ends[1:])]
+        out = pa.table(
+            {
+                "slice": pa.array([own] * parts, pa.int32()),
+                "part": pa.array(range(parts), pa.int32()),
+                "keys": pa.array([deltas(grams.keys[x]) for x in each], pa.binary()),
+                "counts": pa.array([arrays.packed(grams.counts[x]) for x in each], pa.binary()),
+                "words": cut(spelled.take(pa.array(turn)).cast(pa.binary()), word_ends),
+                "n": cut(pa.array(number[turn]), word_ends),
+                "first": pa.nulls(parts, pa.binary()),
+            }
+        )
+        last = {"slice": [own], "part": [-1], "keys": [None], "counts": [None], "words": [None], "n": [[int(number.sum())]], "first": [arrays.packed(first)]}
+        return pa.concat_tables([out, pa.table(last, schema=out.schema)])
 
     return run
 
 
-def _table(rows: list[tuple], types: list[pa.DataType], ddl: str) -> pa.Table:
-    names = [part.split()[0] for part in ddl.split(", ")]
-    columns = list(zip(*rows)) if rows else [[] for _ in names]
-    return pa.table({name: pa.array(list(c), t) for name, c, t in zip(names, columns, types)})
-
-
 def _score(shared):
-    """One part of the trie: code lengths of all its grams and counts of all its words, for every slice that asked."""
+    """One part of the trie: code lengths of all its grams and counts of all its words, for every slice."""
 
     def run(table: pa.Table) -> pa.Table:
         first = arrays.unpacked(shared.value, np.int64).reshape(256, 256)
         asked = [undeltas(x.as_py()) for x in table["keys"]]
         keys, counts = counted(np.concatenate(asked), np.concatenate([arrays.unpacked(x.as_py(), np.int64) for x in table["counts"]]))
         lengths = code_lengths(keys, counts, first).astype(np.float32)
-        lists = table["words"].combine_chunks()
-        words = pa.table({"word": lists.flatten(), "n": table["n"].combine_chunks().flatten()})
-        total = words.group_by("word").aggregate([("n", "sum")])
-        n = total["n_sum"].take(pc.index_in(words["word"], value_set=total["word"].combine_chunks())).to_numpy()
-        ends = np.r_[0, np.cumsum(pc.list_value_length(lists).to_numpy())]
-        out = []
-        for i, (own, mine) in enumerate(zip(table["slice"].to_pylist(), asked)):
-            words_of = lists[i].values
-            out.append((own, table["keys"][i].as_py(), arrays.packed(lengths[np.searchsorted(keys, mine)]), words_of, n[ends[i] : ends[i + 1]], 0))
+        table = table.combine_chunks()
+        lists = table["words"].chunk(0)
+        words = pa.table({"word": lists.flatten(), "n": table["n"].chunk(0).flatten()})
+        total = words.group_by("word", use_threads=False).aggregate([("n", "sum")]).combine_chunks()
         learned = total["n_sum"].to_numpy()
-        out.append((-1, None, None, None, [int(learned.sum()), int((learned > 0).sum())], 0))
-        return _table(out, [pa.int32(), pa.binary(), pa.binary(), pa.list_(pa.binary()), pa.list_(pa.int64()), pa.int32()], _SCORED)
+        where = pc.index_in(words["word"].combine_chunks(), value_set=total["word"].combine_chunks()).to_numpy()
+        ends = np.r_[0, np.cumsum(pc.list_value_length(lists).to_numpy())]
+        return pa.table(
+            {
+                "slice": table["slice"],
+                "keys": table["keys"],
+                "lengths": pa.array([arrays.packed(lengths[np.searchsorted(keys, x)]) for x in asked], pa.binary()),
+                "words": table["words"],
+                "n": cut(pa.array(learned[where] if len(where) else np.zeros(0, np.int64)), ends),
+                "distinct": pa.array([int((learned > 0).sum())] * table.num_rows, pa.int64()),
+            }
+        )
 
     return run
 
 
-def _add_up(ends: int):
+def _add_up(tokens: int, ends: int):
     """One slice's documents: code lengths and word counts added up."""
 
     def run(docs: pa.Table, answers: pa.Table) -> pa.Table:
-        keys = np.concatenate([undeltas(x.as_py()) for x in answers["keys"]] or [np.zeros(0, np.uint64)])
-        lengths = np.concatenate([arrays.unpacked(x.as_py(), np.float32) for x in answers["lengths"]] or [np.zeros(0, np.float32)])
-        order = np.argsort(keys)
+        keys = np.concatenate([undeltas(x.as_py()) for x in answers["keys"]])
+        lengths = np.concatenate([arrays.unpacked(x.as_py(), np.float32) for x in answers["lengths"]])
+        order = np.argsort(keys, kind="stable")
         keys, lengths = keys[order], lengths[order].astype(float)
-        known = answers["words"].combine_chunks().flatten()
-        count = answers["n"].combine_chunks().flatten().to_numpy()
+        answers = answers.combine_chunks()
+        known, count = answers["words"].chunk(0).flatten(), answers["n"].chunk(0).flatten().to_numpy()
+        smooth = math.log10(tokens + 0.5 * (pc.sum(answers["distinct"]).as_py() + (ends > 0) + 1))
         out = []
-        for part, data, offsets in _rows(docs):
+        for batch, data, offsets in _chunks(docs):
             buffer, begin = laid_out(data, offsets)
-            score = np.zeros(part.num_rows)
+            score = np.zeros(batch.num_rows)
             for at, grams in gram_blocks(buffer):
-                doc = np.searchsorted(begin, at, side="right") - 1
-                score += np.bincount(doc, lengths[np.searchsorted(keys, grams)], minlength=part.num_rows)
-            words = space_words(part.column("text"))
-            spelled = pa.array(words.vocabulary, known.type)
-            c = count[pc.index_in(spelled, value_set=known).to_numpy()][words.codes] if len(words.codes) else np.zeros(0, np.int64)
-            logs = np.r_[0.0, np.cumsum(np.log10(c + 0.5))]
-            seen = np.r_[0, np.cumsum(c > 0)]
-            a, b = words.first[:-1], words.first[1:]
+                # sorted together with their documents, so that equal grams are looked up once
+                both = np.sort(grams << np.uint64(16) | (np.searchsorted(begin, at, side="right") - 1).astype(np.uint64))
+                grams = both >> np.uint64(16)
+                new = np.flatnonzero(np.r_[True, grams[1:] != grams[:-1]])
+                each = np.repeat(lengths[np.searchsorted(keys, grams[new])], np.diff(np.r_[new, len(grams)]))
+                score += np.bincount((both & np.uint64(DOCS - 1)).astype(np.int64), each, minlength=batch.num_rows)
+            words, at = word_array(data, offsets)
+            coded = words.dictionary_encode()
+            c = count[pc.index_in(coded.dictionary.cast(known.type), value_set=known).to_numpy()[coded.indices.to_numpy()]] if len(words) else np.zeros(0, np.int64)
+            logs, seen = np.r_[0.0, np.cumsum(np.log10(c + 0.5))], np.r_[0, np.cumsum(c > 0)]
+            a, b = at[:-1], at[1:]
             out.append(
                 pa.table(
                     {
-                        "doc_id": part.column("doc_id"),
-                        "held_out": part.column("held_out"),
+                        "doc_id": batch.column("doc_id"),
+                        "held_out": batch.column("held_out"),
                         "n_tokens": pa.array(b - a + 1, pa.int64()),
                         "n_known": pa.array(seen[b] - seen[a] + (ends > 0), pa.int64()),
-                        "logs": pa.array(logs[b] - logs[a] + math.log10(ends + 0.5)),
+                        "train_tokens": pa.array(np.full(len(a), tokens), pa.int64()),
+                        "base_score": pa.array(logs[b] - logs[a] + math.log10(ends + 0.5) - (b - a + 1) * smooth),
                         "score": pa.array(score),
                     }
                 )
             )
-        empty = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("logs", pa.float64()), ("score", pa.float64())])
-        return pa.concat_tables(out) if out else empty.empty_table()
+        return pa.concat_tables(out)
 
     return run
 
@@ -314,32 +378,24 @@ def code_length(docs: DataFrame, held_out: Column) -> DataFrame:
     """
     spark = docs.sparkSession
     rows = docs.select(
-        "doc_id", F.coalesce("text", F.lit("")).alias("text"), F.coalesce(held_out, F.lit(False)).alias("held_out"), F.xxhash64("doc_id", "text").alias("h")
+        F.col("doc_id").cast("long").alias("doc_id"),
+        F.coalesce("text", F.lit("")).alias("text"),
+        F.coalesce(held_out, F.lit(False)).alias("held_out"),
+        F.xxhash64("doc_id", "text").alias("h"),
     )
     at_least = int(spark.conf.get("spark.sql.shuffle.partitions"))
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     number = max(at_least, math.ceil(size / SLICE))
-    dealt = rows.select("doc_id", "text", "held_out", F.pmod("h", F.lit(number)).cast("int").alias("slice"))
+    sliced = rows.select("doc_id", "text", "held_out", F.pmod("h", F.lit(number)).cast("int").alias("slice"))
+    dealt = sliced.mapInArrow(_bundled, "slice int, docs binary")
 
     gathered = materialize(dealt.groupBy("slice").applyInArrow(_gather(number), _GATHERED), "grams")
-    first = arrays.added(gathered.select(F.col("first").alias("counts")), np.int64)
+    totals = gathered.where("part = -1")
+    first = arrays.added(totals.select(F.col("first").alias("counts")), np.int64)
     if first is None:  # no rows
-        return dealt.select("doc_id", "held_out", *[F.lit(0).cast("long").alias(k) for k in ("n_tokens", "n_known", "train_tokens")], F.lit(0.0).alias("base_score"), F.lit(0.0).alias("score"))
+        return spark.createDataFrame([], _DOCS)
     ends = int(first.reshape(256, 256)[:, END].sum())
+    tokens = totals.agg(F.sum(F.col("n")[0])).first()[0] + ends
     shared = spark.sparkContext.broadcast(arrays.packed(first))
-    scored = materialize(gathered.where("part >= 0").drop("first").groupBy("part").applyInArrow(_score(shared), _SCORED), "lengths")
-    discard(gathered)
-    n, v = scored.where("slice = -1").agg(F.sum(F.col("n")[0]), F.sum(F.col("n")[1])).first()
-    n, v = n + ends, v + (ends > 0)
-
-    asked = scored.where("slice >= 0").select("slice", "keys", "lengths", "words", "n")
-    out = dealt.groupBy("slice").cogroup(asked.groupBy("slice")).applyInArrow(_add_up(ends), _DOCS)
-    return out.select(
-        "doc_id",
-        "held_out",
-        "n_tokens",
-        "n_known",
-        F.lit(n).cast("long").alias("train_tokens"),
-        (F.col("logs") - F.col("n_tokens") * F.lit(math.log10(n + 0.5 * (v + 1)))).alias("base_score"),
-        "score",
-    )
+    scored = gathered.where("part >= 0").drop("first").groupBy("part").applyInArrow(_score(shared), _SCORED)
+    return dealt.groupBy("slice").cogroup(scored.groupBy("slice")).applyInArrow(_add_up(tokens, ends), _DOCS)
