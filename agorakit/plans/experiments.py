@@ -1,7 +1,6 @@
 """Experiment results, statistics and decisions.
 
-SQL twins cover everything but tail probabilities and posterior draws; those
-are checked in the tests.
+Tail probabilities have series of their own in the SQL twins, posteriors the same grid.
 """
 
 from __future__ import annotations
@@ -587,16 +586,133 @@ register(
         + " FROM stats"
     ),
 )
-register("bayes_conversion", lambda m: bayes.bayes_rate(_rates(m)))
-register("bayes_decisions", lambda m: bayes.bayes_decide(bayes.bayes_rate(_rates(m))))
-register("bayes_rope", lambda m: bayes.rope(bayes.bayes_rate(_rates(m))))
-register("bayes_revenue", lambda m: bayes.bayes_mean(stats._moments(m.frame, "order_total")))
-register("bayes_prior_sensitivity", lambda m: bayes.prior_sensitivity(_rates(m)))
-_SLICE = hash_mod("customer_id || '|' || experiment_id || '|slice'")
+def _compared_betas(key: str, params: str) -> dict[str, str]:
+    """Expressions that compare two beta posteriors on one grid; ``params`` has the columns ``key``, a_c, b_c, a_t, b_t."""
+    sd = lambda a, b: f"sqrt({a} * {b} / (({a} + {b}) * ({a} + {b}) * ({a} + {b} + 1)))"
+    upto = lambda column, order: f"sum({column}) OVER (PARTITION BY {key} ORDER BY {order} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+    at = lambda q, mass, total, edge, order: f"arg_min({edge} + h * ({q}::DOUBLE - ({total} - {mass})) / {mass}, {order}) FILTER ({total} >= {q}::DOUBLE)"
+    share = lambda x: f"sum(p * greatest(0, least(1, {x}::DOUBLE / h - (d - 0.5::DOUBLE))))"
+    ends = (("low", bayes.LOW), ("high", bayes.HIGH))
+    return {
+        "params": params,
+        "boxed": "SELECT *, greatest(0, least(mc - {0} * sc, mt - {0} * st)) AS lo, least(1, greatest(mc + {0} * sc, mt + {0} * st)) AS hi FROM "
+        "(SELECT *, a_c / (a_c + b_c) AS mc, a_t / (a_t + b_t) AS mt, {1} AS sc, {2} AS st FROM params)".format(
+            f"{bayes.REACH}::DOUBLE", sd("a_c", "b_c"), sd("a_t", "b_t")
+        ),
+        "sized": f"SELECT *, (hi - lo) / k AS h FROM (SELECT *, greatest(1, CAST(ceil((hi - lo) / (least(sc, st) / {bayes.FINE}::DOUBLE)) AS BIGINT)) AS k FROM boxed)",
+        "curves": "SELECT *, (a_c - 1) * ln(x) + (b_c - 1) * ln(1 - x) AS lc, (a_t - 1) * ln(x) + (b_t - 1) * ln(1 - x) AS lt FROM "
+        "(SELECT *, lo + (i + 0.5::DOUBLE) * h AS x FROM (SELECT *, unnest(range(0, k)) AS i FROM sized))",
+        "masses": f"SELECT *, ec / sum(ec) OVER (PARTITION BY {key}) AS wc, et / sum(et) OVER (PARTITION BY {key}) AS wt FROM (SELECT *, "
+        f"exp(lc - max(lc) OVER (PARTITION BY {key})) AS ec, exp(lt - max(lt) OVER (PARTITION BY {key})) AS et FROM curves)",
+        "arms": f"SELECT {key}, "
+        + ", ".join(f"{at(q, w, g, 'lo + i * h', 'i')} AS {v}_ci_{e}" for v, w, g in (("control", "wc", "gc"), ("treatment", "wt", "gt")) for e, q in ends)
+        + f" FROM (SELECT *, {upto('wc', 'i')} AS gc, {upto('wt', 'i')} AS gt FROM masses) GROUP BY {key}",
+        "lifted": f"SELECT {key}, any_value(t.h) AS h, t.i - c.i AS d, sum(t.wt * c.wc) AS p FROM masses t JOIN masses c USING ({key}) GROUP BY {key}, t.i - c.i",
+        "zones": f"SELECT {key}, sum(CASE WHEN d > 0 THEN p WHEN d = 0 THEN p / 2 ELSE 0 END) AS prob_treatment_better, "
+        + ", ".join(f"{at(q, 'p', 'g', '(d - 0.5::DOUBLE) * h', 'd')} AS lift_ci_{e}" for e, q in ends)
+        + ", sum(p * h * CASE WHEN d > 0 THEN d WHEN d = 0 THEN 1 / 6.0::DOUBLE ELSE 0 END) AS expected_loss_control, "
+        "sum(p * h * CASE WHEN d < 0 THEN -d WHEN d = 0 THEN 1 / 6.0::DOUBLE ELSE 0 END) AS expected_loss_treatment, "
+        f"{share(-0.005)} AS below_rope, 1 - {share(0.005)} AS above_rope FROM (SELECT *, {upto('p', 'd')} AS g FROM lifted) GROUP BY {key}",
+        "compared": f"SELECT {key}, mc AS control_mean, mt AS treatment_mean, mt - mc AS lift_mean, 1 - prob_treatment_better AS prob_control_better, "
+        f"1 - below_rope - above_rope AS inside_rope, {r('(mt - mc) / mc * 100')} AS lift_relative_pct, "
+        f"* EXCLUDE ({key}, a_c, b_c, a_t, b_t, mc, mt, sc, st, lo, hi) FROM boxed JOIN arms USING ({key}) JOIN zones USING ({key})",
+    }
+
+
+def _beta_params(a: str, b: str, key: str = "experiment_id", rows: str = "stats") -> str:
+    return f"SELECT {key}, " + ", ".join(
+        f"{a} + conversions_{v} AS a_{s}, {b} + n_{v} - conversions_{v} AS b_{s}" for v, s in _SIDES
+    ) + f" FROM {rows}"
+
+
+_BETAS = _compared_betas("experiment_id", _beta_params("1.0::DOUBLE", "1.0::DOUBLE"))
+_BAYES_COLUMNS = [c for c in bayes._COMPARED] + ["prob_control_better"]
+
+
+def _rounded(df, digits: int, sure: int = 6):
+    """Probabilities to ``sure`` digits, all other values to ``digits``."""
+    place = lambda c: sure if c.startswith("prob_") or c.endswith("_rope") else digits
+    return df.withColumns({c: half_up(F.col(c), place(c)) for c in _BAYES_COLUMNS if c in df.columns})
+
+
+def _rounded_sql(rows: str, digits: int, columns=tuple(_BAYES_COLUMNS), extra: str = "lift_relative_pct") -> str:
+    place = lambda c: 6 if c.startswith("prob_") or c.endswith("_rope") else digits
+    return "SELECT experiment_id, " + ", ".join(f"{r(c, place(c))} AS {c}" for c in columns) + f", {extra} FROM {rows}"
+
+
+register(
+    "bayes_conversion",
+    lambda m: _rounded(bayes.bayes_rate(_rates(m)), 7).drop(*bayes._posterior_columns()),
+    sql(_rounded_sql("compared", 7), **_BETAS),
+)
+_DECISION = (
+    "CASE WHEN prob_treatment_better >= 0.95 THEN 'LAUNCH TREATMENT' WHEN prob_control_better >= 0.95 THEN 'KEEP CONTROL' "
+    "WHEN expected_loss_treatment < 0.001 AND expected_loss_control < 0.001 THEN 'PRACTICALLY EQUIVALENT' ELSE 'CONTINUE TESTING' END AS decision"
+)
 register(
-    "sequential_counts",
-    lambda m: bayes.sequential_counts(m.frame),
+    "bayes_decisions",
+    lambda m: _rounded(bayes.bayes_decide(bayes.bayes_rate(_rates(m))), 7),
     sql(
+        _rounded_sql("compared", 7, ("prob_treatment_better", "expected_loss_treatment", "expected_loss_control", "lift_mean"), _DECISION),
+        **_BETAS,
+    ),
+)
+register(
+    "bayes_rope",
+    lambda m: bayes.rope(bayes.bayes_rate(_rates(m))),
+    sql(
+        "SELECT experiment_id, "
+        + ", ".join(f"{r(f'{z}_rope', 4)} AS prob_{z}_rope" for z in ("below", "inside", "above"))
+        + ", CASE WHEN inside_rope > 0.90 THEN 'Practically equivalent' WHEN above_rope > 0.95 THEN 'Treatment better' "
+        "WHEN below_rope > 0.95 THEN 'Treatment worse' ELSE 'Inconclusive' END AS conclusion FROM compared",
+        **_BETAS,
+    ),
+)
+_PHI = lambda x: f"(CASE WHEN {x} < 0 THEN {p_norm(x)} / 2 ELSE 1 - {p_norm(x)} / 2 END)"
+_GAIN = "s * exp(-({0} / s) * ({0} / s) / 2) / sqrt(2 * pi()) + {0} * {1}"
+register(
+    "bayes_revenue",
+    lambda m: _rounded(bayes.bayes_mean(stats._moments(m.frame, "order_total")), 4),
+    sql(
+        _rounded_sql("normal", 4),
+        normal="SELECT experiment_id, mean_c AS control_mean, mean_t AS treatment_mean, m AS lift_mean, better AS prob_treatment_better, "
+        "1 - better AS prob_control_better, "
+        + ", ".join(
+            f"{c} {op} {fixed.Z_95}::DOUBLE * {e} AS {n}_ci_{side}"
+            for n, c, e in (("control", "mean_c", "sc"), ("treatment", "mean_t", "st"), ("lift", "m", "s"))
+            for op, side in (("-", "low"), ("+", "high"))
+        )
+        + f", {_GAIN.format('m', 'better')} AS expected_loss_control, {_GAIN.format('(-m)', '(1 - better)')} AS expected_loss_treatment, "
+        f"below AS below_rope, upto - below AS inside_rope, 1 - upto AS above_rope, {r('m / mean_c * 100')} AS lift_relative_pct FROM "
+        f"(SELECT *, {_PHI('m / s')} AS better, {_PHI('(-0.005 - m) / s')} AS below, {_PHI('(0.005 - m) / s')} AS upto FROM "
+        "(SELECT *, mean_t - mean_c AS m, sqrt(var_c / n_c) AS sc, sqrt(var_t / n_t) AS st, sqrt(var_c / n_c + var_t / n_t) AS s FROM "
+        f"(SELECT experiment_id, {_MOMENTS} FROM frame GROUP BY 1)))",
+    ),
+)
+_PRIORS = ", ".join(f"({a}::DOUBLE, {b}::DOUBLE)" for a, b in fixed.PRIORS)
+register(
+    "bayes_prior_sensitivity",
+    lambda m: bayes.prior_sensitivity(_rates(m)),
+    sql(
+        f"SELECT experiment_id, prior_alpha, prior_beta, {r('prior_alpha / (prior_alpha + prior_beta)', 4)} AS prior_mean, "
+        f"{r('prob_treatment_better', 4)} AS prob_treatment_better, "
+        + ", ".join(
+            f"{r(c, 5)} AS {c}" for c in ("lift_mean", "lift_ci_low", "lift_ci_high", "expected_loss_control", "expected_loss_treatment")
+        )
+        + " FROM compared",
+        **_compared_betas(
+            "experiment_id, prior_alpha, prior_beta",
+            _beta_params(
+                "prior_alpha",
+                "prior_beta",
+                "experiment_id, prior_alpha, prior_beta",
+                f"stats, (VALUES {_PRIORS}) AS v(prior_alpha, prior_beta)",
+            ),
+        ),
+    ),
+)
+_SLICE = hash_mod("customer_id || '|' || experiment_id || '|slice'")
+_CHECKPOINTS = (
         "SELECT *, step / 20.0::DOUBLE AS fraction, "
         + ", ".join(f"{r(f'coalesce(conversions_{v} / nullif(n_{v}, 0), 0)', 4)} AS cr_{v}" for v in fixed.VARIANTS)
         + " FROM (SELECT experiment_id, step, "
@@ -608,7 +724,23 @@ register(
             for v in fixed.VARIANTS
         )
         + " FROM frame GROUP BY 1, 2) WINDOW w AS (PARTITION BY experiment_id ORDER BY step))"
+)
+register("sequential_counts", lambda m: bayes.sequential_counts(m.frame), sql(_CHECKPOINTS))
+_STEP_KEY = "experiment_id, step"
+register(
+    "bayes_sequential",
+    lambda m: bayes.sequential(m.frame),
+    sql(
+        "SELECT experiment_id, step, fraction, n_control, n_treatment, cr_control, cr_treatment, "
+        f"{r('better', 4)} AS prob_treatment_better FROM checkpoints JOIN (SELECT {_STEP_KEY}, sum(wt * (gc - wc / 2)) AS better FROM (SELECT *, "
+        f"sum(wc) OVER (PARTITION BY {_STEP_KEY} ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS gc FROM masses) "
+        f"GROUP BY {_STEP_KEY}) USING ({_STEP_KEY})",
+        checkpoints=_CHECKPOINTS,
+        **{
+            name: text
+            for name, text in _compared_betas(_STEP_KEY, _beta_params("1.0::DOUBLE", "1.0::DOUBLE", _STEP_KEY, "checkpoints")).items()
+            if name in ("params", "boxed", "sized", "curves", "masses")
+        },
     ),
 )
-register("bayes_sequential", lambda m: bayes.sequential(m.frame))
 

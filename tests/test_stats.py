@@ -252,7 +252,7 @@ def test_bayes(spark):
     s = counts(spark, [("better", 5000, 500, 5000, 650), ("same", 5000, 500, 5000, 500)])
     first = {r.experiment_id: r for r in bayes.bayes_rate(s).collect()}
     again = {r.experiment_id: r for r in bayes.bayes_rate(s.repartition(3)).collect()}
-    assert first == again  # draws are fixed by the experiment, not by the task
+    assert first == again
     b = first["better"]
     assert b.prob_treatment_better > 0.999 and abs(b.lift_mean - 0.03) < 5e-4 and b.lift_ci_low < 0.03 < b.lift_ci_high
     assert 0.4 < first["same"].prob_treatment_better < 0.6
@@ -265,9 +265,50 @@ def test_bayes(spark):
     assert len(priors) == 8 and {r.prior_mean for r in priors} == {0.5, 0.1}
 
 
+def test_quadrature_of_betas():
+    """Against exact values: symmetry, a closed form for whole parameters, and moments."""
+
+    def exactly(a1, b1, a2, b2):
+        """P(second > first) as a finite sum, for whole a2."""
+        lbeta = lambda a, b: math.lgamma(a) + math.lgamma(b) - math.lgamma(a + b)
+        return sum(math.exp(lbeta(a1 + i, b1 + b2) - math.log(b2 + i) - lbeta(1 + i, b2) - lbeta(a1, b1)) for i in range(a2))
+
+    for c, t in (((5, 7), (6, 9)), ((1, 1), (1, 1)), ((501, 4501), (560, 4442)), ((1, 50), (4, 47)), ((2000, 18000), (11, 80))):
+        got = dict(zip(bayes._COMPARED, bayes.compare_betas(*map(float, c + t), (-0.01, 0.01))))
+        assert got["prob_treatment_better"] == pytest.approx(exactly(*c, *t), abs=2e-6)
+        assert got["control_mean"] == c[0] / sum(c)
+        # mean of the difference is the gain less the loss
+        assert got["expected_loss_control"] - got["expected_loss_treatment"] == pytest.approx(got["lift_mean"], abs=1e-6)
+        assert got["below_rope"] + got["inside_rope"] + got["above_rope"] == pytest.approx(1)
+        back = dict(zip(bayes._COMPARED, bayes.compare_betas(*map(float, t + c), (-0.01, 0.01))))
+        assert back["prob_treatment_better"] == pytest.approx(1 - got["prob_treatment_better"], abs=1e-9)
+        assert back["below_rope"] == pytest.approx(got["above_rope"], abs=1e-9)
+    uniform = dict(zip(bayes._COMPARED, bayes.compare_betas(1.0, 1.0, 1.0, 1.0, (-0.5, 0.5))))
+    assert uniform["control_ci_low"] == pytest.approx(0.025) and uniform["treatment_ci_high"] == pytest.approx(0.975)
+    assert uniform["expected_loss_control"] == pytest.approx(1 / 6, abs=1e-5) and uniform["inside_rope"] == pytest.approx(0.75, abs=1e-4)
+    # far more users in one arm than the other: a finer grid, by Fourier transform
+    wide = bayes.compare_betas(3.0, 40.0, 200_001.0, 1_800_001.0, (-0.005, 0.005))
+    assert wide[0] == pytest.approx(1 - exactly(200_001, 1_800_001, 3, 40), abs=1e-5)
+
+
+def test_normal_posterior(spark):
+    m = spark.createDataFrame(
+        [("a", 100, 10.0, 25.0, 100, 11.0, 25.0), ("flat", 5, 3.0, 0.0, 5, 4.0, 0.0), ("few", 1, 1.0, 1.0, 9, 1.0, 1.0)],
+        "experiment_id string, n_c long, mean_c double, var_c double, n_t long, mean_t double, var_t double",
+    )
+    got = {r.experiment_id: r for r in bayes.bayes_mean(m).collect()}
+    assert set(got) == {"a", "flat"}
+    a, s = got["a"], math.sqrt(0.5)
+    assert a.prob_treatment_better == pytest.approx(0.5 * math.erfc(-1 / s / math.sqrt(2)))
+    assert a.lift_ci_high == pytest.approx(1 + 1.959963984540054 * s) and a.control_ci_low == pytest.approx(10 - 1.959963984540054 * 0.5)
+    assert a.expected_loss_control - a.expected_loss_treatment == pytest.approx(1.0)
+    flat = got["flat"]
+    assert (flat.prob_treatment_better, flat.expected_loss_control, flat.expected_loss_treatment, flat.above_rope) == (1.0, 1.0, 0.0, 1.0)
+
+
 def test_sequential_ends_with_all_data(frame):
     df, data = frame
-    rows = [r for r in bayes.sequential(df, steps=5, draws=2000).collect() if r.experiment_id == "exp_001"]
+    rows = [r for r in bayes.sequential(df, steps=5).collect() if r.experiment_id == "exp_001"]
     rows.sort(key=lambda r: r.step)
     assert [r.fraction for r in rows] == [0.2, 0.4, 0.6, 0.8, 1.0]
     assert rows[-1].n_control + rows[-1].n_treatment == 600
