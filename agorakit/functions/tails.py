@@ -87,6 +87,57 @@ def t_quantile(p: float, df: float) -> float:
     return (lo + hi) / 2.0
 
 
+def _log_rising(b: float, a: float) -> float:
+    """log(gamma(b + a) / gamma(b)); for a large b by Stirling's series, where the two gammas would cancel."""
+    if b < 1e4:
+        return math.lgamma(b + a) - math.lgamma(b)
+    return (b + a - 0.5) * math.log1p(a / b) + a * math.log(b) - a + (1.0 / (b + a) - 1.0 / b) / 12.0
+
+
+def power_t(effect: float, n1: float, n2: float, alpha: float = 0.05) -> float:
+    """Power of the two-sided two-sample t-test for a standardised effect, from the noncentral t distribution.
+
+    The square of a noncentral t is a Poisson mixture of beta variables: P(|T| < c) is the sum over j of
+    Poisson(j; d^2 / 2) I_x(j + 1/2, df / 2) with x = c^2 / (c^2 + df). The incomplete betas follow from the last one by a recurrence
+    that only adds, and the sum runs over the Poisson weights within 12 standard deviations.
+    """
+    df = n1 + n2 - 2.0
+    if any(math.isnan(v) for v in (effect, n1, n2)) or df <= 0 or n1 <= 0 or n2 <= 0:
+        return float("nan")
+    crit = t_quantile(1.0 - alpha / 2.0, df)
+    half = effect * effect * n1 * n2 / (n1 + n2) / 2.0
+    if half == 0.0:
+        return alpha
+    if df > 1e8:
+        shift = math.sqrt(2.0 * half)
+        return 0.5 * math.erfc((crit - shift) / math.sqrt(2.0)) + 0.5 * math.erfc((crit + shift) / math.sqrt(2.0))
+    b, total = df / 2.0, df + crit * crit
+    log_x, log_y = math.log(crit * crit / total), -math.log1p(crit * crit / df)
+    reach = 12.0 * math.sqrt(half) + 40.0
+    low, high = max(0, int(half - reach)), int(half + reach)
+    below = _betainc(high + 0.5, b, crit * crit / total, df / total)
+    inside = 0.0
+    for j in range(high, low - 1, -1):
+        a = j + 0.5
+        if j < high:  # I_x(a, b) = I_x(a + 1, b) + x^a y^b / (a B(a, b))
+            below += math.exp(a * log_x + b * log_y + _log_rising(b, a) - math.lgamma(a + 1.0))
+        inside += math.exp(j * math.log(half) - half - math.lgamma(j + 1.0)) * min(1.0, below)
+    return min(1.0, max(0.0, 1.0 - inside))
+
+
+def sample_t(effect: float, power: float = 0.80, alpha: float = 0.05) -> float:
+    """The smallest arm, of two equal ones, with which the t-test reaches ``power``; not a number without an effect."""
+    if math.isnan(effect) or effect == 0.0:
+        return float("nan")
+    low, high = 1, 2
+    while power_t(effect, high, high, alpha) < power:
+        low, high = high, high * 2
+    while high - low > 1:
+        mid = (low + high) // 2
+        low, high = (mid, high) if power_t(effect, mid, mid, alpha) < power else (low, mid)
+    return float(high)
+
+
 def fisher_two_sided(a: int, b: int, c: int, d: int) -> float:
     """Sum of the hypergeometric probabilities not above the observed one.
 
@@ -174,6 +225,16 @@ def _t_q(p: pd.Series, df: pd.Series) -> pd.Series:
     return pd.Series([t_quantile(float(x), float(d)) for x, d in zip(p, df)], dtype="float64")
 
 
+@pandas_udf(DoubleType())
+def _t_power(d: pd.Series, n1: pd.Series, n2: pd.Series) -> pd.Series:
+    return pd.Series([power_t(float(x), float(a), float(b)) for x, a, b in zip(d, n1, n2)], dtype="float64")
+
+
+@pandas_udf(DoubleType())
+def _t_sample(d: pd.Series) -> pd.Series:
+    return pd.Series([sample_t(float(x)) for x in d], dtype="float64")
+
+
 @pandas_udf(DoubleType())
 def _f_p(f: pd.Series, d1: pd.Series, d2: pd.Series) -> pd.Series:
     return pd.Series([f_upper(float(x), float(a), float(b)) for x, a, b in zip(f, d1, d2)], dtype="float64")
@@ -230,6 +291,18 @@ def q_t(p: Column, df: Column) -> Column:
     return F.when(~F.isnan(q), q)
 
 
+def power_of_t(effect: Column, n1: Column, n2: Column) -> Column:
+    """Two-sided power of the t-test at 5 %; null without two arms."""
+    power = _t_power(_nan_safe(effect), _nan_safe(n1), _nan_safe(n2))
+    return F.when(~F.isnan(power), power)
+
+
+def sample_for_t(effect: Column) -> Column:
+    """Per-arm sample for 80 % power of the t-test at 5 %, equal arms; null without an effect."""
+    n = _t_sample(_nan_safe(effect))
+    return F.when(~F.isnan(n), n.cast("long"))
+
+
 def p_f(f: Column, d1: Column, d2: Column) -> Column:
     p = _f_p(_nan_safe(f), _nan_safe(d1), _nan_safe(d2))
     return F.when(~F.isnan(p), p)

@@ -15,7 +15,6 @@ from agorakit.functions import fixed, half_up, money_sum
 from agorakit.functions.grouping import exact_median, ranked_counts
 from agorakit.functions.tails import (
     MW_EXACT_SAMPLE,
-    norm_cdf,
     p_chi_square_1,
     p_f,
     p_fisher,
@@ -23,7 +22,9 @@ from agorakit.functions.tails import (
     p_t,
     p_two_sided,
     p_upper,
+    power_of_t,
     q_t,
+    sample_for_t,
 )
 
 ALPHA = 0.05
@@ -344,7 +345,7 @@ def power_normal(effect: Column, n1: Column, n2: Column) -> Column:
     one = F.lit(1.0)
     shift = F.abs(effect) * F.sqrt(F.try_divide(one, F.try_divide(one, n1) + F.try_divide(one, n2)))
     crit = F.lit(fixed.Z_95)
-    return norm_cdf(shift - crit) + norm_cdf(-crit - shift)
+    return p_upper(crit - shift) + p_upper(shift + crit)
 
 
 def required_n(effect: Column) -> Column:
@@ -387,18 +388,24 @@ def power_audit(catalog: DataFrame, stats: DataFrame, target: float = 0.80) -> D
 
 
 def achieved_power(stats: DataFrame, catalog: DataFrame) -> DataFrame:
-    """Power at the observed effect and the sample the planned (rates) or observed (means) effect needs."""
+    """Power at the observed effect and the sample the planned (rates) or observed (means) effect needs.
+
+    Rates by the normal, means by the noncentral t distribution.
+    """
     means = F.col("test_type") == "t_test"
     c = F.col("conversion_rate_control")
     planned = cohens_h(c, c * (F.lit(1.0) + F.col("mde_percent") / F.lit(100.0)))
-    effect = F.when(means, F.col("cohens_d")).otherwise(F.col("cohens_h"))
-    wanted = F.when(~means, planned).when(F.abs("cohens_d") > 0, F.abs("cohens_d")).otherwise(0.2)
+    arms = [F.col("n_control"), F.col("n_treatment")]
+    power = F.when(means, power_of_t(F.col("cohens_d"), *arms)).otherwise(power_normal(F.col("cohens_h"), *arms))
+    of_means = F.when(F.abs("cohens_d") > 0, F.abs("cohens_d")).otherwise(0.2)
+    # the effect is null for rates, so the search is only made where it counts
+    needed = F.when(means, sample_for_t(F.when(means, of_means))).otherwise(required_n(planned))
     extra = catalog.select("experiment_id", "mde_percent", "sample_per_variant", "test_type")
     return (
         stats.join(extra, "experiment_id")
-        .withColumn("achieved_power", power_normal(effect, F.col("n_control"), F.col("n_treatment")))
+        .withColumn("achieved_power", power)
         .withColumn("adequate_power", F.coalesce(F.col("achieved_power") >= 0.80, F.lit(False)))
-        .withColumn("min_sample_for_80pct_power", required_n(wanted))
+        .withColumn("min_sample_for_80pct_power", needed)
     )
 
 

@@ -236,15 +236,64 @@ register(
 )
 _Z = fixed.Z_95 + fixed.Z_80_POWER
 _GOAL = "2 * (asin(sqrt(baseline_rate * (1 + mde_percent / 100))) - asin(sqrt(baseline_rate)))"
+_UPPER = lambda z: f"(CASE WHEN {z} >= 0 THEN {p_norm(z)} / 2 ELSE 1 - {p_norm(z)} / 2 END)"
+_POWER = lambda shift: f"({_UPPER(f'({fixed.Z_95}::DOUBLE - {shift})')} + {_UPPER(f'({fixed.Z_95}::DOUBLE + {shift})')})"
 register(
     "power_audit",
-    lambda m: stats.power_audit(m.catalog, _rates(m)).drop("prospective_power", "achieved_power", "adequate", "overpowered"),
+    lambda m: stats.power_audit(m.catalog, _rates(m)),
     sql(
         f"SELECT experiment_id, experiment_name, test_type, {r('baseline_rate', 4)} AS baseline_rate, mde_percent, "
-        f"sample_per_variant AS planned_n, CAST(ceil({2 * _Z * _Z}::DOUBLE / ({_GOAL} * {_GOAL})) AS BIGINT) AS required_n, "
+        f"sample_per_variant AS planned_n, CAST(ceil({2 * _Z * _Z}::DOUBLE / (goal * goal)) AS BIGINT) AS required_n, "
         f"n_control AS actual_n_control, n_treatment AS actual_n_treatment, {r('cr_c', 4)} AS observed_cr_control, "
-        f"{r('cr_t', 4)} AS observed_cr_treatment, {r('(cr_t - cr_c) / cr_c * 100')} AS observed_lift_pct "
-        "FROM catalog JOIN stats USING (experiment_id)"
+        f"{r('cr_t', 4)} AS observed_cr_treatment, {r('(cr_t - cr_c) / cr_c * 100')} AS observed_lift_pct, "
+        f"{r('prospective', 4)} AS prospective_power, {r('achieved', 4)} AS achieved_power, achieved >= 0.8 AS adequate, "
+        "achieved >= 0.99 AS overpowered FROM (SELECT *, "
+        f"{_POWER('(abs(goal) * sqrt(sample_per_variant / 2.0::DOUBLE))')} AS prospective, "
+        f"{_POWER('(abs(seen) * sqrt(1 / (1.0::DOUBLE / n_control + 1.0::DOUBLE / n_treatment)))')} AS achieved FROM "
+        f"(SELECT *, {_GOAL} AS goal, CASE WHEN cr_c > 0 AND cr_t > 0 THEN {_H} ELSE 0 END AS seen FROM catalog JOIN stats USING (experiment_id)))"
+    ),
+)
+
+
+def _power(m):
+    return stats.achieved_power(stats.effect_size(_rates(m)), m.catalog).select(
+        "experiment_id",
+        "test_type",
+        half_up(F.col("achieved_power"), 6).alias("achieved_power"),
+        "adequate_power",
+        "min_sample_for_80pct_power",
+    )
+
+
+_SLOPE = "exp(lgamma((df + 1) / 2) - lgamma(df / 2)) / sqrt(df * pi()) * pow(1 + c * c / df, -(df + 1) / 2)"
+_NEWTON = f"SELECT * EXCLUDE (c), c + ({p_student('c', 'df')} - 0.05::DOUBLE) / (2 * {_SLOPE}) AS c FROM {{0}}"
+_PLANNED = "2 * (asin(sqrt(cr_c * (1 + mde_percent / 100))) - asin(sqrt(cr_c)))"
+register(
+    "power_of_tests",
+    _power,
+    sql(
+        f"SELECT experiment_id, test_type, {r('power', 6)} AS achieved_power, power >= 0.8 AS adequate_power, needed AS min_sample_for_80pct_power "
+        f"FROM (SELECT experiment_id, test_type, {_POWER('(abs(h) * sqrt(1 / (1.0::DOUBLE / n_control + 1.0::DOUBLE / n_treatment)))')} AS power, "
+        f"CAST(ceil({2 * _Z * _Z}::DOUBLE / (planned * planned)) AS BIGINT) AS needed FROM effects WHERE test_type <> 't_test' UNION ALL "
+        "SELECT experiment_id, 't_test', max(power) FILTER (seen), min(n1) FILTER (NOT seen AND power >= 0.8) FROM powers GROUP BY 1)",
+        effects=f"SELECT *, {_H} AS h, {_PLANNED} AS planned, {_D} AS dd FROM stats JOIN catalog USING (experiment_id) JOIN "
+        f"(SELECT experiment_id, {_MOMENTS} FROM frame GROUP BY 1) USING (experiment_id)",
+        # the observed arms, and equal arms of about as many users as the normal approximation asks for
+        tries="SELECT experiment_id, true AS seen, abs(dd) AS e, n_control AS n1, n_treatment AS n2 FROM effects WHERE test_type = 't_test' UNION ALL "
+        "SELECT experiment_id, false, e, n, n FROM (SELECT experiment_id, e, unnest(range(greatest(2, about - 2), about + 8)) AS n FROM "
+        f"(SELECT experiment_id, e, CAST(ceil({2 * _Z * _Z}::DOUBLE / (e * e)) AS BIGINT) AS about FROM "
+        "(SELECT experiment_id, CASE WHEN abs(dd) > 0 THEN abs(dd) ELSE 0.2 END AS e FROM effects WHERE test_type = 't_test')))",
+        # the critical value by Newton's method from the normal one
+        start=f"SELECT *, {fixed.Z_95}::DOUBLE AS c, (n1 + n2 - 2)::DOUBLE AS df, e * e * n1 * n2 / (n1 + n2) / 2 AS half FROM tries",
+        newton1=_NEWTON.format("start"),
+        newton2=_NEWTON.format("newton1"),
+        newton3=_NEWTON.format("newton2"),
+        newton4=_NEWTON.format("newton3"),
+        terms="SELECT *, exp((k + 0.5::DOUBLE) * ln(c * c / (df + c * c)) + df / 2 * ln(df / (df + c * c)) + lgamma(df / 2 + k + 0.5::DOUBLE) - lgamma(df / 2) "
+        "- lgamma(k + 1.5::DOUBLE)) AS term, exp(k * ln(greatest(half, 1e-300::DOUBLE)) - half - lgamma(k + 1.0::DOUBLE)) AS weight FROM "
+        "(SELECT *, unnest(range(0, 500)) AS k FROM newton4)",
+        powers="SELECT experiment_id, seen, n1, n2, 1 - sum(term * upto) AS power FROM (SELECT *, sum(weight) OVER (PARTITION BY experiment_id, seen, n1 ORDER BY k) "
+        "AS upto FROM terms) GROUP BY 1, 2, 3, 4",
     ),
 )
 

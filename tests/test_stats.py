@@ -265,6 +265,34 @@ def test_bayes(spark):
     assert len(priors) == 8 and {r.prior_mean for r in priors} == {0.5, 0.1}
 
 
+def test_power_of_the_t_test():
+    """Against the integral of the power over the estimated variance, and recorded values."""
+    import numpy as np
+
+    from agorakit.functions.tails import power_t, sample_t, t_quantile
+
+    def integrated(d, n1, n2):
+        """Given the pooled deviation s, the difference is normal; s * s is chi-square."""
+        df, shift = n1 + n2 - 2, d * math.sqrt(n1 * n2 / (n1 + n2))
+        crit = t_quantile(0.975, df)
+        u = np.linspace(1e-9, df + 14 * math.sqrt(2 * df) + 40, 200_001)
+        mid, width = (u[1:] + u[:-1]) / 2, u[1] - u[0]
+        density = np.exp((df / 2 - 1) * np.log(mid) - mid / 2 - df / 2 * math.log(2) - math.lgamma(df / 2))
+        edge = crit * np.sqrt(mid / df)
+        tail = np.array([0.5 * math.erfc((x - shift) / math.sqrt(2)) + 0.5 * math.erfc((x + shift) / math.sqrt(2)) for x in edge[::20]])
+        return float((np.interp(mid, mid[::20], tail) * density).sum() * width)
+
+    for d, n1, n2 in ((0.5, 64, 64), (0.2, 50, 400), (-0.8, 10, 12), (1.5, 4, 4), (0.05, 3000, 2500), (0.0, 30, 30)):
+        assert power_t(d, n1, n2) == pytest.approx(integrated(d, n1, n2), abs=2e-6)
+    # textbook sample sizes for 80 % at 5 %
+    assert [sample_t(d) for d in (0.2, 0.5, 0.8, 1.0)] == [394.0, 64.0, 26.0, 17.0]
+    assert power_t(0.5, 64, 64) == pytest.approx(0.8014596, abs=1e-6)
+    assert power_t(0.001, 6e8, 6e8) == pytest.approx(1.0) and power_t(3.0, 5000, 5000) == 1.0
+    assert math.isnan(power_t(0.5, 1, 1)) and math.isnan(sample_t(0.0)) and math.isnan(power_t(float("nan"), 5, 5))
+    # continuous across the change to Stirling's series
+    assert power_t(0.01, 9999, 10001) == pytest.approx(power_t(0.01, 10001, 10003), abs=1e-4)
+
+
 def test_quadrature_of_betas():
     """Against exact values: symmetry, a closed form for whole parameters, and moments."""
 
