@@ -15,7 +15,7 @@ import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql import Column, functions as F
 from pyspark.sql.functions import pandas_udf
-from pyspark.sql.types import DoubleType
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 
 # The functions travel to the executors with the query; nothing has to be installed there.
@@ -138,6 +138,63 @@ def sample_t(effect: float, power: float = 0.80, alpha: float = 0.05) -> float:
     return float(high)
 
 
+# Coefficients of the approximations of Royston (1995, algorithm AS R94), by rising power.
+SW_LAST = (0.0, 0.221157, -0.147981, -2.071190, 4.434685, -2.706056)
+SW_NEXT = (0.0, 0.042981, -0.293762, -1.752461, 5.682633, -3.582633)
+SW_SMALL_GAMMA = (-2.273, 0.459)
+SW_SMALL_MEAN = (0.5440, -0.39978, 0.025054, -0.0006714)
+SW_SMALL_LOG_SD = (1.3822, -0.77857, 0.062767, -0.0020322)
+SW_MEAN = (-1.5861, -0.31082, -0.083751, 0.0038915)
+SW_LOG_SD = (-0.4803, -0.082676, 0.0030302)
+
+
+def _polynomial(coefficients: tuple[float, ...], x: float) -> float:
+    return sum(c * x**k for k, c in enumerate(coefficients))
+
+
+def shapiro_weights(n: int) -> np.ndarray:
+    """Weights of the ordered values in W: normal scores, the outer ones corrected."""
+    from statistics import NormalDist
+
+    if n == 3:
+        return np.array([-math.sqrt(0.5), 0.0, math.sqrt(0.5)])
+    m = np.array([NormalDist().inv_cdf((i - 0.375) / (n + 0.25)) for i in range(1, n + 1)])
+    square, u = float(m @ m), 1.0 / math.sqrt(n)
+    last = m[-1] / math.sqrt(square) + _polynomial(SW_LAST, u)
+    outer = [last] if n <= 5 else [last, m[-2] / math.sqrt(square) + _polynomial(SW_NEXT, u)]
+    k = len(outer)
+    scale = math.sqrt((square - 2 * float(m[-k:] @ m[-k:])) / (1 - 2 * sum(w * w for w in outer)))
+    weights = m / scale
+    for i, w in enumerate(outer):
+        weights[-1 - i], weights[i] = w, -w
+    return weights
+
+
+def shapiro_wilk(values: np.ndarray) -> tuple[float, float]:
+    """W and its p-value for 3 to 5000 values; equal values give 1, fewer than 3 not a number."""
+    x = np.sort(np.asarray(values, dtype=float))
+    n = len(x)
+    if n < 3:
+        return float("nan"), float("nan")
+    if x[0] == x[-1]:
+        return 1.0, 1.0
+    away = x - x.mean()
+    w = min(1.0, float(shapiro_weights(n) @ x) ** 2 / float(away @ away))
+    if n == 3:
+        return w, max(0.0, 6.0 / math.pi * (math.asin(math.sqrt(w)) - math.asin(math.sqrt(0.75))))
+    if w == 1.0:
+        return w, 1.0
+    y = math.log(1.0 - w)
+    if n <= 11:
+        gamma = _polynomial(SW_SMALL_GAMMA, n)
+        if y >= gamma:
+            return w, 0.0
+        y, mean, sd = -math.log(gamma - y), _polynomial(SW_SMALL_MEAN, n), math.exp(_polynomial(SW_SMALL_LOG_SD, n))
+    else:
+        mean, sd = _polynomial(SW_MEAN, math.log(n)), math.exp(_polynomial(SW_LOG_SD, math.log(n)))
+    return w, 0.5 * math.erfc((y - mean) / sd / math.sqrt(2.0))
+
+
 def fisher_two_sided(a: int, b: int, c: int, d: int) -> float:
     """Sum of the hypergeometric probabilities not above the observed one.
 
@@ -225,6 +282,11 @@ def _t_q(p: pd.Series, df: pd.Series) -> pd.Series:
     return pd.Series([t_quantile(float(x), float(d)) for x, d in zip(p, df)], dtype="float64")
 
 
+@pandas_udf(StructType([StructField("w", DoubleType()), StructField("p", DoubleType())]))
+def _shapiro(values: pd.Series) -> pd.DataFrame:
+    return pd.DataFrame([shapiro_wilk(v) if v is not None else (float("nan"),) * 2 for v in values], columns=["w", "p"])
+
+
 @pandas_udf(DoubleType())
 def _t_power(d: pd.Series, n1: pd.Series, n2: pd.Series) -> pd.Series:
     return pd.Series([power_t(float(x), float(a), float(b)) for x, a, b in zip(d, n1, n2)], dtype="float64")
@@ -303,6 +365,11 @@ def sample_for_t(effect: Column) -> Column:
     return F.when(~F.isnan(n), n.cast("long"))
 
 
+def shapiro(values: Column) -> Column:
+    """W and p of the Shapiro-Wilk test for an array of at most a few thousand values, as a struct."""
+    return _shapiro(values)
+
+
 def p_f(f: Column, d1: Column, d2: Column) -> Column:
     p = _f_p(_nan_safe(f), _nan_safe(d1), _nan_safe(d2))
     return F.when(~F.isnan(p), p)

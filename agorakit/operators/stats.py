@@ -25,6 +25,7 @@ from agorakit.functions.tails import (
     power_of_t,
     q_t,
     sample_for_t,
+    shapiro,
 )
 
 ALPHA = 0.05
@@ -271,8 +272,46 @@ def effect_size(stats: DataFrame, round_rates: bool = False) -> DataFrame:
     )
 
 
+def keyed_sample(rows: DataFrame, keys: Sequence[str], order: Column, size: int) -> DataFrame:
+    """The ``size`` rows of each group that come first by ``order``, a hash of the row's key.
+
+    A uniform sample that a re-run draws again. Every task keeps only its first rows of a group, groups are cut into
+    shares that are reduced on their own, and the last step sees at most ``size`` rows of each share.
+    """
+    share = Window.partitionBy(*keys, "_share").orderBy("_order")
+    whole = Window.partitionBy(*keys).orderBy("_order")
+    return (
+        rows.withColumn("_order", order)
+        .withColumn("_share", F.pmod(F.hash("_order"), F.lit(64)))
+        .withColumn("_place", F.row_number().over(share))
+        .where(F.col("_place") <= size)
+        .withColumn("_place", F.row_number().over(whole))
+        .where(F.col("_place") <= size)
+        .drop("_share", "_place", "_order")
+    )
+
+
+NORMALITY_SAMPLE = 500
+NORMALITY_LEAST = 8
+
+
+def normality(frame: DataFrame, column: str = "order_total", size: int = NORMALITY_SAMPLE) -> DataFrame:
+    """Shapiro-Wilk W and p of each arm, from a keyed sample of at most ``size`` customers."""
+    arms = frame.where(F.col(column).isNotNull()).select(
+        "experiment_id", "variant", "customer_id", F.col(column).cast("double").alias("x")
+    )
+    order = F.concat_ws("|", F.sha2(F.concat_ws("|", "customer_id", "experiment_id", F.lit("normality")), 256), "customer_id")
+    picked = keyed_sample(arms, ["experiment_id", "variant"], order, size)
+    values = picked.groupBy("experiment_id", "variant").agg(F.sort_array(F.collect_list("x")).alias("values"))
+    tested = values.withColumn("test", shapiro(F.col("values")))
+    return tested.select("experiment_id", "variant", F.col("test.w").alias("w"), F.col("test.p").alias("p"))
+
+
 def assumptions(frame: DataFrame, column: str = "order_total") -> DataFrame:
-    """Normality per arm (Jarque-Bera) and equal variances (Levene around the median)."""
+    """Normality per arm (Shapiro-Wilk on a keyed sample) and equal variances (Levene around the median).
+
+    With fewer than 8 values in an arm neither is judged.
+    """
     arms = frame.where(F.col(column).isNotNull()).select(
         "experiment_id", "variant", F.col(column).cast("double").alias("x")
     )
@@ -284,18 +323,16 @@ def assumptions(frame: DataFrame, column: str = "order_total") -> DataFrame:
     per_arm = away.groupBy("experiment_id", "variant").agg(
         F.sum(w).alias("n"), F.sum(w * d).alias("s"), F.sum(w * d * d).alias("q")
     )
-    shape = arms.groupBy("experiment_id", "variant").agg(
-        F.count(F.lit(1)).alias("k"), F.skewness("x").alias("skew"), F.kurtosis("x").alias("kurt")
-    )
-    jb = F.col("k") / F.lit(6.0) * (F.col("skew") * F.col("skew") + F.col("kurt") * F.col("kurt") / F.lit(4.0))
+    shape = normality(frame, column).select("experiment_id", "variant", F.col("w").alias("sw"), F.col("p").alias("sp"))
 
-    def pick(name: str, value: str | Column) -> Column:
-        return F.max(F.when(_arm(name), value if isinstance(value, Column) else F.col(value)))
+    def pick(name: str, value: str) -> Column:
+        return F.max(F.when(_arm(name), F.col(value)))
 
-    wide = per_arm.join(shape.withColumn("jb", jb), ["experiment_id", "variant"]).groupBy("experiment_id").agg(
-        *[pick(name, v).alias(f"{v}_{s}") for name, s in ARMS for v in ("n", "s", "q", "jb")]
+    wide = per_arm.join(shape, ["experiment_id", "variant"]).groupBy("experiment_id").agg(
+        *[pick(name, v).alias(f"{v}_{s}") for name, s in ARMS for v in ("n", "s", "q", "sw", "sp")]
     )
     n = F.col("n_c") + F.col("n_t")
+    enough = F.least("n_c", "n_t") >= NORMALITY_LEAST
     grand = (F.col("s_c") + F.col("s_t")) / n
     means = {s: F.try_divide(f"s_{s}", f"n_{s}") for _, s in ARMS}
     between = sum(
@@ -304,21 +341,16 @@ def assumptions(frame: DataFrame, column: str = "order_total") -> DataFrame:
     within = sum(
         (F.col(f"q_{s}") - F.col(f"s_{s}") * means[s] for _, s in ARMS), start=F.lit(0.0)
     )
-    return (
-        wide.withColumn("levene_statistic", F.try_divide((n - F.lit(2)) * between, within))
-        .withColumn("levene_p", p_f(F.col("levene_statistic"), F.lit(1.0), n - F.lit(2)))
-        .select(
-            "experiment_id",
-            F.col("n_c").cast("long").alias("n_control"),
-            F.col("n_t").cast("long").alias("n_treatment"),
-            F.col("jb_c").alias("jb_control"),
-            F.col("jb_t").alias("jb_treatment"),
-            F.coalesce(F.exp(-F.col("jb_c") / 2) >= ALPHA, F.lit(False)).alias("normal_control"),
-            F.coalesce(F.exp(-F.col("jb_t") / 2) >= ALPHA, F.lit(False)).alias("normal_treatment"),
-            "levene_statistic",
-            "levene_p",
-            (F.col("levene_p") >= ALPHA).alias("equal_variance"),
-        )
+    judged = wide.withColumn("levene_statistic", F.when(enough, F.try_divide((n - F.lit(2)) * between, within)))
+    return judged.withColumn("levene_p", p_f(F.col("levene_statistic"), F.lit(1.0), n - F.lit(2))).select(
+        "experiment_id",
+        F.col("n_c").cast("long").alias("n_control"),
+        F.col("n_t").cast("long").alias("n_treatment"),
+        *[F.when(enough, F.col(f"s{v}_{s}")).alias(f"shapiro_{name}_{v}") for name, s in ARMS for v in ("w", "p")],
+        *[F.when(enough, F.col(f"sp_{s}") >= ALPHA).alias(f"normal_{name}") for name, s in ARMS],
+        "levene_statistic",
+        "levene_p",
+        (F.col("levene_p") >= ALPHA).alias("equal_variance"),
     )
 
 

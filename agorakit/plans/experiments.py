@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from agorakit.functions import fixed, half_up
+from agorakit.functions import fixed, half_up, tails
 from agorakit.operators import assignment, bayes, experiments, stats
 from agorakit.plans.oracle import hash_mod, msum, p_fisher, p_norm, p_student, pct, r, sql
 from agorakit.plans.registry import register
@@ -206,32 +206,84 @@ register(
         f"(SELECT experiment_id, {_MOMENTS} FROM frame GROUP BY 1) USING (experiment_id))"
     ),
 )
+def _assumed(m):
+    checked = stats.assumptions(m.frame_table)
+    return checked.withColumns(
+        {c: half_up(F.col(c), 6) for c in checked.columns if c.startswith("shapiro_") or c.startswith("levene_")}
+    )
+
+
+def _series(coefficients, x: str) -> str:
+    return "(" + " + ".join(f"{c}::DOUBLE * pow({x}, {k})" for k, c in enumerate(coefficients)) + ")"
+
+
+# Normal scores: a rational start (Abramowitz & Stegun 26.2.23) and three Newton steps on the distribution function.
+_BELOW = f"(CASE WHEN z < 0 THEN {p_norm('z')} / 2 ELSE 1 - {p_norm('z')} / 2 END)"
+_SCORED = f"SELECT * EXCLUDE (z), z - ({_BELOW} - q) * sqrt(2 * pi()) * exp(z * z / 2) AS z FROM {{0}}"
+_START = (
+    "SELECT *, sign(q - 0.5) * (t - (2.515517::DOUBLE + 0.802853::DOUBLE * t + 0.010328::DOUBLE * t * t) / "
+    "(1 + 1.432788::DOUBLE * t + 0.189269::DOUBLE * t * t + 0.001308::DOUBLE * t * t * t)) AS z FROM "
+    "(SELECT n, i, q, sqrt(-2 * ln(least(q, 1 - q))) AS t FROM (SELECT n, i, (i - 0.375::DOUBLE) / (n + 0.25::DOUBLE) AS q FROM "
+    "(SELECT n, unnest(range(1, n + 1)) AS i FROM (SELECT DISTINCT n FROM picked_sizes WHERE n > 3))))"
+)
+_ASSUMED = {
+    "picked": "SELECT experiment_id, variant, x, row_number() OVER (PARTITION BY experiment_id, variant ORDER BY x) AS i FROM "
+    "(SELECT experiment_id, variant, order_total AS x, row_number() OVER (PARTITION BY experiment_id, variant ORDER BY "
+    f"sha256(customer_id || '|' || experiment_id || '|normality') || '|' || customer_id) AS place FROM frame) WHERE place <= {stats.NORMALITY_SAMPLE}",
+    "picked_sizes": "SELECT experiment_id, variant, count(*) AS n, min(x) AS low, max(x) AS high FROM picked GROUP BY 1, 2",
+    "scores0": _START,
+    "scores1": _SCORED.format("scores0"),
+    "scores2": _SCORED.format("scores1"),
+    "scores3": _SCORED.format("scores2"),
+    "outer_weights": "SELECT n, s2, zl, zn, l, CASE WHEN n > 5 THEN zn / sqrt(s2) + nx ELSE 0 END AS l2, l AS l1 FROM (SELECT *, zl / sqrt(s2) + "
+    + _series(tails.SW_LAST, "u")
+    + " AS l, "
+    + _series(tails.SW_NEXT, "u")
+    + " AS nx FROM (SELECT n, sum(z * z) AS s2, max(z) FILTER (i = n) AS zl, max(z) FILTER (i = n - 1) AS zn, 1 / sqrt(n) AS u FROM scores3 GROUP BY n))",
+    "weights": "SELECT n, i, CASE WHEN i = n THEN l1 WHEN i = 1 THEN -l1 WHEN i = n - 1 AND n > 5 THEN l2 WHEN i = 2 AND n > 5 THEN -l2 ELSE z / "
+    "sqrt((s2 - 2 * zl * zl - CASE WHEN n > 5 THEN 2 * zn * zn ELSE 0 END) / (1 - 2 * l1 * l1 - 2 * l2 * l2)) END AS a FROM scores3 JOIN outer_weights USING (n)",
+    "shaped": "SELECT experiment_id, variant, n, CASE WHEN any_value(low) = any_value(high) THEN 1 ELSE least(1, pow(sum(a * x), 2) / (var_pop(x) * n)) END AS w FROM picked "
+    "JOIN picked_sizes USING (experiment_id, variant) JOIN weights USING (n, i) GROUP BY 1, 2, 3",
+    "judged_shapes": f"SELECT experiment_id, variant, w, CASE WHEN w = 1 THEN 1 WHEN n <= 11 AND y >= gamma THEN 0 ELSE CASE WHEN u >= 0 THEN {p_norm('u')} / 2 "
+    f"ELSE 1 - {p_norm('u')} / 2 END END AS p FROM (SELECT *, CASE WHEN w = 1 THEN 0 WHEN n <= 11 THEN (-ln(greatest(gamma - y, 1e-300::DOUBLE)) - {_series(tails.SW_SMALL_MEAN, 'n')}) / "
+    f"exp({_series(tails.SW_SMALL_LOG_SD, 'n')}) ELSE (y - {_series(tails.SW_MEAN, 'ln(n)')}) / exp({_series(tails.SW_LOG_SD, 'ln(n)')}) END AS u FROM "
+    f"(SELECT *, CASE WHEN w < 1 THEN ln(1 - w) END AS y, {_series(tails.SW_SMALL_GAMMA, 'n')} AS gamma FROM shaped))",
+    "levene": "SELECT experiment_id, n_c, n_t, "
+    "(n_c + n_t - 2) * (n_c * pow(m_c - g, 2) + n_t * pow(m_t - g, 2)) / (w_c * (n_c - 1) + w_t * (n_t - 1)) AS f "
+    "FROM (SELECT *, (n_c * m_c + n_t * m_t) / (n_c + n_t) AS g FROM (SELECT experiment_id, "
+    + ", ".join(
+        f"count(*) FILTER (variant = '{v}') AS n_{s}, avg(z) FILTER (variant = '{v}') AS m_{s}, "
+        f"var_samp(z) FILTER (variant = '{v}') AS w_{s}"
+        for v, s in _SIDES
+    )
+    + " FROM (SELECT *, abs(order_total - quantile_cont(order_total, 0.5) OVER (PARTITION BY experiment_id, variant)) "
+    "AS z FROM frame) GROUP BY 1))",
+    "assumed": "SELECT experiment_id, n_c AS n_control, n_t AS n_treatment, "
+    + ", ".join(f"max({c}) FILTER (variant = '{v}') AS shapiro_{v}_{c}" for v in fixed.VARIANTS for c in ("w", "p"))
+    + ", "
+    + ", ".join(f"max(p) FILTER (variant = '{v}') >= 0.05 AS normal_{v}" for v in fixed.VARIANTS)
+    + f", any_value(f) AS levene_statistic, any_value({p_student('sqrt(f)', '(n_c + n_t - 2)')}) AS levene_p FROM levene JOIN judged_shapes USING (experiment_id) "
+    f"WHERE least(n_c, n_t) >= {stats.NORMALITY_LEAST} GROUP BY 1, 2, 3",
+}
 register(
     "test_assumptions",
-    lambda m: stats.assumptions(m.frame_table).select(
-        "experiment_id", "n_control", "n_treatment", half_up(F.col("levene_statistic"), 6).alias("levene_statistic")
-    ),
+    _assumed,
     sql(
-        "SELECT experiment_id, n_c AS n_control, n_t AS n_treatment, "
-        + r(
-            "(n_c + n_t - 2) * (n_c * pow(m_c - g, 2) + n_t * pow(m_t - g, 2)) / (w_c * (n_c - 1) + w_t * (n_t - 1))", 6
-        )
-        + " AS levene_statistic FROM (SELECT *, (n_c * m_c + n_t * m_t) / (n_c + n_t) AS g FROM (SELECT experiment_id, "
-        + ", ".join(
-            f"count(*) FILTER (variant = '{v}') AS n_{s}, avg(z) FILTER (variant = '{v}') AS m_{s}, "
-            f"var_samp(z) FILTER (variant = '{v}') AS w_{s}"
-            for v, s in _SIDES
-        )
-        + " FROM (SELECT *, abs(order_total - quantile_cont(order_total, 0.5) OVER (PARTITION BY experiment_id, variant)) "
-        "AS z FROM frame) GROUP BY 1))"
+        "SELECT experiment_id, n_control, n_treatment, "
+        + ", ".join(f"{r(f'shapiro_{v}_{c}', 6)} AS shapiro_{v}_{c}" for v in fixed.VARIANTS for c in ("w", "p"))
+        + f", normal_control, normal_treatment, {r('levene_statistic', 6)} AS levene_statistic, {r('levene_p', 6)} AS levene_p, "
+        "levene_p >= 0.05 AS equal_variance FROM assumed",
+        **_ASSUMED,
     ),
 )
 register(
     "selected_tests",
     lambda m: stats.select_test(stats.descriptives(m.frame_table, medians=False), m.catalog, stats.assumptions(m.frame_table)).select("experiment_id", "test_selected"),
     sql(
-        "SELECT experiment_id, CASE WHEN test_type = 't_test' THEN 'mann_whitney' WHEN least(n_control, n_treatment) < 30 "
-        "THEN 'fisher' ELSE 'z_test' END AS test_selected FROM stats JOIN catalog USING (experiment_id)"
+        "SELECT experiment_id, CASE WHEN test_type = 't_test' AND (least(s.n_control, s.n_treatment) < 20 OR NOT coalesce(normal_control AND normal_treatment, false)) "
+        "THEN 'mann_whitney' WHEN test_type = 't_test' THEN 'welch_t' WHEN least(s.n_control, s.n_treatment) < 30 "
+        "THEN 'fisher' ELSE 'z_test' END AS test_selected FROM stats s JOIN catalog USING (experiment_id) LEFT JOIN assumed USING (experiment_id)",
+        **_ASSUMED,
     ),
 )
 _Z = fixed.Z_95 + fixed.Z_80_POWER

@@ -1,3 +1,4 @@
+import hashlib
 import math
 import random
 
@@ -265,6 +266,48 @@ def test_bayes(spark):
     assert len(priors) == 8 and {r.prior_mean for r in priors} == {0.5, 0.1}
 
 
+def test_shapiro_wilk_values():
+    from agorakit.functions.tails import shapiro_weights, shapiro_wilk
+
+    # published results
+    men = [148, 154, 158, 160, 161, 162, 166, 170, 182, 195, 236]
+    w, p = shapiro_wilk(men)
+    assert (round(w, 5), round(p, 6)) == (0.78881, 0.006704)
+    mpg = "21 21 22.8 21.4 18.7 18.1 14.3 24.4 22.8 19.2 17.8 16.4 17.3 15.2 10.4 10.4 14.7 32.4 30.4 33.9 21.5 15.5 15.2 13.3 19.2 27.3 26 30.4 15.8 19.7 15 21.4"
+    w, p = shapiro_wilk([float(x) for x in mpg.split()])
+    assert (round(w, 5), round(p, 4)) == (0.94756, 0.1229)
+    assert shapiro_wilk([5.0] * 9) == (1.0, 1.0) and math.isnan(shapiro_wilk([1.0, 2.0])[0])
+    assert shapiro_wilk([1.0, 2.0, 3.0]) == (pytest.approx(1.0), pytest.approx(1.0))
+    for n in (3, 4, 5, 6, 11, 12, 500):
+        a = shapiro_weights(n)
+        assert a @ a == pytest.approx(1.0) and a.sum() == pytest.approx(0.0, abs=1e-12)
+    rng = np.random.default_rng(2)
+    found = [shapiro_wilk(rng.normal(5, 2, 100))[1] for _ in range(400)]
+    assert 0.02 < np.mean(np.array(found) < 0.05) < 0.09  # holds its level
+    assert shapiro_wilk(rng.exponential(1, 300))[1] < 1e-10
+
+
+def test_keyed_sample_is_bounded_and_repeatable(spark):
+    rows = spark.range(5000).selectExpr("'a' AS g", "id", "id * 1.5 AS x").union(spark.range(3).selectExpr("'b'", "id", "1.0"))
+    pick = lambda df: sorted(tuple(r) for r in stats.keyed_sample(df, ["g"], F.sha2(F.col("id").cast("string"), 256), 40).collect())
+    first = pick(rows)
+    assert first == pick(rows.repartition(7)) and len(first) == 43
+    order = sorted(range(5000), key=lambda i: hashlib.sha256(str(i).encode()).hexdigest())[:40]
+    assert [r[1] for r in first if r[0] == "a"] == sorted(order)
+
+
+def test_normality_of_arms(spark):
+    rng = random.Random(5)
+    rows = [("even", f"c{i}", v, rng.gauss(100, 9)) for i in range(300) for v in fixed.VARIANTS]
+    rows += [("odd", f"c{i}", v, rng.expovariate(1) if v == "treatment" else rng.gauss(0, 1)) for i in range(300) for v in fixed.VARIANTS]
+    rows += [("few", f"c{i}", v, float(i)) for i in range(5) for v in fixed.VARIANTS]
+    df = spark.createDataFrame(rows, "experiment_id string, customer_id string, variant string, order_total double")
+    got = {r.experiment_id: r for r in stats.assumptions(df).collect()}
+    assert (got["even"].normal_control, got["even"].normal_treatment) == (True, True)
+    assert (got["odd"].normal_control, got["odd"].normal_treatment) == (True, False)
+    assert got["few"].normal_control is None and got["few"].levene_p is None and got["few"].n_control == 5
+
+
 def test_power_of_the_t_test():
     """Against the integral of the power over the estimated variance, and recorded values."""
     import numpy as np
