@@ -10,7 +10,7 @@ from agorakit.plans.oracle import arm, mavg, msum, pct, r, sql
 from agorakit.plans.registry import register
 from agorakit.session import shared_dir
 from agorakit.sources import adapters, sinks, topics
-from agorakit.streaming import messages, operators as streams, runtime
+from agorakit.streaming import messages, operators as streams, runtime, timers
 
 NOW = "2024-01-31 00:00:00"
 DAY = "2024-01-15"
@@ -344,6 +344,21 @@ def _run_windows(m):
 register("window_metrics_streamed", _run_windows, sql("SELECT * FROM metrics"))
 
 
+def _run_alerts(m):
+    """Delivery events of all orders, in files of no order of time, through the monitor with timers; the closed alerts."""
+    path = shared_dir(m.spark, "late_orders")
+    steps = m.deliveries.where(F.col("event_type").isin("shipped", "delivered"))
+    steps.repartition(int(m.spark.conf.get("spark.sql.shuffle.partitions")), F.xxhash64("order_id", "event_type")).write.parquet(f"{path}/events")
+    changes = timers.late_orders(topics.read_parquet_stream(m.spark, f"{path}/events"))
+    with timers.timer_state(m.spark):
+        query = runtime.start_upsert(changes, f"{path}/table", f"{path}/checkpoint", ["order_id"], ["revision"])
+    query.awaitTermination()
+    return sinks.read_upserted(m.spark, f"{path}/table").where("is_late AND delivered_at IS NOT NULL").drop("revision")
+
+
+register("delivery_alerts_streamed", _run_alerts, sql("SELECT * FROM alerts"))
+
+
 # --- serving layer ---------------------------------------------------------------------------------------------
 
 _UNION = (

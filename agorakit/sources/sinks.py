@@ -76,6 +76,8 @@ def _drop_unused(spark: SparkSession, path: str, kept: Sequence[dict]) -> None:
     hadoop = spark._jvm.org.apache.hadoop.fs
     root = hadoop.Path(f"{path}/data")
     fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(root):  # no batch had rows yet
+        return
     used = {f"v={v}/_bucket={b}" for m in kept for b, v in m["buckets"].items()}
     oldest = min(m["version"] for m in kept)
     for s in fs.listStatus(root):
