@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from agorakit.functions import fixed
+from agorakit.functions import fixed, half_up
 from agorakit.operators import dims, facts, marts
 from agorakit.plans.oracle import SENTIMENT, TIER, bucket, case, key, mavg, msum, pct, r, sql
 from agorakit.plans.registry import register
+from agorakit.session import shared_dir
 from agorakit.sources import adapters, documents, tables, topics
 from agorakit.sources.schemas import TOPICS
 
@@ -515,6 +516,42 @@ register(
         "SELECT order_status, count(DISTINCT customer_key) AS exact, true AS within_tolerance FROM fct_orders GROUP BY 1"
     ),
 )
+_SKETCHED_FROM = "1995-01-01"
+
+
+def _sketched(m):
+    """Distinct customers per status since a day, from sketches stored by day, against the exact count.
+
+    One sketch for each day and status, sorted by day in a folder for each month, so a range of days opens its months.
+    """
+    path = shared_dir(m.spark, "sketches")
+    orders = m.fct_orders.select(F.col("order_date").alias("day"), "order_status", "customer_key")
+    keys = ["day", "order_status"]
+    sketches = marts.stored_sketches(marts.distinct_registers(orders, "customer_key", keys), keys)
+    by_month = sketches.withColumn("month", F.date_format("day", "yyyy-MM"))
+    by_month.repartition("month").sortWithinPartitions("month", "day").write.partitionBy("month").parquet(f"{path}/table")
+    since = F.col("day") >= F.lit(_SKETCHED_FROM).cast("date")
+    days = m.spark.read.schema(by_month.schema).parquet(f"{path}/table").where((F.col("month") >= _SKETCHED_FROM[:7]) & since)
+    exact = orders.where(since).groupBy("order_status").agg(F.count_distinct("customer_key").alias("exact"))
+    found = marts.distinct_from_sketches(days, ["order_status"]).join(exact, "order_status")
+    error = (F.col("estimate") - F.col("exact")) / F.col("exact") * F.lit(100.0)
+    return found.select("order_status", "estimate", "exact", half_up(error, 4).alias("error_pct"))
+
+
+_M = 2**marts.SKETCH_BITS
+register(
+    "distinct_customers_from_sketches",
+    _sketched,
+    sql(
+        f"SELECT order_status, estimate, exact, {r('(estimate - exact) / exact::DOUBLE * 100', 4)} AS error_pct FROM (SELECT order_status, CAST(floor(CASE WHEN raw <= {2.5 * _M} AND "
+        f"used < {_M} THEN {_M} * ln({_M} / ({_M} - used)) ELSE raw END + 0.5) AS BIGINT) AS estimate FROM (SELECT order_status, "
+        f"{0.7213 / (1 + 1.079 / _M) * _M * _M}::DOUBLE / (sum(pow(2.0::DOUBLE, -rank)) + {_M} - count(*)) AS raw, count(*)::DOUBLE AS used FROM "
+        "(SELECT order_status, register, max(CASE WHEN x = 0 THEN 53 ELSE 53 - length(bin(x)) END) AS rank FROM (SELECT order_status, "
+        "substr(h, 1, 3) AS register, ('0x' || substr(h, 4, 13))::BIGINT AS x FROM (SELECT order_status, sha256(customer_key) AS h FROM since)) "
+        "GROUP BY 1, 2) GROUP BY 1)) JOIN (SELECT order_status, count(DISTINCT customer_key) AS exact FROM since GROUP BY 1) USING (order_status)",
+        since=f"SELECT * FROM fct_orders WHERE order_date >= DATE '{_SKETCHED_FROM}'",
+    ),
+)
 _DAILY_STREAM = (
     "SELECT CAST(window_start AS DATE) AS metric_date, "
     "CAST(sum(metric_value) FILTER (metric_name = 'total_orders') AS BIGINT) AS total_orders, "

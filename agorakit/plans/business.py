@@ -6,6 +6,8 @@ from agorakit.functions import fixed
 from agorakit.operators import business
 from agorakit.plans.oracle import key, mavg, msum, pct, r, sql
 from agorakit.plans.registry import register
+from agorakit.session import shared_dir
+from agorakit.sources import search
 from agorakit.sources.adapters import CATEGORY_OF_TYPE
 
 CATEGORIES = [*sorted(CATEGORY_OF_TYPE.values()), "promo"]
@@ -186,16 +188,29 @@ register(
     lambda m: business.rating_distribution(m.scores_only),
     sql("SELECT review_score, count(*) AS reviews FROM raw_reviews GROUP BY 1"),
 )
+_SEARCH = sql(
+    "SELECT review_id, order_id, review_score FROM raw_reviews WHERE list_has_any("
+    f"regexp_split_to_array(lower(review_comment_message), '[^\\p{{L}}\\p{{N}}]+'), [{', '.join(map(repr, TERMS))}])"
+)
 register(
     "search_review_text",
     lambda m: business.search_reviews(m.raw_reviews, TERMS).select("review_id", "order_id", "review_score"),
-    sql(
-        "SELECT review_id, order_id, review_score FROM raw_reviews WHERE list_has_any("
-        f"regexp_split_to_array(lower(review_comment_message), '[^\\p{{L}}\\p{{N}}]+'), [{', '.join(map(repr, TERMS))}])"
-    ),
+    _SEARCH,
 )
 
 
+def _indexed_search(m):
+    """The same search through an inverted index: the reviews are taken into it, then only the terms' buckets are read."""
+    path = shared_dir(m.spark, "reviews")
+    keys = ["review_id", "order_id"]
+    rows = m.raw_reviews.select(*keys, "review_score", "review_comment_message", "review_creation_date")
+    search.index_batch(path, rows, keys, "review_comment_message", "review_creation_date")
+    return search.search(m.spark, path, TERMS, keys, "review_creation_date").select(*keys, "review_score")
+
+
+register("search_review_index", _indexed_search, _SEARCH)
+
+
 def flagship(m):
     """Daily trends of the last 90 days with a 7-day moving average."""
     return business.daily_trends(m.wide)

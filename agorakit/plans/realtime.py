@@ -151,16 +151,17 @@ _KNOWN = (
     "WHEN coalesce(n, 0) >= 2 THEN 'regular' ELSE 'new' END AS tier FROM raw_customers LEFT JOIN (SELECT customer_id, "
     "count(*) AS n FROM stg_orders WHERE order_status = 'delivered' GROUP BY 1) USING (customer_id)"
 )
+_OPERATIONAL = sql(
+    "SELECT order_id, m.customer_id, coalesce(city, 'unknown') AS customer_city, coalesce(st, 'unknown') "
+    "AS customer_state, order_total, string_split(event_type, '_')[2] AS order_status, event_type, "
+    "'exp_001' AS experiment_id, variant, event_timestamp, k.customer_id IS NULL AS needs_enrichment "
+    "FROM order_messages m LEFT JOIN known k ON k.customer_id = m.customer_id",
+    known=_KNOWN,
+)
 register(
     "enriched_orders_operational",
     lambda m: streams.enrich_orders(_order_messages(m), _lookup(m))[0].drop("processing_timestamp"),
-    sql(
-        "SELECT order_id, m.customer_id, coalesce(city, 'unknown') AS customer_city, coalesce(st, 'unknown') "
-        "AS customer_state, order_total, string_split(event_type, '_')[2] AS order_status, event_type, "
-        "'exp_001' AS experiment_id, variant, event_timestamp, k.customer_id IS NULL AS needs_enrichment "
-        "FROM order_messages m LEFT JOIN known k ON k.customer_id = m.customer_id",
-        known=_KNOWN,
-    ),
+    _OPERATIONAL,
 )
 register(
     "enriched_orders_analytic",
@@ -344,6 +345,27 @@ def _run_windows(m):
 register("window_metrics_streamed", _run_windows, sql("SELECT * FROM metrics"))
 
 
+def _run_enrichment(m):
+    """Order messages as a stream, enriched batch by batch from the customer dimension kept as an upserted table."""
+    path = shared_dir(m.spark, "enriched")
+    sinks.upsert(f"{path}/customers", _lookup(m), ["customer_id"], ["customer_tier"])
+    orders = adapters.order_messages_of(_event_stream(m))
+    query = (
+        orders.writeStream.foreachBatch(
+            runtime.enrich_sink(path, lambda ids: sinks.read_upserted(ids.sparkSession, f"{path}/customers", ids))
+        )
+        .option("checkpointLocation", f"{path}/checkpoint")
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()
+    schema = streams.enrich_orders(_order_messages(m), _lookup(m))[0].schema
+    return m.spark.read.schema(schema).parquet(f"{path}/operational").drop("processing_timestamp", "batch_id")
+
+
+register("enriched_orders_streamed", _run_enrichment, _OPERATIONAL)
+
+
 def _run_alerts(m):
     """Delivery events of all orders, in files of no order of time, through the monitor with timers; the closed alerts."""
     path = shared_dir(m.spark, "late_orders")

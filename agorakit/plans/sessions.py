@@ -2,10 +2,16 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from agorakit.functions import fixed
 from agorakit.operators import funnel
 from agorakit.plans.oracle import pct, r, sql
 from agorakit.plans.registry import register
+from agorakit.session import shared_dir
+from agorakit.streaming import operators as streams, runtime
+
+SESSION_GAP = 4 * 3600
 
 _STAGES = ", ".join(f"({i}, '{s}')" for i, s in enumerate(fixed.FUNNEL_STAGES))
 
@@ -48,7 +54,7 @@ register(
 )
 register(
     "sessionize_by_gap",
-    lambda m: funnel.sessionize(m.clicks.select("event_id", "customer_id", "event_timestamp"), 4 * 3600),
+    lambda m: funnel.sessionize(m.clicks.select("event_id", "customer_id", "event_timestamp"), SESSION_GAP),
     sql(
         "SELECT event_id, customer_id, event_timestamp, CAST(sum(s) OVER (PARTITION BY customer_id "
         "ORDER BY event_timestamp, event_id ROWS UNBOUNDED PRECEDING) AS BIGINT) AS session_no FROM (SELECT *, "
@@ -59,6 +65,42 @@ register(
 )
 
 
+def _run_sessions(m):
+    """Sessions of the click log replayed as a stream of files in no order of time, a few files to a batch.
+
+    The grace is the span of the log, so no row is late; a closing mark behind its end lets all sessions out.
+    """
+    path = shared_dir(m.spark, "sessions")
+    clicks = m.clicks.select("event_id", "customer_id", "event_timestamp")
+    clicks.repartition(16, F.xxhash64("event_id")).write.parquet(f"{path}/events")
+    landed = m.spark.read.schema(clicks.schema).parquet(f"{path}/events")
+    first, last = landed.agg(F.min(F.unix_seconds("event_timestamp")), F.max(F.unix_seconds("event_timestamp"))).first()
+    span = (last - first if first is not None else 0) + SESSION_GAP + 3600
+    mark = m.spark.range(1).select(
+        F.lit(None).cast(clicks.schema["event_id"].dataType).alias("event_id"),
+        F.lit("").alias("customer_id"),  # its own session stays open
+        F.timestamp_seconds(F.lit((last or 0) + 2 * span)).alias("event_timestamp"),
+    )
+    for step in (None, mark):
+        if step is not None:
+            step.write.mode("append").parquet(f"{path}/events")
+        stream = m.spark.readStream.schema(clicks.schema).option("maxFilesPerTrigger", 4).parquet(f"{path}/events")
+        found = streams.gap_sessions(stream, SESSION_GAP, f"{span} seconds")
+        runtime.start_append(found, f"{path}/table", f"{path}/checkpoint").awaitTermination()
+    return m.spark.read.schema(found.schema).parquet(f"{path}/table")
+
+
+_SESSION_SUMS = sql(
+    "SELECT customer_id, min(event_timestamp) AS started_at, max(event_timestamp) AS ended_at, count(*) AS events FROM "
+    "(SELECT *, sum(s) OVER (PARTITION BY customer_id ORDER BY event_timestamp, event_id ROWS UNBOUNDED PRECEDING) AS session_no FROM "
+    f"(SELECT *, CASE WHEN p IS NULL OR epoch_us(event_timestamp) - epoch_us(p) > {SESSION_GAP}000000 THEN 1 ELSE 0 END AS s FROM "
+    "(SELECT *, lag(event_timestamp) OVER (PARTITION BY customer_id ORDER BY event_timestamp, event_id) AS p FROM clicks "
+    "WHERE customer_id IS NOT NULL))) GROUP BY customer_id, session_no"
+)
+register("gap_sessions", lambda m: streams.gap_sessions(m.clicks, SESSION_GAP), _SESSION_SUMS)
+register("gap_sessions_streamed", _run_sessions, _SESSION_SUMS)
+
+
 def _conversion_sql(attribute: str) -> str:
     return sql(
         f"SELECT {attribute}, count(*) AS sessions, CAST(sum(converted) AS BIGINT) AS orders, "

@@ -61,14 +61,42 @@ def _manifest(spark: SparkSession, path: str) -> tuple[int, dict] | None:
     return max(found), json.loads(spark.read.text(f"{path}/manifest/v={max(found)}").first()[0])
 
 
-def read_upserted(spark: SparkSession, path: str) -> DataFrame:
-    """Current content of a table kept by :func:`upsert`."""
+def _bucket_of(keys: Sequence[str], buckets: int) -> Column:
+    return F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
+
+
+def read_upserted(spark: SparkSession, path: str, keys: DataFrame | Sequence | None = None) -> DataFrame:
+    """Current content of a table kept by :func:`upsert`, or only the rows of some keys.
+
+    ``keys`` is a frame with columns of the table, among them those that choose the bucket, or, where one column does, a
+    list of its values. Only the buckets that can hold them are opened: a lookup of one key reads one folder, and a list is also pushed to
+    the files as a filter. Keys that the table lacks give no row.
+    """
     found = _manifest(spark, path)
     if found is None:
         raise FileNotFoundError(path)
-    schema = StructType.fromJson(found[1]["schema"])
-    folders = [f"{path}/data/v={v}/_bucket={b}" for b, v in sorted(found[1]["buckets"].items())]
-    return spark.read.schema(schema).parquet(*folders) if folders else spark.createDataFrame([], schema)
+    manifest = found[1]
+    schema = StructType.fromJson(manifest["schema"])
+    folders = manifest["buckets"]
+    wanted = None
+    if keys is not None:
+        dealt_by = manifest["bucket_by"]
+        if not isinstance(keys, DataFrame):
+            if len(dealt_by) != 1:
+                raise ValueError(f"the table's rows are found by {dealt_by}; give a frame of keys")
+            wanted = [F.lit(k).cast(schema[dealt_by[0]].dataType) for k in keys]
+            if not wanted:
+                return spark.createDataFrame([], schema)
+            keys = spark.range(1).select(F.explode(F.array(*wanted)).alias(dealt_by[0]))
+        keys = keys.select([F.col(c).cast(schema[c].dataType).alias(c) for c in keys.columns]).distinct()
+        hit = {str(r[0]) for r in keys.select(_bucket_of(dealt_by, manifest["n"])).distinct().collect()}
+        folders = {b: v for b, v in folders.items() if b in hit}
+    if not folders:
+        return spark.createDataFrame([], schema)
+    rows = spark.read.schema(schema).parquet(*[f"{path}/data/v={v}/_bucket={b}" for b, v in sorted(folders.items())])
+    if wanted is not None:
+        return rows.where(F.col(manifest["bucket_by"][0]).isin(wanted))
+    return rows if keys is None else rows.join(keys, keys.columns, "left_semi")
 
 
 def _drop_unused(spark: SparkSession, path: str, kept: Sequence[dict]) -> None:
@@ -98,6 +126,7 @@ def upsert(
     batch_id: int | None = None,
     source: str | None = None,
     buckets: int = BUCKETS,
+    bucket_by: Sequence[str] | None = None,
 ) -> None:
     """Upsert into a parquet table; the row with the highest ``order`` of each key stays, stored or new.
 
@@ -105,16 +134,19 @@ def upsert(
     and written again. A manifest names the version of every bucket; readers see a version only when its
     manifest is complete, so a lost executor leaves no trace. The merge gives the same table for
     any cut of the input into batches and for a re-delivery; a re-delivered ``batch_id`` of a named ``source``
-    is skipped. ``buckets`` counts for the first batch only.
+    is skipped. ``bucket_by`` (some of the keys, else all) are the columns whose hash gives the bucket: lookups need
+    them. ``buckets`` and ``bucket_by`` count for the first batch only.
     """
     spark = batch.sparkSession
     found = _manifest(spark, path)
-    version, old = found if found else (-1, {"version": -1, "buckets": {}, "delivered": {}, "n": buckets})
+    first = {"version": -1, "buckets": {}, "delivered": {}, "n": buckets, "bucket_by": list(bucket_by or keys)}
+    version, old = found if found else (-1, first)
+    dealt_by = old.get("bucket_by", list(keys))
     if source is not None and batch_id is not None and old["delivered"].get(source, -1) >= batch_id:
         return
     rank = [*order, *[c for c in batch.columns if c not in keys and c not in order]]
     newest = first_per(batch, keys, rank, False)
-    bucket = F.pmod(F.xxhash64(*keys), F.lit(old["n"])).cast("int").alias("_bucket")
+    bucket = _bucket_of(dealt_by, old["n"]).alias("_bucket")
     # the batch is read for its buckets and for the merge; it is kept so that the source is read once
     newest.persist()
     try:
@@ -132,6 +164,7 @@ def upsert(
     new = {
         "version": version + 1,
         "n": old["n"],
+        "bucket_by": dealt_by,
         "schema": json.loads(newest.schema.json()),
         "buckets": old["buckets"] | dict.fromkeys(touched, version + 1),
         "delivered": old["delivered"] | ({source: batch_id} if source is not None and batch_id is not None else {}),

@@ -13,8 +13,8 @@ def enrich_orders(orders: DataFrame, customers: DataFrame, now: Column | None =
     """Order messages with the customer's place and tier, as operational and analytic rows.
 
     ``customers``: customer_id, city, state, customer_tier. An unknown customer
-    is flagged ``needs_enrichment``. On a stream this is a stream-static join; a
-    fresh dimension is picked up by reading it again in ``foreachBatch``.
+    is flagged ``needs_enrichment``. On a stream this is a stream-static join with the dimension as it was when
+    the query started; ``enrich_sink`` reads it anew for every batch.
     """
     moment = now if now is not None else F.current_timestamp()
     known = customers.select(
@@ -124,6 +124,28 @@ def combined_partials(partials: DataFrame) -> DataFrame:
     return partials.groupBy("window", "_session").agg(*[F.sum(c).alias(c) for c in ("orders", "gmv", "rows")])
 
 
+def gap_sessions(
+    events: DataFrame, gap_seconds: int = 1800, grace: str | None = None, user: str = "customer_id", ts: str = "event_timestamp"
+) -> DataFrame:
+    """Sessions of each user: a pause of more than ``gap_seconds`` ends one. First and last event and number of events.
+
+    Static or streaming. On a stream the state holds the open sessions of each user; an event that falls between two of
+    them, in whatever batch it comes, makes them one. A session is emitted (append mode) once event time has passed its end by
+    ``grace``, which a stream must give; rows later than that are dropped and counted in the query's progress.
+    Events without a user or a time belong to no session.
+    """
+    if events.isStreaming:
+        if grace is None:
+            raise ValueError("a stream needs a grace period")
+        events = events.withWatermark(ts, grace)
+    return (
+        events.where(F.col(user).isNotNull())
+        .groupBy(user, F.session_window(ts, f"{int(gap_seconds)} seconds").alias("_session"))
+        .agg(F.count(F.lit(1)).alias("events"), F.max(ts).alias("ended_at"))
+        .select(user, F.col("_session.start").alias("started_at"), "ended_at", "events")
+    )
+
+
 def experiment_counters(events: DataFrame) -> DataFrame:
     """Running impressions, clicks, conversions and revenue per experiment and variant.
 

@@ -7,11 +7,12 @@ import time
 from collections import deque
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from agorakit.functions import fixed
 from agorakit.sources.sinks import upsert_sink
+from agorakit.streaming.operators import enrich_orders
 
 log = logging.getLogger(__name__)
 
@@ -71,6 +72,22 @@ def append_sink(
     return write
 
 
+def enrich_sink(path: str, customers: Callable[[DataFrame], DataFrame], now: Column | None = None) -> Callable[[DataFrame, int], None]:
+    """``foreachBatch`` function that enriches order messages and writes operational and analytic rows.
+
+    ``customers`` is called with the ids of each batch and returns the dimension as it is then, so a customer that comes
+    into the dimension is known from the next batch on. Reading an upserted table by these ids
+    (``read_upserted(..., keys=ids)``) opens only the buckets that can hold them.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        known = customers(batch.select("customer_id").where("customer_id is not null").distinct())
+        for name, rows in zip(("operational", "analytic"), enrich_orders(batch, known, now)):
+            rows.write.mode("overwrite").parquet(f"{path}/{name}/batch_id={batch_id}")
+
+    return write
+
+
 def start_partials(stream: DataFrame, path: str, checkpoint: str, prepare: Callable[[DataFrame], DataFrame]) -> StreamingQuery:
     """Start a stateless query that writes each batch's partial aggregate; the reader adds them up. No row is ever late."""
     return (
