@@ -129,6 +129,23 @@ _MOMENTS = ", ".join(
     f"count(*) FILTER (variant = '{v}') AS mean_{s}, var_samp(order_total) FILTER (variant = '{v}') AS var_{s}"
     for v, s in _SIDES
 )
+_SLOPE = "exp(lgamma((df + 1) / 2) - lgamma(df / 2)) / sqrt(df * pi()) * pow(1 + c * c / df, -(df + 1) / 2)"
+_NEWTON = f"SELECT * EXCLUDE (c), c + ({p_student('c', 'df')} - 0.05::DOUBLE) / (2 * {_SLOPE}) AS c FROM {{0}}"
+
+
+def _welch_critical(rows: str = "frame") -> dict[str, str]:
+    """Moments, t and the critical value of t (c) by Newton's method from the normal one, in ``newton4``."""
+    first = (
+        f"SELECT *, {fixed.Z_95}::DOUBLE AS c, (mean_c - mean_t) / se AS t FROM (SELECT *, sqrt(v_c + v_t) AS se, "
+        "(v_c + v_t) * (v_c + v_t) / (v_c * v_c / (n_c - 1) + v_t * v_t / (n_t - 1)) AS df FROM "
+        f"(SELECT *, var_c / n_c AS v_c, var_t / n_t AS v_t FROM (SELECT experiment_id, {_MOMENTS} FROM {rows} GROUP BY 1)))"
+    )
+    steps = {"newton0": first}
+    for i in range(1, 5):
+        steps[f"newton{i}"] = _NEWTON.format(f"newton{i - 1}")
+    return steps
+
+
 register(
     "welch_t_test",
     lambda m: stats.welch(m.frame, "order_total").select(
@@ -141,27 +158,55 @@ register(
         half_up(F.col("t_statistic"), 6).alias("t_statistic"),
         half_up(F.col("df"), 3).alias("df"),
         half_up(F.col("t_p_value"), 6).alias("t_p_value"),
+        *[half_up(F.col(c), 4).alias(c) for c in ("ci_lower", "ci_upper")],
     ),
     sql(
         "SELECT experiment_id, n_c, n_t, mean_c, mean_t, mean_t - mean_c AS diff, "
-        f"{r('t', 6)} AS t_statistic, {r('f', 3)} AS df, {r(p_student('t', 'f'), 6)} AS t_p_value FROM (SELECT *, "
-        "(mean_c - mean_t) / sqrt(v_c + v_t) AS t, "
-        "(v_c + v_t) * (v_c + v_t) / (v_c * v_c / (n_c - 1) + v_t * v_t / (n_t - 1)) AS f FROM "
-        f"(SELECT *, var_c / n_c AS v_c, var_t / n_t AS v_t FROM (SELECT experiment_id, {_MOMENTS} FROM frame GROUP BY 1)))"
+        f"{r('t', 6)} AS t_statistic, {r('df', 3)} AS df, {r(p_student('t', 'df'), 6)} AS t_p_value, "
+        f"{r('mean_t - mean_c - c * se', 4)} AS ci_lower, {r('mean_t - mean_c + c * se', 4)} AS ci_upper FROM newton4",
+        **_welch_critical(),
     ),
 )
-_RANKED = (
-    "SELECT experiment_id, n_c, n_t, u_statistic, {z} AS z_two FROM (SELECT experiment_id, n_c, n_t, "
-    "r2 / 2 - n_c * (n_c + 1) / 2 AS u_statistic, ties FROM (SELECT experiment_id, CAST(sum(c) AS BIGINT) AS n_c, "
-    "CAST(sum(t) AS BIGINT) AS n_t, sum(c * (2 * before + n + 1))::DOUBLE AS r2, sum(n::DOUBLE * n * n - n) AS ties FROM "
-    "(SELECT *, coalesce(sum(n) OVER (PARTITION BY experiment_id ORDER BY v ROWS BETWEEN UNBOUNDED PRECEDING AND "
-    "1 PRECEDING), 0) AS before FROM (SELECT experiment_id, {value} AS v, count(*) FILTER (variant = 'control') AS c, "
-    "count(*) FILTER (variant = 'treatment') AS t, count(*) AS n FROM frame WHERE {where} GROUP BY 1, 2)) GROUP BY 1))"
+_UPPER = lambda z: f"(CASE WHEN {z} >= 0 THEN {p_norm(z)} / 2 ELSE 1 - {p_norm(z)} / 2 END)"
+
+
+def _ranked(value: str, where: str, least: int = 0) -> str:
+    """Means, U and its normal scores, by value counts."""
+    z = lambda u: f"({u} - n_c * n_t / 2 - 0.5) / nullif(spread, 0)"
+    return (
+        f"SELECT experiment_id, n_c, n_t, {r('s_c', 4)} / nullif(n_c, 0) AS mean_c, {r('s_t', 4)} / nullif(n_t, 0) AS mean_t, u AS u_statistic, "
+        f"{z('greatest(u, n_c * n_t - u)')} AS z_two, {z('u')} AS z_greater, {z('(n_c * n_t - u)')} AS z_less, "
+        f"u IS NOT NULL AND ties = 0 AND least(n_c, n_t) BETWEEN 1 AND {tails.MW_EXACT_SAMPLE} AS exact FROM (SELECT * EXCLUDE (u), "
+        f"CASE WHEN least(n_c, n_t) >= {least} THEN u END AS u FROM (SELECT *, r2 / 2 - n_c * (n_c + 1) / 2 AS u, sqrt(n_c::DOUBLE * n_t / 12 * "
+        "(n_c + n_t + 1 - ties / nullif((n_c + n_t)::DOUBLE * (n_c + n_t - 1), 0))) AS spread FROM (SELECT experiment_id, CAST(sum(c) AS BIGINT) AS n_c, "
+        "CAST(sum(t) AS BIGINT) AS n_t, sum(c * (2 * before + n + 1))::DOUBLE AS r2, sum(n::DOUBLE * n * n - n) AS ties, sum(v * c) AS s_c, sum(v * t) AS s_t FROM "
+        "(SELECT *, coalesce(sum(n) OVER (PARTITION BY experiment_id ORDER BY v ROWS BETWEEN UNBOUNDED PRECEDING AND "
+        f"1 PRECEDING), 0) AS before FROM (SELECT experiment_id, ({value})::DOUBLE AS v, count(*) FILTER (variant = 'control') AS c, "
+        f"count(*) FILTER (variant = 'treatment') AS t, count(*) AS n FROM frame WHERE {where} GROUP BY 1, 2)) GROUP BY 1)))"
+    )
+
+
+# In how many ways m small and n large values give U: partitions of u into m parts of at most n, built up by n.
+_WAYS = (
+    "SELECT 0::BIGINT AS n, 0::BIGINT AS m, 0::BIGINT AS u, 1::DOUBLE AS ways UNION ALL SELECT n + 1, m + j, u + j * (n + 1), sum(ways) FROM ways, "
+    f"(SELECT unnest(range(0, {tails.MW_EXACT_SAMPLE + 1})) AS j) WHERE m + j <= {tails.MW_EXACT_SAMPLE} AND "
+    "n < (SELECT coalesce(max(greatest(n_c, n_t)), 0) FROM ranked_rows WHERE exact) GROUP BY n + 1, m + j, u + j * (n + 1)"
 )
-_Z_TWO = r(
-    "(greatest(u_statistic, n_c * n_t - u_statistic) - n_c * n_t / 2 - 0.5) / nullif(sqrt(n_c::DOUBLE * n_t / 12 * "
-    "(n_c + n_t + 1 - ties / nullif((n_c + n_t)::DOUBLE * (n_c + n_t - 1), 0))), 0)",
-    6,
+
+
+def _tail(z: str, at: str, factor: int) -> str:
+    ways = (
+        f"(SELECT coalesce(sum(w.ways) FILTER (w.u <= x.n_c * x.n_t - ceil({at})), 0) / sum(w.ways) FROM ways w "
+        "WHERE w.n = greatest(x.n_c, x.n_t) AND w.m <= least(x.n_c, x.n_t))"
+    )
+    return f"CASE WHEN x.exact THEN least(1, {factor} * {ways}) ELSE coalesce(least(1, {factor} * {_UPPER('x.' + z)}), 1) END"
+
+
+_OTHER = "(x.n_c * x.n_t - x.u_statistic)"
+_RANK_TAILS = (
+    ("mw_p_value", "z_two", f"greatest(x.u_statistic, {_OTHER})", 2),
+    ("mw_p_greater", "z_greater", "x.u_statistic", 1),
+    ("mw_p_less", "z_less", _OTHER, 1),
 )
 for _name, _value, _where in (
     ("mann_whitney_revenue", "order_total", "true"),
@@ -171,9 +216,21 @@ for _name, _value, _where in (
     register(
         _name,
         lambda m, v=_value, w=_where: stats.mann_whitney(m.frame_table.where(w), v).select(
-            "experiment_id", "n_c", "n_t", "u_statistic", half_up(F.col("z_two"), 6).alias("z_two")
+            "experiment_id",
+            "n_c",
+            "n_t",
+            "mean_c",
+            "mean_t",
+            "u_statistic",
+            *[half_up(F.col(c), 6).alias(c) for c in ("z_two", "z_greater", "z_less", "mw_p_value", "mw_p_greater", "mw_p_less")],
+        ),
+        sql(
+            "SELECT experiment_id, n_c, n_t, mean_c, mean_t, u_statistic, "
+            + ", ".join(f"{r(z, 6)} AS {z}, {r(_tail(z, at, k), 6)} AS {p}" for p, z, at, k in _RANK_TAILS)
+            + " FROM ranked_rows x",
+            ranked_rows=_ranked(_value, _where),
+            ways=_WAYS,
         ),
-        sql(_RANKED.format(z=_Z_TWO, value=f"{_value}::DOUBLE", where=_where)),
     )
 _SE = "sqrt(cr_c * (1 - cr_c) / n_control + cr_t * (1 - cr_t) / n_treatment)"
 register(
@@ -288,7 +345,6 @@ register(
 )
 _Z = fixed.Z_95 + fixed.Z_80_POWER
 _GOAL = "2 * (asin(sqrt(baseline_rate * (1 + mde_percent / 100))) - asin(sqrt(baseline_rate)))"
-_UPPER = lambda z: f"(CASE WHEN {z} >= 0 THEN {p_norm(z)} / 2 ELSE 1 - {p_norm(z)} / 2 END)"
 _POWER = lambda shift: f"({_UPPER(f'({fixed.Z_95}::DOUBLE - {shift})')} + {_UPPER(f'({fixed.Z_95}::DOUBLE + {shift})')})"
 register(
     "power_audit",
@@ -317,8 +373,6 @@ def _power(m):
     )
 
 
-_SLOPE = "exp(lgamma((df + 1) / 2) - lgamma(df / 2)) / sqrt(df * pi()) * pow(1 + c * c / df, -(df + 1) / 2)"
-_NEWTON = f"SELECT * EXCLUDE (c), c + ({p_student('c', 'df')} - 0.05::DOUBLE) / (2 * {_SLOPE}) AS c FROM {{0}}"
 _PLANNED = "2 * (asin(sqrt(cr_c * (1 + mde_percent / 100))) - asin(sqrt(cr_c)))"
 register(
     "power_of_tests",
@@ -395,34 +449,87 @@ register(
         ordered=_ORDERED,
     ),
 )
+
+
+def _metric_sql(metric) -> str:
+    """One metric's row for each experiment, as ``stats.metric_tests`` gives it."""
+    side = {"two-sided": 0, "greater": 1, "less": 2}[metric.direction]
+    if metric.column is None:
+        p = (p_norm("z"), f"CASE WHEN z >= 0 THEN {p_norm('z')} / 2 ELSE 1 - {p_norm('z')} / 2 END", f"CASE WHEN z >= 0 THEN 1 - {p_norm('z')} / 2 ELSE {p_norm('z')} / 2 END")[side]
+        rows = f"SELECT experiment_id, cr_c AS c, cr_t AS t, z AS statistic, coalesce({p}, 1) AS p FROM ({_Z_OF.format(rows='stats')})"
+    else:
+        _, z, at, k = _RANK_TAILS[side]
+        rows = f"SELECT experiment_id, mean_c AS c, mean_t AS t, u_statistic AS statistic, {_tail(z, at, k)} AS p FROM ranked_rows x WHERE of_metric = '{metric.name}'"
+    diff = "CASE WHEN statistic IS NOT NULL THEN t - c ELSE 0 END"
+    return (
+        f"SELECT experiment_id, '{metric.name}' AS metric, '{metric.role}' AS role, coalesce(c, 0) AS control, coalesce(t, 0) AS treatment, coalesce({diff}, 0) AS absolute_diff, "
+        f"{r(f'coalesce(({diff}) / nullif(c, 0) * 100, 0)')} AS relative_diff_pct, statistic, p FROM ({rows})"
+    )
+
+
+def _ranked_metric(metric) -> str:
+    where = f"{metric.column} IS NOT NULL" + (" AND converted" if metric.converters_only else "")
+    return f"SELECT *, '{metric.name}' AS of_metric FROM ({_ranked(metric.column, where, 5)})"
+
+
+_GATED = {
+    "ranked_rows": " UNION ALL ".join(_ranked_metric(metric) for metric in stats.STANDARD_METRICS if metric.column),
+    "ways": _WAYS,
+    "metric_rows": " UNION ALL ".join(_metric_sql(metric) for metric in stats.STANDARD_METRICS),
+    "held": "SELECT *, least(1, max((size - place + 1) * p) OVER (PARTITION BY experiment_id, role ORDER BY place)) AS q, "
+    "coalesce(min(CASE WHEN role = 'primary' THEN CAST(p < 0.05 AS INTEGER) END) OVER (PARTITION BY experiment_id) = 1, false) AS primary_passed FROM "
+    "(SELECT *, count(*) OVER (PARTITION BY experiment_id, role) AS size, row_number() OVER (PARTITION BY experiment_id, role ORDER BY p, metric) AS place FROM metric_rows)",
+    "gated": "SELECT *, coalesce(corrected < 0.05, false) AS significant, role = 'guardrail' AND coalesce(corrected < 0.05, false) AND absolute_diff < 0 AS triggered FROM "
+    "(SELECT *, CASE WHEN role <> 'secondary' THEN p WHEN primary_passed THEN q END AS corrected FROM held)",
+}
+_METRIC_COLUMNS = ["experiment_id", "metric", "role", "control", "treatment", "absolute_diff", "relative_diff_pct"]
 register(
     "multi_metric_values",
-    lambda m: stats.metric_tests(m.frame_table).where(F.col("metric").isin("conversion_rate", "revenue_per_user")).select(
-        "experiment_id", "metric", "role", "control", "treatment", "absolute_diff", "relative_diff_pct"
+    lambda m: stats.metric_tests(m.frame_table).select(
+        *_METRIC_COLUMNS, half_up(F.col("statistic"), 6).alias("statistic"), half_up(F.col("p_value"), 6).alias("p_value")
     ),
+    sql(f"SELECT {', '.join(_METRIC_COLUMNS)}, {r('statistic', 6)} AS statistic, {r('p', 6)} AS p_value FROM metric_rows", **{k: _GATED[k] for k in ("ranked_rows", "ways", "metric_rows")}),
+)
+
+
+def _hierarchical(m):
+    tested = stats.hierarchical(stats.metric_tests(m.frame_table))
+    return tested.withColumns({c: half_up(F.col(c), 6) for c in ("statistic", "p_value", "corrected_p")})
+
+
+register(
+    "hierarchical_metrics",
+    _hierarchical,
     sql(
-        "SELECT experiment_id, metric, role, c AS control, t AS treatment, t - c AS absolute_diff, "
-        f"{r('(t - c) / c * 100')} AS relative_diff_pct FROM (SELECT experiment_id, 'conversion_rate' AS metric, "
-        "'primary' AS role, cr_c AS c, cr_t AS t FROM stats UNION ALL SELECT experiment_id, 'revenue_per_user', "
-        f"'secondary', mean_c, mean_t FROM (SELECT experiment_id, {_MOMENTS} FROM frame GROUP BY 1))"
+        f"SELECT {', '.join(_METRIC_COLUMNS)}, {r('statistic', 6)} AS statistic, {r('p', 6)} AS p_value, {r('corrected', 6)} AS corrected_p, primary_passed, "
+        "significant, triggered FROM gated",
+        **_GATED,
     ),
 )
-register("hierarchical_metrics", lambda m: stats.hierarchical(stats.metric_tests(m.frame_table)))
 register(
-    "hierarchical_decisions", lambda m: stats.hierarchical_decision(stats.hierarchical(stats.metric_tests(m.frame_table)))
+    "hierarchical_decisions",
+    lambda m: stats.hierarchical_decision(stats.hierarchical(stats.metric_tests(m.frame_table))),
+    sql(
+        "SELECT experiment_id, primary_passed, NOT blocked AS guardrail_ok, CASE WHEN NOT primary_passed THEN 'FAIL' WHEN blocked THEN 'BLOCKED' "
+        "WHEN secondary THEN 'STRONG LAUNCH' ELSE 'LAUNCH' END AS decision FROM (SELECT experiment_id, bool_and(primary_passed) AS primary_passed, "
+        "bool_or(triggered) AS blocked, bool_or(role = 'secondary' AND significant) AS secondary FROM gated GROUP BY 1)",
+        **_GATED,
+    ),
 )
 register("experiment_report", lambda m: stats.experiment_report(m.frame_table, m.catalog))
 register(
     "business_impact",
     lambda m: stats.impact(stats.ci_rate(_rates(m), True).withColumn("test_type", F.lit("chi_square"))).select(
-        "experiment_id", "monthly_extra_conversions", "monthly_revenue_impact", "annual_revenue_impact"
+        "experiment_id", "monthly_extra_conversions", "monthly_revenue_impact", "annual_revenue_impact", "ci_annual_lower", "ci_annual_upper"
     ),
     sql(
         f"SELECT experiment_id, {r('100000.0::DOUBLE * l', 0)} AS monthly_extra_conversions, "
         f"{r('100000.0::DOUBLE * l * rev')} AS monthly_revenue_impact, "
-        f"{r('100000.0::DOUBLE * l * rev * 12')} AS annual_revenue_impact FROM (SELECT experiment_id, "
-        f"{r('cr_t', 4)} - {r('cr_c', 4)} AS l, {r('mean_t')} AS rev FROM stats JOIN (SELECT experiment_id, {_MOMENTS} "
-        "FROM frame GROUP BY 1) USING (experiment_id))"
+        f"{r('100000.0::DOUBLE * l * rev * 12')} AS annual_revenue_impact, "
+        + ", ".join(f"{r(f'(l {op} {fixed.Z_95}::DOUBLE * {_SE}) * 100000.0::DOUBLE * rev * 12')} AS ci_annual_{e}" for op, e in (("-", "lower"), ("+", "upper")))
+        + " FROM (SELECT *, cr_t - cr_c AS l FROM (SELECT experiment_id, n_control, n_treatment, "
+        f"{r('cr_t', 4)} AS cr_t, {r('cr_c', 4)} AS cr_c, {r('mean_t')} AS rev FROM stats JOIN (SELECT experiment_id, {_MOMENTS} "
+        "FROM frame GROUP BY 1) USING (experiment_id)))"
     ),
 )
 

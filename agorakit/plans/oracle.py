@@ -410,4 +410,6 @@ def sql(final: str, *extra: str, **local: str) -> str:
             visit(CTES[name])
             wanted.append(name)
     parts = [f"{name} AS ({CTES[name]})" for name in wanted] + [f"{name} AS ({text})" for name, text in local.items()]
-    return f"WITH {', '.join(parts)} {final}" if parts else final
+    # an expression that names itself is recursive
+    recursive = " RECURSIVE" if any(name in re.findall(r"[a-z_]+", text) for name, text in local.items()) else ""
+    return f"WITH{recursive} {', '.join(parts)} {final}" if parts else final
