@@ -32,8 +32,18 @@ def slices(batches: Iterator[pa.RecordBatch], text: str = "text", limit: int = S
             last = max(first + 1, int(np.searchsorted(ends, base + limit, side="right")))
             yield batch.slice(first, last - first)
             first, base = last, int(ends[last - 1])
-    # workers live on for later stages: what this one freed goes back to the system
+    give_back()
+
+
+def give_back() -> None:
+    """Workers live on for later stages: what a task has freed goes back to the system, Arrow's memory and the heap's."""
+    import ctypes
+
     pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except AttributeError:  # a C library without it
+        pass
 
 
 def once(key: str, make: Callable[[], object]) -> object:

@@ -23,6 +23,7 @@ from agorakit.llm.tokens import LETTER, _classes
 from agorakit.session import materialize
 
 BUCKETS = 1 << 15
+GRAM_BYTES = 1 << 20  # bytes of text whose n-grams are held at a time, at least one text
 SAMPLE = 2000  # learning documents of each language, about
 EPOCHS = 3
 ALPHA, BETA, L1, L2 = 2.0, 1.0, 0.01, 0.01
@@ -52,7 +53,7 @@ def grams(texts: pa.Array) -> tuple[list[np.ndarray], np.ndarray]:
     data, offsets = utf8(texts)
     n = len(offsets) - 1
     if not len(data):
-        return [np.zeros(0, np.int64)] * n, np.zeros(n, bool)
+        return [np.zeros(0, np.int32)] * n, np.zeros(n, bool)
     place = np.flatnonzero((data & 0xC0) != 0x80)
     points = np.frombuffer(data.tobytes().decode("utf-8").encode("utf-32-le"), np.uint32)
     letter = once("code point classes", _classes)[points] == LETTER
@@ -69,7 +70,7 @@ def grams(texts: pa.Array) -> tuple[list[np.ndarray], np.ndarray]:
         for j in range(order):
             h = (h ^ codes[j : j + len(h)]) * np.uint64(0x9E3779B97F4A7C15)
             h ^= h >> np.uint64(29)
-        return ((h * np.uint64(0xBF58476D1CE4E5B9)) >> np.uint64(49)).astype(np.int64)
+        return ((h * np.uint64(0xBF58476D1CE4E5B9)) >> np.uint64(49)).astype(np.int32)
 
     one, two, three = (bucket(k) for k in (1, 2, 3))
     out = []
@@ -151,7 +152,7 @@ def learn(docs: DataFrame, usable: Column, sample: int = SAMPLE) -> dict | None:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(BUCKETS + 1, np.int64)
-        for part in slices(batches):
+        for part in slices(batches, limit=GRAM_BYTES):
             found, lettered = grams(column(part, "text"))
             langs, h = column(part, "lang").to_pylist(), column(part, "h").to_numpy()
             out = []
@@ -205,7 +206,7 @@ def identify(docs: DataFrame, model: dict | None, keep: list[str]) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = shared.value
-        for part in slices(with_text(batches), "_text"):
+        for part in slices(with_text(batches), "_text", GRAM_BYTES):
             found, lettered = grams(column(part, "_text"))
             langs, scores = [UNKNOWN] * part.num_rows, np.zeros(part.num_rows)
             for i in np.flatnonzero(lettered) if own else []:

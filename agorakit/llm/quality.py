@@ -221,7 +221,7 @@ def _stats(docs: DataFrame, keep: list[str]) -> DataFrame:
     frame = docs.select(struct) if "text" in keep else docs.select(struct, F.col("text").cast("string").alias("_text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(with_text(batches), "_text"):
+        for part in slices(with_text(batches), "_text", 1 << 20):
             x = features(column(part, "_text")).astype(np.float32)
             yield pa.RecordBatch.from_arrays([column(part, "_row"), pa.array([r.tobytes() for r in x], pa.binary())], names=["_row", "stats"])
 

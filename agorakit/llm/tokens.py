@@ -21,7 +21,7 @@ PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\
 WHITE = [*range(0x09, 0x0E), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
 CONTRACTIONS = ["s", "t", "re", "ve", "m", "ll", "d"]
 OTHER, LETTER, NUMBER, SPACE, UNSURE = range(5)
-CACHE = 400_000  # encoded pieces kept by a worker
+CACHE = 100_000  # encoded pieces kept by a worker, some 25 MB
 
 
 def _classes() -> np.ndarray:
