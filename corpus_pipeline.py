@@ -24,10 +24,11 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 #: Rows of a batch that Python workers get at a time; whole documents pass through them in several stages.
 BATCH_ROWS = 1000
+BATCH_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
 def small_batches(spark: SparkSession) -> None:
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    spark.conf.set(BATCH_SETTING, str(BATCH_ROWS))
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -74,6 +75,10 @@ ORACLE_SQL: str | None = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages applied to ``documents``; what each returns is a table in the shared folder."""
     docs = apply_runtime_conf(spark).read.parquet(f"{sf_dir}/documents.parquet")
-    for name, stage in STAGES:
-        docs = materialize(stage(spark, docs, sf_dir), name)
+    before = spark.conf.get(BATCH_SETTING)
+    try:
+        for name, stage in STAGES:
+            docs = materialize(stage(spark, docs, sf_dir), name)
+    finally:
+        spark.conf.set(BATCH_SETTING, before)
     return docs
