@@ -18,12 +18,14 @@ members are cut into chunks.
 
 Links only have to connect components, so there are two passes: the first asks the trees of larger groups for
 partners of the group's smallest class only, the second compares what is not connected with it with all of
-the group, and skips pairs already connected. Equal sets are one class throughout and never paired.
+the group, and skips pairs already connected. The second pass names no pairs: a first tree finds the members of a block that have
+a partner at all, these come back with their exact sets, and a finer tree, the exact check and the joining of
+components happen inside the block, which returns fewer links than it has members. Equal sets are one class throughout and never paired.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -31,13 +33,16 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from agorakit.llm import arrays
 from agorakit.llm.components import components
-from agorakit.llm.kernels import batches_of, binary, column, shingle_sets, slices
+from agorakit.llm.kernels import batches_of, binary, column, give_back, shingle_sets, slices
 from agorakit.session import discard, materialize
 
 SKETCH_BITS = 21  # cells of the count sketch; an order of shingles, not a filter
 CHUNK = 1024  # members of a group that one tree holds
 SMALL = 8  # groups up to this size are joined with themselves at once
 LEAF = 8  # members of an R-tree leaf, children of a node
+SLAB = 4096  # pairs of leaves whose members are compared at once
+CHUNK_SHINGLES = 1 << 20  # shingles of a chunk, at most; never fewer than SMALL members
+FINER = 4  # times as many groups in the points of the second pass's exact step
 MAX_BLOOM_BITS = 29  # 64 MB
 
 
@@ -170,37 +175,39 @@ def mates(routed: DataFrame) -> DataFrame:
 def dealt(members: DataFrame, num: int, den: int, first: bool) -> DataFrame:
     """``members`` (centre, cls, size, k, n, point, label, own) as rows of blocks: block, is_centre, small, late added.
 
-    A block is a band of a group: sets whose sizes allow the threshold are in the same or the next band, and every member is
-    in its own and the next. Groups over CHUNK are cut: in the first pass the centre goes to all chunks, in the
-    second all members whose label is not the centre's (``own``: it is) do, cut into chunks themselves.
+    A block is a band of a group: sets whose sizes allow the threshold are in the same or the next band, and every member is in
+    its own and the next. Groups over CHUNK members, fewer in bands of long sets, are cut: in the first pass the centre goes to all
+    chunks, in the second all members whose label is not the centre's (``own``: it is) do, cut into chunks themselves.
     """
-    band = F.floor(F.log(F.col("n")) / F.lit(float(np.log(den / num * 1.0001)))).cast("long")
+    ratio = den / num * 1.0001
     rows = members.withColumn("is_centre", F.col("centre") == F.col("cls") if first else F.lit(False))
-    rows = rows.withColumn("small", F.col("size") <= SMALL)
-    chunks = F.ceil(F.col("size") / F.lit(CHUNK)).cast("int")
+    rows = rows.withColumn("small", F.col("size") <= SMALL).withColumn("late", F.explode(F.array(F.lit(False), F.lit(True))))
+    rows = rows.withColumn("band", F.floor(F.log(F.col("n")) / F.lit(float(np.log(ratio)))).cast("long") + F.col("late").cast("long"))
+    longest = F.pow(F.lit(float(ratio)), F.col("band") + 1)
+    limit = F.least(F.lit(CHUNK), F.greatest(F.lit(SMALL), F.floor(F.lit(CHUNK_SHINGLES) / longest)))
+    chunks = F.ceil(F.col("size") / limit).cast("int")
     place = F.pmod(F.xxhash64("cls"), chunks).cast("int")
     every = F.sequence(F.lit(0), chunks - 1)
     if first:
         cells = F.when(F.col("is_centre"), every).otherwise(F.array(place))
         rows = rows.withColumn("i", F.lit(0)).withColumn("j", F.explode(cells))
     else:
-        odd = rows.where(~F.col("own")).groupBy("centre").agg(F.count("*").alias("odd"))
+        odd = members.where(~F.col("own")).groupBy("centre").agg(F.count("*").alias("odd"))
         rows = rows.join(odd, "centre")
-        parts = F.ceil(F.col("odd") / F.lit(CHUNK)).cast("int")
+        parts = F.ceil(F.col("odd") / limit).cast("int")
         slot = F.pmod(F.xxhash64("cls", F.lit(1)), parts).cast("int")
         as_member = rows.withColumn("i", F.explode(F.sequence(F.lit(0), parts - 1))).withColumn("j", place)
         as_odd = rows.where(~F.col("own") & (chunks * parts > 1)).withColumn("i", slot).withColumn("j", F.explode(every))
         rows = as_member.unionByName(as_odd)
-    rows = rows.withColumn("late", F.explode(F.array(F.lit(False), F.lit(True))))
-    return rows.withColumn("block", F.xxhash64("centre", band + F.col("late").cast("long"), "i", "j"))
+    return rows.withColumn("block", F.xxhash64("centre", "band", "i", "j"))
 
 
 # --- points and sets of classes ------------------------------------------------------------------------------------
 
 
-def point(x: np.ndarray) -> np.ndarray:
-    """Group counts; the number of groups is the power of two in (n/4, n/2], at least 16. 255 stands for 255 or more."""
-    groups = max(16, 1 << max(int(len(x) // 2).bit_length() - 1, 0))
+def point(x: np.ndarray, finer: int = 1) -> np.ndarray:
+    """Group counts; the number of groups is ``finer`` times the power of two in (n/4, n/2], at least 16. 255 stands for 255 or more."""
+    groups = finer * max(16, 1 << max(int(len(x) // 2).bit_length() - 1, 0))
     return np.minimum(np.bincount((x & np.uint64(groups - 1)).astype(np.int64), minlength=groups), 255).astype(np.uint8)
 
 
@@ -225,10 +232,9 @@ def bloom(keys: DataFrame, count: int) -> np.ndarray:
     return filled if filled is not None else np.zeros(1 << (bits - 3), np.uint8)
 
 
-def sets_of(docs: DataFrame, size: int, pairs: DataFrame) -> DataFrame:
-    """(k, shingles) of the classes in ``pairs``, from the texts; a Bloom filter spares the others the shuffle."""
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("k"))
-    shared = docs.sparkSession.sparkContext.broadcast(bloom(wanted, 2 * pairs.count()))
+def sets_of(docs: DataFrame, size: int, wanted: DataFrame) -> DataFrame:
+    """(k, shingles) of the classes in ``wanted`` (k), from the texts; a Bloom filter spares the others the shuffle."""
+    shared = docs.sparkSession.sparkContext.broadcast(bloom(wanted, wanted.count()))
     schema = pa.schema([("k", pa.binary()), ("shingles", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -308,20 +314,33 @@ class Tree:
         keep[np.flatnonzero(keep)] = good
         return keep
 
-    def pairs(self, num: int, den: int) -> tuple[np.ndarray, np.ndarray]:
-        """Pairs of members (i < j, labels differ) whose bound reaches the threshold."""
+    def _below(self, level: int, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Pairs of children (each once) of pairs of nodes of ``level``."""
+        below = len(self.levels[level - 1][0])
+        shape = (len(a), LEAF, LEAF)
+        x = np.broadcast_to((a[:, None] * LEAF + np.arange(LEAF))[:, :, None], shape).ravel()
+        y = np.broadcast_to((b[:, None] * LEAF + np.arange(LEAF))[:, None, :], shape).ravel()
+        keep = (x < below) & (y < below) & ((x <= y) if level > 1 else (x < y))
+        return x[keep], y[keep]
+
+    def slabs(self, num: int, den: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Pairs of members (i < j, labels differ) whose bound reaches the threshold, those of some leaves at a time."""
         a = b = np.zeros(1, np.int64)
         for level in range(len(self.levels) - 1, 0, -1):
             keep = self._fits(level, a, b, num, den)
             a, b = a[keep], b[keep]
-            below = len(self.levels[level - 1][0])
-            shape = (len(a), LEAF, LEAF)
-            x = np.broadcast_to((a[:, None] * LEAF + np.arange(LEAF))[:, :, None], shape).ravel()
-            y = np.broadcast_to((b[:, None] * LEAF + np.arange(LEAF))[:, None, :], shape).ravel()
-            keep = (x < below) & (y < below) & ((x <= y) if level > 1 else (x < y))
-            a, b = x[keep], y[keep]
-        keep = self._fits(0, a, b, num, den) & (a != b)
-        return a[keep], b[keep]
+            if level > 1:
+                a, b = self._below(level, a, b)
+        for k in range(0, len(a) if len(self.levels) > 1 else 0, SLAB):
+            x, y = self._below(1, a[k : k + SLAB], b[k : k + SLAB])
+            keep = self._fits(0, x, y, num, den)
+            yield x[keep], y[keep]
+
+    def pairs(self, num: int, den: int) -> tuple[np.ndarray, np.ndarray]:
+        """All of ``slabs`` at once."""
+        found = list(self.slabs(num, den))
+        empty = np.zeros(0, np.int64)
+        return np.concatenate([empty, *[x for x, _ in found]]), np.concatenate([empty, *[y for _, y in found]])
 
     def partners(self, i: int, num: int, den: int) -> np.ndarray:
         """Members whose bound with member ``i`` reaches the threshold."""
@@ -339,28 +358,56 @@ class Tree:
         return found[found != i]
 
 
-def surviving_pairs(members: DataFrame, num: int, den: int, star: bool) -> DataFrame:
-    """Distinct pairs (a, b) of class keys that the trees of all blocks let through.
+def by_block(rows: DataFrame, columns: list[str], work: Callable[[int, list[tuple]], list[tuple]], schema: pa.Schema, kind: str) -> DataFrame:
+    """Rows that ``work`` returns for every block, given its id and its rows (``columns``); a task holds one block."""
+
+    def batch_of(found: list[tuple]) -> pa.RecordBatch:
+        arrays_ = [pa.array(values, field.type) for values, field in zip(zip(*found), schema)]
+        return pa.RecordBatch.from_arrays(arrays_, schema=schema)
 
-    ``members`` are rows of blocks (see ``dealt``); a null label stands for the class itself. With ``star``, blocks of groups
-    that are not small are only asked for partners of their centre. A class that is in a block twice counts once.
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        open_block, held = None, []
+        for batch in batches:
+            ids = batch.column(0).to_numpy()
+            edges = np.flatnonzero(np.r_[True, ids[1:] != ids[:-1]]) if len(ids) else []
+            out: list[tuple] = []
+            for start, end in zip(edges, [*edges[1:], len(ids)]):
+                if ids[start] != open_block:
+                    out += work(open_block, held)
+                    open_block, held = int(ids[start]), []
+                own = batch.slice(start, end - start)
+                held += zip(*[own.column(k).to_pylist() for k in range(1, len(columns) + 1)])
+            if out:
+                yield batch_of(out)
+        out = work(open_block, held)
+        if out:
+            yield batch_of(out)
+        give_back()
+
+    return rows.select("block", *columns).repartition("block").sortWithinPartitions("block").mapInArrow(run, kind)
+
+
+def _codes(labels: tuple) -> np.ndarray:
+    codes = {x: i for i, x in enumerate(sorted(set(labels)))}
+    return np.array([codes[x] for x in labels], np.int64)
+
+
+def surviving_pairs(members: DataFrame, num: int, den: int) -> DataFrame:
+    """Distinct pairs (a, b) of class keys that the trees of the first pass let through.
+
+    ``members`` are rows of blocks (see ``dealt``). Blocks of groups that are not small are only asked for partners of their centre,
+    so there are fewer pairs than members; those of small groups are joined with themselves.
     """
-    schema = pa.schema([("a", pa.binary()), ("b", pa.binary())])
 
-    def join(block: list[tuple]) -> list[tuple[bytes, bytes]]:
-        block = list({row[0]: row for row in sorted(block, key=lambda row: row[4])}.values())
+    def work(_: int, block: list[tuple]) -> list[tuple]:
+        block = list({row[0]: row for row in block}.values())
         if len(block) < 2:
             return []
-        keys, sizes, points, labels, centres, small, late = zip(*block)
-        late = np.array(late)
-        named = [lab if lab is not None else key for lab, key in zip(labels, keys)]
-        if len(set(named)) < 2:
-            return []
-        codes = {x: i for i, x in enumerate(sorted(set(named)))}
-        label, size = np.array([codes[x] for x in named], np.int64), np.array(sizes, np.int64)
-        at = np.lexsort((size, label))
-        found = Tree(_folded([np.frombuffer(points[i], np.uint8) for i in at]), size[at], label[at])
-        if star and not small[0]:
+        keys, sizes, points, centres, small, late = zip(*block)
+        size = np.array(sizes, np.int64)
+        at = np.argsort(size, kind="stable")
+        found = Tree(_folded([np.frombuffer(points[i], np.uint8) for i in at]), size[at], np.arange(len(at)))
+        if not small[0]:
             if not any(centres):  # the centre is in no band of these
                 return []
             i = int(np.flatnonzero(np.array(centres)[at])[0])
@@ -368,34 +415,74 @@ def surviving_pairs(members: DataFrame, num: int, den: int, star: bool) -> DataF
             x = np.full(len(y), i)
         else:
             x, y = found.pairs(num, den)
-        x, y = at[x], at[y]
-        return [(keys[i], keys[j]) for i, j, old in zip(x, y, late[x] & late[y]) if not old]
+        pairs = ((keys[i], keys[j]) for i, j in zip(at[x], at[y]) if not (late[i] and late[j]))
+        return list({(min(p), max(p)) for p in pairs})
+
+    schema = pa.schema([("a", pa.binary()), ("b", pa.binary())])
+    return by_block(members, ["k", "n", "point", "is_centre", "small", "late"], work, schema, "a binary, b binary").distinct()
 
-    def batch_of(pairs: list[tuple[bytes, bytes]]) -> pa.RecordBatch:
-        pairs = list({(min(p), max(p)) for p in pairs})
-        return pa.RecordBatch.from_arrays([binary([p[0] for p in pairs]), binary([p[1] for p in pairs])], schema=schema)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        open_block, held = None, []
-        for batch in batches:
-            ids = batch.column(0).to_numpy()
-            rows = list(zip(*[batch.column(k).to_pylist() for k in range(1, 8)]))
-            edges = np.flatnonzero(np.r_[True, ids[1:] != ids[:-1]]) if len(ids) else []
-            out: list[tuple[bytes, bytes]] = []
-            for start, end in zip(edges, [*edges[1:], len(ids)]):
-                if ids[start] != open_block:
-                    out += join(held)
-                    open_block, held = ids[start], []
-                held += rows[start:end]
-            if out:
-                yield batch_of(out)
-        out = join(held)
-        if out:
-            yield batch_of(out)
+def with_partner(members: DataFrame, num: int, den: int) -> DataFrame:
+    """(block, k, label, late): the rows of second-pass blocks that have a partner of another label by their block's tree."""
 
-    rows = members.select("block", "k", "n", "point", "label", "is_centre", "small", "late")
-    rows = rows.repartition("block").sortWithinPartitions("block")
-    return rows.mapInArrow(run, "a binary, b binary").distinct()
+    def work(block: int, rows: list[tuple]) -> list[tuple]:
+        rows = list({row[0]: row for row in rows}.values())
+        if len(rows) < 2:
+            return []
+        keys, sizes, points, labels, late = zip(*rows)
+        if len(set(labels)) < 2:
+            return []
+        size, label, old = np.array(sizes, np.int64), _codes(labels), np.array(late)
+        at = np.lexsort((size, label))
+        hit = np.zeros(len(at), bool)
+        for x, y in Tree(_folded([np.frombuffer(points[i], np.uint8) for i in at]), size[at], label[at]).slabs(num, den):
+            new = ~(old[at[x]] & old[at[y]])
+            hit[at[x[new]]] = hit[at[y[new]]] = True
+        return [(block, keys[i], labels[i], late[i]) for i in np.flatnonzero(hit)]
+
+    schema = pa.schema([("block", pa.int64()), ("k", pa.binary()), ("label", pa.binary()), ("late", pa.bool_())])
+    return by_block(members, ["k", "n", "point", "label", "late"], work, schema, "block long, k binary, label binary, late boolean")
+
+
+def joining_links(members: DataFrame, num: int, den: int) -> DataFrame:
+    """Distinct links (a, b) that connect what the labels do not yet, from rows of blocks with their exact ``shingles``.
+
+    Inside a block the tree's pairs are checked by their exact sets; a pair that labels or earlier links of the block connect is
+    skipped. A block of m members returns at most m - 1 links, and connects all that its true links connect.
+    """
+
+    def work(_: int, rows: list[tuple]) -> list[tuple]:
+        if len(rows) < 2:
+            return []
+        keys, labels, late, bodies = zip(*sorted(rows, key=lambda row: (row[1], len(row[3]))))
+        sets = [np.frombuffer(x, np.uint64) for x in bodies]
+        size, label, old = np.array([len(x) for x in sets], np.int64), _codes(labels), np.array(late)
+        universe, place = np.unique(np.concatenate(sets), return_inverse=True)
+        own = np.split(place, np.cumsum(size)[:-1])
+        mark = np.zeros(len(universe), bool)
+        group, out = label.copy(), []
+        for x, y in Tree(_folded([point(s, FINER) for s in sets]), size, label).slabs(num, den):
+            new = ~(old[x] & old[y]) & (group[x] != group[y])
+            by = np.argsort(x[new], kind="stable")
+            x, y = x[new][by], y[new][by]
+            starts = np.flatnonzero(np.r_[True, x[1:] != x[:-1]]) if len(x) else []
+            for start, end in zip(starts, [*starts[1:], len(x)]):
+                i, others = x[start], y[start:end]
+                others = others[group[others] != group[i]]
+                if not len(others):
+                    continue
+                mark[own[i]] = True
+                edges = np.cumsum(size[others]) - size[others]
+                both = np.add.reduceat(mark[np.concatenate([own[j] for j in others])].astype(np.int64), edges)
+                mark[own[i]] = False
+                for j in others[den * both >= num * (size[i] + size[others] - both)]:
+                    if group[j] != group[i]:
+                        group[group == group[j]] = group[i]
+                        out.append((min(keys[i], keys[j]), max(keys[i], keys[j])))
+        return out
+
+    schema = pa.schema([("a", pa.binary()), ("b", pa.binary())])
+    return by_block(members, ["k", "label", "late", "shingles"], work, schema, "a binary, b binary").distinct()
 
 
 def verified(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
@@ -443,11 +530,10 @@ def jaccard_components(docs: DataFrame, num: int = 75, den: int = 100, size: int
     points = materialize(points.withColumn("cls", first_64("k")), "points")
     members = materialize(mates(route(docs, size, num, den, order)), "members")
 
-    unlabelled = members.join(points, "cls").withColumn("label", F.lit(None).cast("binary"))
-    first = materialize(surviving_pairs(dealt(unlabelled, num, den, True), num, den, True), "pairs")
-    bodies = sets_of(docs, size, first)
+    first = materialize(surviving_pairs(dealt(members.join(points, "cls"), num, den, True), num, den), "pairs")
+    bodies = sets_of(docs, size, first.select(F.explode(F.array("a", "b")).alias("k")))
     links = materialize(verified(first, bodies, num, den), "links")
-    discard(bodies)
+    discard(bodies, first)
     label = components(links)
     named = points.join(label.withColumnRenamed("node", "k"), "k", "left").withColumn("label", F.coalesce("label", "k"))
     heads = named.select(F.col("cls").alias("centre"), F.col("label").alias("head")).dropDuplicates(["centre"])
@@ -456,11 +542,11 @@ def jaccard_components(docs: DataFrame, num: int = 75, den: int = 100, size: int
     merged = materialize(merged, "merged")
     rest = merged.join(merged.groupBy("centre").agg(F.count("*").alias("size")), "centre").join(named, "cls")
     rest = rest.withColumn("own", F.col("label") == F.col("centre"))
-    second = surviving_pairs(dealt(rest, num, den, False), num, den, False)
-    second = materialize(second.join(first, ["a", "b"], "left_anti"), "pairs")
-    bodies = sets_of(docs, size, second)
-    label = components(links.unionByName(verified(second, bodies, num, den)))
-    discard(bodies, members, merged, points, first, second, links)
+    open_ = materialize(with_partner(dealt(rest, num, den, False), num, den), "open")
+    bodies = sets_of(docs, size, open_.select("k").distinct())
+    joined = materialize(joining_links(open_.join(bodies, "k"), num, den), "links")
+    label = components(links.unionByName(joined))
+    discard(bodies, members, merged, points, open_, joined, links)
 
     least = sets.where("k is not null").groupBy("k").agg(F.min("doc_id").alias("least"))
     joined = least.join(label.withColumnRenamed("node", "k"), "k", "left").withColumn("label", F.coalesce("label", "k"))

@@ -67,6 +67,56 @@ def test_large_blocks_are_cut_and_joined(frame, texts, monkeypatch):
     assert got(J.jaccard_components(frame(rows))) == brute(rows)
 
 
+def test_dense_group_without_a_linked_centre(frame, texts, monkeypatch):
+    # near copies of a passage that many other texts hold too: the smallest class of the group links with none of them
+    monkeypatch.setattr(J, "CHUNK_SHINGLES", 600)
+    rng = random.Random(13)
+    base = texts(1, 100)
+    rows = [(i, edited(base, rng, 0.022)) for i in range(90)]
+    rows += [(100 + i, base + " " + texts(50 + i, 60 + 3 * i)) for i in range(30)]
+    assert got(J.jaccard_components(frame(rows))) == brute(rows)
+
+
+def _block_rows(spark, sets, labels):
+    import numpy as np
+
+    rows = []
+    for i, (x, label) in enumerate(zip(sets, labels)):
+        x = np.array(sorted(x), np.uint64)
+        rows.append((1, bytes([i // 256, i % 256]) * 8, len(x), bytearray(J.point(x).tobytes()), bytearray(label), False, bytearray(x.tobytes())))
+    return spark.createDataFrame(rows, "block long, k binary, n long, point binary, label binary, late boolean, shingles binary")
+
+
+def test_a_block_returns_fewer_links_than_members(spark, monkeypatch):
+    monkeypatch.setattr(J, "SLAB", 3)
+    rng = random.Random(17)
+    # 120 sets that are all alike, 30 of a chain in which only neighbours link, 20 that link with nothing
+    core = {rng.getrandbits(64) for _ in range(200)}
+    sets = [core - set(rng.sample(sorted(core), 4)) | {rng.getrandbits(64)} for _ in range(120)]
+    line = [rng.getrandbits(64) for _ in range(600)]
+    sets += [set(line[10 * i : 10 * i + 100]) for i in range(30)]
+    sets += [{rng.getrandbits(64) for _ in range(90)} for _ in range(20)]
+    labels = [b"same" if i in (3, 8) else bytes([1, i // 256, i % 256]) for i in range(len(sets))]
+    rows = _block_rows(spark, sets, labels)
+    kept = {bytes(r.k) for r in J.with_partner(rows, 75, 100).collect()}
+    links = J.joining_links(rows, 75, 100).collect()
+    parent = {bytes(r.k): bytes(r.k) for r in rows.collect()}
+
+    def find(a):
+        while parent[a] != a:
+            a = parent[a]
+        return a
+
+    names = [bytes([i // 256, i % 256]) * 8 for i in range(len(sets))]
+    parent[find(names[3])] = find(names[8])
+    for a, b in links:
+        assert find(bytes(a)) != find(bytes(b))  # every link joins
+        parent[find(bytes(a))] = find(bytes(b))
+    assert {bytes(k) for link in links for k in link} <= kept
+    assert len({find(n) for n in names[:120]}) == 1 and len({find(n) for n in names[120:150]}) == 1
+    assert len({find(n) for n in names}) == 22
+
+
 def test_other_thresholds(frame, texts):
     rng = random.Random(9)
     rows = [(i, edited(texts(i // 5, 60), rng, 0.04)) for i in range(30)]
