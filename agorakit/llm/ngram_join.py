@@ -167,9 +167,12 @@ def mates(routed: DataFrame) -> DataFrame:
 
     found = routed.repartition("token").sortWithinPartitions("token", "cls").mapInArrow(run, "centre long, cls long").distinct()
     found = materialize(found, "mates")
+    sweep(routed)
     alone = found.select("centre", F.col("centre").alias("cls")).distinct()
     size = found.groupBy("centre").agg((F.count("*") + 1).alias("size"))
-    return found.unionByName(alone).join(size, "centre")
+    members = materialize(found.unionByName(alone).join(size, "centre"), "members")
+    discard(found)
+    return members
 
 
 def dealt(members: DataFrame, num: int, den: int, first: bool) -> DataFrame:
@@ -508,6 +511,14 @@ def verified(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame
     return pairs.join(own, "a").join(other, "b").select("a", "b", "x", "y").mapInArrow(run, "a binary, b binary")
 
 
+def sweep(frame: DataFrame) -> None:
+    """Give back the disk of finished passes: Spark removes a shuffle's files once the driver has collected the frames it belongs to."""
+    import gc
+
+    gc.collect()
+    frame.sparkSession.sparkContext._jvm.System.gc()
+
+
 # --- the operator -------------------------------------------------------------------------------------------------
 
 
@@ -528,25 +539,32 @@ def jaccard_components(docs: DataFrame, num: int = 75, den: int = 100, size: int
     sets = scanned.where("counts is null").select("doc_id", "text_hash", "k", "n")
     points = scanned.where("k is not null").select("k", "n", "point").dropDuplicates(["k"])
     points = materialize(points.withColumn("cls", first_64("k")), "points")
-    members = materialize(mates(route(docs, size, num, den, order)), "members")
+    members = mates(route(docs, size, num, den, order))
+    sweep(docs)
 
     first = materialize(surviving_pairs(dealt(members.join(points, "cls"), num, den, True), num, den), "pairs")
     bodies = sets_of(docs, size, first.select(F.explode(F.array("a", "b")).alias("k")))
     links = materialize(verified(first, bodies, num, den), "links")
     discard(bodies, first)
+    sweep(docs)
     label = components(links)
     named = points.join(label.withColumnRenamed("node", "k"), "k", "left").withColumn("label", F.coalesce("label", "k"))
     heads = named.select(F.col("cls").alias("centre"), F.col("label").alias("head")).dropDuplicates(["centre"])
     # groups whose centres are connected by now are one group
     merged = members.where(F.col("size") > SMALL).join(heads, "centre").select(F.col("head").alias("centre"), "cls").distinct()
     merged = materialize(merged, "merged")
+    sweep(docs)
     rest = merged.join(merged.groupBy("centre").agg(F.count("*").alias("size")), "centre").join(named, "cls")
     rest = rest.withColumn("own", F.col("label") == F.col("centre"))
     open_ = materialize(with_partner(dealt(rest, num, den, False), num, den), "open")
+    sweep(docs)
     bodies = sets_of(docs, size, open_.select("k").distinct())
     joined = materialize(joining_links(open_.join(bodies, "k"), num, den), "links")
+    discard(bodies, open_)
+    sweep(docs)
     label = components(links.unionByName(joined))
-    discard(bodies, members, merged, points, open_, joined, links)
+    discard(members, merged, points, joined, links)
+    sweep(docs)
 
     least = sets.where("k is not null").groupBy("k").agg(F.min("doc_id").alias("least"))
     joined = least.join(label.withColumnRenamed("node", "k"), "k", "left").withColumn("label", F.coalesce("label", "k"))
