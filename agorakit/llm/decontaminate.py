@@ -10,6 +10,7 @@ shards are whatever part of the table a task reads.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,7 +24,7 @@ from agorakit.session import materialize
 WINDOW = 13
 SHARD_BYTES = 3 << 20
 SAMPLE = 4  # every fourth text place keeps its suffix position
-BLOCK_WORDS = 1 << 20  # benchmark words sent to the tasks at a time
+BLOCK_WORDS = 1 << 17  # benchmark words sent to the tasks at a time, at most
 FOUND = T.StructType(
     [
         T.StructField("n_words", T.LongType()),
@@ -246,16 +247,33 @@ def _scan(part: pa.RecordBatch, phrases: Phrases) -> list[pa.Array]:
     ]
 
 
-def _blocks(benchmark: DataFrame, limit: int) -> Iterator[list[tuple[str, str | None]]]:
-    """Benchmark items in blocks of about ``limit`` words; the driver holds one block and the next."""
+_WORD = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
+
+
+def _pieces(text: str, limit: int, window: int) -> Iterator[tuple[str, int]]:
+    """(piece, words) of an item; one of more than ``limit`` words is cut so that every window lies whole in a piece."""
+    ends = [m.span() for m in _WORD.finditer(text)]
+    if len(ends) <= limit:
+        yield text, len(ends)
+        return
+    for a in range(0, len(ends) - window + 1, limit - window + 1):
+        own = ends[a : a + limit]
+        yield text[own[0][0] : own[-1][1]], len(own)
+
+
+def _blocks(benchmark: DataFrame, limit: int, window: int = WINDOW) -> Iterator[list[tuple[str, str]]]:
+    """Benchmark items, long ones in pieces, in blocks of at most ``limit`` words (one window at least); the driver holds one block and the next."""
+    limit = max(limit, window)
     own, size = [], 0
     rows = benchmark.select(F.col("item_id").cast("string").alias("i"), F.col("text").cast("string").alias("t"))
     for row in rows.where("i is not null and t is not null").toLocalIterator():
-        own.append((row.i, row.t))
-        size += row.t.count(" ") + 1
-        if size >= limit:
-            yield own
-            own, size = [], 0
+        for piece, words in _pieces(row.t, limit, window):
+            if own and size + words > limit:
+                yield own
+                own, size = [], 0
+            if words:
+                own.append((row.i, piece))
+                size += words
     if own:
         yield own
 
@@ -274,15 +292,15 @@ def scan(
     of a shorter one); ``items`` are the distinct ids of those items. Null and empty texts have no words;
     items without words, or with a null id, find nothing. Repeated rows each get a row.
 
-    The benchmark goes to the tasks in blocks of about ``block_words`` words, so what is broadcast is
-    bounded; with several blocks each pass is written to the shared folder and the next adds to it.
+    The benchmark goes to the tasks in blocks of at most ``block_words`` words, long items cut with an overlap, so what is
+    broadcast is bounded; with several blocks each pass is written to the shared folder and the next adds to it.
     """
     struct = F.struct(*[F.col(f"`{c}`") for c in keep]).alias("_row")
     # a text that is carried anyway is not sent twice
     inside = "text" in keep
     frame = docs.select(struct) if inside else docs.select(struct, F.col("text").cast("string").alias("_text"))
     context = docs.sparkSession.sparkContext
-    blocks = _blocks(benchmark, block_words)
+    blocks = _blocks(benchmark, block_words, window)
     block, after = next(blocks, []), next(blocks, None)
     while True:
         shared = context.broadcast(Phrases(block, window))

@@ -103,3 +103,17 @@ def test_passages_at_the_start_of_documents(spark, frame, texts):
     items = [(i, texts(500 + i, 20)) for i in range(6)]
     docs = [(i, items[i % 6][1] + " " + texts(i, 5 + i)) for i in range(40)] + [(50 + i, texts(90 + i, 9)) for i in range(20)]
     assert run(spark, frame, docs, items) == brute(docs, items)
+
+
+def test_blocks_are_bounded_and_keep_every_window(spark):
+    import re
+
+    rows = [("a", "\n".join(f"w{i}" for i in range(500))), ("b", "x" + ",y" * 200 + "  "), ("c", ""), ("d", "Ein-Wort"), ("e", " .. "), ("f", "k " * 30)]
+    benchmark = spark.createDataFrame(rows, "item_id string, text string").coalesce(1)
+    words = lambda t: re.findall("[0-9a-z\x80-\U0010ffff]+", t.lower())
+    windows = lambda i, t: {(i, *words(t)[k : k + 13]) for k in range(max(len(words(t)) - 12, 1))} if words(t) else set()
+    for limit in (1, 13, 14, 40, 10**6):
+        blocks = list(D._blocks(benchmark, limit))
+        assert all(sum(len(words(t)) for _, t in block) <= max(limit, 13) for block in blocks)
+        found = set().union(*[windows(i, t) for block in blocks for i, t in block])
+        assert found == set().union(*[windows(i, t) for i, t in rows])
