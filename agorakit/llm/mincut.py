@@ -1,9 +1,11 @@
 """Main text of HTML pages by minimum cut.
 
-A page becomes its text blocks in order. A small linear classifier gives each block a cost of calling it content
-and one of calling it boilerplate: these are its capacities to the two terminals. Edges between neighbours,
-stronger the closer two blocks are in the element tree, charge for labels that change. The
-minimum cut, found by max-flow, is the labelling of least total cost.
+A page becomes its text blocks in order. A small linear classifier weighs graded evidence on each block: number of
+words, share of links, punctuation, kind of element, and what the elements around it are called. Its log-odds, kept within
+a few units, are the block's capacities to the two terminals. Smoothness edges charge for labels that change: between
+blocks that follow each other, and between a block and the containers it lies in, which are nodes without
+evidence of their own. Edges are as strong as usual evidence, so a heading, a short line or a paragraph under an
+ordinary class word goes with what is around it. The minimum cut, found by max-flow, is the labelling of least total cost.
 """
 
 from __future__ import annotations
@@ -27,25 +29,33 @@ BLOCK = set(
     "tbody td tfoot th thead tr ul".split()
 )
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
-RAW = set("script style title noscript template iframe object svg math textarea canvas audio video head".split()) - {"head"}
+RAW = {"script", "style", "title", "textarea", "iframe", "noscript"}  # text up to the closing tag, else to the end
+EMBEDDED = {"audio", "canvas", "object", "svg", "template", "video"}  # their inside goes, if they are closed
 CLOSES = {
     "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"},
 }
+LISTS = ("ul", "ol", "dl", "table", "menu")
 BOILER_TAGS = {"nav", "footer", "aside", "menu", "form", "dialog", "select", "button", "fieldset", "search"}
 TEXT_TAGS = {"p", "h1", "h2", "h3", "h4", "h5", "h6", "blockquote", "pre", "figcaption", "dd"}
-BOILER_WORDS = set(
-    "ad ads advert advertisement advertising adverts banner breadcrumb breadcrumbs byline comment comments consent cookie cookies copyright "
-    "disqus footer gdpr header login masthead menu modal nav navbar navigation newsletter notice overlay pager pagination popup "
-    "promo promotion promoted recommended related replies respond share sharing sidebar signup skip social sponsor sponsored subscribe "
-    "subscription tags toolbar widget widgets".split()
+# Names of elements (class, id, role): evidence against content, strong or ordinary, and for it.
+STRONG_WORDS = set(
+    "ad ads advert advertisement advertising adverts breadcrumb breadcrumbs comments consent cookie cookies copyright disqus footer gdpr "
+    "masthead menu modal nav navbar navigation newsletter overlay pager pagination popup promo sidebar signup sponsored toolbar".split()
+)
+ORDINARY_WORDS = set(
+    "banner byline comment header login notice promoted promotion recommended related replies respond share sharing skip social sponsor "
+    "subscribe subscription tags widget widgets".split()
 )
 CONTENT_WORDS = {"article", "articlebody", "content", "entry", "main", "post", "story"}
 VAGUE_WORDS = {"has", "no", "with", "without", "page"}
 
 # The classifier: weights of a block's log-odds of being content.
-BIAS, PER_DOUBLING, LINKS, TEXT_TAG, SENTENCE, IN_ARTICLE, IN_BOILER = -1.8, 0.7, -5.0, 1.0, 0.6, 3.0, -9.0
-LIMIT = 8.0
-ADJACENT, SIBLING = 1.5, 0.5  # edge weights at tree distance 0
+BIAS, PER_DOUBLING, LINKS, TEXT_TAG, SENTENCE, COMMAS = -1.2, 0.6, -4.0, 0.8, 0.6, 0.2
+OWN_LIMIT = 4.0  # of what the block's own text says
+TAG, STRONG, NAMED, IN_ARTICLE = -5.0, -5.0, 1.0, 2.0
+ORDINARY, MAIN_SHARE = -5.0, 1.4  # ordinary words also name main parts: less, the more of the page's text the element has
+CONTEXT_LOW, CONTEXT_HIGH = -6.0, 2.0  # of what the elements around it say
+ADJACENT, TREE, BORDER = 2.0, 1.5, 0.15  # blocks side by side, a step to a container, factor where the evidence around changes
 
 _TAG = re.compile(r"<(?:!--.*?(?:-->|$)|[!?][^>]*(?:>|$)|(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>)", re.S)
 _LOOSE = re.compile(r"</?[a-zA-Z][^>]*(?:>|$)|</[^>]*(?:>|$)", re.S)
@@ -54,32 +64,51 @@ _SPLIT = re.compile(r"[^a-z0-9]+")
 _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 
 
+def _named(tag: str, attributes: str) -> tuple[float, float, bool]:
+    """(evidence of an element's names, that of ordinary words, whether it says that it is the main part)."""
+    words: set[str] = set()
+    main, score, ordinary = tag in ("article", "main"), 0.0, 0.0
+    for name, value in _ATTRIBUTE.findall(attributes):
+        name = name.lower()
+        value = value.strip("\"'")
+        if name in ("class", "id", "role", "itemprop"):
+            words |= set(_SPLIT.split(_CAMEL.sub(" ", value).lower()))
+            main |= value.lower() in ("main", "articlebody")
+        elif name == "hidden" or (name == "aria-hidden" and value == "true") or (name == "style" and "display:none" in value.replace(" ", "").lower()):
+            score = CONTEXT_LOW
+    for_it = bool(words & CONTENT_WORDS)
+    if not words & VAGUE_WORDS and not main:
+        # beside a name for content, a name against it says little
+        part = 0.5 if for_it else 1.0
+        if words & STRONG_WORDS:
+            score += part * STRONG
+        elif words & ORDINARY_WORDS:
+            ordinary = part * ORDINARY
+    return score + (NAMED if for_it else 0.0), ordinary, main
+
+
 class Element:
-    __slots__ = ("tag", "parent", "depth", "boiler", "article", "link")
+    __slots__ = ("tag", "parent", "depth", "score", "ordinary", "size", "context", "article", "link", "block")
 
     def __init__(self, tag: str, parent: "Element | None", attributes: str = ""):
         self.tag, self.parent = tag, parent
         self.depth = parent.depth + 1 if parent else 0
-        self.boiler = parent.boiler if parent else False
+        self.score = self.ordinary = self.context = 0.0
+        self.size = 0  # of the text inside that is not in links
         self.article = parent.article if parent else False
-        self.link = (parent.link if parent else False) or tag == "a"
-        words: set[str] = set()
-        main = tag in ("article", "main")
-        if attributes and tag not in ("html", "body"):
-            for name, value in _ATTRIBUTE.findall(attributes):
-                name = name.lower()
-                value = value.strip("\"'")
-                if name in ("class", "id", "role", "itemprop"):
-                    words |= set(_SPLIT.split(_CAMEL.sub(" ", value).lower()))
-                    main |= value.lower() in ("main", "articlebody")
-                elif name == "hidden" or (name == "aria-hidden" and value == "true") or (name == "style" and "display:none" in value.replace(" ", "").lower()):
-                    self.boiler = True
-        if tag in BOILER_TAGS or (tag == "header" and not self.article):
-            self.boiler = True
-        if words & BOILER_WORDS and not words & VAGUE_WORDS and not (main or (self.article and words <= {"header"})):
-            self.boiler = True
-        if main or (words & CONTENT_WORDS and not words & BOILER_WORDS):
+        self.link = (parent.link if parent else False) or (tag == "a" and "href" in attributes.lower())
+        self.block = self if tag in BLOCK or parent is None else parent.block
+        if tag in ("html", "body"):
+            return
+        score, self.ordinary, main = _named(tag, attributes) if attributes else (0.0, 0.0, tag in ("article", "main"))
+        if tag == "header" and self.article and score > STRONG:
+            score = self.ordinary = 0.0  # the head of an article
+        elif tag in BOILER_TAGS or tag == "header":
+            score += TAG
+        if main and not self.article:
+            score += IN_ARTICLE
             self.article = True
+        self.score = score
 
 
 class Block:
@@ -93,7 +122,10 @@ def blocks(page: str) -> list[Block]:
     """Text blocks of a page in order, with white space made single and character references decoded."""
     root = Element("html", None)
     here, out = root, []
+    every = [root]
     parts: list[tuple[str, Element]] = []
+    opened: dict[str, list[Element]] = {}  # open elements by name, so that no tag walks up the tree in vain
+    last: set[str] = set()  # embedded elements with no further tag of their name
 
     def flush() -> None:
         nonlocal parts
@@ -102,11 +134,16 @@ def blocks(page: str) -> list[Block]:
             if text:
                 linked = sum(len("".join(p.split())) for p, e in parts if e.link)
                 owner = next((e for p, e in parts if p.strip()), parts[0][1])
-                while owner.parent is not None and owner.tag not in BLOCK:
-                    owner = owner.parent
-                out.append(Block(text, owner, linked))
+                out.append(Block(text, owner.block, linked))
             parts = []
 
+    def leave(element: Element) -> None:
+        """Close ``element`` and all that is open inside it."""
+        nonlocal here
+        while here is not element.parent:
+            opened[here.tag].pop()
+            here = here.parent
+
     at, n = 0, len(page)
     while at < n:
         low = page.find("<", at)
@@ -132,39 +169,42 @@ def blocks(page: str) -> list[Block]:
             if tag == "br":
                 parts.append((" ", here))
                 continue
-            found = here
-            while found.parent is not None and found.tag != tag:
-                # inline elements do not close across blocks
-                if tag not in BLOCK and found.tag in BLOCK:
-                    break
-                found = found.parent
-            if found.tag == tag and found.parent is not None:
+            stack = opened.get(tag)
+            # inline elements do not close across blocks
+            if stack and (tag in BLOCK or stack[-1].block is here.block):
                 if tag in BLOCK:
                     flush()
-                here = found.parent
+                leave(stack[-1])
             elif tag == "p":
                 flush()
             continue
         if tag in RAW:
-            end = re.compile(rf"</{re.escape(tag)}[\s/>]", re.I).search(page, at)
+            end = re.compile(rf"</{tag}[\s/>]", re.I).search(page, at)
             stop = page.find(">", end.start()) if end else -1
             at = stop + 1 if stop >= 0 else n
-            if m.group(3).rstrip().endswith("/") and tag in ("svg", "math"):
-                at = m.end()
+            continue
+        if tag in EMBEDDED:
+            # closed if the next tag of its name closes it; else only the tag goes
+            if tag not in last and not m.group(3).rstrip().endswith("/"):
+                end = re.compile(rf"<(/?){tag}[\s/>]", re.I).search(page, at)
+                if end is None:
+                    last.add(tag)
+                elif end.group(1):
+                    stop = page.find(">", end.start())
+                    at = stop + 1 if stop >= 0 else n
             continue
         if tag in BLOCK:
             flush()
             close = CLOSES.get(tag)
-            up = here
-            while up.parent is not None:
-                if close and up.tag in ("ul", "ol", "dl", "table", "menu"):
-                    break
-                if (close and up.tag in close) or (up.tag == "p" and not close):
-                    here = up.parent
-                    break
-                if not close and up.tag in BLOCK and up.tag != "p":
-                    break
-                up = up.parent
+            if close:
+                inner = max((opened[t][-1] for t in close if opened.get(t)), key=lambda e: e.depth, default=None)
+                fence = max((opened[t][-1].depth for t in LISTS if opened.get(t)), default=0)
+                if inner is not None and inner.depth > fence:
+                    leave(inner)
+            elif here.block.tag == "p":
+                leave(here.block)
+        elif tag == "a" and opened.get("a") and opened["a"][-1].block is here.block:
+            leave(opened["a"][-1])
         if tag in VOID:
             if tag in ("br", "wbr", "img"):
                 parts.append(("" if tag == "wbr" else " ", here))
@@ -172,24 +212,38 @@ def blocks(page: str) -> list[Block]:
         if tag in ("html", "head") or (tag == "body" and here.tag != "html"):
             continue
         here = Element(tag, here, m.group(3))
+        every.append(here)
+        opened.setdefault(tag, []).append(here)
     flush()
+    weigh(every, out)
     return out
 
 
+def weigh(every: list[Element], found: list[Block]) -> None:
+    """Set the context of all elements, which are given with parents before children."""
+    for b in found:
+        b.element.size += len(b.text) - b.text.count(" ") - b.linked
+    for e in reversed(every):
+        if e.parent is not None:
+            e.parent.size += e.size
+    total = max(every[0].size, 1)
+    for e in every:
+        if e.parent is not None:
+            score = e.score + e.ordinary * max(0.0, 1 - MAIN_SHARE * e.size / total)
+            # strong evidence against outweighs that the element lies in an article
+            before = min(e.parent.context, 0.0) if score <= STRONG / 2 else e.parent.context
+            e.context = max(CONTEXT_LOW, min(CONTEXT_HIGH, before + score))
+
+
 def log_odds(block: Block) -> float:
     words = block.text.count(" ") + 1
     size = max(len(block.text.replace(" ", "")), 1)
-    e = block.element
-    score = BIAS + PER_DOUBLING * math.log2(1 + words) + LINKS * min(block.linked / size, 1.0)
-    if e.tag in TEXT_TAGS:
-        score += TEXT_TAG
+    own = BIAS + PER_DOUBLING * math.log2(1 + words) + LINKS * min(block.linked / size, 1.0) + COMMAS * min(block.text.count(","), 4)
+    if block.element.tag in TEXT_TAGS:
+        own += TEXT_TAG
     if block.text[-1] in ".!?…":
-        score += SENTENCE
-    if e.article:
-        score += IN_ARTICLE
-    if e.boiler:
-        score = min(score, 3.0) + IN_BOILER
-    return max(-LIMIT, min(LIMIT, score))
+        own += SENTENCE
+    return max(-OWN_LIMIT, min(OWN_LIMIT, own)) + block.element.context
 
 
 def distance(a: Element, b: Element) -> int:
@@ -207,15 +261,26 @@ def distance(a: Element, b: Element) -> int:
 def minimum_cut(gain: list[float], edges: list[tuple[int, int, float]]) -> list[bool]:
     """Labels of least cost: gain[i] > 0 is what label True saves at i, edges charge for labels that differ.
 
-    Nodes whose own gain outweighs all their edges are settled first and become part of a
-    terminal; the rest is solved by max-flow over blocking flows.
+    Nodes whose own gain outweighs all their edges are settled first and become part of a terminal, which
+    can settle their neighbours; the rest is solved by max-flow over blocking flows.
     """
     n = len(gain)
     near: list[list[tuple[int, float]]] = [[] for _ in range(n)]
     for a, b, w in edges:
         near[a].append((b, w))
         near[b].append((a, w))
-    label: list[bool | None] = [gain[i] > 0 if abs(gain[i]) > sum(w for _, w in near[i]) else None for i in range(n)]
+    label: list[bool | None] = [None] * n
+    pull, open_weight = list(gain), [sum(w for _, w in near[i]) for i in range(n)]
+    waiting = list(range(n))
+    while waiting:
+        i = waiting.pop()
+        if label[i] is None and abs(pull[i]) > open_weight[i] + 1e-9:
+            label[i] = pull[i] > 0
+            for j, w in near[i]:
+                if label[j] is None:
+                    pull[j] += w if label[i] else -w
+                    open_weight[j] -= w
+                    waiting.append(j)
     free = [i for i in range(n) if label[i] is None]
     if not free:
         return [bool(x) for x in label]
@@ -286,20 +351,58 @@ def minimum_cut(gain: list[float], edges: list[tuple[int, int, float]]) -> list[
     return [bool(x) for x in label]
 
 
+def smoothness(found: list[Block]) -> tuple[int, list[tuple[int, int, float]]]:
+    """(number of nodes, edges) of a page: nodes are the blocks and, after them, the containers of several of these."""
+    edges: list[tuple[int, int, float]] = []
+    weight = lambda w, a, b: w * (1.0 if a.context == b.context else BORDER)
+    for i in range(1, len(found)):
+        a, b = found[i - 1].element, found[i].element
+        edges.append((i - 1, i, weight(2 * ADJACENT / (2 + distance(a, b)), a, b)))
+    # every element above a block once; those with one child only are passed over
+    children: dict[int, int] = {}
+    for b in found:
+        e = b.element
+        children[id(e)] = children.get(id(e), 0) + 1
+        while children[id(e)] == 1 and e.parent is not None:
+            e = e.parent
+            children[id(e)] = children.get(id(e), 0) + 1
+    node: dict[int, int] = {}
+    n = len(found)
+
+    def join(i: int, e: Element | None, own: Element) -> None:
+        """Edges from node ``i`` up to the containers; a container is joined to its own when it is first met."""
+        nonlocal n
+        while e is not None:
+            while e is not None and children[id(e)] < 2:
+                e = e.parent
+            if e is None or e.parent is None:
+                return  # the page as a whole holds nothing together
+            k = node.get(id(e))
+            new = k is None
+            if new:
+                k = node[id(e)] = n
+                n += 1
+            edges.append((i, k, weight(TREE, own, e)))
+            if not new:
+                return
+            i, own, e = k, e, e.parent
+
+    for i, b in enumerate(found):
+        join(i, b.element, b.element)
+    return n, edges
+
+
+def labels(found: list[Block]) -> tuple[list[bool], list[float]]:
+    """(whether each block is content, its log-odds by itself)."""
+    gain = [log_odds(b) for b in found]
+    n, edges = smoothness(found)
+    return minimum_cut(gain + [0.0] * (n - len(found)), edges)[: len(found)], gain
+
+
 def content(page: str | None) -> tuple[str, int, int]:
     """(main text, number of blocks, number of blocks kept) of a page."""
     found = blocks(page or "")
-    edges: list[tuple[int, int, float]] = []
-    last: dict[int, int] = {}
-    for i, b in enumerate(found):
-        if i:
-            edges.append((i - 1, i, ADJACENT / (1 + distance(found[i - 1].element, b.element))))
-        # the block before under the same grandparent
-        key = id((b.element.parent.parent or b.element.parent) if b.element.parent else b.element)
-        if key in last and last[key] < i - 1:
-            edges.append((last[key], i, SIBLING / (1 + distance(found[last[key]].element, b.element))))
-        last[key] = i
-    keep = minimum_cut([log_odds(b) for b in found], edges)
+    keep, _ = labels(found)
     kept = [b.text for b, k in zip(found, keep) if k]
     return " ".join(kept), len(found), len(kept)
 
