@@ -7,6 +7,10 @@ than k values is the whole set, and then all estimates are exact.
 
 from __future__ import annotations
 
+import json
+import math
+from collections import Counter
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 SIZE = 128  # k
@@ -76,28 +80,73 @@ def text_form(sketch: Column) -> Column:
     return F.lower(F.array_join(F.transform(sketch, lambda h: F.lpad(F.hex(h), 16, "0")), ""))
 
 
+def _prefix(text: Column) -> Column:
+    """The first seven bytes of a text as a number that sorts as the text does."""
+    return F.conv(F.rpad(F.hex(F.substring(F.encode(text, "UTF-8"), 1, 7)), 14, "0"), 16, 10).cast("long")
+
+
+def _at_most(borders: list[int], value: Column) -> Column:
+    """Number of sorted ``borders`` that are at most ``value``, found in two steps of about the root of their number; null for null."""
+    if not borders:
+        return F.when(value.isNotNull(), F.lit(0))
+    k = math.isqrt(len(borders) - 1) + 1
+    runs = [borders[i : i + k] for i in range(0, len(borders), k)]
+    count = lambda listed: F.size(F.filter(listed, lambda x: x <= value))
+    outer = count(F.from_json(F.lit(json.dumps([r[0] for r in runs])), "array<bigint>"))
+    inner = count(F.get(F.from_json(F.lit(json.dumps(runs)), "array<array<bigint>>"), outer - 1))
+    return F.when(value.isNull(), F.lit(None)).when(outer == 0, F.lit(0)).otherwise((outer - 1) * k + inner)
+
+
+def block_of(docs: DataFrame, blocks: int) -> Column:
+    """The block of a row: a struct that sorts as the rows do by descending doc_id, nulls last, then text.
+
+    Blocks hold about equally many rows wherever the ids lie: borders are quantiles of doc_id. An id that fills
+    more than a block, and null ids, are cut further by quantiles of the first bytes of their texts; only rows
+    alike in such an id and in seven bytes stay together. The driver holds a few numbers a block.
+    """
+    cuts = [i / blocks for i in range(1, blocks)]
+    found = docs.agg(
+        F.percentile_approx("doc_id", cuts, 10 * blocks).alias("at"), F.count("*").alias("rows"), F.count("doc_id").alias("ids")
+    ).first()
+    times = Counter(found["at"] or [])
+    full: list[int | None] = [x for x, n in times.items() if n > 1]
+    if (found["rows"] - found["ids"]) * blocks > found["rows"]:
+        full.append(None)
+    parts: dict[str, list[int]] = {}
+    if full:
+        each = max(2, 4 * blocks // len(full))
+        heavy = F.col("doc_id").isin([x for x in full if x is not None])
+        rows = docs.where(heavy | F.col("doc_id").isNull() if None in full else heavy).groupBy("doc_id")
+        for r in rows.agg(F.percentile_approx(_prefix(F.col("text")), [i / each for i in range(1, each)], 10 * each).alias("at")).collect():
+            parts["null" if r["doc_id"] is None else str(r["doc_id"])] = sorted(set(r["at"] or []))
+    own = F.lit(0)
+    if parts:
+        listed = F.from_json(F.lit(json.dumps(parts)), "map<string,array<bigint>>")
+        borders = F.try_element_at(listed, F.coalesce(F.col("doc_id").cast("string"), F.lit("null")))
+        # other ids of the block are greater, so they come first
+        own = F.coalesce(F.when(borders.isNotNull(), 1 + F.size(F.filter(borders, lambda x: x <= _prefix(F.col("text"))))), F.lit(0))
+    place = F.coalesce(-_at_most(sorted(times), F.col("doc_id")), F.lit(1))
+    return F.struct(place.cast("int").alias("place"), own.cast("int").alias("part"))
+
+
 def with_next(docs: DataFrame, carry: list[str]) -> DataFrame:
     """``docs`` (doc_id, text, carry ...) with ``next_<c>`` of the next row by descending doc_id; the last is followed by the first.
 
-    Rows with the same doc_id follow each other by text; null ids come last. The id range is cut
-    into equal blocks, a few for each shuffle partition. Within a block the next row is a window
+    Rows with the same doc_id follow each other by text; null ids come last. Rows are cut into blocks of like
+    numbers of rows, a few for each shuffle partition. Within a block the next row is a window
     function; only each block's first row crosses to its neighbour.
     """
-    spark = docs.sparkSession
-    blocks = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    low, high = docs.agg(F.min("doc_id"), F.max("doc_id")).first()
-    width = max(1, -(-((high or 0) - (low or 0) + 1) // blocks))
-    block = F.coalesce(F.floor((F.col("doc_id") - F.lit(low or 0)) / F.lit(width)), F.lit(-1)).cast("long")
-    dealt = docs.withColumn("_block", block).repartition("_block")
+    blocks = 4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = docs.withColumn("_block", block_of(docs, blocks))
     ahead = F.struct(*[F.col(c).alias(c) for c in carry])
     order = [F.col("doc_id").desc_nulls_last(), F.col("text").asc()]
-    within = dealt.withColumn("_next", F.lead(ahead).over(Window.partitionBy("_block").orderBy(*order)))
+    within = dealt.repartition("_block").withColumn("_next", F.lead(ahead).over(Window.partitionBy("_block").orderBy(*order)))
 
-    # the first row of every block, for the block before it in this order
-    tops = docs.withColumn("_block", block).groupBy("_block").agg(F.max("doc_id").alias("_top"))
-    heads = docs.withColumn("_block", block).join(tops, "_block").where(F.col("doc_id").eqNullSafe(F.col("_top")))
+    # the first row of every block, for the block before it; one row a block is broadcast to find it
+    tops = dealt.groupBy("_block").agg(F.max("doc_id").alias("_top"))
+    heads = dealt.join(F.broadcast(tops), "_block").where(F.col("doc_id").eqNullSafe(F.col("_top")))
     heads = heads.groupBy("_block").agg(F.min(F.struct("text", *[c for c in carry if c != "text"])).alias("_head"))
-    ring = Window.orderBy(F.col("_block").desc())
+    ring = Window.orderBy("_block")
     edges = heads.select("_block", F.coalesce(F.lead("_head").over(ring), F.first("_head").over(ring)).alias("_edge"))
     joined = within.join(edges, "_block", "left")
     pick = lambda c: F.when(F.col("_next").isNull(), F.col(f"_edge.{c}")).otherwise(F.col(f"_next.{c}"))

@@ -48,6 +48,22 @@ def test_next_with_ties_nulls_and_many_blocks(spark):
     assert collections.Counter(tuple(r) for r in P.with_next(docs, ["text"]).collect()) == want
 
 
+@pytest.mark.parametrize("rows", [
+    [(i, f"t{i}") for i in range(2000)] + [(10**12, "far")],
+    [(None, f"t{i:04}") for i in range(1000)] + [(7, f"{i:04}") for i in range(600)] + [(i, f"{i}") for i in range(400)],
+    [(None, "same")] * 300 + [(5, "same")] * 300 + [(-(2**63), "é"), (2**63 - 1, "")],
+    [(None, f"{i}") for i in range(50)],
+], ids=["far id", "null ids and one id", "alike", "no id"])
+def test_next_where_ids_crowd(spark, rows):
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    ordered = sorted(rows, key=lambda r: (r[0] is None, -(r[0] or 0), r[1].encode()))
+    want = collections.Counter((*r, ordered[(k + 1) % len(ordered)][1]) for k, r in enumerate(ordered))
+    assert collections.Counter(tuple(r) for r in P.with_next(docs, ["text"]).collect()) == want
+    if len(rows) >= 2000:  # the others are alike in id and text
+        sizes = [n for (n,) in docs.groupBy(P.block_of(docs, 32).alias("b")).count().select("count").collect()]
+        assert max(sizes) < 4 * len(rows) / 32
+
+
 def test_single_and_no_document(frame):
     assert P.fingerprints(frame([(1, "a b c d e f")])).first().near_next == 1.0
     assert P.fingerprints(frame([])).count() == 0
