@@ -2,12 +2,13 @@
 
 Trusted positives and unlabelled web text are all the fit needs: a small network over text
 statistics minimises the non-negative unbiased risk ``prior * R+(positives) + max(0, R-(unlabelled) - prior *
-R-(positives))``. The class prior is estimated from the labelled learning rows, and so is a last
-scaling of the scores to probabilities.
+R-(positives))``. The class prior and a last scaling of the scores to probabilities come from the same rows;
+negative labels are not used.
 """
 
 from __future__ import annotations
 
+import math
 import pickle
 from collections.abc import Iterator
 
@@ -19,12 +20,13 @@ from agorakit.llm.kernels import Words, column, lower_ascii, slices, utf8, with_
 from agorakit.llm.language import held_out
 from agorakit.session import materialize
 
-SAMPLE = 20_000  # positives, negatives and unlabelled rows, each, that the fit and the scaling see at most, about
+SAMPLE = 20_000  # positives and unlabelled rows, each, that the prior, the fit and the scaling see at most, about
 STEPS = 600
 BATCH = 1024
 HIDDEN = 16
 RATE = 0.01
 THRESHOLD = 0.3
+PENALTY = 0.5  # on the slope and offset of standardised scores, over the root of the number of positives
 
 # Byte groups: what a text is made of.
 _GROUPS = ["lower", "upper", "digit", "space", "line", ".", ",", "!", "|", "#$%&*", "?;:", "other", "high", "rest"]
@@ -107,7 +109,7 @@ def _forward(net: dict, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 def fit(positive: np.ndarray, unlabelled: np.ndarray, prior: float, seed: int = 3) -> dict:
     """The network that minimises the non-negative risk with logistic loss, by Adam on balanced batches.
 
-    Where the estimated risk of negatives falls below zero, the step goes against it.
+    Where the estimated risk of negatives falls below zero, it counts as zero: the step is that of the positives.
     """
     rng = np.random.default_rng(seed)
     net = {
@@ -131,8 +133,7 @@ def fit(positive: np.ndarray, unlabelled: np.ndarray, prior: float, seed: int =
             g[:BATCH] = prior * (sigmoid(sp) - 1) / BATCH - prior * sigmoid(sp) / BATCH
             g[BATCH:] = sigmoid(su) / BATCH
         else:
-            g[:BATCH] = prior * sigmoid(sp) / BATCH
-            g[BATCH:] = -sigmoid(su) / BATCH
+            g[:BATCH] = prior * (sigmoid(sp) - 1) / BATCH
         back = g[:, None] * net["w2"][None, :] * (1 - hidden**2)
         scaled = (x - net["mean"]) / net["spread"]
         grad = {"w2": hidden.T @ g, "b2": g.sum(), "w1": scaled.T @ back, "b1": back.sum(axis=0)}
@@ -145,25 +146,64 @@ def fit(positive: np.ndarray, unlabelled: np.ndarray, prior: float, seed: int =
     return net
 
 
-def scaled(score: np.ndarray, label: np.ndarray, weight: np.ndarray) -> tuple[float, float]:
-    """Slope and offset of a weighted logistic fit of labels to scores (Newton steps, with a small penalty)."""
-    x = np.stack([score, np.ones(len(score))], axis=1)
+def class_prior(positive: np.ndarray, unlabelled: np.ndarray) -> float:
+    """Share of positives among the unlabelled rows, from positives and unlabelled rows only: the median of three splits.
+
+    A network is fitted to tell the one half of the positives from the one half of the unlabelled rows. On the other
+    halves, for each threshold, the share of unlabelled rows above it is at least the prior times the share of
+    positives above it, since positives are among them; so the least ratio, with a margin of
+    error on both shares, bounds the prior, and comes near it where hardly any negative scores that high.
+    Classes that overlap everywhere make it too large. With fewer than four rows of a kind it is one half.
+    """
+    if min(len(positive), len(unlabelled)) < 4:
+        return 0.5
+    return float(np.median([_prior_of_split(positive, unlabelled, seed) for seed in range(3)]))
+
+
+def _prior_of_split(positive: np.ndarray, unlabelled: np.ndarray, seed: int) -> float:
+    rng = np.random.default_rng(seed)
+    p, u = positive[rng.permutation(len(positive))], unlabelled[rng.permutation(len(unlabelled))]
+    margin = math.sqrt(math.log(20) / 2) * (1 / math.sqrt(len(p[1::2])) + 1 / math.sqrt(len(u[1::2])))
+    found = 1.0
+    # a network for each prior found so far: all ratios are bounds, a network nearer to the truth gives a closer one
+    for assumed in (0.5, None, None):
+        net = fit(p[::2], u[::2], min(max(found if assumed is None else assumed, 0.02), 0.98), seed)
+        sp, su = np.sort(_forward(net, p[1::2])[1]), np.sort(_forward(net, u[1::2])[1])
+        at = sp[: max(1, int(0.9 * len(sp)))]  # at least a tenth of the positives lies above
+        ap, au = (1 - np.searchsorted(x, at, "left") / len(x) for x in (sp, su))
+        best = int(np.argmin((au + margin) / ap))
+        found = min(found, au[best] / ap[best])
+    return float(min(max(found, 0.02), 0.98))
+
+
+def scaled(positive: np.ndarray, unlabelled: np.ndarray, prior: float) -> tuple[float, float]:
+    """Slope and offset that make scores log-odds, from positives, unlabelled rows and the prior.
+
+    They minimise the unbiased risk of the logistic loss, which for that loss is convex: the mean of
+    softplus over unlabelled rows less the prior times the mean score of positives (Newton steps). A penalty on
+    standardised scores keeps the slope moderate, so that a small error of the prior moves all scores a little
+    and not some across the threshold.
+    """
+    middle, spread = unlabelled.mean(), unlabelled.std() + 1e-12
+    x = np.stack([(unlabelled - middle) / spread, np.ones(len(unlabelled))], axis=1)
+    mean = prior * np.array([(positive.mean() - middle) / spread, 1.0])
     w = np.array([1.0, 0.0])
+    small = PENALTY / math.sqrt(len(positive))  # as the error of the prior
 
     def loss(w: np.ndarray) -> float:
-        s = x @ w
-        return float(weight @ (np.logaddexp(0, s) - label * s)) + 5e-4 * float((w - [1.0, 0.0]) @ (w - [1.0, 0.0]))
+        return float(np.logaddexp(0, x @ w).mean() - mean @ w) + small / 2 * float((w - [1.0, 0.0]) @ (w - [1.0, 0.0]))
 
     for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        h = (x * (weight * p * (1 - p))[:, None]).T @ x + 1e-3 * np.eye(2)
-        step = np.linalg.solve(h, x.T @ (weight * (p - label)) + 1e-3 * (w - [1.0, 0.0]))
+        h = (x * (p * (1 - p))[:, None]).T @ x / len(x) + small * np.eye(2)
+        step = np.linalg.solve(h, x.T @ p / len(x) - mean + small * (w - [1.0, 0.0]))
         # a step that overshoots is halved
         size = next((k for k in 0.5 ** np.arange(30) if loss(w - k * step) < loss(w)), 0.0)
         w = w - size * step
         if not size:
             break
-    return float(max(w[0], 1e-3)), float(w[1])
+    slope = max(w[0], 1e-3) / spread
+    return float(slope), float(w[1] - slope * middle)
 
 
 def probability(net: dict, x: np.ndarray) -> np.ndarray:
@@ -174,44 +214,39 @@ def probability(net: dict, x: np.ndarray) -> np.ndarray:
 def learn(stats: DataFrame, labels: DataFrame, usable: Column) -> dict | None:
     """The model from ``stats`` (doc_id, h, stats) and ``labels`` (doc_id, quality), rows with ``usable`` only.
 
-    Several labels of one doc_id count as their mean, 1 from one half up. Labels of null ids are ignored.
-    Positives and negatives are sampled at rates of their own; in the scaling a row stands for as many rows as
-    come to each sampled row of its label. None if there is no positive row.
+    Several labels of one doc_id count as their mean, 1 from one half up. Labels of null ids are ignored. Only
+    trusted positives and unlabelled rows are used; rows labelled 0 are unlabelled rows to the fit, to the class
+    prior and to the scaling. None if there is no positive row.
     """
     own = labels.where(F.col("doc_id").isNotNull() & F.col("quality").isNotNull()).groupBy("doc_id")
     own = own.agg((F.avg("quality") >= 0.5).cast("int").alias("quality"))
     rows = materialize(stats.where(usable).join(own, "doc_id", "left").select("h", "stats", "quality"), "stats")
-    count = rows.agg(F.sum("quality"), F.count("quality"), F.count("*")).first()
-    positives, labelled, every = (x or 0 for x in count)
+    count = rows.agg(F.count_if(F.col("quality") == 1), F.count("*")).first()
+    positives, every = (x or 0 for x in count)
     if not positives:
         return None
     limit = lambda n: F.lit(min(int(SAMPLE / max(n, SAMPLE) * 2.0**63), 2**63 - 1))
     h = F.shiftrightunsigned("h", 1)
-    part = lambda kind, mask, n: rows.where(mask & (h <= limit(n))).orderBy("h").limit(2 * SAMPLE).select(F.lit(kind).alias("kind"), "stats", "quality", "h")
-    picked = (
-        part("p", F.col("quality") == 1, positives)
-        .unionByName(part("u", F.lit(True), every))
-        .unionByName(part("n", F.col("quality") == 0, labelled - positives))
-    )
-    prior = min(max(positives / labelled, 0.02), 0.98)
+    part = lambda kind, mask, n: rows.where(mask & (h <= limit(n))).orderBy("h").limit(2 * SAMPLE).select(F.lit(kind).alias("kind"), "stats", "h")
+    picked = part("p", F.col("quality") == 1, positives).unionByName(part("u", F.lit(True), every))
 
     def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kinds: list[str] = []
-        x, y = [], []
+        x = []
         for batch in batches:
             kinds += batch.column(0).to_pylist()
             x += [np.frombuffer(b, np.float32) for b in batch.column(1).to_pylist()]
-            y += [q if q is not None else -1 for q in batch.column(2).to_pylist()]
         if not kinds:
             return
-        x, y, kinds = np.array(x, np.float64), np.array(y), np.array(kinds)
-        net = fit(x[kinds == "p"], x[kinds == "u"], prior)
-        given = kinds != "u"
-        weight = np.where(kinds == "p", positives / (kinds == "p").sum(), (labelled - positives) / max((kinds == "n").sum(), 1))
-        net["scale"] = scaled(_forward(net, x[given])[1], y[given], weight[given])
+        x, kinds = np.array(x, np.float64), np.array(kinds)
+        p, u = x[kinds == "p"], x[kinds == "u"]
+        prior = class_prior(p, u)
+        net = fit(p, u, prior)
+        net["prior"] = prior
+        net["scale"] = scaled(_forward(net, p)[1], _forward(net, u)[1], prior)
         yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(net)], pa.binary())], names=["model"])
 
-    found = picked.repartition(1).sortWithinPartitions("kind", "h", "stats", "quality").drop("h").mapInArrow(train, "model binary").first()
+    found = picked.repartition(1).sortWithinPartitions("kind", "h", "stats").drop("h").mapInArrow(train, "model binary").first()
     return pickle.loads(bytes(found[0]))
 
 
