@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from agorakit.operators import quality, serving
+from agorakit.plans import batch  # noqa: F401  its queries are checked here
 from agorakit.plans.oracle import msum, pct, r, sql
-from agorakit.plans.registry import register
+from agorakit.plans.registry import QUERIES, SQL, register
 from agorakit.plans.realtime import _RECON, _reconcile
 from agorakit.sources import adapters
 
@@ -103,6 +104,41 @@ register(
         )
     ),
 )
+# the check sets of marts and merged tables, each over the registered query of the table
+_CHECKED = {
+    "dim_sellers": "dim_sellers",
+    "fct_product_performance": "fct_product_performance",
+    "fct_seller_performance": "fct_seller_performance",
+    "unified_daily": "unified_daily_metrics",
+    "unified_experiments": "unified_experiments_stream_wins",
+}
+
+
+def _mart_sets(m):
+    checks = quality.standard_checks()
+    out = None
+    for table, query in _CHECKED.items():
+        one = quality.run_checks(QUERIES[query](m.spark, m.sf_dir), checks[table], table)
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+def _mart_set_sql() -> str:
+    of = {table: f"({SQL[query]}) AS t" for table, query in _CHECKED.items()}
+    has_rows = lambda table: (table, "has_rows", "warning", f"SELECT CASE WHEN count(*) > 0 THEN 0 ELSE 1 END FROM {of[table]}", of[table])
+    count = lambda table, name, condition: (table, name, "error", f"SELECT count(*) FROM {of[table]} WHERE {condition}", of[table])
+    return _check_rows(
+        ("dim_sellers", "unique:seller_id", "error", f"SELECT count(*) - count(DISTINCT seller_id) FROM {of['dim_sellers']}", of["dim_sellers"]),
+        has_rows("fct_product_performance"),
+        count("fct_product_performance", "non_negative:total_revenue", "total_revenue < 0"),
+        has_rows("fct_seller_performance"),
+        count("fct_seller_performance", "range:late_delivery_rate", "late_delivery_rate NOT BETWEEN 0 AND 100"),
+        has_rows("unified_daily"),
+        has_rows("unified_experiments"),
+    )
+
+
+register("mart_check_sets", _mart_sets, _mart_set_sql())
 register(
     "layer_count_drift",
     lambda m: quality.count_drift(adapters.raw_orders(m.spark, m.sf_dir, False), m.rt),

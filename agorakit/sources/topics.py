@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from agorakit.sources import schemas
@@ -45,4 +47,5 @@ def read_parquet_stream(spark: SparkSession, path: str, max_files: int = 100) ->
     if place.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(place).isDirectory():
         return stream.parquet(path)
     # the source wants a folder: the file's own, with only this name let through
-    return stream.option("pathGlobFilter", place.getName()).parquet(str(place.getParent()))
+    name = re.sub(r"([\\{}\[\]*?,])", r"\\\1", place.getName())
+    return stream.option("pathGlobFilter", name).parquet(str(place.getParent()))

@@ -309,3 +309,15 @@ def test_kafka_scan_names_its_source(spark):
 
 def test_window_settings():
     assert fixed.WINDOW_SIZE == "5 minutes" and fixed.WINDOW_GRACE == "60 seconds"
+
+
+def test_parquet_stream_of_a_file_whose_name_is_a_pattern(spark, tmp_path):
+    import pandas as pd
+
+    for name, n in (("part[1].parquet", 3), ("part1.parquet", 5), ("a{b,c}*.parquet", 2), ("abx.parquet", 7)):
+        pd.DataFrame({"x": range(n)}).to_parquet(tmp_path / name)
+    for name, n in (("part[1].parquet", 3), ("a{b,c}*.parquet", 2)):
+        stream = topics.read_parquet_stream(spark, str(tmp_path / name))
+        query = stream.writeStream.format("memory").queryName(f"named_{n}").trigger(availableNow=True).start()
+        query.awaitTermination()
+        assert spark.table(f"named_{n}").count() == n
