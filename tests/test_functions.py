@@ -6,7 +6,7 @@ import random
 from pyspark.sql import functions as F
 
 from agorakit.functions import bucket, days_between_floor, fixed, half_up, month_gap, sentiment, surrogate_key
-from agorakit.functions.grouping import exact_median, first_per, ranked_counts, with_neighbour
+from agorakit.functions.grouping import exact_median, first_per, ranked_counts, spread, with_neighbour
 from agorakit.functions.scalar import hash_mod
 from agorakit.functions.tails import (
     f_upper,
@@ -16,6 +16,7 @@ from agorakit.functions.tails import (
     t_quantile,
     t_two_sided,
 )
+from agorakit.operators import assignment
 from agorakit.operators.assignment import arm_of, assign, hash_sample
 
 
@@ -160,3 +161,16 @@ def test_money_sums_have_the_same_bits_in_any_order(spark):
     rows = spark.range(200_000).select((F.pmod(F.xxhash64("id"), F.lit(10**11)) / F.lit(10**4)).alias("x"), F.rand(5).alias("r"))
     found = {rows.repartition(n, "r").agg(money_sum(F.col("x") * 1.0)).first()[0] for n in (1, 3, 7, 32)}
     assert len(found) == 1 and found.pop() > 9e11
+
+
+def test_many_customers_of_one_file_are_assigned_in_many_tasks(spark, monkeypatch):
+    monkeypatch.setattr(assignment, "TASK_ROWS", 1000)
+    one = spark.range(2000).select(F.col("id").cast("string").alias("customer_id")).coalesce(1)
+    twice = one.unionByName(one).unionByName(spark.sql("SELECT CAST(NULL AS STRING) AS customer_id")).coalesce(1)
+    got = assign(twice, ["e1", "e2"])
+    sizes = got.groupBy(F.spark_partition_id()).count().collect()
+    assert len(sizes) >= 9 and max(r["count"] for r in sizes) < 1600
+    assert got.select("customer_id", F.spark_partition_id().alias("task")).distinct().count() == 2001
+    assert got.count() == 2 * (2 * 2000 + 1) and got.distinct().count() == 2 * 2001
+    # few rows stay where they are
+    assert spread(one, ["customer_id"], 2000).rdd.getNumPartitions() == 1
