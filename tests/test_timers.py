@@ -104,3 +104,72 @@ def test_the_setting_comes_back(spark):
     with timers.timer_state(spark):
         assert "RocksDB" in spark.conf.get(name)
     assert spark.conf.get(name, None) == before
+
+
+def test_a_bucket_makes_few_calls_however_many_orders():
+    import pandas as pd
+
+    day, calls = 86_400_000_000, []
+
+    class State:
+        value = None
+
+        def get(self):
+            calls.append("get")
+            return self.value
+
+        def update(self, value):
+            calls.append("update")
+            self.value = value
+
+        def clear(self):
+            calls.append("clear")
+            self.value = None
+
+    class Handle:
+        timers: set[int] = set()
+
+        def getValueState(self, name, schema):
+            return State()
+
+        def registerTimer(self, at):
+            calls.append("register")
+            self.timers.add(at)
+
+        def deleteTimer(self, at):
+            calls.append("delete")
+            self.timers.discard(at)
+
+    class Now:
+        def __init__(self, at):
+            self.at = at
+
+        def getCurrentWatermarkInMs(self):
+            return self.at
+
+        def getExpiryTimeInMs(self):
+            return min(Handle.timers)
+
+    def rows(kind, times, seller=None):
+        ids = [f"o{i}" for i in range(len(times))]
+        return pd.DataFrame({"order_id": ids, "kind": kind, "at": times, "seller": pd.Series([seller] * len(times), dtype=object)})
+
+    monitor = timers.DeliveryMonitor(3 * day, 7 * day, 90 * day)
+    monitor.init(Handle())
+    shipped = [i * day for i in range(1000)]
+    assert not list(monitor.handleInputRows((1,), iter([rows("shipped", shipped[:500]), rows("shipped", shipped)]), None))
+    assert Handle.timers == {3 * day // 1000}
+    now = Now(100 * day // 1000 + 1)
+    Handle.timers = {min(Handle.timers)}
+    fired = pd.concat(monitor.handleExpiredTimer((1,), now, now))
+    assert (fired.severity == "warning").sum() == 98 and (fired.severity == "critical").sum() == 94 and fired.delivered.isna().all()
+    closed = pd.concat(monitor.handleInputRows((1,), iter([rows("delivered", [t + 2 * day for t in shipped], "s")]), None))
+    # told: those with an alert; in time, so it is taken back
+    assert len(closed) == 98 and set(closed.revision) == {2, 3} and set(closed.seller_id) == {"s"}
+    assert not list(monitor.handleInputRows((1,), iter([rows("delivered", shipped)]), None))
+    late = pd.concat(monitor.handleInputRows((1,), iter([rows("delivered", [t + 4 * day for t in shipped])]), None))
+    assert len(late) == 1000 and (late.delivered - late.shipped == 4 * day).all()
+    now = Now(10_000 * day // 1000)
+    Handle.timers = {94 * day // 1000}
+    assert not list(monitor.handleExpiredTimer((1,), now, now)) and monitor.state.value is None
+    assert len(calls) < 30
