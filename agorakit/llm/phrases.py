@@ -24,14 +24,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 from agorakit.llm import arrays
-from agorakit.llm.kernels import Words, column, lower_ascii, mix, utf8
-from agorakit.session import discard, materialize
+from agorakit.llm.kernels import Words, column, give_back, lower_ascii, mix, slices, utf8
+from agorakit.session import batch_rows, discard, materialize
 
 CHUNK = 1 << 20  # bytes of text handled at a time; longer texts are cut between pieces
 SECOND = 8  # children of a trie node by the second word; first-word buckets times this are the prefix partitions
 PART_BYTES = 16 << 20  # text for one prefix partition
 BURST = 1 << 14  # entries of a container before it bursts
 LIMIT = 1_200_000  # entries of a task's trie before subtrees are written out
+RUN_BYTES = 4 << 20  # runs sent on at a time
+ROWS = 1000  # rows of a batch of texts
 WORDS = 400_000  # distinct words of a task before they are written out
 MAX_BITS = 29  # 64 MB: the largest bit map of frequent words or pairs
 LONGEST = 4  # words of a phrase
@@ -54,7 +56,7 @@ def text_chunks(batches: Iterator[pa.RecordBatch], limit: int | None = None) ->
     A text longer than that is cut behind piece ends, where no phrase can cross, so a stretch is longer than the limit only if one piece is.
     """
     limit = limit or CHUNK
-    for batch in batches:
+    for batch in slices(batches):
         langs = column(batch, "lang").to_pylist()
         data, offsets = utf8(column(batch, "text"))
         lower_ascii(data)
@@ -81,7 +83,6 @@ def text_chunks(batches: Iterator[pa.RecordBatch], limit: int | None = None) ->
             last = max(first + 1, int(np.searchsorted(cuts, cuts[first] + limit, side="right")) - 1)
             yield data[cuts[first] : cuts[last]], cuts[first : last + 1] - cuts[first], owner[first:last]
             first = last
-    pa.default_memory_pool().release_unused()
 
 
 def words_of(data: np.ndarray, offsets: np.ndarray) -> tuple[Words, np.ndarray]:
@@ -147,6 +148,8 @@ def word_counts(docs: DataFrame, seed: int) -> DataFrame:
                     kept = None
         if waiting or kept is not None:
             yield from merged().cast(schema).to_batches(1 << 16)
+        del kept, waiting
+        give_back()
 
     found = docs.mapInArrow(run, "lang string, word binary, id long, n long")
     return found.groupBy("lang", "word").agg(F.min("id").alias("id"), F.max("id").alias("other"), F.sum("n").alias("f"))
@@ -317,17 +320,29 @@ class Trie:
 # --- passes -------------------------------------------------------------------------------------------------------
 
 
+def run_batches(runs: Iterator[tuple[int, bytes, bytes]], limit: int | None = None) -> Iterator[pa.RecordBatch]:
+    """Batches (part, ids, counts) of about ``limit`` bytes, one run at least."""
+    schema = pa.schema([("part", pa.int32()), ("ids", pa.binary()), ("counts", pa.binary())])
+    rows, size = [], 0
+
+    def batch() -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(zip(*rows), schema.types)], schema=schema)
+
+    for row in runs:
+        rows.append(row)
+        size += len(row[1]) + len(row[2])
+        if size >= (limit or RUN_BYTES):
+            yield batch()
+            rows, size = [], 0
+    if rows:
+        yield batch()
+
+
 def count_phrases(docs: DataFrame, words: np.ndarray, pairs: np.ndarray | None, buckets: int, seed: int, least: int) -> DataFrame:
     """(ids array<long>, f) of phrases that occur ``least`` times: pairs of marked words, or with ``pairs`` phrases of three and four words."""
     width = 2 if pairs is None else LONGEST
     context = docs.sparkSession.sparkContext
     shared = context.broadcast((arrays.packed(words), None if pairs is None else arrays.packed(pairs)))
-    schema = pa.schema([("part", pa.int32()), ("ids", pa.binary()), ("counts", pa.binary())])
-
-    def batch_of(runs: Iterator[tuple[int, bytes, bytes]]) -> Iterator[pa.RecordBatch]:
-        rows = list(runs)
-        if rows:
-            yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(zip(*rows), schema.types)], schema=schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, couples = (None if x is None else arrays.unpacked(x, np.uint8) for x in shared.value)
@@ -360,8 +375,10 @@ def count_phrases(docs: DataFrame, words: np.ndarray, pairs: np.ndarray | None,
                 )
             waited += 1
             if waited % 4 == 0 and trie.total() > LIMIT:
-                yield from batch_of(trie.emptied(LIMIT // 2))
-        yield from batch_of(trie.emptied(0))
+                yield from run_batches(trie.emptied(LIMIT // 2))
+        yield from run_batches(trie.emptied(0))
+        del trie
+        give_back()
 
     def merge(table: pa.Table) -> pa.Table:
         ids = [np.frombuffer(x.as_py(), np.uint64).reshape(width, -1) for x in table["ids"]]
@@ -372,6 +389,8 @@ def count_phrases(docs: DataFrame, words: np.ndarray, pairs: np.ndarray | None,
         size = (keys != 0).sum(axis=0)
         flat = keys.T.ravel()
         ends = np.r_[0, np.cumsum(size)].astype(np.int32)
+        del ids, counts
+        give_back()
         return pa.table({"ids": pa.ListArray.from_arrays(pa.array(ends), pa.array(flat[flat != 0].view(np.int64))), "f": pa.array(n)})
 
     return docs.mapInArrow(run, _RUNS).groupBy("part").applyInArrow(merge, "ids array<bigint>, f long")
@@ -379,6 +398,11 @@ def count_phrases(docs: DataFrame, words: np.ndarray, pairs: np.ndarray | None,
 
 def frequent_phrases(docs: DataFrame, least: int) -> tuple[DataFrame, DataFrame]:
     """(words, phrases): (lang, word, id, f) of all words, and (ids, f) of all phrases of two to four words with f >= ``least``."""
+    with batch_rows(docs.sparkSession, ROWS):
+        return _counted(docs, least)
+
+
+def _counted(docs: DataFrame, least: int) -> tuple[DataFrame, DataFrame]:
     spark = docs.sparkSession
     rows = docs.select(F.coalesce("lang", F.lit("und")).alias("lang"), F.col("text")).where("text is not null")
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0

@@ -100,3 +100,36 @@ def test_long_texts_are_cut_between_pieces_only():
     assert b"".join(bytes(d) for d, _, _ in stretches).decode() == text + "hh"
     for data, offsets, _ in stretches[:-2]:
         assert all(bytes(data)[b - 1 : b] in (b".", b",") for b in offsets[1:])
+
+
+def test_a_task_copies_few_texts_at_a_time(spark, monkeypatch):
+    import pyarrow as pa
+
+    seen, real = [], P.utf8
+
+    def watched(values):
+        data, offsets = real(values)
+        seen.append(len(data))
+        return data, offsets
+
+    monkeypatch.setattr(P, "utf8", watched)
+    batch = pa.RecordBatch.from_pydict({"lang": ["en"] * 24, "text": ["ab " * (1 << 18)] * 24})
+    assert sum(len(d) for d, _, _ in P.text_chunks(iter([batch]))) == 24 * 3 << 18
+    assert sum(seen) == 24 * 3 << 18 and max(seen) <= 5 << 20
+    runs = [(i, b"x" * 60, b"y" * 30) for i in range(10)]
+    sent = list(P.run_batches(iter(runs), 200))
+    assert [b.num_rows for b in sent] == [3, 3, 3, 1]
+    assert [tuple(r.values()) for b in sent for r in b.to_pylist()] == runs
+
+
+def test_batches_are_small_while_texts_are_read_and_the_setting_comes_back(spark, monkeypatch):
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before, inside, real = spark.conf.get(name), [], P.word_counts
+
+    def watched(docs, seed):
+        inside.append(int(spark.conf.get(name)))
+        return real(docs, seed)
+
+    monkeypatch.setattr(P, "word_counts", watched)
+    P.frequent_phrases(frame(spark, corpus(20)), 3)
+    assert inside and max(inside) <= P.ROWS and spark.conf.get(name) == before
