@@ -10,15 +10,17 @@ survives.
 Distribution. A tree over all documents has no selective region (hashed counts of
 unrelated documents look alike at the upper levels), so documents are first dealt to groups: two
 sets that reach the threshold must share one of the first ``n - ceil(t n) + 1`` shingles in
-any common order of shingles. All sets that share such a shingle go to the group of the smallest class among
-them, once, however many shingles say so, and within a group to bands of like size. Each band of a group gets
-its own tree. The order puts shingles from crowded cells of a count sketch
-last, so boilerplate seldom makes a group; it only affects cost, never the result. Bands over ``CHUNK``
-members are cut into chunks.
+any common order of shingles, and be of one or of adjoining bands of size. A class's number begins with its band. The sets of a band
+that share such a shingle go, with those of the next band that do, to the group of the smallest class of the lower band,
+once, however many shingles say so; sets that share a shingle by chance are seldom of like size, so few of them travel. The order puts
+shingles from crowded cells of a count sketch
+last, so boilerplate seldom makes a group; it only affects cost, never the result. Groups over ``CHUNK``
+members are cut into chunks, each with its own tree.
 
 Links only have to connect components, so there are two passes: the first asks the trees of larger groups for
-partners of the group's smallest class only, the second compares what is not connected with it with all of
-the group, and skips pairs already connected. The second pass names no pairs: a first tree finds the members of a block that have
+partners of the group's smallest class only, the second makes groups with connected centres one, deals them to bands, compares what is not
+connected with the centre with all of the band, and skips pairs already connected. Points join the dealt rows last, so they
+are sent once. The second pass names no pairs: a first tree finds the members of a block that have
 a partner at all, these come back with their exact sets, and a finer tree, the exact check and the joining of
 components happen inside the block, which returns fewer links than it has members. Equal sets are one class throughout and never paired.
 """
@@ -42,6 +44,7 @@ SMALL = 8  # groups up to this size are joined with themselves at once
 LEAF = 8  # members of an R-tree leaf, children of a node
 SLAB = 4096  # pairs of leaves whose members are compared at once
 CHUNK_SHINGLES = 1 << 20  # shingles of a chunk, at most; never fewer than SMALL members
+BAND_SHIFT, LAST_BAND = 52, 2047  # a class number holds its band in the bits above, 52 bits of its key below
 FINER = 4  # times as many groups in the points of the second pass's exact step
 MAX_BLOOM_BITS = 29  # 64 MB
 
@@ -59,13 +62,25 @@ def _class_key(x: np.ndarray) -> bytes:
     return xxhash.xxh3_128_digest(x.tobytes())
 
 
-def scan_sets(docs: DataFrame, size: int) -> DataFrame:
-    """(doc_id, text_hash, k, n, point) of every row and one array of shingle counts per cell and task.
+def _ratio(num: int, den: int) -> float:
+    """Width of a band of sizes: sets over the threshold are in one band or in adjoining ones."""
+    return den / num * 1.0001
 
-    ``text_hash`` tells rows of one doc_id apart. ``k`` is a 128-bit key of the shingle set, null for the empty set.
+
+def class_number(key: bytes, n: int, ratio: float) -> int:
+    """The band of the size n, then the first bits of the class key; the last band holds all above it."""
+    band = min(int(np.log(n) / np.log(ratio)), LAST_BAND)
+    return band << BAND_SHIFT | int.from_bytes(key[:8], "big") >> (64 - BAND_SHIFT)
+
+
+def scan_sets(docs: DataFrame, size: int, ratio: float) -> DataFrame:
+    """(doc_id, text_hash, k, n, cls, point) of every row and one array of shingle counts per cell and task.
+
+    ``text_hash`` tells rows of one doc_id apart. ``k`` is a 128-bit key of the shingle set and ``cls`` its class number, null for the empty set.
     """
+    kind = "doc_id long, text_hash long, k binary, n long, cls long, point binary, counts binary"
     schema = pa.schema(
-        [("doc_id", pa.int64()), ("text_hash", pa.int64()), ("k", pa.binary()), ("n", pa.int64()), ("point", pa.binary()), ("counts", pa.binary())]
+        [("doc_id", pa.int64()), ("text_hash", pa.int64()), ("k", pa.binary()), ("n", pa.int64()), ("cls", pa.int64()), ("point", pa.binary()), ("counts", pa.binary())]
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -82,15 +97,16 @@ def scan_sets(docs: DataFrame, size: int) -> DataFrame:
                 column(part, "text_hash"),
                 pa.array(keys, pa.binary()),
                 pa.array([len(x) for x in sets], pa.int64()),
+                pa.array([class_number(k, len(x), ratio) if len(x) else None for k, x in zip(keys, sets)], pa.int64()),
                 pa.array([point(x).tobytes() if len(x) else None for x in sets], pa.binary()),
                 pa.nulls(part.num_rows, pa.binary()),
             ]
             yield pa.RecordBatch.from_arrays(columns, schema=schema)
-        empty = [pa.nulls(1, schema.field(i).type) for i in range(5)]
+        empty = [pa.nulls(1, schema.field(i).type) for i in range(6)]
         yield pa.RecordBatch.from_arrays([*empty, binary([arrays.packed(cells.astype(np.uint64))])], schema=schema)
 
     hashed = docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash"))
-    return hashed.mapInArrow(run, "doc_id long, text_hash long, k binary, n long, point binary, counts binary")
+    return hashed.mapInArrow(run, kind)
 
 
 def crowding(counts: np.ndarray | None) -> np.ndarray:
@@ -103,16 +119,12 @@ def crowding(counts: np.ndarray | None) -> np.ndarray:
     return np.where(excess > margin, np.floor(np.log2(np.maximum(excess, margin) / margin)) + 1, 0).astype(np.uint8)
 
 
-def first_64(k: str) -> Column:
-    """The class number of a class key: its first 64 bits, big-endian."""
-    return F.conv(F.hex(F.substring(k, 1, 8)), 16, -10).cast("long")
-
-
 # --- blocks -------------------------------------------------------------------------------------------------------
 
 
 def route(docs: DataFrame, size: int, num: int, den: int, order: np.ndarray) -> DataFrame:
-    """(token, cls): the leading shingles of every set, and the first 64 bits of its key."""
+    """(token, cls): the leading shingles of every set, and its class number."""
+    ratio = _ratio(num, den)
     shared = docs.sparkSession.sparkContext.broadcast(order)
     schema = pa.schema([("token", pa.int64()), ("cls", pa.int64())])
 
@@ -135,7 +147,7 @@ def route(docs: DataFrame, size: int, num: int, den: int, order: np.ndarray) ->
                 if by.any():
                     x = x[np.argsort(by, kind="stable")]
                 tokens.append(x[:take])
-                owners.append(np.full(take, int.from_bytes(key[:8], "big", signed=True)))
+                owners.append(np.full(take, class_number(key, len(x), ratio)))
             if tokens:
                 yield from batches_of(schema, [_signed(np.concatenate(tokens)), pa.array(np.concatenate(owners))])
 
@@ -143,26 +155,31 @@ def route(docs: DataFrame, size: int, num: int, den: int, order: np.ndarray) ->
 
 
 def mates(routed: DataFrame) -> DataFrame:
-    """(centre, cls, size): every class that shares a leading shingle with a smaller one, the centre, and the centres themselves.
+    """(centre, cls, size): every class that shares a leading shingle with the smallest class, the centre, of its own band or the band below, and the centres.
 
-    Rows arrive sorted by token and class, so the first of a run is its centre; a task holds no run. Any two
-    classes of a run are in its centre's group. ``size`` is the number of rows of the group.
+    Rows arrive sorted by token and class, so by token, band and class: the first of a token and band is a centre, and a task holds no run.
+    Any two classes of a run whose bands are the same or adjoin are in the group of the lower band's centre. ``size`` is the number of
+    rows of the group.
     """
     schema = pa.schema([("centre", pa.int64()), ("cls", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        token = centre = None
+        last = np.zeros((2, 0), np.int64)  # the centres in force at the end of a batch, as rows that go before the next
         for batch in batches:
-            t, c = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            t, c = np.concatenate([last, [batch.column(0).to_numpy(), batch.column(1).to_numpy()]], axis=1)
             if not len(t):
                 continue
-            first = np.r_[token is None or t[0] != token, t[1:] != t[:-1]]
-            at = np.maximum.accumulate(np.where(first, np.arange(len(t)), -1))
-            own = np.where(at >= 0, c[at], centre if centre is not None else 0)
-            token, centre = t[-1], own[-1]
+            band = c >> BAND_SHIFT
+            starts = np.flatnonzero(np.r_[True, (t[1:] != t[:-1]) | (band[1:] != band[:-1])])
+            adjoins = np.r_[False, (np.diff(t[starts]) == 0) & (np.diff(band[starts]) == 1)]
+            each = np.repeat(np.arange(len(starts)), np.diff(np.r_[starts, len(t)]))
+            own, above = c[starts][each], np.flatnonzero(adjoins[each])
+            below = c[starts][each[above] - 1]
             keep = own != c
-            if keep.any():
-                pairs = np.unique(np.stack([own[keep], c[keep]], axis=1), axis=0)
+            last = np.stack([t, c])[:, starts[-2:] if adjoins[-1] else starts[-1:]]
+            pairs = np.concatenate([np.stack([own[keep], c[keep]], axis=1), np.stack([below, c[above]], axis=1)])
+            if len(pairs):
+                pairs = np.unique(pairs, axis=0)
                 yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], schema=schema)
 
     found = routed.repartition("token").sortWithinPartitions("token", "cls").mapInArrow(run, "centre long, cls long").distinct()
@@ -175,34 +192,47 @@ def mates(routed: DataFrame) -> DataFrame:
     return members
 
 
-def dealt(members: DataFrame, num: int, den: int, first: bool) -> DataFrame:
-    """``members`` (centre, cls, size, k, n, point, label, own) as rows of blocks: block, is_centre, small, late added.
+def _at_most(band: Column, ratio: float) -> Column:
+    """Members of a tree whose sets are of this band or smaller: CHUNK, fewer if the sets are long, never fewer than SMALL."""
+    return F.least(F.lit(CHUNK), F.greatest(F.lit(SMALL), F.floor(F.lit(CHUNK_SHINGLES) / F.pow(F.lit(ratio), band + 1))))
+
+
+def dealt_to_centres(members: DataFrame, num: int, den: int) -> DataFrame:
+    """``members`` (centre, cls, size and more) as rows of the first pass's blocks: block, is_centre, small, late added.
+
+    A group is a block, cut if it is large, with the centre in all chunks. ``late`` are the members of the band above the
+    centre's; two of them are in a group of their own band, too.
+    """
+    rows = members.withColumn("is_centre", F.col("centre") == F.col("cls")).withColumn("small", F.col("size") <= SMALL)
+    band = F.shiftright("centre", BAND_SHIFT)
+    rows = rows.withColumn("late", F.shiftright("cls", BAND_SHIFT) > band)
+    chunks = F.ceil(F.col("size") / _at_most(band + 1, _ratio(num, den))).cast("int")
+    place = F.pmod(F.xxhash64("cls"), chunks).cast("int")
+    rows = rows.withColumn("j", F.explode(F.when(F.col("is_centre"), F.sequence(F.lit(0), chunks - 1)).otherwise(F.array(place))))
+    return rows.withColumn("block", F.xxhash64("centre", "j"))
+
+
+def dealt(members: DataFrame, num: int, den: int) -> DataFrame:
+    """``members`` (centre, cls, size, n, own and more) as rows of the second pass's blocks: block and late added.
 
     A block is a band of a group: sets whose sizes allow the threshold are in the same or the next band, and every member is in
-    its own and the next. Groups over CHUNK members, fewer in bands of long sets, are cut: in the first pass the centre goes to all
-    chunks, in the second all members whose label is not the centre's (``own``: it is) do, cut into chunks themselves.
+    its own and the next. Groups over CHUNK members, fewer in bands of long sets, are cut: all members whose label is not the
+    centre's (``own``: it is) go to all chunks, cut into chunks themselves.
     """
-    ratio = den / num * 1.0001
-    rows = members.withColumn("is_centre", F.col("centre") == F.col("cls") if first else F.lit(False))
-    rows = rows.withColumn("small", F.col("size") <= SMALL).withColumn("late", F.explode(F.array(F.lit(False), F.lit(True))))
+    ratio = _ratio(num, den)
+    rows = members.withColumn("late", F.explode(F.array(F.lit(False), F.lit(True))))
     rows = rows.withColumn("band", F.floor(F.log(F.col("n")) / F.lit(float(np.log(ratio)))).cast("long") + F.col("late").cast("long"))
-    longest = F.pow(F.lit(float(ratio)), F.col("band") + 1)
-    limit = F.least(F.lit(CHUNK), F.greatest(F.lit(SMALL), F.floor(F.lit(CHUNK_SHINGLES) / longest)))
+    limit = _at_most(F.col("band"), ratio)
     chunks = F.ceil(F.col("size") / limit).cast("int")
     place = F.pmod(F.xxhash64("cls"), chunks).cast("int")
     every = F.sequence(F.lit(0), chunks - 1)
-    if first:
-        cells = F.when(F.col("is_centre"), every).otherwise(F.array(place))
-        rows = rows.withColumn("i", F.lit(0)).withColumn("j", F.explode(cells))
-    else:
-        odd = members.where(~F.col("own")).groupBy("centre").agg(F.count("*").alias("odd"))
-        rows = rows.join(odd, "centre")
-        parts = F.ceil(F.col("odd") / limit).cast("int")
-        slot = F.pmod(F.xxhash64("cls", F.lit(1)), parts).cast("int")
-        as_member = rows.withColumn("i", F.explode(F.sequence(F.lit(0), parts - 1))).withColumn("j", place)
-        as_odd = rows.where(~F.col("own") & (chunks * parts > 1)).withColumn("i", slot).withColumn("j", F.explode(every))
-        rows = as_member.unionByName(as_odd)
-    return rows.withColumn("block", F.xxhash64("centre", "band", "i", "j"))
+    odd = members.where(~F.col("own")).groupBy("centre").agg(F.count("*").alias("odd"))
+    rows = rows.join(odd, "centre")
+    parts = F.ceil(F.col("odd") / limit).cast("int")
+    slot = F.pmod(F.xxhash64("cls", F.lit(1)), parts).cast("int")
+    as_member = rows.withColumn("i", F.explode(F.sequence(F.lit(0), parts - 1))).withColumn("j", place)
+    as_odd = rows.where(~F.col("own") & (chunks * parts > 1)).withColumn("i", slot).withColumn("j", F.explode(every))
+    return as_member.unionByName(as_odd).withColumn("block", F.xxhash64("centre", "band", "i", "j"))
 
 
 # --- points and sets of classes ------------------------------------------------------------------------------------
@@ -534,21 +564,21 @@ def jaccard_components(docs: DataFrame, num: int = 75, den: int = 100, size: int
     has no shingle. Other columns are ignored. No rows give no rows.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    scanned = materialize(scan_sets(docs, size), "sets")
+    scanned = materialize(scan_sets(docs, size, _ratio(num, den)), "sets")
     order = crowding(arrays.added(scanned, np.uint64))
     sets = scanned.where("counts is null").select("doc_id", "text_hash", "k", "n")
-    points = scanned.where("k is not null").select("k", "n", "point").dropDuplicates(["k"])
-    points = materialize(points.withColumn("cls", first_64("k")), "points")
+    points = materialize(scanned.where("k is not null").select("k", "n", "cls", "point").dropDuplicates(["k"]), "points")
     members = mates(route(docs, size, num, den, order))
     sweep(docs)
 
-    first = materialize(surviving_pairs(dealt(members.join(points, "cls"), num, den, True), num, den), "pairs")
+    first = materialize(surviving_pairs(dealt_to_centres(members, num, den).join(points, "cls"), num, den), "pairs")
+    sweep(docs)
     bodies = sets_of(docs, size, first.select(F.explode(F.array("a", "b")).alias("k")))
     links = materialize(verified(first, bodies, num, den), "links")
     discard(bodies, first)
     sweep(docs)
     label = components(links)
-    named = points.join(label.withColumnRenamed("node", "k"), "k", "left").withColumn("label", F.coalesce("label", "k"))
+    named = points.drop("point").join(label.withColumnRenamed("node", "k"), "k", "left").withColumn("label", F.coalesce("label", "k"))
     heads = named.select(F.col("cls").alias("centre"), F.col("label").alias("head")).dropDuplicates(["centre"])
     # groups whose centres are connected by now are one group
     merged = members.where(F.col("size") > SMALL).join(heads, "centre").select(F.col("head").alias("centre"), "cls").distinct()
@@ -556,7 +586,8 @@ def jaccard_components(docs: DataFrame, num: int = 75, den: int = 100, size: int
     sweep(docs)
     rest = merged.join(merged.groupBy("centre").agg(F.count("*").alias("size")), "centre").join(named, "cls")
     rest = rest.withColumn("own", F.col("label") == F.col("centre"))
-    open_ = materialize(with_partner(dealt(rest, num, den, False), num, den), "open")
+    blocks = dealt(rest, num, den).select("block", "k", "n", "label", "late")
+    open_ = materialize(with_partner(blocks.join(points.select("k", "point"), "k"), num, den), "open")
     sweep(docs)
     bodies = sets_of(docs, size, open_.select("k").distinct())
     joined = materialize(joining_links(open_.join(bodies, "k"), num, den), "links")

@@ -77,6 +77,36 @@ def test_dense_group_without_a_linked_centre(frame, texts, monkeypatch):
     assert got(J.jaccard_components(frame(rows))) == brute(rows)
 
 
+def test_sets_of_unlike_size_do_not_meet(spark):
+    from agorakit.session import batch_rows
+
+    rng = random.Random(23)
+    classes = [band << J.BAND_SHIFT | rng.getrandbits(50) for band in rng.choices(range(3, 12), k=60)]
+    rows = [(token, c) for token in range(25) for c in rng.sample(classes, rng.choice([1, 2, 5, 20]))]
+    band = lambda c: c >> J.BAND_SHIFT
+    wanted = set()
+    for token in range(25):
+        own = [c for t, c in rows if t == token]
+        for centre in {min(x for x in own if band(x) == band(c)) for c in own}:
+            wanted |= {(centre, c) for c in own if band(c) - band(centre) in (0, 1) and c != centre}
+    wanted |= {(centre, centre) for centre, _ in wanted}
+    size = collections.Counter(centre for centre, _ in wanted)
+    with batch_rows(spark, 7):  # runs go on in later batches
+        found = J.mates(spark.createDataFrame(rows, "token long, cls long")).collect()
+    assert sorted(tuple(r) for r in found) == sorted((a, b, size[a]) for a, b in wanted)
+
+
+def test_class_numbers_keep_bands_apart():
+    key = b"\xff" * 16
+    ratio = J._ratio(75, 100)
+    sizes = [1, 2, 3, 5, 40, 41, 53, 54, 20_000, 10**9]
+    bands = [J.class_number(key, n, ratio) >> J.BAND_SHIFT for n in sizes]
+    assert bands == sorted(bands) and bands[0] == 0 and bands[-1] < J.LAST_BAND
+    for n, m in ((3, 4), (30, 40), (39, 52), (7500, 10_000)):  # at the threshold
+        assert (J.class_number(key, m, ratio) >> J.BAND_SHIFT) - (J.class_number(key, n, ratio) >> J.BAND_SHIFT) in (0, 1)
+    assert 0 < J.class_number(key, 10**6, J._ratio(999, 1000)) < 1 << 63
+
+
 def _block_rows(spark, sets, labels):
     import numpy as np
 
