@@ -235,15 +235,42 @@ def _bundled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array([int(home[order[a]])], pa.int32()), pa.array([sink.getvalue().to_pybytes()], pa.binary())], names=["slice", "docs"])
 
 
-def _chunks(table: pa.Table) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
-    """(batch, lower-cased bytes, offsets) of about CHUNK bytes of text and at most DOCS documents each."""
+def _joined(table: pa.Table) -> Iterator[pa.RecordBatch]:
+    """The rows of a slice's messages in batches of up to CHUNK bytes: a slice gets a message from each batch of input, so larger inputs send more and smaller ones."""
+    held, size = [], 0
     for blob in table["docs"]:
         with pa.ipc.open_stream(blob.as_py()) as reader:
-            for part in slices(iter(reader), limit=CHUNK):
-                for k in range(0, part.num_rows, DOCS):
-                    some = part.slice(k, DOCS)
-                    data, offsets = utf8(some.column("text"))
-                    yield some, lower_ascii(data), offsets
+            for batch in reader:
+                if held and size + batch.nbytes > CHUNK:
+                    yield pa.concat_batches(held)
+                    held, size = [], 0
+                held.append(batch)
+                size += batch.nbytes
+    if held:
+        yield pa.concat_batches(held)
+
+
+def _chunks(table: pa.Table) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
+    """(batch, lower-cased bytes, offsets) of about CHUNK bytes of text and at most DOCS documents each."""
+    for part in slices(_joined(table), limit=CHUNK):
+        for k in range(0, part.num_rows, DOCS):
+            some = part.slice(k, DOCS)
+            data, offsets = utf8(some.column("text"))
+            yield some, lower_ascii(data), offsets
+
+
+def _added(words: pa.Array, n: np.ndarray) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """The distinct words, their summed counts, and the place of every word among them."""
+    coded = words.dictionary_encode()
+    where = coded.indices.to_numpy()
+    total = np.zeros(len(coded.dictionary), np.int64)
+    np.add.at(total, where, n)
+    return coded.dictionary, total, where
+
+
+def _owners(begin: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Which text each place of a buffer belongs to; ``at`` ascends."""
+    return np.repeat(np.arange(len(begin)), np.diff(np.r_[np.searchsorted(at, begin), len(at)]))
 
 
 def _gather(parts: int):
@@ -251,23 +278,22 @@ def _gather(parts: int):
 
     def run(table: pa.Table) -> pa.Table:
         own = table["slice"][0].as_py()
-        grams, first, found = Grams(), np.zeros((256, 256), np.int64), []
+        grams, spelled, times = Grams(), [], []
         for batch, data, offsets in _chunks(table):
             learn = ~batch.column("held_out").to_numpy(zero_copy_only=False)
             buffer, begin = laid_out(data, offsets)
             for at, keys in gram_blocks(buffer):
-                mine = learn[np.searchsorted(begin, at, side="right") - 1]
+                mine = learn[_owners(begin, at)]
                 grams.add(keys[mine], True)
                 grams.add(keys[~mine], False)
-                pair = (keys[mine] >> np.uint64(8 * ORDER) << np.uint64(8) | keys[mine] & np.uint64(255)).astype(np.int64)
-                first += np.bincount(pair, minlength=65536).reshape(256, 256)
             words, at = word_array(data, offsets)
             coded = words.dictionary_encode()
-            times = np.bincount(coded.indices.to_numpy(), np.repeat(learn, np.diff(at)), minlength=len(coded.dictionary))
-            found.append(pa.table({"word": coded.dictionary, "n": pa.array(times.astype(np.int64))}))
+            spelled.append(coded.dictionary)
+            times.append(np.bincount(coded.indices.to_numpy(), np.repeat(learn, np.diff(at)), minlength=len(coded.dictionary)).astype(np.int64))
         grams.merge()
-        words = pa.concat_tables(found).group_by("word", use_threads=False).aggregate([("n", "sum")]).combine_chunks()
-        spelled, number = words["word"].combine_chunks(), words["n_sum"].to_numpy()
+        first = np.zeros(65536, np.int64)
+        np.add.at(first, (grams.keys >> np.uint64(8 * ORDER) << np.uint64(8) | grams.keys & np.uint64(255)).astype(np.int64), grams.counts)
+        spelled, number, _ = _added(pa.concat_arrays(spelled), np.concatenate(times))
         side = word_parts(spelled, parts)
         turn = np.argsort(side, kind="stable")
         word_ends = np.searchsorted(side[turn], np.arange(parts + 1))
@@ -302,10 +328,7 @@ def _score(shared):
         lengths = code_lengths(keys, counts, first).astype(np.float32)
         table = table.combine_chunks()
         lists = table["words"].chunk(0)
-        words = pa.table({"word": lists.flatten(), "n": table["n"].chunk(0).flatten()})
-        total = words.group_by("word", use_threads=False).aggregate([("n", "sum")]).combine_chunks()
-        learned = total["n_sum"].to_numpy()
-        where = pc.index_in(words["word"].combine_chunks(), value_set=total["word"].combine_chunks()).to_numpy()
+        _, learned, where = _added(lists.flatten(), table["n"].chunk(0).flatten().to_numpy())
         ends = np.r_[0, np.cumsum(pc.list_value_length(lists).to_numpy())]
         return pa.table(
             {
@@ -330,22 +353,28 @@ def _add_up(tokens: int, ends: int):
         order = np.argsort(keys, kind="stable")
         keys, lengths = keys[order], lengths[order].astype(float)
         answers = answers.combine_chunks()
-        known, count = answers["words"].chunk(0).flatten(), answers["n"].chunk(0).flatten().to_numpy()
+        known, count = answers["words"].chunk(0).flatten().cast(pa.large_binary()), answers["n"].chunk(0).flatten().to_numpy()
         smooth = math.log10(tokens + 0.5 * (pc.sum(answers["distinct"]).as_py() + (ends > 0) + 1))
-        out = []
+        out, spelled, held = [], [], []
         for batch, data, offsets in _chunks(docs):
             buffer, begin = laid_out(data, offsets)
             score = np.zeros(batch.num_rows)
             for at, grams in gram_blocks(buffer):
                 # sorted together with their documents, so that equal grams are looked up once
-                both = np.sort(grams << np.uint64(16) | (np.searchsorted(begin, at, side="right") - 1).astype(np.uint64))
+                both = np.sort(grams << np.uint64(16) | _owners(begin, at).astype(np.uint64))
                 grams = both >> np.uint64(16)
                 new = np.flatnonzero(np.r_[True, grams[1:] != grams[:-1]])
                 each = np.repeat(lengths[np.searchsorted(keys, grams[new])], np.diff(np.r_[new, len(grams)]))
                 score += np.bincount((both & np.uint64(DOCS - 1)).astype(np.int64), each, minlength=batch.num_rows)
             words, at = word_array(data, offsets)
             coded = words.dictionary_encode()
-            c = count[pc.index_in(coded.dictionary.cast(known.type), value_set=known).to_numpy()[coded.indices.to_numpy()]] if len(words) else np.zeros(0, np.int64)
+            spelled.append(coded.dictionary)
+            held.append((batch.select(["doc_id", "held_out"]), score, coded.indices.to_numpy(), at))
+        # the words of all chunks are looked up at once: every call makes a table of all that are known
+        place = pc.index_in(pa.concat_arrays(spelled), value_set=known).to_numpy(zero_copy_only=False)
+        starts = np.cumsum([0, *map(len, spelled)])
+        for (batch, score, codes, at), start, end in zip(held, starts, starts[1:]):
+            c = count[place[start:end][codes]] if len(codes) else np.zeros(0, np.int64)
             logs, seen = np.r_[0.0, np.cumsum(np.log10(c + 0.5))], np.r_[0, np.cumsum(c > 0)]
             a, b = at[:-1], at[1:]
             out.append(

@@ -82,6 +82,46 @@ def test_held_out_text_is_not_learned(frame):
     same(scored(frame, [(held, "some words"), (held + 1, "other words")]), brute([(held, "some words"), (held + 1, "other words")]))
 
 
+def _messages(rows, each):
+    """A slice's table of messages, each of a few rows."""
+    import pyarrow as pa
+
+    batches = []
+    for k in range(0, len(rows), each):
+        i, text = zip(*rows[k : k + each])
+        held = [x % 5 == 1 for x in i]
+        batches.append(pa.RecordBatch.from_arrays([pa.array(i), pa.array(text), pa.array(held), pa.array([7] * len(i), pa.int32())], names=["doc_id", "text", "held_out", "slice"]))
+    return pa.Table.from_batches(list(ppm._bundled(iter(batches))))
+
+
+def test_many_small_messages_are_read_like_few_large_ones(texts, monkeypatch):
+    import pyarrow as pa
+
+    from agorakit.llm import arrays
+
+    rows = [(i, texts(i % 13, 3 + i)) for i in range(60)]
+    few, many = _messages(rows, 60), _messages(rows, 1)
+    assert (few.num_rows, many.num_rows) == (1, 60)
+    calls = []
+    look = ppm.pc.index_in
+    monkeypatch.setattr(ppm.pc, "index_in", lambda *a, **b: calls.append(1) or look(*a, **b))
+    found = []
+    for docs in (few, many):
+        assert len(list(ppm._chunks(docs))) == 1
+        gathered = ppm._gather(4)(docs)
+        shared = type("Shared", (), {"value": gathered["first"][-1].as_py()})
+        parts = [gathered.filter(pa.compute.equal(gathered["part"], k)).drop(["first"]) for k in range(4)]
+        answers = pa.concat_tables([ppm._score(shared)(x) for x in parts])
+        assert int(arrays.unpacked(shared.value, "int64").sum()) == sum(len(t) + 1 for i, t in rows if i % 5 != 1)
+        calls.clear()
+        found.append(ppm._add_up(100, 10)(docs, answers).to_pylist())
+        assert len(calls) == 1  # the words of a slice are looked up once, whatever the messages
+    assert found[0] == found[1] and [r["doc_id"] for r in found[0]] == list(range(60))
+    monkeypatch.setattr(ppm, "CHUNK", 500)
+    chunks = list(ppm._chunks(many))
+    assert 1 < len(chunks) < 60 and [i for x, _, _ in chunks for i in x.column("doc_id").to_pylist()] == list(range(60))
+
+
 def test_no_rows(frame):
     assert scored(frame, []) == []
 
