@@ -36,7 +36,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from agorakit.llm import arrays
 from agorakit.llm.components import components
 from agorakit.llm.kernels import batches_of, binary, column, give_back, shingle_sets, slices
-from agorakit.session import discard, materialize
+from agorakit.session import discard, materialize, sweep
 
 SKETCH_BITS = 21  # cells of the count sketch; an order of shingles, not a filter
 CHUNK = 1024  # members of a group that one tree holds
@@ -541,14 +541,6 @@ def verified(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame
     return pairs.join(own, "a").join(other, "b").select("a", "b", "x", "y").mapInArrow(run, "a binary, b binary")
 
 
-def sweep(frame: DataFrame) -> None:
-    """Give back the disk of finished passes: Spark removes a shuffle's files once the driver has collected the frames it belongs to."""
-    import gc
-
-    gc.collect()
-    frame.sparkSession.sparkContext._jvm.System.gc()
-
-
 # --- the operator -------------------------------------------------------------------------------------------------
 
 

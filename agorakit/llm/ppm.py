@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from agorakit.llm import arrays
 from agorakit.llm.kernels import lower_ascii, mix, slices, utf8
-from agorakit.session import materialize
+from agorakit.session import materialize, sweep
 
 ORDER = 5  # bytes of context; grams of ORDER + 1 bytes fill 48 of 64 bits, 16 are left for a document's number
 SLICE = 16 << 20  # bytes of text whose grams are made distinct together
@@ -425,6 +425,7 @@ def code_length(docs: DataFrame, held_out: Column) -> DataFrame:
         return spark.createDataFrame([], _DOCS)
     ends = int(first.reshape(256, 256)[:, END].sum())
     tokens = totals.agg(F.sum(F.col("n")[0])).first()[0] + ends
+    sweep(docs)  # the texts' first shuffle; they are dealt again for their answers
     shared = spark.sparkContext.broadcast(arrays.packed(first))
     scored = gathered.where("part >= 0").drop("first").groupBy("part").applyInArrow(_score(shared), _SCORED)
     return dealt.groupBy("slice").cogroup(scored.groupBy("slice")).applyInArrow(_add_up(tokens, ends), _DOCS)
